@@ -45,11 +45,14 @@ def _blocks(path: str):
                 place[order] = np.arange(len(order), dtype=np.uint32)
                 words = [s.words[i].encode() for i in order.tolist()]
                 sizes = np.array([len(w) for w in words], np.uint32)
+                often = np.argsort(-np.bincount(s.codes, minlength=len(order)), kind="stable")  # small codes for frequent words
+                rank = np.empty(len(order), np.uint32)
+                rank[often] = np.arange(len(order), dtype=np.uint32)
                 yield pa.RecordBatch.from_pydict({
                     "block": [block],
                     "ids": [rows.column(0).to_pylist()],
                     "offsets": [pack(s.offsets)],
-                    "codes": [pack(place[s.codes])],
+                    "codes": [pack(rank[s.codes], place[often])],
                     "words": [pack((s.hashes[order] >> np.uint64(32)).astype(np.uint32), sizes, b"".join(words))],
                     "n_words": [len(words)],
                 }, pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("offsets", pa.binary()), ("codes", pa.binary()), ("words", pa.binary()), ("n_words", pa.int64())]))
@@ -136,9 +139,10 @@ def _finish(path: str, keep_ids: bool, keep_text: bool):
                 if len(sizes) != row["n_words"]:
                     raise ValueError(f"block {row['block']}: {len(sizes)} of {row['n_words']} words are encoded")
                 at = ends(sizes).tolist()
-                words = [flat[x:y] for x, y in zip(at, at[1:], strict=False)]
+                codes, places = unpack(row["codes"])
+                words = [flat[at[i] : at[i + 1]] for i in places.tolist()]
                 shown = [",".join(map(str, w)) for w in words]
-                codes, offsets = unpack(row["codes"])[0], unpack(row["offsets"])[0].tolist()
+                offsets = unpack(row["offsets"])[0].tolist()
                 counts, ids_hash, text_hash, all_ids, all_texts = [], [], [], [], []
                 for x, y in zip(offsets, offsets[1:], strict=False):
                     own = codes[x:y].tolist()

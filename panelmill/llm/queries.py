@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(name: str, n: int) -> Column:
+    return F.crc32(F.col(name).cast("string")) % n
+
+
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -19,6 +24,22 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelmill.llm import language
+
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _remainder("doc_id", 3) == 1
+    return language.identify(docs, language.fit(docs, _remainder("doc_id", 3) != 1), held_out)
+
+
+def op4_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelmill.llm import quality
+
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"), _remainder("doc_id", 5) != 0)
+    return quality.score(docs, model, _remainder("doc_id", 5) == 0)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -27,8 +48,16 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelmill.llm import rules
+
+    docs = _table(spark, sf_dir, "documents")
+    out = rules.judged(docs, rules.fit(docs, _table(spark, sf_dir, "labels")))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op")}
+    return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
