@@ -40,6 +40,12 @@ def op4_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, _remainder("doc_id", 5) == 0)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelmill.llm.substrings import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
