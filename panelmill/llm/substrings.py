@@ -46,7 +46,7 @@ _BLOCK = "block bigint, ids array<bigint>, sizes binary, body binary, others bin
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    block = TaskContext.get().partitionId() << 32
+    block = TaskContext.get().partitionId() << 20  # with a row's number a bigint still holds it
     for batch in batches:
         for rows, data, offsets in chunks(batch):
             sink = pa.BufferOutputStream()
