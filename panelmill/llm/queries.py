@@ -32,6 +32,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.fit(docs, _remainder("doc_id", 3) != 1), held_out)
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelmill.llm.mixing import taken
+
+    return taken(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelmill.llm import quality
 
@@ -60,6 +66,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_chat_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelmill.llm.threads import threads
+
+    return threads(_table(spark, sf_dir, "conversations"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelmill.llm import rules
 
@@ -68,9 +80,32 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelmill.llm.topk import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_exact_topk": TOP_K}
+
+
+#: Scores of each query against every other row, in integers.
+TOP_K = """
+with e as (
+  select distinct vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, e.vec_id, cast(list_dot_product(q.v, e.v) as bigint) as score
+  from e q join e on q.vec_id <> e.vec_id where q.vec_id % 50 = 0
+), ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
