@@ -1,8 +1,8 @@
 """Exact top-k search by inner product with cover trees over data and queries.
 
 Vectors go, in groups dealt out by a hash of their id, into blocks of about BLOCK vectors; a task indexes a
-block as a cover tree: each node's centre is one of its points, children's centres lie within half the
-parent's radius, and a node knows the greatest distance to its centre. Each block of queries has a tree
+block as a cover tree: each node's centre is one of its points, its children's centres are FAN of its points
+that lie farthest from each other, each covering the points nearest to it, and a node knows its covering radius. Each block of queries has a tree
 as well. For a pair of nodes no inner product exceeds q.c + |q| r + s |c| + s r (centres q and c, radii s and
 r); a pair is dropped if that lies below the worst k-th score among the query node's queries. Each pair
 of blocks gives k rows for a query, from which a window takes the best k.
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from panelmill.llm.common import pack, unpack, written
 
-BLOCK, QUERIES, LEAF = 8192, 2048, 256
+BLOCK, QUERIES, LEAF, FAN = 8192, 2048, 256, 8
 
 
 class Node:
@@ -36,16 +36,15 @@ class Node:
         self.children: list[Node] = []
         if len(members) <= LEAF or self.radius == 0:
             return
-        reach, left, distance = self.radius / 2, members, far
-        c = centre
-        while len(left):
-            near = distance <= reach
-            near[left == c] = True
-            self.children.append(Node(x, c, left[near], distance[near]))
-            left = left[~near]
-            if len(left):
-                c = int(left[0])
-                distance = np.linalg.norm(x[left] - x[c], axis=1)
+        # farthest-first centres: each lies further from the others than any member does from its own
+        centres, near, own = [centre], far, np.zeros(len(members), np.int64)
+        while len(centres) < FAN and near.max() > 0:
+            c = int(members[np.argmax(near)])
+            distance = np.linalg.norm(x[members] - x[c], axis=1)
+            own[distance < near] = len(centres)
+            near = np.minimum(near, distance)
+            centres.append(c)
+        self.children = [Node(x, c, members[own == i], near[own == i]) for i, c in enumerate(centres)]
 
 
 def cover_tree(x: np.ndarray) -> Node:
