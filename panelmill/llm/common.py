@@ -125,7 +125,7 @@ class Rolling:
 
     def _reach(self, n: int) -> None:
         if len(self.powers) < n:
-            n = max(n, CHUNK + 1)
+            n = 1 << (n - 1).bit_length()
 
             def series(x: int) -> np.ndarray:
                 out = np.ones(n, np.uint64)
@@ -144,5 +144,11 @@ class Rolling:
         np.cumsum(self.values[symbols] * self.powers[: len(symbols)], out=out[1:])
         return out
 
+    def pieces(self, sums: np.ndarray, size: int) -> np.ndarray:
+        """The hashes of all slices of one size."""
+        out = sums[size:] - sums[:-size]
+        out *= self.inverses[: len(out)]
+        return mixed(out)
+
     def slices(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((sums[end] - sums[start]) * self.inverses[start])

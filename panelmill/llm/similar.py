@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import Rolling, as_text, bucketed, ends, mixed, pack, unpack, written
+from panelmill.llm.common import CHUNK, Rolling, as_text, bucketed, ends, mixed, pack, unpack, written
 from panelmill.llm.substrings import _BLOCK, _blocks, _by_group, _sent
 
 WIDTH, SHARE = 5, 80
@@ -339,7 +339,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
     that stand first (by id, nulls last) in their component; rows without words all stay."""
     rest = [F.col(n) for n in docs.columns if n != text_col] if keep_one else []
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), as_text(text_col).alias("text"), *rest)
-    blocks = bucketed(rows.mapInArrow(_blocks, _BLOCK), "similar", "block")
+    blocks = bucketed(rows.mapInArrow(_blocks(CHUNK), _BLOCK), "similar", "block")
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     groups = max(1, -(-total // TEXT_A_GROUP))
     texts = blocks.select("block", "ids", "sizes", "body")

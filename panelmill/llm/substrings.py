@@ -35,33 +35,36 @@ LENGTH, GRAM = 50, 16
 REACH = LENGTH - GRAM + 1
 #: Phrases of one trigger beyond which its windows are dealt out singly.
 HOT = 5000
-#: Bytes of text whose phrases, or rest, one group takes.
-TEXT_A_GROUP = 24 << 20
+#: Bytes of text in a block, and of the text whose phrases (whose rest) one group takes.
+BLOCK_TEXT, PHRASES_A_GROUP, REST_A_GROUP = 2 << 20, 8 << 20, 4 << 20
 LAST = np.int64(2**63 - 1)
 ROLLING = Rolling(256, 11)
 
 _BLOCK = "block bigint, ids array<bigint>, sizes binary, body binary, others binary, n_bytes bigint"
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
+def _blocks(limit: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        block = TaskContext.get().partitionId() << 20  # with a row's number a bigint still holds it
+        for batch in batches:
+            for rows, data, offsets in chunks(batch, limit=limit):
+                sink = pa.BufferOutputStream()
+                others = rows.select([n for n in rows.schema.names if n not in ("text", "_id")])
+                with pa.ipc.new_stream(sink, others.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                    w.write_batch(others)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([block], pa.int64()),
+                    pa.array([rows.column(rows.schema.get_field_index("_id")).to_pylist()], pa.list_(pa.int64())),
+                    pa.array([pack(np.diff(offsets).astype(np.uint32))], pa.binary()),
+                    pa.array([pack(data.tobytes(), level=6)], pa.binary()),
+                    pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                    pa.array([len(data)], pa.int64()),
+                ], ["block", "ids", "sizes", "body", "others", "n_bytes"])
+                block += 1
 
-    block = TaskContext.get().partitionId() << 20  # with a row's number a bigint still holds it
-    for batch in batches:
-        for rows, data, offsets in chunks(batch):
-            sink = pa.BufferOutputStream()
-            others = rows.select([n for n in rows.schema.names if n not in ("text", "_id")])
-            with pa.ipc.new_stream(sink, others.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                w.write_batch(others)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([block], pa.int64()),
-                pa.array([rows.column(rows.schema.get_field_index("_id")).to_pylist()], pa.list_(pa.int64())),
-                pa.array([pack(np.diff(offsets).astype(np.uint32))], pa.binary()),
-                pa.array([pack(data.tobytes(), level=6)], pa.binary()),
-                pa.array([sink.getvalue().to_pybytes()], pa.binary()),
-                pa.array([len(data)], pa.int64()),
-            ], ["block", "ids", "sizes", "body", "others", "n_bytes"])
-            block += 1
+    return run
 
 
 class Parse:
@@ -80,9 +83,8 @@ class Parse:
     def _parse(self) -> None:
         n = len(self.data)
         self.sums = ROLLING.sums(self.data)
-        at = np.arange(n - GRAM + 1)
-        grams = ROLLING.slices(self.sums, at, at + GRAM)
-        least = (grams >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)  # of equals the leftmost
+        grams = ROLLING.pieces(self.sums, GRAM)
+        least = (grams >> np.uint64(32) << np.uint64(32)) | np.arange(len(grams), dtype=np.uint64)  # of equals the leftmost
         span = 1
         while 2 * span <= REACH:
             least = np.minimum(least[:-span], least[span:])
@@ -100,7 +102,7 @@ class Parse:
         first = np.flatnonzero(new)
         self.low, self.high = p[first], p[np.append(first[1:], len(p)) - 1]
         self.at, self.doc = owner[first], doc[self.low]
-        triggers = grams[self.at]
+        triggers = mixed(grams[self.at])  # least hashes are small numbers; groups are ranges of evenly spread ones
         contents = ROLLING.slices(self.sums, self.low, self.high + LENGTH) ^ mixed((self.at - self.low).astype(np.uint64) + np.uint64(77))
         contents >>= np.uint64(16)
         order = np.lexsort((contents, triggers))
@@ -313,17 +315,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("the text column must be named text")
     columns = [F.col(n) for n in names if n != text_col] if keep_rows else []
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), as_text(text_col).alias("text"), *columns)
-    blocks = bucketed(rows.mapInArrow(_blocks, _BLOCK), "substrings", "block")
+    blocks = bucketed(rows.mapInArrow(_blocks(BLOCK_TEXT), _BLOCK), "substrings", "block")
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
-    groups = max(1, -(-total // TEXT_A_GROUP))
+    groups, rest = max(1, -(-total // PHRASES_A_GROUP)), max(1, -(-total // REST_A_GROUP))
     gather = lambda df, name: df.groupBy("block").agg(F.collect_list(F.struct("part", "body")).alias(name))
     deal, answer = "part bigint, block bigint, body binary", "block bigint, part bigint, body binary"
     texts = blocks.select("block", "ids", "sizes", "body")
     decided = texts.mapInArrow(_deal_phrases(groups), deal).groupBy("part").applyInArrow(_decide, answer)
     decided = bucketed(gather(decided, "decided"), "decided", "block")
-    settled = texts.join(decided, "block", "left").mapInArrow(_deal_rest(groups), deal).groupBy("part").applyInArrow(_settle, answer)
+    settled = texts.join(decided, "block", "left").mapInArrow(_deal_rest(rest), deal).groupBy("part").applyInArrow(_settle, answer)
     every = blocks.join(decided, "block", "left").join(gather(settled, "settled"), "block", "left")
     if keep_rows:
         schema = docs.withColumn("text", F.col("text").cast("string")).schema
-        return every.mapInArrow(_finish(groups, True, names), schema)
-    return every.mapInArrow(_finish(groups, False, names), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+        return every.mapInArrow(_finish(rest, True, names), schema)
+    return every.mapInArrow(_finish(rest, False, names), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
