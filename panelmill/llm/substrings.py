@@ -153,7 +153,7 @@ class Rest:
 
 def _by_group(group: np.ndarray) -> Iterator[tuple[int, int, int]]:
     has, first = np.unique(group, return_index=True)
-    yield from zip(has.tolist(), first.tolist(), [*first[1:].tolist(), len(group)], strict=True)
+    yield from zip(has.tolist(), first.tolist(), [*first.tolist(), len(group)][1:], strict=True)
 
 
 def _sent(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
