@@ -9,7 +9,7 @@ the order of a hash; the middle of a document in the running sum of sizes, put i
 integral, is its training position. A second pass over the source follows where the target asks for it.
 Documents are then range-sorted by position.
 
-Running sums take two levels: hash ranges of about RANGE documents are summed first, then documents inside
+Running sums take two levels: hash ranges of about RANGE documents each are summed first, then documents inside
 one range, so no source is one task. Rows that are equal in id and text are one unit, taken together.
 A document is taken 0, 1 or 2 times, whole; its size is its number of words (null text: 0). Documents of
 size 0 are taken with 0 words. Source names that are null form one source.
@@ -27,7 +27,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 #: The slope k of each weight's schedule: the heavy sources fade out, the light ones come in.
 SLOPES = (0.5, 0.0, -0.5)
 BUDGET, CAP = 1.5, 2.0
-RANGE = 20_000
+RANGE = 2_000
 
 
 def targets(sources: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
