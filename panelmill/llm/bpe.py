@@ -5,7 +5,7 @@
 2. The words of all blocks are dealt out by hash; each distinct word of the corpus is encoded once, in the
    one group that holds it, and its ids go back to every block that has the word. A block sends a word once
    however often it occurs, so frequent words do not make large groups.
-3. Each block joins the ids back by position, and decodes them through the id-to-piece table, whose size is
+3. Each block finds its words' groups again, joins the ids back by position, and decodes them through the id-to-piece table, whose size is
    the vocabulary's.
 
 Rows: one for each input row, repeated rows included; any other columns are left out, whatever their names.
@@ -22,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import as_text, bucketed, chunks, ends, pack, unpack
+from panelmill.llm.common import Rolling, as_text, bucketed, chunks, ends, pack, unpack
 from panelmill.llm.pretokens import splitter
 
 #: Words (of blocks, repeats between blocks included) that one task encodes.
 WORDS_A_GROUP = 400_000
 
+BYTES = Rolling(256, 21)
+
 _BLOCK = "block bigint, ids array<bigint>, offsets binary, codes binary, words binary, n_words bigint"
 
 
@@ -40,20 +42,17 @@ def _blocks(path: str):
         for batch in batches:
             for rows, data, offsets in chunks(batch):
                 s = split(data, offsets)
-                order = np.argsort(s.hashes)
-                place = np.empty(len(order), np.uint32)
-                place[order] = np.arange(len(order), dtype=np.uint32)
-                words = [s.words[i].encode() for i in order.tolist()]
+                often = np.argsort(-np.bincount(s.codes, minlength=len(s.words)), kind="stable")  # small codes for frequent words
+                rank = np.empty(len(often), np.uint32)
+                rank[often] = np.arange(len(often), dtype=np.uint32)
+                words = [s.words[i].encode() for i in often.tolist()]
                 sizes = np.array([len(w) for w in words], np.uint32)
-                often = np.argsort(-np.bincount(s.codes, minlength=len(order)), kind="stable")  # small codes for frequent words
-                rank = np.empty(len(order), np.uint32)
-                rank[often] = np.arange(len(order), dtype=np.uint32)
                 yield pa.RecordBatch.from_pydict({
                     "block": [block],
                     "ids": [rows.column(0).to_pylist()],
                     "offsets": [pack(s.offsets)],
-                    "codes": [pack(rank[s.codes], place[often])],
-                    "words": [pack((s.hashes[order] >> np.uint64(32)).astype(np.uint32), sizes, b"".join(words))],
+                    "codes": [pack(rank[s.codes])],
+                    "words": [pack(sizes, b"".join(words))],
                     "n_words": [len(words)],
                 }, pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("offsets", pa.binary()), ("codes", pa.binary()), ("words", pa.binary()), ("n_words", pa.int64())]))
                 block += 1
@@ -61,14 +60,25 @@ def _blocks(path: str):
     return run
 
 
+def _dealt(sizes: np.ndarray, raw: bytes, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each word, by a hash of its bytes, and the words' order by group."""
+    at = ends(sizes)
+    hashes = BYTES.slices(BYTES.sums(np.frombuffer(raw, np.uint8)), at[:-1], at[1:])
+    group = ((hashes >> np.uint64(32)) * np.uint64(groups)) >> np.uint64(32)
+    return group, np.argsort(group, kind="stable")
+
+
 def _deal(groups: int):
-    """Each block's words by group; groups are ranges of the hash, in which order the words stand."""
+    """Each block's words by group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                hashes, sizes, raw = unpack(value)
-                group = (hashes.astype(np.uint64) * np.uint64(groups)) >> np.uint64(32)
+                sizes, raw = unpack(value)
+                group, order = _dealt(sizes, raw, groups)
+                bounds = ends(sizes).tolist()
+                raw = b"".join([raw[bounds[i] : bounds[i + 1]] for i in order.tolist()])
+                group, sizes = group[order], sizes[order]
                 at = ends(sizes)
                 has, first = np.unique(group, return_index=True)
                 bounds = np.append(first, len(group))
@@ -128,7 +138,7 @@ def pieces(path: str) -> list[bytes]:
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
-def _finish(path: str, keep_ids: bool, keep_text: bool):
+def _finish(path: str, groups: int, keep_ids: bool, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = pieces(path)
         for batch in batches:
@@ -139,8 +149,10 @@ def _finish(path: str, keep_ids: bool, keep_text: bool):
                 if len(sizes) != row["n_words"]:
                     raise ValueError(f"block {row['block']}: {len(sizes)} of {row['n_words']} words are encoded")
                 at = ends(sizes).tolist()
-                codes, places = unpack(row["codes"])
-                words = [flat[at[i] : at[i + 1]] for i in places.tolist()]
+                codes = unpack(row["codes"])[0]
+                words: list[list[int]] = [[]] * len(sizes)
+                for j, i in enumerate(_dealt(*unpack(row["words"]), groups)[1].tolist()):
+                    words[i] = flat[at[j] : at[j + 1]]
                 shown = [",".join(map(str, w)) for w in words]
                 offsets = unpack(row["offsets"])[0].tolist()
                 counts, ids_hash, text_hash, all_ids, all_texts = [], [], [], [], []
@@ -174,9 +186,10 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text"))
     blocks = bucketed(docs.mapInArrow(_blocks(path), _BLOCK), "bpe", "block")
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
-    dealt = blocks.select("block", "words").mapInArrow(_deal(max(1, -(-total // WORDS_A_GROUP))), "part bigint, block bigint, words binary")
+    groups = max(1, -(-total // WORDS_A_GROUP))
+    dealt = blocks.select("block", "words").mapInArrow(_deal(groups), "part bigint, block bigint, words binary")
     encoded = dealt.groupBy("part").applyInArrow(_encode(path), "block bigint, part bigint, encoded binary")
     encoded = encoded.groupBy("block").agg(F.collect_list(F.struct("part", "encoded")).alias("encoded"))
     columns = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids + ", decoded string" * keep_text
-    joined = blocks.select("block", "ids", "offsets", "codes", "n_words").join(encoded, "block", "left")
-    return joined.mapInArrow(_finish(path, keep_ids, keep_text), columns)
+    joined = blocks.select("block", "ids", "offsets", "codes", "words", "n_words").join(encoded, "block", "left")
+    return joined.mapInArrow(_finish(path, groups, keep_ids, keep_text), columns)
