@@ -5,7 +5,8 @@ character and repetition statistics. Only the document has a label: gated attent
 learns which passages matter, and the score is that of the attention-weighted passage representation.
 
 The model is fitted on the driver from a bounded sample: SAMPLE labelled documents picked by a hash of the
-id, with at most SAMPLE_PASSAGES passages in all. Every document is scored, whole.
+id, with at most SAMPLE_PASSAGES passages in all; a repeated id counts once, with its least label and least
+text. Every document is scored, whole.
 
 Rows: one for each input row, repeated rows included; other columns are left out. A null or empty text is
 one passage without characters. A null id is never held out and never learned from. Without labels every
@@ -150,15 +151,15 @@ def train(x: list[np.ndarray], y: np.ndarray) -> dict:
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> dict | None:
     """The parameters, from the labels (doc_id, quality) where learn holds; learn speaks of doc_id."""
     known = labels.where(learn & F.col("quality").isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
-    known = known.orderBy(F.xxhash64("doc_id"), "quality").limit(SAMPLE)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text")).join(F.broadcast(known), "doc_id").select("doc_id", "quality", "text")  # at most SAMPLE rows are broadcast
-    found, total, seen = [], 0, set()
-    for r in sorted(rows.mapInArrow(_sample, "doc_id bigint, quality double, packed binary").limit(2 * SAMPLE).toLocalIterator(), key=lambda r: (r.doc_id, r.quality)):
+    known = known.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text")).join(F.broadcast(known), "doc_id")  # at most SAMPLE rows are broadcast
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # repeated rows count once
+    found, total = [], 0
+    for r in sorted(rows.mapInArrow(_sample, "doc_id bigint, quality double, packed binary").toLocalIterator(), key=lambda r: r.doc_id):
         x = unpack(bytes(r.packed))[0].reshape(-1, FEATURES)
-        if total + len(x) <= SAMPLE_PASSAGES and r.doc_id not in seen:
+        if total + len(x) <= SAMPLE_PASSAGES:
             found.append((x, r.quality))
             total += len(x)
-            seen.add(r.doc_id)
     return train([x for x, _ in found], np.array([min(max(q, 0.0), 1.0) for _, q in found])) if found else None
 
 
