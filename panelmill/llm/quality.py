@@ -86,7 +86,8 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     out[:, k + 3] = np.minimum(np.bincount(where, minlength=n) / PASSAGE, 1)
     out[:, k + 4] = np.minimum(words / np.maximum(size, 1) * 4, 2)
     pair = (np.minimum(points[:-1], 0x24F) * 31 + np.minimum(points[1:], 0x24F)) % BIGRAMS
-    out[:, k + 5 :] = np.sqrt(np.bincount(where[:-1] * BIGRAMS + pair, minlength=n * BIGRAMS).reshape(n, BIGRAMS) / size[:, None])
+    within = own[1:] == own[:-1]  # a score does not depend on the texts beside
+    out[:, k + 5 :] = np.sqrt(np.bincount((where[:-1] * BIGRAMS + pair)[within], minlength=n * BIGRAMS).reshape(n, BIGRAMS) / size[:, None])
     return out, bags
 
 
