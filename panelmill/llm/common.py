@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 #: Bytes of text that are handled as arrays at once; one longer text is handled alone.
 CHUNK = 4 << 20
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, set here only where it is unset (tests)."""
@@ -54,6 +57,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK) -> I
     """(rows, their UTF-8 bytes, offsets of each text in them); a null text is an empty one."""
     if not batch.num_rows:
         return
+    release()
     texts = batch.column(batch.schema.get_field_index(column))
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     every = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -65,6 +69,21 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK) -> I
         low = high
 
 
+def release() -> None:
+    """Give free memory back to the system: workers live on, and stages that follow need it."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Large rows, one at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            release()
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def pack(*arrays: np.ndarray | bytes, level: int = 3) -> bytes:
     """Arrays as one compressed value; numbers go byte plane by byte plane, as high bytes repeat."""
     out = []
@@ -114,14 +133,18 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Rolling:
-    """Polynomial hashes modulo 2**64 of any slice of an array of symbols, from random symbol values."""
+    """Polynomial hashes modulo 2**64 of any slice of an array of symbols, from random symbol values.
+
+    One base serves all instances, so that a worker holds its powers once.
+    """
+
+    base = 0x5851F42D4C957F2D
+    inverse = pow(base, -1, 2**64)
+    powers = inverses = np.ones(1, np.uint64)
 
     def __init__(self, symbols: int, seed: int):
         rng = np.random.default_rng(seed)
         self.values = rng.integers(1, 2**63, symbols, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = int(rng.integers(1, 2**62)) * 8 + 5
-        self.inverse = pow(self.base, -1, 2**64)
-        self.powers = self.inverses = np.ones(1, np.uint64)
 
     def _reach(self, n: int) -> None:
         if len(self.powers) < n:
@@ -136,12 +159,14 @@ class Rolling:
                     done += more
                 return out
 
-            self.powers, self.inverses = series(self.base), series(self.inverse)
+            Rolling.powers, Rolling.inverses = series(self.base), series(self.inverse)
 
     def sums(self, symbols: np.ndarray) -> np.ndarray:
         self._reach(len(symbols) + 1)
         out = np.zeros(len(symbols) + 1, np.uint64)
-        np.cumsum(self.values[symbols] * self.powers[: len(symbols)], out=out[1:])
+        terms = self.values[symbols]
+        terms *= self.powers[: len(symbols)]
+        np.cumsum(terms, out=out[1:])
         return out
 
     def pieces(self, sums: np.ndarray, size: int) -> np.ndarray:

@@ -29,6 +29,8 @@ PASSAGE = 400
 #: Bounds of the sample that the model is fitted on.
 SAMPLE, SAMPLE_PASSAGES = 3000, 60_000
 HIDDEN, GATE, EPOCHS, BAGS, RATE = 24, 12, 40, 128, 0.01
+#: Bytes of text whose passages are found at once.
+BYTES = 1 << 20
 #: Code points of the repeated pieces that are looked for, at words' beginnings.
 GRAM = 24
 
@@ -93,7 +95,7 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for rows, data, offsets in chunks(batch):
+        for rows, data, offsets in chunks(batch, limit=BYTES):
             x, bags = passages(data, offsets)
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array([pack(x[a:b].ravel()) for a, b in zip(bags, bags[1:], strict=False)], pa.binary())], ["doc_id", "quality", "packed"])
 
@@ -168,7 +170,7 @@ def _score(model, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = model.value
         for batch in batches:
-            for rows, data, offsets in chunks(batch):
+            for rows, data, offsets in chunks(batch, limit=BYTES):
                 x, bags = passages(data, offsets)
                 score = _forward(p, x, bags)["y"].astype(np.float64) if p else np.full(len(bags) - 1, 0.5)
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
@@ -187,7 +189,7 @@ def _keep(model, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = model.value
         for batch in batches:
-            for rows, data, offsets in chunks(batch):
+            for rows, data, offsets in chunks(batch, limit=BYTES):
                 x, bags = passages(data, offsets)
                 if p is None:
                     yield rows

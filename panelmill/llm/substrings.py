@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import Rolling, as_text, bucketed, chunks, ends, mixed, pack, unpack
+from panelmill.llm.common import Rolling, as_text, bucketed, chunks, ends, mixed, pack, rows_of, unpack
 
 LENGTH, GRAM = 50, 16
 REACH = LENGTH - GRAM + 1
@@ -162,11 +162,11 @@ def _sent(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 def _deal_phrases(groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                p = Parse(row)
-                group = ((p.triggers >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
-                yield _sent([(g, row["block"], pack(np.diff(p.triggers[x:y], prepend=np.uint64(0)), p.contents[x:y], p.least[x:y], p.most[x:y] - p.least[x:y])) for g, x, y in _by_group(group)])
+        for row in rows_of(batches):
+            p = Parse(row)
+            group = ((p.triggers >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+            yield _sent([(g, row["block"], pack(np.diff(p.triggers[x:y], prepend=np.uint64(0)), p.contents[x:y], p.least[x:y], p.most[x:y] - p.least[x:y])) for g, x, y in _by_group(group)])
+            del p, group  # before the next is made
 
     return run
 
@@ -206,18 +206,17 @@ def _joined(found: list[dict] | None, n: int, block: int) -> tuple[np.ndarray, n
 
 def _deal_rest(groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                p = Parse(row)
-                rest = Rest(p, _joined(row["decided"], len(p.triggers), row["block"])[0], groups)
-                if not len(rest.first):
-                    continue
-                low, size = rest.low[rest.first], rest.high[rest.first] + LENGTH - rest.low[rest.first]
-                rows = []
-                for g, x, y in _by_group(rest.group):
-                    at = np.repeat(low[x:y] - ends(size[x:y])[:-1], size[x:y]) + np.arange(size[x:y].sum())
-                    rows.append((g, row["block"], pack(size[x:y].astype(np.uint32), p.data[at].tobytes(), rest.least[x:y], rest.most[x:y] - rest.least[x:y])))
-                yield _sent(rows)
+        for row in rows_of(batches):
+            p = Parse(row)
+            rest = Rest(p, _joined(row["decided"], len(p.triggers), row["block"])[0], groups)
+            if not len(rest.first):
+                continue
+            low, size = rest.low[rest.first], rest.high[rest.first] + LENGTH - rest.low[rest.first]
+            rows = []
+            for g, x, y in _by_group(rest.group):
+                at = np.repeat(low[x:y] - ends(size[x:y])[:-1], size[x:y]) + np.arange(size[x:y].sum())
+                rows.append((g, row["block"], pack(size[x:y].astype(np.uint32), p.data[at].tobytes(), rest.least[x:y], rest.most[x:y] - rest.least[x:y])))
+            yield _sent(rows)
 
     return run
 
@@ -255,54 +254,53 @@ def _settle(table: pa.Table) -> pa.Table:
 
 def _finish(groups: int, keep_rows: bool, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                p = Parse(row)
-                status, first = _joined(row["decided"], len(p.triggers), row["block"])
-                rest = Rest(p, status, groups)
-                change = np.zeros(len(p.data) + LENGTH + 1, np.int32)
-
-                def cover(low: np.ndarray, high: np.ndarray) -> None:
-                    np.add.at(change, low, 1)
-                    np.add.at(change, high + LENGTH, -1)
-
-                if len(p.low):
-                    known = np.full(len(status), LAST, np.int64)
-                    known[status == 1] = first
-                    gone = known[p.entry] < p.ids[p.doc]
-                    cover(p.low[gone], p.high[gone])
-                if len(rest.first):
-                    each = rest.high[rest.first] - rest.low[rest.first] + 1
-                    status, first = _joined(row["settled"], int(each.sum()), row["block"])
-                    known = np.full(len(status), LAST, np.int64)
-                    known[status == 1] = first
-                    size = rest.high - rest.low + 1
-                    at = np.repeat(rest.low - ends(size)[:-1], size) + np.arange(size.sum())
-                    slot = np.repeat(ends(each)[rest.entry] - ends(size)[:-1], size) + np.arange(size.sum())
-                    doc = p.ids[np.searchsorted(p.offsets, at, "right") - 1]
-                    at = at[known[slot] < doc]
-                    cover(at, at)
-                gone = np.cumsum(change)[: len(p.data)] > 0
-                sizes = np.diff(p.offsets)
-                total = ends(gone)
-                own = np.repeat(np.arange(len(sizes)), sizes)
-                start = gone.copy()
-                start[1:] &= ~gone[:-1] | (own[1:] != own[:-1])
-                removed = total[p.offsets[1:]] - total[p.offsets[:-1]]
-                spans = np.bincount(own[start], minlength=len(sizes))
-                kept = p.data[~gone].tobytes()
-                at = (p.offsets - total[p.offsets]).tolist()
-                left = [kept[x:y] for x, y in zip(at, at[1:], strict=False)]
-                if keep_rows:
-                    others = pa.ipc.open_stream(row["others"]).read_all()
-                    text = pa.array([x.decode("utf-8", "ignore") for x in left], pa.string())
-                    columns = [text if n == "text" else others.column(n).combine_chunks() for n in names]
-                    yield pa.RecordBatch.from_arrays(columns, names)
-                else:
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(row["ids"], pa.int64()), pa.array(sizes.astype(np.int64)), pa.array(removed), pa.array(spans),
-                        pa.array([hashlib.sha256(x).hexdigest() for x in left]),
-                    ], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        for row in rows_of(batches):
+            p = Parse(row)
+            status, first = _joined(row["decided"], len(p.triggers), row["block"])
+            rest = Rest(p, status, groups)
+            change = np.zeros(len(p.data) + LENGTH + 1, np.int32)
+
+            def cover(low: np.ndarray, high: np.ndarray) -> None:
+                np.add.at(change, low, 1)
+                np.add.at(change, high + LENGTH, -1)
+
+            if len(p.low):
+                known = np.full(len(status), LAST, np.int64)
+                known[status == 1] = first
+                gone = known[p.entry] < p.ids[p.doc]
+                cover(p.low[gone], p.high[gone])
+            if len(rest.first):
+                each = rest.high[rest.first] - rest.low[rest.first] + 1
+                status, first = _joined(row["settled"], int(each.sum()), row["block"])
+                known = np.full(len(status), LAST, np.int64)
+                known[status == 1] = first
+                size = rest.high - rest.low + 1
+                at = np.repeat(rest.low - ends(size)[:-1], size) + np.arange(size.sum())
+                slot = np.repeat(ends(each)[rest.entry] - ends(size)[:-1], size) + np.arange(size.sum())
+                doc = p.ids[np.searchsorted(p.offsets, at, "right") - 1]
+                at = at[known[slot] < doc]
+                cover(at, at)
+            gone = np.cumsum(change)[: len(p.data)] > 0
+            sizes = np.diff(p.offsets)
+            total = ends(gone)
+            own = np.repeat(np.arange(len(sizes)), sizes)
+            start = gone.copy()
+            start[1:] &= ~gone[:-1] | (own[1:] != own[:-1])
+            removed = total[p.offsets[1:]] - total[p.offsets[:-1]]
+            spans = np.bincount(own[start], minlength=len(sizes))
+            kept = p.data[~gone].tobytes()
+            at = (p.offsets - total[p.offsets]).tolist()
+            left = [kept[x:y] for x, y in zip(at, at[1:], strict=False)]
+            if keep_rows:
+                others = pa.ipc.open_stream(row["others"]).read_all()
+                text = pa.array([x.decode("utf-8", "ignore") for x in left], pa.string())
+                columns = [text if n == "text" else others.column(n).combine_chunks() for n in names]
+                yield pa.RecordBatch.from_arrays(columns, names)
+            else:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(row["ids"], pa.int64()), pa.array(sizes.astype(np.int64)), pa.array(removed), pa.array(spans),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in left]),
+                ], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return run
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import pack, unpack, written
+from panelmill.llm.common import pack, rows_of, unpack, written
 
 BLOCK, QUERIES, LEAF, FAN = 8192, 2048, 256, 8
 
@@ -111,14 +111,13 @@ def _opened(body: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                (q_ids, q), (ids, x) = _opened(row["queries"]), _opened(row["body"])
-                wide = max(q.shape[1], x.shape[1])
-                q, x = (np.pad(a, ((0, 0), (0, wide - a.shape[1]))) for a in (q, x))
-                found = Search(q, q_ids, x, ids, k).best
-                rows = [(int(i), j, -s) for i, own in zip(q_ids, found, strict=True) for s, j in own]
-                yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], pa.int64()) for n in range(3)], ["query_id", "vec_id", "score"])
+        for row in rows_of(batches):
+            (q_ids, q), (ids, x) = _opened(row["queries"]), _opened(row["body"])
+            wide = max(q.shape[1], x.shape[1])
+            q, x = (np.pad(a, ((0, 0), (0, wide - a.shape[1]))) for a in (q, x))
+            found = Search(q, q_ids, x, ids, k).best
+            rows = [(int(i), j, -s) for i, own in zip(q_ids, found, strict=True) for s, j in own]
+            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], pa.int64()) for n in range(3)], ["query_id", "vec_id", "score"])
 
     return run
 
