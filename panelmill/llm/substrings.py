@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import Rolling, as_text, bucketed, chunks, ends, mixed, pack, rows_of, unpack
+from panelmill.llm.common import Rolling, as_text, bucketed, chunks, ends, mixed, pack, release, rows_of, unpack
 
 LENGTH, GRAM = 50, 16
 REACH = LENGTH - GRAM + 1
@@ -173,6 +173,7 @@ def _deal_phrases(groups: int):
 
 def _decide(table: pa.Table) -> pa.Table:
     """For each entry sent: 0 in one document only, 1 decided, 2 to be settled, 3 the same and hot; for 1 the least document."""
+    release()
     parts = [unpack(b) for b in table.column("body").to_pylist()]
     a = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in parts])
     x, least = np.concatenate([x[1] for x in parts]), np.concatenate([x[2] for x in parts])
@@ -223,6 +224,7 @@ def _deal_rest(groups: int):
 
 def _settle(table: pa.Table) -> pa.Table:
     """For each window of each run sent: 1 and its least document if two documents have it, else 0."""
+    release()
     parts = [unpack(b) for b in table.column("body").to_pylist()]
     size = np.concatenate([x[0] for x in parts]).astype(np.int64)
     text = np.frombuffer(b"".join([x[1] for x in parts]) + bytes(8), np.uint8)
