@@ -91,8 +91,60 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_topk": TOP_K}
+    return {"op5_suffix_dedup": REPEATS, "op6_jaccard_join": LINKS, "op10_exact_topk": TOP_K}
+
+
+#: All 50-byte strings with the least document that has them; the runs that later documents lose; what stays.
+REPEATS = """
+with d as (
+  select doc_id, encode(coalesce(text, '')) as b, octet_length(encode(coalesce(text, ''))) as n from documents
+), windows as (
+  select doc_id, i, b[i + 1:i + 50] as w from (select doc_id, b, unnest(range(0, n - 49)) as i from d where n >= 50)
+), earliest as (
+  select w, min(doc_id) as least from windows group by w having min(doc_id) < max(doc_id)
+), hits as (
+  select doc_id, i from windows join earliest using (w) where doc_id > least
+), marked as (
+  select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 50 then 0 else 1 end as fresh from hits
+), numbered as (
+  select doc_id, i, sum(fresh) over (partition by doc_id order by i) as run from marked
+), runs as (
+  select doc_id, run, min(i) as low, max(i) + 50 as high from numbered group by doc_id, run
+), gaps as (
+  select doc_id, low, high, coalesce(lag(high) over (partition by doc_id order by low), 0) as since,
+         lead(low) over (partition by doc_id order by low) is null as is_last from runs
+), kept as (
+  select doc_id, sum(high - low) as removed, count(*) as spans,
+         string_agg(hex(b[since + 1:low]), '' order by low) || max(case when is_last then hex(b[high + 1:n]) else '' end) as rest
+  from gaps join d using (doc_id) group by doc_id
+)
+select doc_id, cast(n as bigint) as n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed, cast(coalesce(spans, 0) as bigint) as n_spans,
+       sha256(case when rest is null then b else unhex(rest) end) as kept_sha256
+from d left join kept using (doc_id)
+"""
 
+#: Equal sets are one class; classes that share a shingle are compared; the least reachable class is the component.
+LINKS = """
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents
+), s as (
+  select doc_id, list_sort(list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+         when len(w) > 0 then [array_to_string(w, ' ')] else [] end)) as g from d
+), classes as (
+  select g, min(doc_id) as c, len(g) as n from s where len(g) > 0 group by g
+), parts as (
+  select c, n, unnest(g) as x from classes
+), pairs as (
+  select a.c as a, b.c as b from parts a join parts b on a.x = b.x and a.c <> b.c
+  group by a.c, b.c, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach(c, least) as (
+  select c, c from classes union select pairs.b, reach.least from reach join pairs on pairs.a = reach.c
+), components as (
+  select c, min(least) as component_id from reach group by c
+)
+select doc_id, cast(len(s.g) as bigint) as n_shingles, cast(coalesce(component_id, doc_id) as bigint) as component_id
+from s left join classes on s.g = classes.g left join components using (c)
+"""
 
 #: Scores of each query against every other row, in integers.
 TOP_K = """

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
 import duckdb
 import public_tokenizers as P
@@ -122,7 +123,8 @@ def test_quality(spark, odd, empty):
     assert quality.score(empty, quality.fit(empty, labels, F.lit(True)), F.lit(False)).count() == 0
 
 
-def brute_removed(rows, length=50):
+def marked(rows, length=50):
+    """(id, bytes, which of them are covered by a string that an earlier document has)."""
     last, first = 2**63 - 1, {}
     for i, t in rows:
         b = (t or "").encode()
@@ -135,7 +137,22 @@ def brute_removed(rows, length=50):
         for p in range(len(b) - length + 1):
             if first[b[p : p + length]] < (last if i is None else i):
                 gone[p : p + length] = b"\1" * length
-        yield i, len(b), sum(gone), sum(1 for j in range(len(b)) if gone[j] and (not j or not gone[j - 1])), sha(bytes(x for x, g in zip(b, gone, strict=True) if not g))
+        yield i, b, gone
+
+
+def left(b, gone):
+    return bytes(x for x, g in zip(b, gone, strict=True) if not g)
+
+
+def brute_removed(rows):
+    for i, b, gone in marked(rows):
+        yield i, len(b), sum(gone), sum(1 for j in range(len(b)) if gone[j] and (not j or not gone[j - 1])), sha(left(b, gone))
+
+
+def brute_kept(rows):
+    """Whole characters of what is left: those that a removal cuts in two go."""
+    for i, b, gone in marked(rows):
+        yield i, left(b, gone).decode(errors="ignore")
 
 
 def similar_texts(spark):
@@ -246,14 +263,49 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_sql(spark, name):
+    sf = "/root/testdata/sf0.01"
+    c = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        c.execute(f"create view {table} as select * from '{sf}/{table}.parquet'")
+    want = c.execute(queries.oracle_sql()[name])
+    names = [x[0] for x in want.description]
+    got = queries.queries()[name](spark, sf)
+    assert sorted(got.columns) == sorted(names)
+    assert rows_of(got.select(names)) == sorted(want.fetchall(), key=key)
+
+
 def test_pipeline(spark):
+    """Each stage against brute force on what its predecessor kept; the classifier against held-out labels."""
     import corpus_pipeline
 
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    tables = [docs]
+    tables = [spark.read.parquet(f"{SF}/documents.parquet")]
     for _, stage in corpus_pipeline.STAGES:
         tables.append(stage(spark, tables[-1], SF).persist())
     for df in tables[:-1]:
-        assert df.columns == docs.columns
-    rows = [df.count() for df in tables]
-    assert rows[0] >= rows[1] >= rows[2] == rows[3] and rows[4] == rows[5] > 0
+        assert df.columns == tables[0].columns
+    docs, good, single, cut, mix, tokens = [df.collect() for df in tables]
+
+    assert set(good) <= set(docs) and 0 < len(good) < len(docs)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    held_out = {r.doc_id: labels[r.doc_id] for r in docs if r.doc_id in labels and zlib.crc32(str(r.doc_id).encode()) % 5 == 0}
+    kept = {r.doc_id for r in good}
+    assert sum((i in kept) == bool(x) for i, x in held_out.items()) > 0.8 * len(held_out) > 0
+
+    alike = brute_linked([(r.doc_id, r.text) for r in good])
+    assert sorted(r.doc_id for r in single) == sorted(i for i, _, component in alike if i == component)
+
+    want = {i: text for i, text in brute_kept([(r.doc_id, r.text) for r in single])}
+    assert {r.doc_id: (r.text, r.n_chars) for r in cut} == {i: (t, len(t)) for i, t in want.items()}
+
+    copies = {r.doc_id: r.copies for r in mixing.plan(tables[3]).collect()}
+    assert collections.Counter(r.doc_id for r in mix) == collections.Counter({i: n for i, n in copies.items() if n})
+    assert set(mix) <= set(cut)
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = []
+    for r in mix:
+        ids = t.encode(r.text or "", add_special_tokens=False).ids
+        want.append((r.doc_id, len(ids), sha(",".join(map(str, ids)))))
+    assert sorted((r.doc_id, r.n_tokens, r.ids_sha256) for r in tokens) == sorted(want)
