@@ -211,6 +211,14 @@ def caption_distance(spark, d):
     return out.select(F.col("doc_id").alias("a"), "b", "d.whole", "d.n")
 
 
+def caption_distance_whole(spark, d):
+    """Whole texts of each document and the one with the next doc_id: tested against a loop, as SQL takes too long."""
+    t = Tables(spark, d).documents.select("doc_id", "text")
+    other = t.select((F.col("doc_id") - 1).alias("doc_id"), F.col("doc_id").alias("b"), F.col("text").alias("u"))
+    out = t.join(other, "doc_id").withColumn("d", tx.caption_distance(F.col("text"), F.col("u")))
+    return out.select(F.col("doc_id").alias("a"), "b", "d.whole", "d.cut", "d.n")
+
+
 @query("""select doc_id, regexp_extract('gr' || doc_id::varchar || '_lrg', '^gr(\\d+)', 1)::int as gr, (doc_id % 1000)::int as fig, case when doc_id % 2 = 0 then 'b' end as sub from documents""")
 def figure_id_parse(spark, d):
     i = F.col("doc_id").cast("string")
@@ -364,4 +372,4 @@ def sample_n(spark, d):
     return rel.sample(Tables(spark, d).documents.select("doc_id", "lang"), 100, "doc_id")
 
 
-QUERIES |= {"greedy_match": greedy_match, "sample_n": sample_n}
+QUERIES |= {"greedy_match": greedy_match, "sample_n": sample_n, "caption_distance_whole": caption_distance_whole}
