@@ -1,14 +1,18 @@
-"""Joins of boxes within a figure: an equi join on the figure with a geometric condition."""
+"""Joins of boxes within a figure: an equi join on the figure with a geometric condition; pairs of near hashes."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelmill.functions.boxes import iou, overlap
 
+BLOCK, ROWS = 4096, 256
+
 
 def touches(parent: Column, child: Column, least_iou: float = 0.3, least_overlap: float = 0.7) -> Column:
     return (iou(parent, child) >= least_iou) | (overlap(child, parent) >= least_overlap)
@@ -46,3 +50,31 @@ def overlaps_of(parents: DataFrame, children: DataFrame, figure: str = "fig", le
     """child_id and a map from panel to the share of the child that lies in it."""
     hits = spatial_join(parents, children, figure, lambda p, c: overlap(c, p) > least)
     return hits.groupBy(figure, "child_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("parent_id", overlap(F.col("child"), F.col("parent")))))).alias("overlaps"))
+
+
+def hamming_pairs(hashes: DataFrame, key: str, value: str, most: int) -> DataFrame:
+    """a, b and distance: all rows a < b by key whose 64-bit hashes differ in at most `most` bits.
+
+    Rows are dealt by a hash of their key into blocks of about BLOCK, and every block meets every other once. Rows
+    without key or hash take no part.
+    """
+    rows = hashes.select(F.col(key).cast("bigint").alias("id"), F.col(value).cast("bigint").alias("h")).where("id is not null and h is not null")
+    n = max(1, -(-rows.count() // BLOCK))
+    blocks = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("block")).agg(F.collect_list("id").alias("ids"), F.collect_list("h").alias("hs"))
+    later = blocks.select(F.explode(F.sequence(F.lit(0), F.col("block"))).alias("block"), F.col("block").alias("other"), F.col("ids").alias("other_ids"), F.col("hs").alias("other_hs"))
+    pairs = blocks.join(later, "block").repartition(n * (n + 1) // 2, "block", "other")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                ids, hs, other_ids, other_hs = (batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in ("ids", "hs", "other_ids", "other_hs"))
+                same = batch.column("block")[k] == batch.column("other")[k]
+                for i in range(0, len(ids), ROWS):
+                    distance = np.bitwise_count((hs[i : i + ROWS, None] ^ other_hs[None, :]).view(np.uint64))
+                    x, y = np.nonzero(distance <= most)
+                    a, b, d = ids[i + x], other_ids[y], distance[x, y].astype(np.int32)
+                    if same:
+                        a, b, d = a[keep := a < b], b[keep], d[keep]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(d)], ["a", "b", "distance"])
+
+    return pairs.mapInArrow(near, "a bigint, b bigint, distance int")

@@ -372,4 +372,11 @@ def sample_n(spark, d):
     return rel.sample(Tables(spark, d).documents.select("doc_id", "lang"), 100, "doc_id")
 
 
-QUERIES |= {"greedy_match": greedy_match, "sample_n": sample_n, "caption_distance_whole": caption_distance_whole}
+def hamming_whole(spark, d):
+    """All pairs within distance 10 by the signs of all components: tested against a loop."""
+    bit = lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))
+    h = F.aggregate(F.transform("embedding", bit), F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x))
+    return spatial.hamming_pairs(Tables(spark, d).embeddings.select("vec_id", h.alias("h")), "vec_id", "h", 10)
+
+
+QUERIES |= {"greedy_match": greedy_match, "sample_n": sample_n, "caption_distance_whole": caption_distance_whole, "hamming_whole": hamming_whole}

@@ -1,5 +1,8 @@
 """Queries that take part of their table elsewhere, over all of it: against brute force on small tables."""
 
+import random
+
+from panelmill.operators import spatial
 from panelmill.plans.queries import QUERIES
 
 
@@ -28,3 +31,16 @@ def test_caption_distance_whole(spark, tmp_path):
     found = sorted((r.a, r.b, r.whole, r.cut, r.n) for r in QUERIES["caption_distance_whole"](spark, str(tmp_path)).collect())
     assert len(want) == 5 and found[:3] + found[4:] == want[:3] + want[4:]
     assert found[3][:4] == want[3][:4]
+
+
+def test_hamming_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(spatial, "BLOCK", 32)
+    draw = random.Random(1)
+    bases = [[draw.choice((-1.0, 1.0)) for _ in range(64)] for _ in range(40)]
+    rows = [(i * 7, [-x if draw.random() < 0.09 else x for x in bases[i % 40]]) for i in range(300)]
+    rows += [(9001, bases[0]), (9002, bases[0][:32] + [-x for x in bases[0][32:]]), (9003, None), (9001, bases[1])]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    far = lambda v, w: sum((x > 0) != (y > 0) for x, y in zip(v, w, strict=True))
+    want = sorted((i, j, far(v, w)) for i, v in rows for j, w in rows if v and w and i < j and far(v, w) <= 10)
+    assert len(want) > 100 and any(i > 100 for i, _, _ in want)
+    assert sorted(map(tuple, QUERIES["hamming_whole"](spark, str(tmp_path)).collect())) == want
