@@ -2,10 +2,12 @@
 
 A line's quote level is its number of leading `>`. Neighbouring lines of one level above 0 are a quoted
 passage; a message's lines of level 0 are its own. Passages are normalised (lower case, white space runs as
-one space, trimmed) and hashed. A message can be quoted by its whole own text, by one of its paragraphs
-or by one line. A passage links to the latest earlier message of the conversation that has it; the message
-then answers the latest message that it links to, or else the one before it. Linking is a running maximum over
-(conversation, hash), so a frequent passage in a long conversation makes no pairs.
+one space, trimmed) and hashed. A message can be quoted by its whole own text, by its paragraphs,
+by lines, or by any run of its lines without the blank ones: runs of the lengths that the conversation's passages and their
+paragraphs have. A passage links as a whole, or else by one of its paragraphs, or else by one of its lines, the longest that an
+earlier message has, and to the latest message that has it; the message then answers the latest message that it
+links to, or else the one before it. Linking is a running maximum over (conversation, hash), so a frequent
+passage in a long conversation makes no pairs.
 
 Rows: one for each input row, ordered by conversation and turn, in which every message stands after
 the one it answers. A null or empty text has an empty message; rows with a null conversation or turn are kept and link
@@ -47,6 +49,27 @@ def _passages(lines: Column) -> Column:
     return F.coalesce(out, empty)
 
 
+def _paragraphs(text: Column) -> Column:
+    return F.split(text, r"\n\s*\n")
+
+
+def _hashes(text: Column) -> Column:
+    """Hashes of the lines that are not blank."""
+    return F.transform(F.filter(F.transform(F.split(text, "\n"), _normal), lambda x: x != ""), lambda x: F.xxhash64(x))
+
+
+def _units(body: Column) -> Column:
+    """The parts by which a passage can link: (rank, part, run), the whole (2), paragraphs (1) and lines (0)."""
+    unit = lambda rank: lambda x: F.struct(F.lit(rank).alias("rank"), _normal(x).alias("part"), _hashes(x).alias("run"))
+    return F.concat(F.array(unit(2)(body)), F.transform(_paragraphs(body), unit(1)), F.transform(F.split(body, "\n"), unit(0)))
+
+
+def _runs(hashes: Column, sizes: Column) -> Column:
+    """Hashes of all runs of the given sizes."""
+    starts = lambda n: F.when((n > 0) & (n <= F.size(hashes)), F.sequence(F.lit(1), F.size(hashes) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.flatten(F.transform(sizes, lambda n: F.transform(starts(n), lambda i: F.xxhash64(F.slice(hashes, i, n)))))
+
+
 def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -62,14 +85,19 @@ def threads(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     rows = rows.select("conv_id", "turn", "role", F.col("_m.message").alias("message"), F.col("_m.quoted").alias("quoted"))
     keyed = rows.where("conv_id is not null and turn is not null")
     text = F.col("message")
-    sources = F.array_distinct(F.concat(F.array(text), F.split(text, r"\n\s*\n"), F.split(text, "\n")))
-    # only conversations with quotes need their sources
-    quotes = keyed.where(F.size("quoted") > 0).select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", F.xxhash64(_normal(F.col("q.body"))).alias("hash")).distinct()
-    asks = quotes.select("conv_id").distinct()
-    has = keyed.join(asks, "conv_id", "left_semi").select("conv_id", "turn", F.explode(F.transform(sources, _normal)).alias("p")).where("p <> ''").select("conv_id", "turn", F.xxhash64("p").alias("hash"))
-    events = has.select("conv_id", "hash", "turn", F.col("turn").alias("source"), F.lit(False).alias("asks")).unionAll(quotes.select("conv_id", "hash", "turn", F.lit(None).cast("bigint"), F.lit(True)))
+    sources = F.array_distinct(F.concat(F.array(text), _paragraphs(text), F.split(text, "\n")))
+    # only conversations with quotes need their sources; runs of lines only in the lengths that are asked for
+    passages = keyed.where(F.size("quoted") > 0).select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", F.col("q.body").alias("body"))
+    passages = passages.withColumn("passage", F.xxhash64(_normal(F.col("body")))).withColumn("unit", F.explode(_units(F.col("body")))).select("conv_id", "turn", "passage", "unit.*").where("part <> ''").distinct()
+    quotes = passages.select("conv_id", "turn", "passage", "rank", F.char_length("part").alias("length"), F.explode(F.array(F.xxhash64("part"), F.xxhash64("run"))).alias("hash"))
+    asks = passages.groupBy("conv_id").agg(F.collect_set(F.size("run")).alias("sizes"))
+    has = keyed.join(asks, "conv_id").select("conv_id", "turn", F.explode(F.concat(F.transform(F.filter(F.transform(sources, _normal), lambda p: p != ""), lambda p: F.xxhash64(p)), _runs(_hashes(text), F.col("sizes")))).alias("hash")).distinct()
+    nothing = F.lit(None)
+    events = has.select("conv_id", "hash", "turn", F.col("turn").alias("source"), F.lit(False).alias("asks"), nothing.cast("bigint").alias("passage"), nothing.cast("int").alias("rank"), nothing.cast("int").alias("length")).unionAll(quotes.select("conv_id", "hash", "turn", nothing.cast("bigint"), F.lit(True), "passage", "rank", "length"))
     earlier = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    links = events.withColumn("to", F.max("source").over(earlier)).where("asks and to is not null").groupBy("conv_id", "turn").agg(F.max("to").alias("linked"), F.count("*").alias("n_linked"))
+    found = events.withColumn("to", F.max("source").over(earlier)).where("asks and to is not null")
+    found = found.groupBy("conv_id", "turn", "passage").agg(F.max(F.struct("rank", "length", "to"))["to"].alias("to"))
+    links = found.groupBy("conv_id", "turn").agg(F.max("to").alias("linked"), F.count("*").alias("n_linked"))
     turns = keyed.select("conv_id", "turn").distinct()
     before = turns.withColumn("previous", F.lag("turn").over(Window.partitionBy("conv_id").orderBy("turn")))
     out = rows.join(before, ["conv_id", "turn"], "left").join(links, ["conv_id", "turn"], "left")

@@ -227,6 +227,26 @@ def test_threads(spark):
     assert threads.threads(df.limit(0)).count() == 0
 
 
+def test_partial_quotes(spark):
+    three = "A one\nA two\nA three"
+    paragraphs = "P one\n\nP two\nand more\n\nP three"
+    cases = [
+        ([three, "other", "> A two\n> A three\nreply"], 0, 1),  # two of three lines
+        ([paragraphs, "other", "> P two\n> and more\n>\n> P three\nreply"], 0, 1),  # two of three paragraphs
+        ([three, paragraphs, "other", "> P one\n>\n> unknown\nreply"], 1, 1),  # a paragraph, the rest is new
+        ([three, "the second message", "other", "> A one\n> the second message\nreply"], 1, 1),  # text of two messages
+        ([three, "A two", "A three", "> A two\n> A three\nreply"], 0, 1),  # the whole run goes before later single lines
+        (["a much longer line\nx", "short\ny", "other", "> a much longer line\n> new\n> short\nreply"], 0, 1),  # the longest
+        ([three, "other", "> A two A three\n> new\nreply"], 1, 0),  # no line, paragraph or run
+        ([three, "other", "> \nreply"], 1, 0),
+        ([three, paragraphs, "> A two\n> A three\nso\n> P two\n> and more\nreply"], 1, 2),
+    ]
+    rows = [(c, turn, "user", text) for c, (texts, _, _) in enumerate(cases) for turn, text in enumerate(texts)]
+    out = {(r.conv_id, r.turn): (r.answers, r.n_linked) for r in threads.threads(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()}
+    assert len(out) == len(rows)
+    assert [out[c, len(texts) - 1] for c, (texts, _, _) in enumerate(cases)] == [x[1:] for x in cases]
+
+
 def brute_rules(t):
     t = t or ""
     w = re.findall(WORD, t)
