@@ -90,14 +90,19 @@ def caption_distance(a: Column, b: Column) -> Column:
     return F.struct(F.levenshtein(a, b).alias("whole"), F.levenshtein(F.left(a, n), F.left(b, n)).alias("cut"), n.alias("n"))
 
 
-def captions_alike(d: Column) -> Column:
-    return (d["whole"] < F.greatest(F.lit(5), F.ceil(d["n"] * 0.05))) | (d["cut"] < F.greatest(F.lit(2), F.ceil(d["n"] * 0.03)))
+def captions_alike(d: Column, length: Column | None = None) -> Column:
+    """length: of the caption that sets the limit of the whole distance; else the shorter one's."""
+    n = d["n"] if length is None else length
+    return (d["whole"] < F.greatest(F.lit(5), F.ceil(n * 0.05))) | (d["cut"] < F.greatest(F.lit(2), F.ceil(d["n"] * 0.03)))
+
+
+def without_number(caption: Column) -> Column:
+    return F.regexp_replace(caption, r"(?i)^\s*fig(?:ure)?\.?\s*\d+[a-z]?[.:)]?\s*", "")
 
 
 def is_continued(caption: Column) -> Column:
     """After the figure's number, the caption says that it continues another."""
-    rest = F.regexp_replace(caption, r"(?i)^\s*fig(?:ure)?\.?\s*\d+[a-z]?[.:)]?\s*", "")
-    return rest.rlike(r"(?i)^\W*(cont\b\.?|continued\b|continuation\b)")
+    return without_number(caption).rlike(r"(?i)^\W*(cont\b\.?|continued\b|continuation\b)")
 
 
 def reconstruct(segments: Column, whole: Column) -> Column:

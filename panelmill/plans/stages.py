@@ -17,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructType
 
 from panelmill.functions.boxes import box, clip, hamming
-from panelmill.functions.text import after_thoughts, repair_json
+from panelmill.functions.text import after_thoughts, caption_distance, captions_alike, is_continued, repair_json, without_number, without_space
 from panelmill.operators.nms import split_nms
 from panelmill.operators.relational import upsert
 
@@ -105,19 +105,34 @@ def label_texts(labels: DataFrame, panels: DataFrame, ocr: Loader, path: str, le
     return labels.select("label_id").join(out, "label_id", "left").select("label_id", "best.text", "best.confidence", "source")
 
 
-def matched_images(images: DataFrame, extracted: DataFrame, tests: dict[str, int], least: int = 2) -> DataFrame:
+def likeness(image: Column, figure: Column) -> list[Column]:
+    """Three tests of an image (struct with caption, aspect) against a figure (with far besides): they look alike, have one
+    caption or the figure's says that it continues another, and have one aspect ratio."""
+    text = without_number(figure["caption"])
+    captions = is_continued(figure["caption"]) | captions_alike(caption_distance(image["caption"], text), F.char_length(without_space(text)))
+    visual = F.exists(figure["far"], lambda x: x <= 2) | (F.aggregate(figure["far"], F.lit(0), lambda a, x: a + x) <= 5)
+    return [visual, captions, F.abs((image["aspect"] - figure["aspect"]) / image["aspect"]) < 0.05]
+
+
+def matched_images(images: DataFrame, extracted: DataFrame, tests: dict[str, int], least: int = 2, holds: Callable[[Column, Column], list[Column]] | None = None) -> DataFrame:
     """images (article, image_id, number, hashes) and extracted (article, figure_id, number, hashes) to article, image_id,
-    figure_id, reason. hashes are structs of 64-bit hashes; tests give the largest distance of each.
+    figure_id, reason. hashes are structs of 64-bit hashes; tests give the largest distance of each. holds makes
+    further tests from an image's row and a figure's (structs; the figure's has the distances of all hashes as the array `far`).
 
-    A figure stands for an image if at least `least` tests hold, and either more do or the numbers agree; the one
-    with the smallest sum of distances is taken, then the smallest id.
+    Equal numbers are a test as well. A figure stands for an image if at least `least` tests hold and, where the image has a
+    number, either more do or the numbers agree; the one with the smallest sum of distances is taken, then the
+    smallest id. tests = {} with holds = likeness are the four tests of the survey's similarity join.
     """
-    far = {n: hamming(F.col("hashes")[n], F.col("_hashes")[n]) for n in tests}
-    passed = sum((F.coalesce(far[n] <= most, F.lit(False)).cast("int") for n, most in tests.items()), F.lit(0))
-    pairs = images.join(extracted.select("article", "figure_id", F.col("number").alias("_number"), F.col("hashes").alias("_hashes")), "article")
-    pairs = pairs.withColumn("_passed", passed).withColumn("_far", sum((F.coalesce(d, F.lit(64)) for d in far.values()), F.lit(0)))
-    same = F.coalesce(F.col("number") == F.col("_number"), F.lit(False))
-    near = pairs.where((F.col("_passed") >= least) & (same | (F.col("_passed") > least)))
+    names = list(tests) or images.select("hashes.*").columns
+    far = lambda n: hamming(F.col("_image.hashes")[n], F.col("_figure.hashes")[n])
+    figures = extracted.select("article", F.struct(*[c for c in extracted.columns if c != "article"]).alias("_figure"))
+    pairs = images.select("article", "image_id", F.struct(*[c for c in images.columns if c != "article"]).alias("_image")).join(figures, "article")
+    pairs = pairs.withColumn("_figure", F.col("_figure").withField("far", F.array(*[F.coalesce(far(n), F.lit(64)).cast("int") for n in names])))
+    same = F.coalesce(F.col("_image.number") == F.col("_figure.number"), F.lit(False))
+    passed = [same, *[far(n) <= most for n, most in tests.items()], *(holds(F.col("_image"), F.col("_figure")) if holds else [])]
+    pairs = pairs.withColumn("_passed", sum((F.coalesce(p, F.lit(False)).cast("int") for p in passed), F.lit(0)))
+    pairs = pairs.withColumn("_far", F.aggregate("_figure.far", F.lit(0), lambda a, x: a + x)).withColumn("figure_id", F.col("_figure.figure_id"))
+    near = pairs.where((F.col("_passed") >= least) & (F.col("_image.number").isNull() | same | (F.col("_passed") > least)))
     best = near.groupBy("article", "image_id").agg(F.min_by("figure_id", F.struct("_far", "figure_id")).alias("figure_id"))
     has = extracted.select("article").distinct().withColumn("_has", F.lit(True))
     reason = F.when(F.col("figure_id").isNotNull(), None).when(F.col("_has").isNull(), "nothing extracted").otherwise("no figure is near")

@@ -67,6 +67,19 @@ def test_matched_images(spark):
     assert sorted((r.image_id, r.figure_id, r.reason) for r in out.collect()) == [(1, 8, None), (2, 7, None), (3, None, "no figure is near"), (4, None, "nothing extracted")]
 
 
+def test_matched_by_four_tests(spark):
+    """Number, look, caption, aspect ratio: two are enough for an image without number, else more or the number."""
+    shape = "article bigint, {} bigint, number int, hashes struct<a:bigint,b:bigint,c:bigint,d:bigint>, caption string, aspect double"
+    near, far, text = (0, 0, 0, 0), (-1, -1, -1, -1), "Cells of the left eye after four weeks of care"
+    images = [(1, None, near, text, 1.0), (2, 1, near, text, 1.0), (3, 1, near, "none", 9.0), (4, 1, far, text, 1.0), (5, None, far, "none", 1.0), (6, None, far, text, 1.02), (7, None, far, "none", 1.0)]
+    figures = [(1, 5, near, "other words altogether, and many", 1.0), (2, 2, near, f"Figure 2. {text}", 9.0), (3, 1, near, "other words altogether", 5.0), (4, 2, far, f"Fig 2: {text}", 1.04), (5, 2, near, "other words altogether", 1.0), (6, 9, near, f"Figure 9. {text}", 1.0), (7, 3, near, "Figure 3. Continued", 1.0)]
+    images = spark.createDataFrame([(i, i, *r) for i, *r in images], shape.format("image_id"))
+    figures = spark.createDataFrame([(i, i + 10, *r) for i, *r in figures], shape.format("figure_id"))
+    out = {r.image_id: r.figure_id for r in stages.matched_images(images, figures, {}, holds=stages.likeness).collect()}
+    # 1: look and ratio, no number; 2: look and caption, other number; 3: number and look; 4: all but the number; 5: ratio; 6, 7: caption and ratio
+    assert out == {1: 11, 2: None, 3: 13, 4: 14, 5: None, 6: 16, 7: 17}
+
+
 def test_refinement(spark, tmp_path):
     def ask():
         return lambda row: [{"answer": "same" if row["i"] == 1 else f"{row['i']}-{row['poll']}"}]
