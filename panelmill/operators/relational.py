@@ -79,7 +79,7 @@ def oversample(df: DataFrame, label: str) -> DataFrame:
     """Rows of each label repeated ceil(largest / size) times."""
     sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
     sizes = sizes.withColumn("_times", F.ceil(F.max("_n").over(Window.partitionBy()) / F.col("_n")).cast("int")).drop("_n")
-    return df.join(F.broadcast(sizes.limit(1000)), label).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")  # a label set is at most 1000
+    return df.join(sizes, label).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

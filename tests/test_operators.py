@@ -106,3 +106,9 @@ def test_new_files_once(spark, tmp_path):
     for _ in range(2):
         process_new_files(spark, src, "id long", check, lambda d: d, sink)
     assert spark.read.parquet(sink).count() == 10
+
+
+def test_oversample_many_labels(spark):
+    df = spark.range(2500).withColumn("label", F.when(F.col("id") < 3, 0).otherwise(F.col("id")))
+    out = rel.oversample(df, "label")
+    assert out.count() == 3 + 2497 * 3 and out.select("id").distinct().count() == 2500
