@@ -245,6 +245,15 @@ def segment_reconstruct(spark, d):
     return Tables(spark, d).documents.select("doc_id", tx.reconstruct(F.array(seg(0, 5, None), seg(0, 0, "-"), seg(10, 7, None)), F.col("text")).alias("text"))
 
 
+@query("select doc_id, left(text, 5) || '-' || substr(text, n_chars // 2 + 1, 7) || '-' || substr(text, greatest(n_chars - 7, 0) + 1, 7) as text from documents")
+def segment_reconstruct_whole(spark, d):
+    n = F.col("n_chars").cast("int")
+    seg = lambda s, n, x: F.struct(s.cast("int").alias("start"), F.lit(n).alias("length"), F.lit(x).cast("string").alias("literal"))
+    dash, parts = seg(F.lit(0), 0, "-"), (F.lit(0), F.floor(n / 2), F.greatest(n - 7, F.lit(0)))
+    first, middle, last = (seg(s, 7 if k else 5, None) for k, s in enumerate(parts))
+    return Tables(spark, d).documents.select("doc_id", tx.reconstruct(F.array(first, dash, middle, dash, last), F.col("text")).alias("text"))
+
+
 @query("select event_id, props as fixed, json_extract(props, '$.k')::bigint as k from events")
 def json_repair(spark, d):
     broken = F.when(F.col("event_id") % 3 == 0, F.regexp_replace("props", r"\}\s*$", "")).when(F.col("event_id") % 3 == 1, F.concat("props", F.lit("}"))).otherwise(F.col("props"))

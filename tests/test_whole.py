@@ -44,3 +44,10 @@ def test_hamming_whole(spark, tmp_path, monkeypatch):
     want = sorted((i, j, far(v, w)) for i, v in rows for j, w in rows if v and w and i < j and far(v, w) <= 10)
     assert len(want) > 100 and any(i > 100 for i, _, _ in want)
     assert sorted(map(tuple, QUERIES["hamming_whole"](spark, str(tmp_path)).collect())) == want
+
+
+def test_segments_reach_the_end(spark, tmp_path):
+    rows = [(1, "x" * 30 + "middle!" + "y" * 30 + "the end", 74), (2, "short", 5), (3, "", 0)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.text for r in QUERIES["segment_reconstruct_whole"](spark, str(tmp_path)).collect()}
+    assert found == {i: f"{t[:5]}-{t[n // 2 : n // 2 + 7]}-{t[max(n - 7, 0) :]}" for i, t, n in rows}
