@@ -10,7 +10,7 @@ of blocks gives k rows for a query, from which a window takes the best k.
 Components become floor(256 x) with x as double. Scores are exact: float64 products while all sums stay
 below 2^53, Python integers beyond. Vectors that are null or hold null or non-finite components, and rows without an id,
 take no part; vectors of other lengths count as filled with zeros. Rows equal in id and vector count once; a
-query's candidates are all rows with another id. Ties go to the smaller id.
+query's candidates are all rows with another id, and each id counts once with one score. Ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -85,13 +85,14 @@ class Search:
         scores = _products(self.whole[0][a.members], self.whole[1][b.members], self.exact)
         ids = self.ids[b.members]
         for i, row in zip(a.members.tolist(), scores, strict=True):
-            more = row >= self.worst[i]
-            if len(more) > self.k + 1:  # with its own row, no more than k + 1 and their ties can count
-                more &= row >= np.partition(row, -self.k - 1)[-self.k - 1]
-            where = np.flatnonzero(more & (ids != self.q_ids[i]))
+            where = np.flatnonzero((row >= self.worst[i]) & (ids != self.q_ids[i]))
             if len(where):
-                own = self.best[i] + [(-int(s), int(j)) for s, j in zip(row[where], ids[where], strict=True)]
-                self.best[i] = sorted(own)[: self.k]
+                # no more than the k best and their ties can count, if they are k without repeats
+                top = where[row[where] >= np.partition(row[where], -self.k)[-self.k]] if len(where) > self.k else where
+                own = {(-int(s), int(j)) for s, j in zip(row[top], ids[top], strict=True)}
+                if len(own) < self.k and len(top) < len(where):
+                    own = {(-int(s), int(j)) for s, j in zip(row[where], ids[where], strict=True)}
+                self.best[i] = sorted(own.union(self.best[i]))[: self.k]
                 if len(self.best[i]) == self.k:
                     self.worst[i] = -self.best[i][-1][0]
 

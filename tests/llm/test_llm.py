@@ -283,6 +283,15 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_repeated_ids(spark):
+    """Many vectors under the query's id, and ids with several vectors of one score."""
+    rows = [(0, [1.0, 0.0]), *[(0, [2.0 + i, 1.0]) for i in range(30)], *[(1, [0.75, float(i)]) for i in range(20)], *[(i, [i / 64, 0.0]) for i in range(2, 40)]]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = rows_of(topk.top_k(df, (F.col("vec_id") == 0) & (F.get("embedding", F.lit(0)) == 1.0)))
+    best = sorted({(-int(x * 256) * 256, i) for i, (x, _) in rows if i})[:5]
+    assert got == [(0, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql(spark, name):
     sf = "/root/testdata/sf0.01"
