@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import ctypes
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -16,6 +18,10 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that are handled as arrays at once; one longer text is handled alone.
 CHUNK = 4 << 20
+#: A key with more than this part of all rows is hot.
+HOT_SHARE = 1000
+#: Symbols that are compared at once.
+_SLAB = 1 << 18
 
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
 
@@ -26,6 +32,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="panelmill-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -48,9 +56,29 @@ def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     return spark.table(table)
 
 
+def joined_by_hot(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """rows joined with found (one row for each key, weight: its rows). Keys that hold over a HOT_SHARE-th of all
+    rows, so fewer than HOT_SHARE keys, are broadcast; no other key makes a large task."""
+    total = found.agg(F.sum("weight")).first()[0] or 0
+    hot = F.col("weight") * HOT_SHARE > total
+    few = F.broadcast(found.where(hot))
+    return rows.join(few, key).unionByName(rows.join(few.select(key), key, "left_anti").join(found.where(~hot), key))
+
+
+def column(name: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def as_text(name: str) -> Column:
     """A text column, whatever its type (an all-null column may have none)."""
-    return F.col(name).cast("string")
+    return column(name).cast("string")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores: a table of fewer files than the cluster has cores is dealt out by rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
 
 
 def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -132,8 +160,66 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
+_CHAIN, _LONG = np.uint64(0x9FB21C651E98DF25), 128
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
+
+
+def content_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hashes of the slices [first, last) of an array of bytes. Each eight bytes go through a finalizer
+    that depends on all before, so no family of strings collides as it does for polynomials modulo 2**64.
+    Slices beyond _LONG bytes go through blake2b."""
+    size = (last - first).astype(np.int64)
+    out = mixed(size.astype(np.uint64) * _CHAIN + np.uint64(seed))
+    whole = np.concatenate([data, np.zeros(8, np.uint8)])
+    words = np.ndarray(len(data) + 1, "<u8", whole, strides=(1,))
+    live, k = np.flatnonzero((size > 0) & (size <= _LONG)), 0
+    while len(live):
+        left = size[live] - k
+        out[live] = mixed((out[live] ^ (words[first[live] + k] & _FIRST[np.minimum(left, 8)])) * _CHAIN)
+        live, k = live[left > 8], k + 8
+    for i in np.flatnonzero(size > _LONG).tolist():
+        digest = hashlib.blake2b(data[first[i] : last[i]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little")).digest()
+        out[i] = np.frombuffer(digest, np.uint64)[0]
+    return out
+
+
+def grouped(symbols: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each slice [first, last), a slice of each number): equal numbers for equal slices only.
+
+    Slices are grouped by hash; each is then compared, symbol by symbol, with the first of its group. Those
+    that differ from it are grouped by their symbols.
+    """
+    codes, distinct = pd.factorize(hashes)
+    where = np.empty(len(distinct), np.int64)
+    where[codes[::-1]] = np.arange(len(codes))[::-1]
+    rest = np.flatnonzero(where[codes] != np.arange(len(codes)))
+    size, wrong, low = last - first, [], 0
+    reach = np.cumsum(size[rest])
+    while low < len(rest):
+        high = max(low + 1, int(np.searchsorted(reach, (reach[low - 1] if low else 0) + _SLAB, "right")))
+        own = rest[low:high]
+        first_of = where[codes[own]]
+        n = np.minimum(size[own], size[first_of])
+        at = ends(n)
+        differs = size[own] != size[first_of]
+        p = np.repeat(first[own] - at[:-1], n) + np.arange(at[-1])
+        bad = np.flatnonzero(symbols[p] != symbols[p + np.repeat(first[first_of] - first[own], n)])
+        differs[np.searchsorted(at, bad, "right") - 1] = True
+        wrong += own[differs].tolist()
+        low = high
+    if wrong:
+        named: dict[bytes, int] = {}
+        for i in wrong:
+            codes[i] = named.setdefault(symbols[first[i] : last[i]].tobytes(), len(where) + len(named))
+        found = np.full(len(named), -1, np.int64)
+        found[codes[wrong[::-1]] - len(where)] = wrong[::-1]
+        where = np.concatenate([where, found])
+    return codes, where
+
+
 class Rolling:
-    """Polynomial hashes modulo 2**64 of any slice of an array of symbols, from random symbol values.
+    """Polynomial hashes modulo 2**64 of any slice of an array of symbols, from random symbol values. Long
+    words of few letters can collide, so they choose groups and triggers; equality is settled otherwise.
 
     One base serves all instances, so that a worker holds its powers once.
     """

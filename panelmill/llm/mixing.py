@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import as_text, written
+from panelmill.llm.common import as_text, column, spread, written
 from panelmill.llm.rules import WORD
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -56,12 +56,12 @@ def position(share: Column, slope: Column) -> Column:
 
 
 def _key(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.lit("mix"), F.col(id_col).cast("string"), as_text(text_col))
+    return F.xxhash64(F.lit("mix"), column(id_col).cast("string"), as_text(text_col))
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Units of equal rows: doc_id, source, key, n_rows, size, source_size, target, copies, positions (array)."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"), _key(id_col, text_col).alias("key"), F.coalesce(F.regexp_count(as_text(text_col), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"))
+    rows = spread(docs).select(column(id_col).cast("bigint").alias("doc_id"), column(source_col).cast("string").alias("source"), _key(id_col, text_col).alias("key"), F.coalesce(F.regexp_count(as_text(text_col), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"))
     units = written(rows.groupBy("doc_id", "source", "key", "size").agg(F.count("*").alias("n_rows")), "units")
     sources = units.groupBy("source").agg(F.sum(F.col("size") * F.col("n_rows")).alias("source_size"), F.count("*").alias("n_units"))
     slopes = F.element_at(F.array(*map(F.lit, SLOPES)), (F.col("place") % len(SLOPES) + 1).cast("int"))
@@ -94,8 +94,7 @@ def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of docs as often as they are taken, with all columns, range-sorted by training position."""
-    chosen = plan(docs, id_col, text_col, source_col).where("copies > 0").select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "positions").withColumnRenamed("positions", "_positions")
-    rows = docs.withColumn("_key", _key(id_col, text_col))
-    same = (F.col("_key") == F.col("_k")) & F.col(id_col).cast("bigint").eqNullSafe(F.col("_id")) & F.col(source_col).cast("string").eqNullSafe(F.col("_source"))
-    out = rows.join(chosen.withColumnRenamed("_key", "_k"), same).withColumn("_position", F.explode("_positions"))
-    return out.orderBy("_position", "_key").select(*docs.columns)
+    chosen = plan(docs, id_col, text_col, source_col).where("copies > 0").select("key", "doc_id", "source", "positions")
+    own = docs.select(F.struct(*[column(n) for n in docs.columns]).alias("row"), _key(id_col, text_col).alias("own_key"), column(id_col).cast("bigint").alias("own_id"), column(source_col).cast("string").alias("own_source"))
+    same = (F.col("own_key") == F.col("key")) & F.col("own_id").eqNullSafe(F.col("doc_id")) & F.col("own_source").eqNullSafe(F.col("source"))
+    return own.join(chosen, same).withColumn("position", F.explode("positions")).orderBy("position", "key").select("row.*")

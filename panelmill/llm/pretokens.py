@@ -12,9 +12,8 @@ import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 
-from panelmill.llm.common import Rolling
+from panelmill.llm.common import Rolling, grouped
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -32,7 +31,6 @@ class Split:
     """words: the distinct pre-tokens; codes: each pre-token's word; offsets: the texts' bounds in codes."""
 
     words: list[str]
-    hashes: np.ndarray
     codes: np.ndarray
     offsets: np.ndarray
 
@@ -111,7 +109,7 @@ class Splitter:
     def _split(self, text: str, starts: np.ndarray, marks: np.ndarray) -> Split:
         n = len(text)
         if not n:
-            return Split([], np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(starts), np.int64))
+            return Split([], np.zeros(0, np.int64), np.zeros(len(starts), np.int64))
         points = np.frombuffer(text.encode("ascii"), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le"), np.uint32)
         kind = self.classes[points]
         if (kind == UNKNOWN).any():
@@ -151,11 +149,9 @@ class Splitter:
             keep = kind[first] != SPACE
             first, last = first[keep], last[keep]
         rolling = _rolling()
-        codes, hashes = pd.factorize(rolling.slices(rolling.sums(points), first, last))
-        where = np.empty(len(hashes), np.int64)
-        where[codes[::-1]] = np.arange(len(codes))[::-1]
+        codes, where = grouped(points, first, last, rolling.slices(rolling.sums(points), first, last))
         words = [text[x:y] for x, y in zip(first[where].tolist(), last[where].tolist(), strict=True)]
-        return Split(words, hashes, codes, np.searchsorted(first, starts))
+        return Split(words, codes, np.searchsorted(first, starts))
 
 
 @functools.lru_cache(4)

@@ -5,7 +5,7 @@ character and repetition statistics. Only the document has a label: gated attent
 learns which passages matter, and the score is that of the attention-weighted passage representation.
 
 The model is fitted on the driver from a bounded sample: SAMPLE labelled documents picked by a hash of the
-id, with at most SAMPLE_PASSAGES passages in all; a repeated id counts once, with its least label and least
+id, with at most SAMPLE_PASSAGES passages in all, taken in the order of a hash; a repeated id counts once, with its least label and least
 text. Every document is scored, whole.
 
 Rows: one for each input row, repeated rows included; other columns are left out. A null or empty text is
@@ -15,6 +15,7 @@ score is 0.5.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import Rolling, as_text, chunks, pack, unpack
+from panelmill.llm.common import Rolling, as_text, chunks, column, pack, spread, unpack
 
 PASSAGE = 400
 #: Bounds of the sample that the model is fitted on.
@@ -155,10 +156,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     """The parameters, from the labels (doc_id, quality) where learn holds; learn speaks of doc_id."""
     known = labels.where(learn & F.col("quality").isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
     known = known.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text")).join(F.broadcast(known), "doc_id")  # at most SAMPLE rows are broadcast
+    rows = docs.select(column(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text")).join(F.broadcast(known), "doc_id")  # at most SAMPLE rows are broadcast
     rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # repeated rows count once
     found, total = [], 0
-    for r in sorted(rows.mapInArrow(_sample, "doc_id bigint, quality double, packed binary").toLocalIterator(), key=lambda r: r.doc_id):
+    for r in sorted(rows.mapInArrow(_sample, "doc_id bigint, quality double, packed binary").toLocalIterator(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id)):
         x = unpack(bytes(r.packed))[0].reshape(-1, FEATURES)
         if total + len(x) <= SAMPLE_PASSAGES:
             found.append((x, r.quality))
@@ -181,7 +182,7 @@ def _score(model, threshold: float):
 def score(docs: DataFrame, model: dict | None, held_out: Column, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted (1 from the threshold on) of every text."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), as_text(text_col).alias("text"))
+    rows = spread(docs).select(column(id_col).cast("bigint").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), as_text(text_col).alias("text"))
     return rows.mapInArrow(_score(sent, threshold), "doc_id bigint, held_out boolean, score double, predicted int")
 
 
@@ -189,19 +190,19 @@ def _keep(model, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = model.value
         for batch in batches:
+            if p is None:
+                yield batch.select(["row"])
+                continue
             for rows, data, offsets in chunks(batch, limit=BYTES):
                 x, bags = passages(data, offsets)
-                if p is None:
-                    yield rows
-                else:
-                    yield rows.filter(pa.array(_forward(p, x, bags)["y"].astype(np.float64) >= threshold))
+                yield rows.select(["row"]).filter(pa.array(_forward(p, x, bags)["y"].astype(np.float64) >= threshold))
 
     return run
 
 
 def accepted(docs: DataFrame, model: dict | None, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """The rows that the model does not reject, with all their columns."""
+    """The rows that the model does not reject, with all their columns; all rows if there is no model."""
     docs = docs.withColumn(text_col, as_text(text_col))
-    if text_col != "text":
-        raise ValueError("the text column must be named text")
-    return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model), threshold), docs.schema)
+    rows = docs.select(F.struct(*[column(n) for n in docs.columns]).alias("row"), as_text(text_col).alias("text"))
+    kept = rows.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model), threshold), rows.select("row").schema)
+    return kept.select("row.*")

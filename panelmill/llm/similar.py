@@ -1,13 +1,15 @@
 """Joins of texts whose word-shingle sets are alike (Jaccard similarity of at least SHARE / 100), exactly.
 
-1. Texts are written once in blocks. Equal sets become one class, so copies are never paired.
+1. Texts are written once in blocks. Texts of equal words (by a 128-bit digest of the words themselves) become
+   one class, so copies are never paired. Other equal sets meet as the similar ones do.
 2. Each shingle's frequency over classes decides the order of a set's shingles, rarest first. Two sets that
    link share a shingle among the rarest (100 - SHARE) % of each; only there candidates meet, and common
    passages, whose shingles are frequent, bring nothing together.
 3. Candidates that meet form groups (connected components, by alternating stars over the edges of spanning
    forests; nothing is collected). A group of up to LIMIT sets is joined by a signature tree: nodes hold the
    OR of their sets' bitmaps and the range of their sizes; a dual traversal drops pairs of nodes whose largest
-   possible overlap is too small, or whose sets are all linked already.
+   possible overlap is too small, or whose sets are all linked already. Shingles are compared by their words
+   there, so hashes choose candidates but never make a link.
 4. A larger group is dealt out in cells; each cell is joined together with the group's pivot. Sets that
    reach the pivot are one component; every other set of the group is then joined with all cells. So a group of
    near copies of any size takes one comparison with the pivot for each set, and no link is lost.
@@ -19,6 +21,7 @@ non-null id of the component; null if there is none.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -28,27 +31,23 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import CHUNK, Rolling, as_text, bucketed, ends, mixed, pack, release, rows_of, unpack, written
-from panelmill.llm.substrings import _BLOCK, _blocks, _by_group, _sent
+from panelmill.llm.common import CHUNK, as_text, bucketed, column, content_hashes, ends, grouped, joined_by_hot, mixed, pack, release, rows_of, unpack, written
+from panelmill.llm.substrings import _BLOCK, _blocks, _by_group, _sent, other_column
 
 WIDTH, SHARE = 5, 80
 LIMIT = 4096
 #: Bytes of text whose shingles, or whose sets, one group takes.
 TEXT_A_GROUP = 16 << 20
 BITS, LEAF, FAN = 2048, 8, 8
-ROLLING = Rolling(256, 6)
+_STEP = np.uint64(0x2545F4914F6CDD1D)
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingles of each text, sorted, and where each text's begin and end."""
-    n = len(offsets) - 1
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
-    data = _LOWER[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins and ends."""
     word = ~_BLANK[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
@@ -56,22 +55,67 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     start[1:] &= ~word[:-1] | edge[1:-1]
     stop = word.copy()
     stop[:-1] &= ~word[1:] | edge[1:-1]
-    first, last = np.flatnonzero(start), np.flatnonzero(stop) + 1
-    words = ROLLING.slices(ROLLING.sums(data), first, last)
+    return np.flatnonzero(start), np.flatnonzero(stop) + 1
+
+
+def digests(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """blake2b of each text's words, lower-cased, with single spaces: equal for texts of equal words only."""
+    first, _ = word_bounds(data, offsets)
+    keep = ~_BLANK[data]
+    head = np.searchsorted(first, offsets[:-1])  # each text's first word takes no space before it
+    inner = np.ones(len(first), bool)
+    inner[head[head < len(first)]] = False
+    keep[first[inner] - 1] = True
+    at = ends(keep)[offsets].tolist()
+    low = np.where(_BLANK[data], np.uint8(32), _LOWER[data])[keep].tobytes()
+    return [hashlib.blake2b(low[x:y], digest_size=16).digest() for x, y in zip(at, at[1:], strict=False)]
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray, across: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of each text, as sorted 64-bit hashes, and where each text's begin and end.
+
+    Two shingles of one text with the same hash are compared, so each text's number of shingles is exact; with
+    across those of different texts are compared too, and equal numbers mean equal words. A shingle whose
+    hash is another's as well takes a hash of its words instead.
+    """
+    n = len(offsets) - 1
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
+    data = _LOWER[data]
+    first, last = word_bounds(data, offsets)
+    words = content_hashes(data, first, last, 6)
+    codes = grouped(data, first, last, words)[0]
     own = np.searchsorted(offsets, first, "right") - 1
     total = np.bincount(own, minlength=n)
     bounds = ends(total)
     many = np.minimum(np.maximum(total - WIDTH + 1, 0), total)
     at = np.repeat(bounds[:-1] - ends(many)[:-1], many) + np.arange(many.sum())
-    out = np.zeros(len(at), np.uint64)
-    for k in range(WIDTH):
-        out = out * np.uint64(0x2545F4914F6CDD1D) + words[at + k]
-    out, docs = mixed(out), own[at]
     few = np.flatnonzero((total > 0) & (total < WIDTH))
-    if len(few):
-        alone = np.array([np.bitwise_xor.reduce([mixed(words[bounds[d] + k : bounds[d] + k + 1] * np.uint64(2 * k + 3))[0] for k in range(total[d])]) for d in few], np.uint64)
-        out, docs = np.concatenate([out, mixed(alone + total[few].astype(np.uint64))]), np.concatenate([docs, few])
+    at, docs = np.concatenate([at, bounds[few]]), np.concatenate([own[at], few])
+    size = np.minimum(total[docs], WIDTH)
+    out = mixed(size.astype(np.uint64))
+    for k in range(WIDTH):
+        has = slice(None) if not len(few) else np.flatnonzero(size > k)
+        out[has] = mixed((out[has] ^ words[at[has] + k]) * _STEP + np.uint64(k))
+
+    def differ(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        bad = size[i] != size[j]
+        for k in range(WIDTH):
+            both = ~bad & (size[i] > k)
+            bad[both] = codes[at[i[both]] + k] != codes[at[j[both]] + k]
+        return bad
+
+    def clashes(order: np.ndarray, texts: bool) -> np.ndarray:
+        same = np.flatnonzero((out[order][1:] == out[order][:-1]) & (True if texts else docs[order][1:] == docs[order][:-1]))
+        return np.unique(out[order[same][differ(order[same], order[same + 1])]]) if len(same) else out[:0]
+
     order = np.lexsort((out, docs))
+    bad = clashes(np.argsort(out, kind="stable") if across else order, across)
+    if len(bad):
+        for i in np.flatnonzero(np.isin(out, bad)).tolist():
+            spelled = b" ".join(data[first[w] : last[w]].tobytes() for w in range(at[i], at[i] + size[i]))
+            out[i] = np.frombuffer(hashlib.blake2b(spelled, digest_size=8).digest(), np.uint64)[0]
+        order = np.lexsort((out, docs))
     out, docs = out[order], docs[order]
     new = np.ones(len(out), bool)
     new[1:] = (out[1:] != out[:-1]) | (docs[1:] != docs[:-1])
@@ -85,15 +129,12 @@ def _of(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for row in rows_of(batches):
-        _, _, tokens, at = _of(row)
-        one, two = np.zeros(len(tokens) + 1, np.uint64), np.zeros(len(tokens) + 1, np.uint64)
-        np.cumsum(mixed(tokens ^ np.uint64(0x1234567)), out=one[1:])
-        np.cumsum(mixed(tokens ^ np.uint64(0x89ABCDEF)), out=two[1:])
+        data, offsets, _, at = _of(row)
         n = len(at) - 1
         yield pa.RecordBatch.from_arrays([
             pa.array([row["block"]] * n, pa.int64()), pa.array((row["block"] << 22) + np.arange(n)), pa.array(row["ids"], pa.int64()), pa.array(np.diff(at)),
-            pa.array((one[at[1:]] - one[at[:-1]]).view(np.int64)), pa.array((two[at[1:]] - two[at[:-1]]).view(np.int64)),
-        ], ["block", "sid", "doc_id", "n", "k1", "k2"])
+            pa.array(digests(data, offsets), pa.binary()),
+        ], ["block", "sid", "doc_id", "n", "digest"])
 
 
 def _own_tokens(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -290,7 +331,7 @@ def _join_groups(table: pa.Table) -> pa.Table:
     for own in rows.values():
         own.sort(key=lambda r: r[:2])
         raw = [zstandard.ZstdDecompressor().decompress(r[2]) for r in own]
-        tokens, at = shingles(np.frombuffer(b"".join(raw), np.uint8), ends([len(x) for x in raw]))
+        tokens, at = shingles(np.frombuffer(b"".join(raw), np.uint8), ends([len(x) for x in raw]), across=True)
         sets = [tokens[x:y] for x, y in zip(at, at[1:], strict=False)]
         forest = Forest(len(own))
         sides = [[i for i, r in enumerate(own) if r[1] == k] for k in (0, 1)]
@@ -336,15 +377,14 @@ def _large(sets: DataFrame, sizes: DataFrame, parts: int) -> DataFrame:
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_one: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; with keep_one instead the rows of docs, with all columns,
     that stand first (by id, nulls last) in their component; rows without words all stay."""
-    rest = [F.col(n) for n in docs.columns if n != text_col] if keep_one else []
-    rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), as_text(text_col).alias("text"), *rest)
+    others = [F.struct(*[column(n) for n in docs.columns if n != text_col]).alias("others")] if keep_one and len(docs.columns) > 1 else []
+    rows = docs.select(column(id_col).cast("bigint").alias("_id"), as_text(text_col).alias("text"), *others)
     blocks = bucketed(rows.mapInArrow(_blocks(CHUNK), _BLOCK), "similar", "block")
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     groups = max(1, -(-total // TEXT_A_GROUP))
     texts = blocks.select("block", "ids", "sizes", "body")
-    keys = written(texts.mapInArrow(_keys, "block bigint, sid bigint, doc_id bigint, n bigint, k1 bigint, k2 bigint"), "keys")
-    classes = keys.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("sid").alias("class"))
-    classes = written(classes, "classes")
+    keys = written(texts.mapInArrow(_keys, "block bigint, sid bigint, doc_id bigint, n bigint, digest binary"), "keys")
+    classes = keys.where("n > 0").groupBy("digest").agg(F.min("sid").alias("class"))
     block_of = F.shiftright("class", 22)
     listed = classes.groupBy(block_of.alias("block")).agg(F.collect_list((F.col("class") - F.shiftleft(block_of, 22)).cast("bigint")).alias("sets"))
     own = texts.join(listed, "block")
@@ -362,15 +402,23 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
     big = sizes.where(F.col("n") > LIMIT)
     if not big.isEmpty():
         links = components(links.unionAll(_large(sets, big, groups))).select(F.col("label").alias("a"), F.col("sid").alias("b"))
-    labels = links.where("a <> b").select(F.col("b").alias("class"), F.col("a").alias("label"))
-    members = keys.join(classes, ["n", "k1", "k2"], "left").join(labels, "class", "left").select("block", "sid", "doc_id", "n", F.coalesce("label", "class").alias("label"))
-    found = members.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "sid")).alias("first"))
-    members = members.join(found, "label", "left")
+        links = written(links, "links")
+    # one row for each class, then for each component; hot classes and components meet their rows by broadcast
+    first = lambda: F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "sid"))
+    own = written(keys.where("n > 0").groupBy("digest").agg(F.min("sid").alias("class"), F.min("doc_id").alias("least"), first().alias("first"), F.count("*").alias("weight")), "classes")
+    labels = links.select(F.col("b").alias("class"), F.col("a").alias("label"))
+    found = labels.join(own, "class").groupBy("label").agg(F.min("least").alias("least"), F.min("first").alias("first"), F.count("*").alias("weight"))
+    found = written(found, "components")
+    met = joined_by_hot(labels, found, "label").select("class", F.col("least").alias("_least"), F.col("first").alias("_first"))
+    every = own.join(met, "class", "left").select("digest", F.coalesce("_first", "first").alias("first"), F.when(F.col("_first").isNull(), F.col("least")).otherwise(F.col("_least")).alias("least"), "weight")
+    members = joined_by_hot(keys.where("n > 0"), written(every, "answers"), "digest")
+    none = keys.where("n = 0")
     if not keep_one:
-        return members.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
-    stay = members.where((F.col("n") == 0) | (F.col("sid") == F.col("first.sid"))).groupBy("block").agg(F.collect_list((F.col("sid") - F.shiftleft("block", 22)).cast("bigint")).alias("stay"))
-    schema = docs.withColumn(text_col, F.col(text_col).cast("string")).schema
-    return blocks.join(stay, "block").mapInArrow(_kept(docs.columns, text_col), schema)
+        out = members.select("doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
+        return out.unionAll(none.select("doc_id", "n", "doc_id"))
+    stay = members.where(F.col("sid") == F.col("first.sid")).select("block", "sid").unionAll(none.select("block", "sid"))
+    stay = stay.groupBy("block").agg(F.collect_list((F.col("sid") - F.shiftleft("block", 22)).cast("bigint")).alias("stay"))
+    return blocks.join(stay, "block").mapInArrow(_kept(docs.columns, text_col), docs.withColumn(text_col, as_text(text_col)).schema)
 
 
 def _kept(names: list[str], text_col: str):
@@ -378,8 +426,7 @@ def _kept(names: list[str], text_col: str):
         for row in rows_of(batches):
             offsets, raw = ends(unpack(row["sizes"])[0]).tolist(), unpack(row["body"])[0]
             stay = sorted(row["stay"])
-            others = pa.ipc.open_stream(row["others"]).read_all().take(pa.array(stay, pa.int64()))
             text = pa.array([raw[offsets[i] : offsets[i + 1]].decode() for i in stay], pa.string())
-            yield pa.RecordBatch.from_arrays([text if n == text_col else others.column(n).combine_chunks() for n in names], names)
+            yield pa.RecordBatch.from_arrays([text if n == text_col else other_column(row, n).take(pa.array(stay, pa.int64())) for n in names], names)
 
     return run

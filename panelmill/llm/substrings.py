@@ -8,7 +8,9 @@ blocks, bucketed by block:
 1. Parse. Each block's distinct phrases (the dictionary) go, as pairs of hashes with the least and greatest
    document, to the group of their trigger. A trigger with one phrase is decided there: the phrase's windows
    repeat in every document after the least. A trigger in one document only has no repeats. What is left are
-   triggers with several phrases, where repeated passages begin or end.
+   triggers with several phrases, where repeated passages begin or end. Two phrases count as one by 128 bits:
+   the trigger's hash and one of all their bytes (at most LENGTH + REACH - 1) that is no polynomial, so that
+   10^13 phrases hold a false pair with a chance of about 10^-13.
 2. Those phrases' bytes go to the group of their trigger, where the suffixes of the dictionary are sorted
    by their first LENGTH bytes; equal neighbours are the same window, and give its least document. A trigger
    with more than HOT phrases sends single windows instead, dealt out by the window's own hash, so that no
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import Rolling, as_text, bucketed, chunks, ends, mixed, pack, release, rows_of, unpack
+from panelmill.llm.common import Rolling, as_text, bucketed, chunks, column, content_hashes, ends, grouped, mixed, pack, release, rows_of, unpack
 
 LENGTH, GRAM = 50, 16
 REACH = LENGTH - GRAM + 1
@@ -51,7 +53,7 @@ def _blocks(limit: int):
         for batch in batches:
             for rows, data, offsets in chunks(batch, limit=limit):
                 sink = pa.BufferOutputStream()
-                others = rows.select([n for n in rows.schema.names if n not in ("text", "_id")])
+                others = rows.select(["others"]) if "others" in rows.schema.names else rows.select([])
                 with pa.ipc.new_stream(sink, others.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
                     w.write_batch(others)
                 yield pa.RecordBatch.from_arrays([
@@ -82,8 +84,7 @@ class Parse:
 
     def _parse(self) -> None:
         n = len(self.data)
-        self.sums = ROLLING.sums(self.data)
-        grams = ROLLING.pieces(self.sums, GRAM)
+        grams = ROLLING.pieces(ROLLING.sums(self.data), GRAM)
         least = (grams >> np.uint64(32) << np.uint64(32)) | np.arange(len(grams), dtype=np.uint64)  # of equals the leftmost
         span = 1
         while 2 * span <= REACH:
@@ -103,8 +104,7 @@ class Parse:
         self.low, self.high = p[first], p[np.append(first[1:], len(p)) - 1]
         self.at, self.doc = owner[first], doc[self.low]
         triggers = mixed(grams[self.at])  # least hashes are small numbers; groups are ranges of evenly spread ones
-        contents = ROLLING.slices(self.sums, self.low, self.high + LENGTH) ^ mixed((self.at - self.low).astype(np.uint64) + np.uint64(77))
-        contents >>= np.uint64(16)
+        contents = content_hashes(self.data, self.low, self.high + LENGTH, 77) ^ mixed((self.at - self.low).astype(np.uint64) + np.uint64(77))
         order = np.lexsort((contents, triggers))
         a, x = triggers[order], contents[order]
         head = np.ones(len(a), bool)
@@ -137,8 +137,9 @@ class Rest:
             self.group = self.first = self.least = self.most = self.entry
             return
         which = np.searchsorted(parse.low, self.low, "right") - 1
-        content = ROLLING.slices(parse.sums, self.low, self.high + LENGTH) ^ mixed((parse.at[which] - self.low).astype(np.uint64) + np.uint64(99))
-        key = np.where(hot, mixed(content ^ np.uint64(0x51ED270B)), parse.triggers[parse.entry[which]])
+        hashes = content_hashes(parse.data, self.low, self.high + LENGTH, 99)
+        content = grouped(parse.data, self.low, self.high + LENGTH, hashes)[0]  # equal bytes, not hashes
+        key = np.where(hot, mixed(hashes ^ np.uint64(0x51ED270B)), parse.triggers[parse.entry[which]])
         group = (key >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)
         order = np.lexsort((content, group))
         head = np.ones(len(order), bool)
@@ -254,7 +255,13 @@ def _settle(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block"), "part": table.column("part"), "body": pa.array(body, pa.binary())})
 
 
-def _finish(groups: int, keep_rows: bool, names: list[str]):
+def other_column(row: dict, name: str) -> pa.Array:
+    """A column of a block's rows, whatever its name."""
+    others = pa.ipc.open_stream(row["others"]).read_all().column("others").combine_chunks()
+    return others.field(others.type.get_field_index(name))
+
+
+def _finish(groups: int, keep_rows: bool, names: list[str], text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             p = Parse(row)
@@ -294,10 +301,8 @@ def _finish(groups: int, keep_rows: bool, names: list[str]):
             at = (p.offsets - total[p.offsets]).tolist()
             left = [kept[x:y] for x, y in zip(at, at[1:], strict=False)]
             if keep_rows:
-                others = pa.ipc.open_stream(row["others"]).read_all()
                 text = pa.array([x.decode("utf-8", "ignore") for x in left], pa.string())
-                columns = [text if n == "text" else others.column(n).combine_chunks() for n in names]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                yield pa.RecordBatch.from_arrays([text if n == text_col else other_column(row, n) for n in names], names)
             else:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(row["ids"], pa.int64()), pa.array(sizes.astype(np.int64)), pa.array(removed), pa.array(spans),
@@ -311,10 +316,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every text; with keep_rows instead all columns of
     docs, the text without what is removed (and without characters that a removal cuts in two)."""
     names = docs.columns
-    if keep_rows and text_col != "text":
-        raise ValueError("the text column must be named text")
-    columns = [F.col(n) for n in names if n != text_col] if keep_rows else []
-    rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), as_text(text_col).alias("text"), *columns)
+    others = [F.struct(*[column(n) for n in names if n != text_col]).alias("others")] if keep_rows and len(names) > 1 else []
+    rows = docs.select(column(id_col).cast("bigint").alias("_id"), as_text(text_col).alias("text"), *others)
     blocks = bucketed(rows.mapInArrow(_blocks(BLOCK_TEXT), _BLOCK), "substrings", "block")
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     groups, rest = max(1, -(-total // PHRASES_A_GROUP)), max(1, -(-total // REST_A_GROUP))
@@ -326,6 +329,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     settled = texts.join(decided, "block", "left").mapInArrow(_deal_rest(rest), deal).groupBy("part").applyInArrow(_settle, answer)
     every = blocks.join(decided, "block", "left").join(gather(settled, "settled"), "block", "left")
     if keep_rows:
-        schema = docs.withColumn("text", F.col("text").cast("string")).schema
-        return every.mapInArrow(_finish(rest, True, names), schema)
-    return every.mapInArrow(_finish(rest, False, names), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+        return every.mapInArrow(_finish(rest, True, names, text_col), docs.withColumn(text_col, as_text(text_col)).schema)
+    return every.mapInArrow(_finish(rest, False, names, text_col), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")

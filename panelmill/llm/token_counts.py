@@ -16,13 +16,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from panelmill.llm.bpe import byte_letters
-from panelmill.llm.common import as_text, chunks, ends
+from panelmill.llm.common import as_text, chunks, column, ends, spread
 from panelmill.llm.pretokens import splitter
 
-#: Merged words whose counts a worker remembers.
+#: Merged words whose counts a task remembers, by the word itself.
 REMEMBERED = 400_000
 
 
@@ -39,20 +38,20 @@ def _count(path: str, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner = splitter(path)
         model, special, letters, whole = owner.tokenizer.model, set(owner.special), byte_letters(), whole_tokens(path)
-        merged: dict[int, int] = {}
+        merged: dict[str, int] = {}
         for batch in batches:
             for rows, data, offsets in chunks(batch):
                 s = owner.split(data, offsets)
                 each = np.ones(len(s.words), np.int64)
-                for i, (word, key) in enumerate(zip(s.words, s.hashes.tolist(), strict=True)):
+                for i, word in enumerate(s.words):
                     text = word if word.isascii() and word.isprintable() and " " not in word else word.encode().decode("latin-1").translate(letters)
                     if text in whole or word in special:
                         continue
-                    n = merged.get(key)
+                    n = merged.get(word)
                     if n is None:
                         n = len(model.tokenize(text))
                         if len(merged) < REMEMBERED:
-                            merged[key] = n
+                            merged[word] = n
                     each[i] = n
                 sums = ends(each[s.codes])
                 counts = sums[s.offsets[1:]] - sums[s.offsets[:-1]]
@@ -66,5 +65,5 @@ def _count(path: str, limit: int):
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens and over_limit (n_tokens > limit) of every text."""
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text"))
+    docs = spread(docs).select(column(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text"))
     return docs.mapInArrow(_count(path, limit), "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean")
