@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import Rolling, as_text, bucketed, chunks, column, ends, pack, rows_of, unpack
+from panelmill.llm.common import Rolling, as_text, bucketed, buckets, chunks, column, ends, pack, rows_of, unpack
 from panelmill.llm.pretokens import splitter
 
 #: Words (of blocks, repeats between blocks included) that one task encodes.
@@ -183,7 +183,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     path: a byte-level BPE file of the tokenizers library, there on every machine.
     """
     docs = docs.select(column(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text"))
-    blocks = bucketed(docs.mapInArrow(_blocks(path), _BLOCK), "bpe", "block")
+    blocks = bucketed(docs.mapInArrow(_blocks(path), _BLOCK), "bpe", "block", buckets(docs))
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
     groups = max(1, -(-total // WORDS_A_GROUP))
     dealt = blocks.select("block", "words").mapInArrow(_deal(groups), "part bigint, block bigint, words binary")

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that are handled as arrays at once; one longer text is handled alone.
 CHUNK = 4 << 20
+#: Bytes of a source's files for each bucket of a table made from it.
+BUCKET = 256 << 20
 #: A key with more than this part of all rows is hot.
 HOT_SHARE = 1000
 #: Symbols that are compared at once.
@@ -47,13 +49,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
-    """df as a table bucketed by key, so that joins by key move only the other side."""
-    spark = df.sparkSession
+def buckets(source: DataFrame) -> int:
+    """Buckets for a table made from source: one for each BUCKET bytes that its files hold, and at least the
+    session's number of shuffle partitions."""
+    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    grown = -(-size // BUCKET) if size < 1 << 60 else 0  # beyond that Spark knows no size
+    return min(max(int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")), 16, grown), 100_000)
+
+
+def bucketed(df: DataFrame, name: str, key: str, n: int) -> DataFrame:
+    """df as a table of n buckets by key, so that joins by key move only the other side."""
     table = f"panelmill_{name}_{uuid.uuid4().hex}"
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16)
     df.write.option("compression", "zstd").bucketBy(n, key).saveAsTable(table)
-    return spark.table(table)
+    return df.sparkSession.table(table)
 
 
 def joined_by_hot(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
@@ -183,6 +191,23 @@ def content_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray, seed:
     return out
 
 
+def unequal(symbols: np.ndarray, first: np.ndarray, last: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether slices i and j of [first, last), pair by pair, differ, symbol by symbol."""
+    size = last - first
+    out = size[i] != size[j]
+    n = np.where(out, 0, size[i])
+    reach, low = np.cumsum(n), 0
+    while low < len(i):
+        high = max(low + 1, int(np.searchsorted(reach, (reach[low - 1] if low else 0) + _SLAB, "right")))
+        at = ends(n[low:high])
+        a, b = first[i[low:high]], first[j[low:high]]
+        p = np.repeat(a - at[:-1], n[low:high]) + np.arange(at[-1])
+        bad = np.flatnonzero(symbols[p] != symbols[p + np.repeat(b - a, n[low:high])])
+        out[low + np.searchsorted(at, bad, "right") - 1] = True
+        low = high
+    return out
+
+
 def grouped(symbols: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(number of each slice [first, last), a slice of each number): equal numbers for equal slices only.
 
@@ -193,20 +218,7 @@ def grouped(symbols: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np
     where = np.empty(len(distinct), np.int64)
     where[codes[::-1]] = np.arange(len(codes))[::-1]
     rest = np.flatnonzero(where[codes] != np.arange(len(codes)))
-    size, wrong, low = last - first, [], 0
-    reach = np.cumsum(size[rest])
-    while low < len(rest):
-        high = max(low + 1, int(np.searchsorted(reach, (reach[low - 1] if low else 0) + _SLAB, "right")))
-        own = rest[low:high]
-        first_of = where[codes[own]]
-        n = np.minimum(size[own], size[first_of])
-        at = ends(n)
-        differs = size[own] != size[first_of]
-        p = np.repeat(first[own] - at[:-1], n) + np.arange(at[-1])
-        bad = np.flatnonzero(symbols[p] != symbols[p + np.repeat(first[first_of] - first[own], n)])
-        differs[np.searchsorted(at, bad, "right") - 1] = True
-        wrong += own[differs].tolist()
-        low = high
+    wrong = rest[unequal(symbols, first, last, rest, where[codes[rest]])].tolist()
     if wrong:
         named: dict[bytes, int] = {}
         for i in wrong:

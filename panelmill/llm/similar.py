@@ -31,11 +31,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import CHUNK, as_text, bucketed, column, content_hashes, ends, grouped, joined_by_hot, mixed, pack, release, rows_of, unpack, written
+from panelmill.llm.common import CHUNK, as_text, bucketed, buckets, column, content_hashes, ends, joined_by_hot, mixed, pack, release, rows_of, unequal, unpack, written
 from panelmill.llm.substrings import _BLOCK, _blocks, _by_group, _sent, other_column
 
 WIDTH, SHARE = 5, 80
-LIMIT = 4096
+LIMIT = 1024
 #: Bytes of text whose shingles, or whose sets, one group takes.
 TEXT_A_GROUP = 16 << 20
 BITS, LEAF, FAN = 2048, 8, 8
@@ -84,7 +84,6 @@ def shingles(data: np.ndarray, offsets: np.ndarray, across: bool = False) -> tup
     data = _LOWER[data]
     first, last = word_bounds(data, offsets)
     words = content_hashes(data, first, last, 6)
-    codes = grouped(data, first, last, words)[0]
     own = np.searchsorted(offsets, first, "right") - 1
     total = np.bincount(own, minlength=n)
     bounds = ends(total)
@@ -101,8 +100,8 @@ def shingles(data: np.ndarray, offsets: np.ndarray, across: bool = False) -> tup
     def differ(i: np.ndarray, j: np.ndarray) -> np.ndarray:
         bad = size[i] != size[j]
         for k in range(WIDTH):
-            both = ~bad & (size[i] > k)
-            bad[both] = codes[at[i[both]] + k] != codes[at[j[both]] + k]
+            both = np.flatnonzero(~bad & (size[i] > k))
+            bad[both] = unequal(data, first, last, at[i[both]] + k, at[j[both]] + k)
         return bad
 
     def clashes(order: np.ndarray, texts: bool) -> np.ndarray:
@@ -379,9 +378,10 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
     that stand first (by id, nulls last) in their component; rows without words all stay."""
     others = [F.struct(*[column(n) for n in docs.columns if n != text_col]).alias("others")] if keep_one and len(docs.columns) > 1 else []
     rows = docs.select(column(id_col).cast("bigint").alias("_id"), as_text(text_col).alias("text"), *others)
-    blocks = bucketed(rows.mapInArrow(_blocks(CHUNK), _BLOCK), "similar", "block")
+    blocks = bucketed(rows.mapInArrow(_blocks(CHUNK), _BLOCK), "similar", "block", buckets(docs))
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     groups = max(1, -(-total // TEXT_A_GROUP))
+    tasks = max(groups, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     texts = blocks.select("block", "ids", "sizes", "body")
     keys = written(texts.mapInArrow(_keys, "block bigint, sid bigint, doc_id bigint, n bigint, digest binary"), "keys")
     classes = keys.where("n > 0").groupBy("digest").agg(F.min("sid").alias("class"))
@@ -396,12 +396,12 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
     sets = written(texts.join(listed, "block").mapInArrow(_deal_sets, "label bigint, sid bigint, body binary"), "sets")
     sizes = written(meet.groupBy("label").agg(F.count("*").alias("n")), "sizes")
     small = sets.join(sizes.where(F.col("n") > LIMIT).select("label"), "label", "left_anti")
-    part = F.pmod(F.xxhash64("label"), F.lit(groups)).alias("part")
+    part = F.pmod(F.xxhash64("label"), F.lit(tasks)).alias("part")
     links = small.select(part, "label", F.lit(0).cast("bigint").alias("cell"), "sid", F.lit(0).alias("side"), "body").groupBy("part").applyInArrow(_join_groups, "a bigint, b bigint")
     links = written(links, "links")
     big = sizes.where(F.col("n") > LIMIT)
     if not big.isEmpty():
-        links = components(links.unionAll(_large(sets, big, groups))).select(F.col("label").alias("a"), F.col("sid").alias("b"))
+        links = components(links.unionAll(_large(sets, big, tasks))).select(F.col("label").alias("a"), F.col("sid").alias("b"))
         links = written(links, "links")
     # one row for each class, then for each component; hot classes and components meet their rows by broadcast
     first = lambda: F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "sid"))
