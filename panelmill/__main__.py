@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from panelmill.plans.queries import QUERIES, SQL
+from panelmill.plans import QUERIES, SQL
 
 
 def main(argv: Sequence[str] | None = None) -> int:

@@ -108,3 +108,19 @@ def page_of(b: Column, pages: Column, width: Column) -> Column:
 def hamming(a: Column, b: Column) -> Column:
     """Bits in which two 64-bit hashes differ."""
     return F.bit_count(a.bitwiseXOR(b))
+
+
+def gap(a: Column, b: Column) -> Column:
+    """The distance between two boxes; 0 where they touch."""
+    apart = lambda low, high: F.greatest(F.lit(0.0), a[low] - b[high], b[low] - a[high])
+    return F.sqrt(F.pow(apart("x0", "x1"), 2) + F.pow(apart("y0", "y1"), 2))
+
+
+def polygon(b: Column) -> Column:
+    """The corners of a box in one list, from the upper left, clockwise."""
+    return F.array(b["x0"], b["y0"], b["x1"], b["y0"], b["x1"], b["y1"], b["x0"], b["y1"])
+
+
+def checked(b: Column, width: Column, height: Column) -> Column:
+    """The box; reading one that does not lie within its image fails."""
+    return F.when(within(b, width, height), b).otherwise(F.raise_error(F.concat(F.lit("box outside its image: "), F.to_json(b))))

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Words that place a panel in a figure.
-POSITIONS = ["top", "bottom", "left", "right", "middle", "center", "centre", "upper", "lower", "first", "second", "third", "row", "column"]
+#: Words that place a caption's part, by kind, in the order in which they are tested.
+POSITIONS = {
+    "column": ["column"],
+    "row": ["row"],
+    "position_in_image": ["top", "bottom", "middle", "left", "right", "center", "lower", "upper", "above", "below"],
+}
 #: Licences that allow commercial use.
 COMMERCIAL = ["CC0", "CC BY", "CC BY-ND", "CC BY-SA"]
 
@@ -20,13 +24,19 @@ def parse_uuid(uuid: Column) -> Column:
     return F.struct(F.regexp_extract(uuid, r"^PMC(\d+)_(.*)$", 1).try_cast("bigint").alias("article_id"), F.regexp_extract(uuid, r"^PMC(\d+)_(.*)$", 2).alias("image_cluster_id"))
 
 
+def _whole(s: Column) -> Column:
+    """The integer that a text is, white space around it and a sign allowed; else null."""
+    return F.when(s.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(F.regexp_replace(s, r"\s", ""))).try_cast("int")
+
+
 def figure_number(cluster: Column) -> Column:
     """(id, sub) of ids such as pone.0012-g003, gr2_lrg, fig4b; both null if none fits."""
-    tail = F.regexp_extract(cluster, r"(?:-g|-f|\.g|-i|fig)(\d+[A-Za-z]?)$", 1)
-    gr = F.regexp_extract(cluster, r"^gr(\d+[A-Za-z]?)(?:_|$)", 1)
-    found = F.when(tail != "", tail).when(gr != "", gr)
-    sub = F.regexp_extract(found, r"([A-Za-z])$", 1)
-    return F.struct(F.regexp_extract(found, r"^(\d+)", 1).try_cast("int").alias("id"), F.when(sub != "", sub).alias("sub"))
+    tail = cluster
+    for mark in ("-g", "-f", ".g", "-i", "fig"):
+        tail = F.substring_index(tail, mark, -1)
+    own, gr = _whole(tail), _whole(F.replace(F.substring_index(cluster, "_", 1), F.lit("gr"), F.lit("")))
+    short = _whole(F.left(tail, F.char_length(tail) - 1))
+    return F.struct(F.coalesce(own, gr, short).alias("id"), F.when(own.isNull() & gr.isNull() & short.isNotNull(), F.right(tail, F.lit(1))).alias("sub"))
 
 
 def stem(name: Column) -> Column:
@@ -34,7 +44,7 @@ def stem(name: Column) -> Column:
 
 
 def assignable(names: Column) -> Column:
-    """All names have a stem of one letter."""
+    """All names have a stem of one letter; true without names."""
     return F.forall(names, lambda n: F.char_length(stem(n)) == 1)
 
 
@@ -48,16 +58,21 @@ _FORMS = (
 )
 
 
+def stripped(s: Column) -> Column:
+    return F.regexp_replace(s, r"(?U)^\s+|\s+$", "")
+
+
 def match_level(text: Column, name: Column, names: Column) -> Column:
-    """1 to 6: the first form in which text equals name, each later one only if it leaves all names as
-    they are; null if none does."""
+    """1 to 6: the first form in which text and name are equal, both without white space around them; forms
+    after the first count only where they leave all names as they are. Null if none does."""
 
     def stable(form) -> Column:
         return F.forall(names, lambda n: form(n) == n)
 
-    out = F.when(text == name, 1)
+    a, b = stripped(text), stripped(name)
+    out = F.when(a == b, 1)
     for level, form in enumerate(_FORMS[1:], 2):
-        out = out.when((form(text) == name) & stable(form), level)
+        out = out.when((form(a) == form(b)) & stable(form), level)
     return out
 
 
@@ -67,16 +82,46 @@ def is_alnum_token(s: Column) -> Column:
 
 
 def name_class(names: Column) -> Column:
-    """full_caption, positional, alphanum (single letters or tokens) or ambiguous; sequential if single
-    letters follow one another."""
-    lone = (F.size(names) == 1) & (F.get(names, F.lit(0)) == "None")
-    bare = F.transform(names, lambda n: F.regexp_replace(n, r"[^\p{L}\p{N}]", ""))
-    single = F.forall(bare, lambda n: (F.char_length(n) == 1) | is_alnum_token(n))
-    clean = F.forall(names, lambda n: ~n.rlike(r"[^\p{L}\p{N}]"))
-    positional = F.exists(names, lambda n: F.exists(F.split(F.lower(n), r"\W+"), lambda w: w.isin(POSITIONS)))
-    codes = F.transform(bare, lambda n: F.ascii(F.lower(n)))
-    kind = F.when(lone, "full_caption").when(positional, "positional").when(single & clean, "alphanum").otherwise("ambiguous")
-    return F.struct(kind.alias("kind"), ((kind == "alphanum") & F.forall(bare, lambda n: F.char_length(n) == 1) & (F.array_max(codes) - F.array_min(codes) + 1 == F.size(F.array_distinct(codes)))).alias("sequential"))
+    """What the names of a caption's parts are: full_caption, alphanum, positional (a kind of POSITIONS or null),
+    ambiguous, sequential; error for a lone name other than None and for no names, where all else is false."""
+    bare = F.transform(names, lambda n: F.regexp_replace(F.lower(F.replace(n, F.lit("\u0130"), F.lit(""))), "[^a-z0-9]", ""))
+    n = F.size(names)
+    some = n > 1
+    letters = some & F.forall(bare, lambda x: x.rlike("^[a-z]$"))
+    digits = some & F.forall(bare, lambda x: x.rlike("^[0-9]$"))
+    tokens = some & ~letters & ~digits & F.forall(bare, is_alnum_token)
+    codes = F.transform(bare, lambda x: F.ascii(x))
+    differs = lambda form: F.exists(F.zip_with(bare, names, lambda x, y: x != form(y)), lambda x: x)
+    kind = F.lit(None).cast("string")
+    for name, words in reversed(POSITIONS.items()):
+        kind = F.when(F.array_join(bare, " ").rlike("|".join(words)), name).otherwise(kind)
+    lone = (n == 1) & (F.get(names, F.lit(0)) == "None")
+    return F.struct(
+        lone.alias("full_caption"),
+        (letters | digits | tokens).alias("alphanum"),
+        F.when(some & ~letters & ~digits & ~tokens, kind).alias("positional"),
+        F.when(letters, differs(F.lower)).when(digits, differs(lambda y: y)).when(tokens, F.size(F.array_distinct(bare)) != n).otherwise(False).alias("ambiguous"),
+        F.when(letters | digits, F.array_max(codes) - F.array_min(codes) + 1 == n).otherwise(False).alias("sequential"),
+        F.when(n == 0, "no names").when((n == 1) & ~lone, "a lone name").alias("error"),
+    )
+
+
+def instruction_kinds(c: Column) -> Column:
+    """Which instructions a caption's class (a name_class) asks for, in order; none for a full caption."""
+    asks = F.array(F.lit("alphanum"), F.when(c["ambiguous"], "ambiguous"), F.when(~c["sequential"], "missing"))
+    return F.when(c["full_caption"], F.array().cast("array<string>")).when(c["positional"].isNotNull(), F.array(c["positional"])).otherwise(F.array_compact(asks))
+
+
+def word_distance(a: Column, b: Column) -> Column:
+    """Edits between two texts word by word: each distinct word becomes one character of a private alphabet."""
+    x, y = F.filter(F.split(a, r"\s+"), lambda w: w != ""), F.filter(F.split(b, r"\s+"), lambda w: w != "")
+
+    def spelled(words: Column, every: Column) -> Column:
+        letter = lambda w: F.lpad(F.hex(F.array_position(every, w) + 0xFFFF), 8, "0")
+        return F.decode(F.unhex(F.array_join(F.transform(words, letter), "")), "UTF-32")
+
+    every = F.array_distinct(F.concat(x, y))
+    return F.levenshtein(spelled(x, every), spelled(y, every))
 
 
 def without_space(s: Column) -> Column:
@@ -165,6 +210,53 @@ def keywords(xml: Column) -> Column:
     return F.array_join(F.array_sort(F.xpath(xml, F.lit("//kwd-group/kwd/text()"))), ", ")
 
 
+def licence_kind(origin_file: Column) -> Column:
+    """Of the last part of a path: other, non_commercial or commercial."""
+    name = F.substring_index(origin_file, "/", -1)
+    return F.when(F.contains(name, F.lit("other")), "other").when(F.contains(name, F.lit("noncommercial")), "non_commercial").otherwise("commercial")
+
+
+def plain_elements(s: Column) -> Column:
+    """The elements of a JSON list that are no lists or objects themselves, as texts; null if s is no list."""
+    plain = lambda x: ~F.schema_of_variant(x).startswith("ARRAY") & ~F.schema_of_variant(x).startswith("OBJECT")
+    return F.transform(F.filter(F.try_parse_json(s).try_cast("array<variant>"), plain), lambda x: x.cast("string"))
+
+
+def json_quotes(s: Column) -> Column:
+    return F.replace(s, F.lit("'"), F.lit('"'))
+
+
+def one_of(s: Column, values: list[str]) -> Column:
+    """The value that s is, whatever its case; null if it is none."""
+    out = F.lit(None).cast("string")
+    for v in values:
+        out = F.when(F.lower(s) == v.lower(), v).otherwise(out)
+    return out
+
+
+def class_index(labels: Column, kinds: list[str], structure: tuple[str, ...] = ("Panel", "Label")) -> Column:
+    """The place of an image's only kind in kinds; -1 to skip: no image, a panel or label, no kind or several."""
+    own = F.array_intersect(labels, F.array(*map(F.lit, kinds)))
+    skip = F.arrays_overlap(labels, F.array(*map(F.lit, structure))) | ~F.array_contains(labels, "Image") | (F.size(own) != 1)
+    return F.when(F.coalesce(skip, F.lit(True)), -1).otherwise(F.array_position(F.array(*map(F.lit, kinds)), F.get(own, F.lit(0))).cast("int") - 1)
+
+
+def stamp(t: Column) -> Column:
+    return F.date_format(t, "yyyyMMdd_HHmmss")
+
+
+def only_answer(s: Column) -> Column:
+    """What follows the end of the thinking block; null unless there is exactly one end."""
+    parts = F.split(s, "</think>")
+    return F.when(F.size(parts) == 2, F.trim(F.get(parts, F.lit(1))))
+
+
+def corpus_terms(caption: Column, key_terms: Column, body: Column, caption_words: list[str], key_words: list[str], body_words: list[str]) -> Column:
+    """Any of caption_words in the caption, any of key_words in the key terms and any of body_words in the body."""
+    some = lambda c, words: F.coalesce(c.rlike("(?i)" + "|".join(words)), F.lit(False))
+    return some(caption, caption_words) & some(key_terms, key_words) & some(body, body_words)
+
+
 def prompt(role: Column, *parts: Column) -> Column:
     """A message of a model's prompt as JSON, null parts left out."""
     return F.to_json(F.struct(role.alias("role"), F.concat_ws("\n", *parts).alias("content")))

@@ -28,7 +28,8 @@ def spatial_join(parents: DataFrame, children: DataFrame, figure: str = "fig", c
 
 def hierarchy(panels: DataFrame, labels: DataFrame, images: DataFrame, figure: str = "fig") -> DataFrame:
     """For each panel the ids of its labels and images, and the box that spans it and its images."""
-    kids = spatial_join(panels, labels, figure).select("parent_id", "child_id", F.lit("label").alias("kind"), "child").unionByName(spatial_join(panels, images, figure).select("parent_id", "child_id", F.lit("image").alias("kind"), "child"))
+    child = lambda df, kind: df.select(figure, F.struct(F.lit(kind).alias("kind"), F.col("id").alias("id")).alias("id"), "box")
+    kids = spatial_join(panels, child(labels, "label").unionByName(child(images, "image")), figure).select("parent_id", F.col("child_id.id").alias("child_id"), F.col("child_id.kind").alias("kind"), "child")
     of = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("child_id")))).alias(f"{kind}_ids")
     image = F.when(F.col("kind") == "image", F.col("child"))
     found = kids.groupBy("parent_id").agg(of("label"), of("image"), F.min(image["x0"]).alias("_x0"), F.min(image["y0"]).alias("_y0"), F.max(image["x1"]).alias("_x1"), F.max(image["y1"]).alias("_y1"))
@@ -52,29 +53,52 @@ def overlaps_of(parents: DataFrame, children: DataFrame, figure: str = "fig", le
     return hits.groupBy(figure, "child_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("parent_id", overlap(F.col("child"), F.col("parent")))))).alias("overlaps"))
 
 
-def hamming_pairs(hashes: DataFrame, key: str, value: str, most: int) -> DataFrame:
-    """a, b and distance: all rows a < b by key whose 64-bit hashes differ in at most `most` bits.
+def _sign_blocks(rows: DataFrame, key: str, value: str, size: int) -> tuple[DataFrame, int]:
+    """Blocks of about `size` rows (block, ids, hs), dealt by a hash of the key, and their number."""
+    rows = rows.select(F.col(key).cast("bigint").alias("id"), F.col(value).cast("bigint").alias("h")).where("id is not null and h is not null")
+    n = max(1, -(-rows.count() // size))
+    return rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("block")).agg(F.collect_list("id").alias("ids"), F.collect_list("h").alias("hs")), n
 
-    Rows are dealt by a hash of their key into blocks of about BLOCK, and every block meets every other once. Rows
-    without key or hash take no part.
-    """
-    rows = hashes.select(F.col(key).cast("bigint").alias("id"), F.col(value).cast("bigint").alias("h")).where("id is not null and h is not null")
-    n = max(1, -(-rows.count() // BLOCK))
-    blocks = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("block")).agg(F.collect_list("id").alias("ids"), F.collect_list("h").alias("hs"))
-    later = blocks.select(F.explode(F.sequence(F.lit(0), F.col("block"))).alias("block"), F.col("block").alias("other"), F.col("ids").alias("other_ids"), F.col("hs").alias("other_hs"))
-    pairs = blocks.join(later, "block").repartition(n * (n + 1) // 2, "block", "other")
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _near(most: int, ordered: bool):
+    """Pairs of two blocks of each row within `most` bits; ordered: a < b only, for a block that meets itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 ids, hs, other_ids, other_hs = (batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in ("ids", "hs", "other_ids", "other_hs"))
-                same = batch.column("block")[k] == batch.column("other")[k]
+                same = ordered and batch.column("block")[k] == batch.column("other")[k]
                 for i in range(0, len(ids), ROWS):
                     distance = np.bitwise_count((hs[i : i + ROWS, None] ^ other_hs[None, :]).view(np.uint64))
                     x, y = np.nonzero(distance <= most)
                     a, b, d = ids[i + x], other_ids[y], distance[x, y].astype(np.int32)
-                    if same:
-                        a, b, d = a[keep := a < b], b[keep], d[keep]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(d)], ["a", "b", "distance"])
+                    keep = a < b if same else a != b
+                    a, b, d = a[keep], b[keep], d[keep]
+                    if ordered:
+                        a, b = np.minimum(a, b), np.maximum(a, b)
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(d)], ["a", "b", "distance"])
+
+    return run
+
+
+_PAIR = "a bigint, b bigint, distance int"
+
+
+def hamming_pairs(hashes: DataFrame, key: str, value: str, most: int) -> DataFrame:
+    """a, b and distance: all rows a < b by key whose 64-bit hashes differ in at most `most` bits.
+
+    Rows are dealt by a hash of their key into blocks of about BLOCK, and every block meets every other once. Rows
+    without key or hash take no part.
+    """
+    blocks, n = _sign_blocks(hashes, key, value, BLOCK)
+    later = blocks.select(F.explode(F.sequence(F.lit(0), F.col("block"))).alias("block"), F.col("block").alias("other"), F.col("ids").alias("other_ids"), F.col("hs").alias("other_hs"))
+    return blocks.join(later, "block").repartition(n * (n + 1) // 2, "block", "other").mapInArrow(_near(most, True), _PAIR)
+
 
-    return pairs.mapInArrow(near, "a bigint, b bigint, distance int")
+def hamming_search(queries: DataFrame, hashes: DataFrame, key: str, value: str, most: int) -> DataFrame:
+    """a (a query), b and distance: all rows with another key within `most` bits of each query. Blocks of queries
+    meet blocks of rows. Rows without key or hash take no part."""
+    blocks, n = _sign_blocks(hashes, key, value, BLOCK)
+    asked, m = _sign_blocks(queries, key, value, BLOCK)
+    each = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("block"), F.col("block").alias("other"), F.col("ids").alias("other_ids"), F.col("hs").alias("other_hs"))
+    return asked.join(each, "block").repartition(n * m, "block", "other").mapInArrow(_near(most, False), _PAIR)

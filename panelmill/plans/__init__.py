@@ -1,0 +1,6 @@
+"""All queries and their SQL."""
+
+from panelmill.plans import assembly_queries, io_queries, queries, table_queries  # noqa: F401
+from panelmill.plans.base import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]

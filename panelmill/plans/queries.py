@@ -1,72 +1,15 @@
-"""Queries of the engine's operators over the driver's tables, with SQL that gives the same rows.
-
-The tables stand in for the engine's own: B, boxes in 20 figures, comes from embeddings; lineitem, orders,
-customer and nation stand for panels, predictions, figures and articles.
-"""
+"""Queries of the engine's operators over the driver's tables, with SQL that gives the same rows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelmill.functions import boxes as bx
 from panelmill.functions import text as tx
 from panelmill.operators import assembly, relational as rel, spatial
-from panelmill.operators.nms import nms, split_nms
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str):
-    def add(f):
-        QUERIES[f.__name__] = f
-        SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-class Tables:
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self._read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    def __getattr__(self, name: str) -> DataFrame:
-        return self._read(name)
-
-    def boxes(self) -> DataFrame:
-        e = lambda i: F.get("embedding", F.lit(i)).cast("double")
-        x0, y0 = F.abs(e(0)), F.abs(e(1))
-        out = self._read("embeddings").select(F.col("vec_id").alias("id"), (F.col("vec_id") % 20).alias("fig"), F.col("label").alias("cls"), x0.alias("x0"), y0.alias("y0"), (x0 + F.abs(e(2)) + 0.1).alias("x1"), (y0 + F.abs(e(3)) + 0.1).alias("y1"), F.abs(e(4)).alias("score"))
-        return out.withColumn("box", F.struct("x0", "y0", "x1", "y1"))
-
-
-B = """with b0 as (select vec_id as id, vec_id % 20 as fig, label as cls, abs(embedding[1]::double) as x0, abs(embedding[2]::double) as y0,
-  abs(embedding[3]::double) as w, abs(embedding[4]::double) as h, abs(embedding[5]::double) as score from embeddings),
-b as (select id, fig, cls, x0, y0, x0 + w + 0.1 as x1, y0 + h + 0.1 as y1, score from b0),
-pair as (select p.fig, p.id as p_id, c.id as c_id, p.cls as p_cls, c.cls as c_cls, c.x0, c.y0, c.x1, c.y1, p.score as p_score, c.score as c_score,
-  greatest(least(p.x1, c.x1) - greatest(p.x0, c.x0), 0) * greatest(least(p.y1, c.y1) - greatest(p.y0, c.y0), 0) as i,
-  (p.x1 - p.x0) * (p.y1 - p.y0) as pa, (c.x1 - c.x0) * (c.y1 - c.y0) as ca from b p join b c on p.fig = c.fig and p.id <> c.id)
-"""
-
-
-def _near(*columns: str) -> list[Column]:
-    return [F.round(c, 6).alias(c) for c in columns]
-
-
-@query("""select l.l_orderkey, l.l_linenumber, concat('PMC', c.c_custkey::varchar, '_', n.n_name) as figure_uuid,
-  case when l.l_returnflag = 'N' and o.o_orderpriority is not null then 'None' else l.l_returnflag end as panel_name,
-  o.o_orderpriority as subcaption_text, c.c_mktsegment in ('BUILDING', 'MACHINERY') as commercial_use
-from lineitem l left join orders o on l.l_orderkey = o.o_orderkey left join customer c on o.o_custkey = c.c_custkey left join nation n on c.c_nationkey = n.n_nationkey
-where l.l_linestatus <> 'F' and l.l_quantity > 10 and l.l_discount <= 0.05""")
-def eligible_panels(spark, d):
-    t = Tables(spark, d)
-    out = t.lineitem.where("l_linestatus <> 'F' and l_quantity > 10 and l_discount <= 0.05").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    out = out.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    name = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag"))
-    return out.select("l_orderkey", "l_linenumber", tx.figure_uuid(F.col("c_custkey"), F.col("n_name")).alias("figure_uuid"), tx.panel_name(name, F.col("o_orderpriority")).alias("panel_name"), F.col("o_orderpriority").alias("subcaption_text"), F.coalesce(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), F.lit(False)).alias("commercial_use"))
+from panelmill.operators.nms import nms, offset_nms, split_nms
+from panelmill.plans.base import B, QUERIES, Tables, near, query
 
 
 @query("select doc_id, source from documents where doc_id in (select doc_id from labels where quality = 1) or (contains(text, 'the') and doc_id in (select doc_id from labels where toxic = 0))")
@@ -75,13 +18,6 @@ def corpus_filter(spark, d):
     return rel.member_or(t.documents, "doc_id", t.labels.where("quality = 1"), t.labels.where("toxic = 0"), F.contains("text", F.lit("the"))).select("doc_id", "source")
 
 
-@query("select page_id, replace(replace(replace(url, 'https://', ''), '.tar', ''), '.gz', '') as path, list_extract(string_split(url, '/'), -1) as key from pages")
-def file_list_join(spark, d):
-    pages = Tables(spark, d).pages
-    paths = pages.select("page_id", tx.list_path(F.replace("url", F.lit("https://"), F.lit(""))).alias("p"))
-    return rel.strict_lookup(pages.select("page_id"), paths, "page_id").select("page_id", "p.path", "p.key")
-
-
 @query("select doc_id from documents where doc_id not in (select doc_id from labels)")
 def pending_ids(spark, d):
     t = Tables(spark, d)
@@ -112,32 +48,40 @@ def box_pairs(spark, d):
     return out.select("fig", F.col("parent_id").alias("p_id"), F.col("child_id").alias("c_id"), F.round(bx.iou(F.col("parent"), F.col("child")), 6).alias("iou"), F.round(bx.overlap(F.col("parent"), F.col("child")), 6).alias("overlap"))
 
 
-def _nms_sql(groups: str, where: str = "true") -> str:
-    """Greedy suppression as a recursion over the rank of boxes within a group."""
-    return f"""ranked{groups.replace(', ', '_')} as (select *, row_number() over (partition by {groups} order by score desc, id) as r from b where {where}),
-kept{groups.replace(', ', '_')} as (select {groups}, 1 as r, [struct_pack(id := id, x0 := x0, y0 := y0, x1 := x1, y1 := y1)] as acc from ranked{groups.replace(', ', '_')} where r = 1
-  union all select {', '.join('k.' + g for g in groups.split(', '))}, n.r, case when len(list_filter(k.acc, lambda z:
-    greatest(least(z.x1, n.x1) - greatest(z.x0, n.x0), 0) * greatest(least(z.y1, n.y1) - greatest(z.y0, n.y0), 0)
-    > 0.3 * ((z.x1 - z.x0) * (z.y1 - z.y0) + (n.x1 - n.x0) * (n.y1 - n.y0) - greatest(least(z.x1, n.x1) - greatest(z.x0, n.x0), 0) * greatest(least(z.y1, n.y1) - greatest(z.y0, n.y0), 0)))) > 0
-    then k.acc else list_append(k.acc, struct_pack(id := n.id, x0 := n.x0, y0 := n.y0, x1 := n.x1, y1 := n.y1)) end
-  from kept{groups.replace(', ', '_')} k join ranked{groups.replace(', ', '_')} n on {' and '.join(f'k.{g} = n.{g}' for g in groups.split(', '))} and n.r = k.r + 1),
-out{groups.replace(', ', '_')} as (select {groups}, unnest(acc).id as id from (select {groups}, acc from kept{groups.replace(', ', '_')} qualify row_number() over (partition by {groups} order by r desc) = 1))"""
+def nms_sql(groups: str, where: str = "true", table: str = "b", name: str | None = None) -> str:
+    """Greedy suppression as a recursion over the rank of boxes within a group: the CTE out<name>."""
+    n = name or groups.replace(", ", "_")
+    both = "greatest(least(z.x1, n.x1) - greatest(z.x0, n.x0), 0) * greatest(least(z.y1, n.y1) - greatest(z.y0, n.y0), 0)"
+    box = lambda t: f"struct_pack(id := {t}id, x0 := {t}x0, y0 := {t}y0, x1 := {t}x1, y1 := {t}y1)"
+    own = lambda t: ", ".join(f"{t}.{g}" for g in groups.split(", "))
+    return f"""ranked{n} as (select *, row_number() over (partition by {groups} order by score desc, id) as r from {table} where {where}),
+kept{n} as (select {groups}, 1 as r, [{box('')}] as acc from ranked{n} where r = 1
+  union all select {own('k')}, n.r, case when len(list_filter(k.acc, lambda z: {both} > 0.3 * ((z.x1 - z.x0) * (z.y1 - z.y0) + (n.x1 - n.x0) * (n.y1 - n.y0) - {both}))) > 0 then k.acc else list_append(k.acc, {box('n.')}) end
+  from kept{n} k join ranked{n} n on {' and '.join(f'k.{g} = n.{g}' for g in groups.split(', '))} and n.r = k.r + 1),
+out{n} as (select {groups}, unnest(acc).id as id from (select {groups}, acc from kept{n} qualify row_number() over (partition by {groups} order by r desc) = 1))"""
 
 
 _R = B.replace("with b0", "with recursive b0").rstrip() + ",\n"
 
 
-@query(_R + _nms_sql("fig") + " select fig, id from outfig")
+@query(_R + nms_sql("fig") + " select fig, id from outfig")
 def nms_global(spark, d):
     return nms(Tables(spark, d).boxes(), ["fig"])
 
 
-@query(_R + _nms_sql("fig, cls") + " select fig, cls, id from outfig_cls")
+@query(_R + nms_sql("fig, cls") + " select fig, cls, id from outfig_cls")
 def nms_classwise(spark, d):
     return nms(Tables(spark, d).boxes(), ["fig", "cls"])
 
 
-@query(_R + _nms_sql("fig", "cls in (0, 1)") + ",\n" + _nms_sql("fig, cls", "cls in (0, 1)") + ",\n" + _nms_sql("fig", "cls not in (0, 1)").replace("rankedfig", "rankedrest").replace("keptfig", "keptrest").replace("outfig", "outrest") + " select fig, id from outfig union select fig, id from outfig_cls union select fig, id from outrest")
+@query(_R + nms_sql("fig, cls", "cls < 3") + " select fig, id from outfig_cls")
+def nms_offset(spark, d):
+    """Classes side by side, each beyond the width of all boxes: as class by class."""
+    b = Tables(spark, d).boxes().where("cls < 3")
+    return offset_nms(b.withColumn("width", F.lit(64)))
+
+
+@query(_R + ",\n".join([nms_sql("fig", "cls in (0, 1)"), nms_sql("fig, cls", "cls in (0, 1)"), nms_sql("fig", "cls not in (0, 1)", name="rest")]) + " select fig, id from outfig union select fig, id from outfig_cls union select fig, id from outrest")
 def nms_split(spark, d):
     return split_nms(Tables(spark, d).boxes())
 
@@ -152,7 +96,7 @@ from b left join hit on hit.p_id = b.id where b.cls = 0 group by b.fig, b.id, b.
 def panel_hierarchy(spark, d):
     b = Tables(spark, d).boxes()
     out = spatial.hierarchy(b.where("cls = 0"), b.where("cls = 1"), b.where("cls > 1"))
-    return out.select("fig", "panel_id", F.size("label_ids").cast("bigint").alias("n_labels"), F.aggregate("image_ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("image_sum"), *_near("x0", "y1"))
+    return out.select("fig", "panel_id", F.size("label_ids").cast("bigint").alias("n_labels"), F.aggregate("image_ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("image_sum"), *near("x0", "y1"))
 
 
 @query(B + f"select b.fig, b.id as child_id, min(p_id) as parent_id from b left join pair on pair.c_id = b.id and p_cls = 0 and {_TOUCH} where b.cls <> 0 group by 1, 2")
@@ -165,7 +109,7 @@ def first_parent(spark, d):
 select id, round(x0, 6) as x0, round(y0, 6) as y0, round(x1, 6) as x1, round(y1, 6) as y1 from c where x1 - x0 > 0.003 and y1 - y0 > 0.003""")
 def content_box_clip(spark, d):
     b = Tables(spark, d).boxes().select("id", bx.clip(F.col("box"), F.lit(0.3), F.lit(0.3)).alias("c")).where("c is not null").select("id", "c.*")
-    return b.select("id", *_near("x0", "y0", "x1", "y1"))
+    return b.select("id", *near("x0", "y0", "x1", "y1"))
 
 
 @query(B + """select id, round(x1 - x0, 6) as w, round((x1 - x0) * (y1 - y0), 6) as area, round((x0 + x1) / 2 / 4, 6) as cx, round(x0 / 4, 6) as nx0,
@@ -175,23 +119,9 @@ def box_formats(spark, d):
     return Tables(spark, d).boxes().select("id", F.round(bx.to_coco(b)["w"], 6).alias("w"), F.round(bx.to_coco(b)["area"], 6).alias("area"), F.round(bx.to_yolo(b, four, four)["cx"], 6).alias("cx"), F.round(bx.to_shares(b, four, four)["x0"], 6).alias("nx0"), bx.to_thousandths(b, four, four)["x0"].alias("vx0"), F.round(bx.expand(b)["x0"], 6).alias("ex0"))
 
 
-@query(B + "select fig, count(*) as n, round(min(x0), 6) as x0, round(max(y1), 6) as y1, sum(count(*)) over (order by fig)::bigint as running from b group by fig")
-def dense_ids(spark, d):
-    u = Tables(spark, d).boxes().groupBy("fig").agg(F.count("*").alias("n"), bx.union_of(F.col).alias("u"))
-    return u.select("fig", "n", F.round("u.x0", 6).alias("x0"), F.round("u.y1", 6).alias("y1"), F.sum("n").over(Window.orderBy("fig")).alias("running"))
-
-
 @query(B + "select fig, id, round(score, 6) as score from b qualify row_number() over (partition by fig order by score desc, id) = 1")
 def best_panel(spark, d):
-    return rel.latest(Tables(spark, d).boxes(), ["fig"], [F.desc("score"), F.col("id")]).select("fig", "id", *_near("score"))
-
-
-@query("""with f as (select conv_id, role = 'system' as irrelevant, turn % 3 = 1 as review, turn % 2 = 0 as done from conversations),
-s as (select conv_id, count(*) as n, count_if(irrelevant) as n_irrelevant, count_if(review) as n_review, count_if(done) as n_done from f group by 1)
-select conv_id, n, n_irrelevant::bigint as n_irrelevant, n_review::bigint as n_review, n_done::bigint as n_done, case when n_irrelevant = n or n_done = n then false else n_review > 0 or n_done + n_irrelevant < n end as partial from s""")
-def partially_assigned(spark, d):
-    c = Tables(spark, d).conversations.select("conv_id", (F.col("role") == "system").alias("irrelevant"), (F.col("turn") % 3 == 1).alias("review"), (F.col("turn") % 2 == 0).alias("done"))
-    return assembly.figure_status(c, "conv_id")
+    return rel.latest(Tables(spark, d).boxes(), ["fig"], [F.desc("score"), F.col("id")]).select("fig", "id", *near("score"))
 
 
 @query("select conv_id, count(*) as n_votes, count(distinct role) = 1 as agreed, min(role) as lowest, max(role) as highest from conversations group by 1")
@@ -202,51 +132,14 @@ def agreement(spark, d):
 _SHORT = "left(regexp_replace(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g'), '\\s+', '', 'g'), 60)"
 
 
-@query(f"""with t as (select doc_id, {_SHORT} as t from documents where doc_id < 60)
-select a.doc_id as a, b.doc_id as b, levenshtein(a.t, b.t)::int as whole, least(length(a.t), length(b.t))::int as n from t a join t b on a.doc_id < b.doc_id""")
-def caption_distance(spark, d):
-    t = Tables(spark, d).documents.where("doc_id < 60").select("doc_id", F.left(tx.without_space(F.regexp_replace("text", r"[^\x00-\x7F]", "")), F.lit(60)).alias("t"))
-    other = t.select(F.col("doc_id").alias("b"), F.col("t").alias("u"))
-    out = t.join(other, F.col("doc_id") < F.col("b")).withColumn("d", tx.caption_distance(F.col("t"), F.col("u")))
-    return out.select(F.col("doc_id").alias("a"), "b", "d.whole", "d.n")
-
-
-def caption_distance_whole(spark, d):
-    """Whole texts of each document and the one with the next doc_id: tested against a loop, as SQL takes too long."""
-    t = Tables(spark, d).documents.select("doc_id", "text")
-    other = t.select((F.col("doc_id") - 1).alias("doc_id"), F.col("doc_id").alias("b"), F.col("text").alias("u"))
-    out = t.join(other, "doc_id").withColumn("d", tx.caption_distance(F.col("text"), F.col("u")))
-    return out.select(F.col("doc_id").alias("a"), "b", "d.whole", "d.cut", "d.n")
-
-
-@query("""select doc_id, regexp_extract('gr' || doc_id::varchar || '_lrg', '^gr(\\d+)', 1)::int as gr, (doc_id % 1000)::int as fig, case when doc_id % 2 = 0 then 'b' end as sub from documents""")
-def figure_id_parse(spark, d):
-    i = F.col("doc_id").cast("string")
-    gr = tx.figure_number(F.concat(F.lit("gr"), i, F.lit("_lrg")))
-    fig = tx.figure_number(F.concat(F.lit("pone.0012-g"), (F.col("doc_id") % 1000).cast("string"), F.when(F.col("doc_id") % 2 == 0, "b").otherwise("")))
-    return Tables(spark, d).documents.select("doc_id", gr["id"].alias("gr"), fig["id"].alias("fig"), fig["sub"].alias("sub"))
-
-
 @query("""select p_partkey, lower(regexp_replace(p_brand, '[^a-zA-Z]', '', 'g')) as stem, regexp_matches(p_brand, '^([A-Za-z]+[0-9][A-Za-z]*|[0-9]+[A-Za-z][0-9]*)$') as token,
  regexp_matches(substr(p_brand, 1, 1) || (p_size % 10)::varchar, '^([A-Za-z]+[0-9][A-Za-z]*|[0-9]+[A-Za-z][0-9]*)$') as short from part""")
 def stem_names(spark, d):
     return Tables(spark, d).part.select("p_partkey", tx.stem(F.col("p_brand")).alias("stem"), tx.is_alnum_token(F.col("p_brand")).alias("token"), tx.is_alnum_token(F.concat(F.substring("p_brand", 1, 1), (F.col("p_size") % 10).cast("string"))).alias("short"))
 
 
-@query("""select n_nationkey, case when n_name = n_name then 1 end as same, case when lower(n_name) = n_name then 1 when lower(n_name) = lower(n_name) then 2 end as lower_level from nation""")
-def match_ladder(spark, d):
-    n = F.col("n_name")
-    return Tables(spark, d).nation.select("n_nationkey", tx.match_level(n, n, F.array(n)).alias("same"), tx.match_level(n, F.lower(n), F.array(F.lower(n))).alias("lower_level"))
-
-
-@query("select doc_id, left(text, 5) || '-' || substr(text, 11, 7) as text from documents")
-def segment_reconstruct(spark, d):
-    seg = lambda s, n, x: F.struct(F.lit(s).alias("start"), F.lit(n).alias("length"), F.lit(x).cast("string").alias("literal"))
-    return Tables(spark, d).documents.select("doc_id", tx.reconstruct(F.array(seg(0, 5, None), seg(0, 0, "-"), seg(10, 7, None)), F.col("text")).alias("text"))
-
-
 @query("select doc_id, left(text, 5) || '-' || substr(text, n_chars // 2 + 1, 7) || '-' || substr(text, greatest(n_chars - 7, 0) + 1, 7) as text from documents")
-def segment_reconstruct_whole(spark, d):
+def segment_reconstruct(spark, d):
     n = F.col("n_chars").cast("int")
     seg = lambda s, n, x: F.struct(s.cast("int").alias("start"), F.lit(n).alias("length"), F.lit(x).cast("string").alias("literal"))
     dash, parts = seg(F.lit(0), 0, "-"), (F.lit(0), F.floor(n / 2), F.greatest(n - 7, F.lit(0)))
@@ -269,18 +162,6 @@ def json_lists(spark, d):
     return Tables(spark, d).documents.select("doc_id", tx.id_list(F.when(F.col("doc_id") % 2 == 0, flat).otherwise(deep)).alias("ids"))
 
 
-@query("select event_id, case event_type when 'click' then 'Automatic' when 'view' then 'LLM' when 'purchase' then 'Manual Assignment' end as assembly, case when value > 50 then 'Marked' else 'Unmarked' end as mark from events")
-def assembly_map(spark, d):
-    m = F.create_map(*[F.lit(x) for kv in {"click": "Automatic", "view": "LLM", "purchase": "Manual Assignment"}.items() for x in kv])
-    return Tables(spark, d).events.select("event_id", m[F.col("event_type")].alias("assembly"), F.when(F.col("value") > 50, "Marked").otherwise("Unmarked").alias("mark"))
-
-
-@query("select user_id, bool_or(event_type = 'click') as contains_click, bool_or(event_type = 'purchase') as contains_purchase, count(*) as n from events group by 1")
-def flags_exist(spark, d):
-    kinds = Tables(spark, d).events.groupBy("user_id").agg(F.collect_set("event_type").alias("kinds"), F.count("*").alias("n"))
-    return kinds.select("user_id", F.array_contains("kinds", "click").alias("contains_click"), F.array_contains("kinds", "purchase").alias("contains_purchase"), "n")
-
-
 @query("""with k as (select source, row_number() over (order by source) <= floor(count(*) over () * 0.7) as in_train from (select distinct source from documents)) select doc_id, in_train, doc_id % 5 as fold from documents join k using (source)""")
 def split_by_key(spark, d):
     docs = Tables(spark, d).documents.select("doc_id", "source")
@@ -306,7 +187,7 @@ def confusion(spark, d):
 @query("""with s as (select avg((quality = toxic)::int) as a, count_if(quality = 1 and toxic = 1) as tp, count_if(quality <> 1 and toxic = 1) as fp, count_if(quality = 1 and toxic <> 1) as fn from labels),
 r as (select a, tp / (tp + fp + 1e-8) as p, tp / (tp + fn + 1e-8) as q from s) select round(a, 6) as accuracy, round(p, 6) as precision, round(q, 6) as recall, round(2 * p * q / (p + q + 1e-8), 6) as f1 from r""")
 def prf(spark, d):
-    return rel.scores(Tables(spark, d).labels, F.col("quality") == 1, F.col("toxic") == 1).select(*_near("accuracy", "precision", "recall", "f1"))
+    return rel.scores(Tables(spark, d).labels, F.col("quality") == 1, F.col("toxic") == 1).select(*near("accuracy", "precision", "recall", "f1"))
 
 
 @query("select doc_id, lang = 'en' and doc_id % 10 <> 3 or lang = 'fr' and doc_id % 10 = 3 as in_train from documents where lang in ('en', 'fr')")
@@ -327,65 +208,12 @@ def latest_meta(spark, d):
     return rel.latest(Tables(spark, d).events, ["event_type"], [F.desc("event_id")]).select("event_type", "event_id", "value")
 
 
-@query("select doc_id, text from documents")
-def null_restore(spark, d):
-    docs = Tables(spark, d).documents.select("doc_id", "text")
-    return assembly.restore_text(docs.withColumn("text", F.when(F.col("doc_id") % 7 != 0, F.col("text"))), docs, "doc_id", "text")
-
-
-@query("select o_orderkey, o_custkey, o_totalprice from orders")
-def union_batches(spark, d):
-    o = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    old, new = o.where("o_orderkey % 2 = 0").withColumn("o_totalprice", F.lit(0.0)), o
-    return rel.upsert(old, new, ["o_orderkey"])
-
-
-@query("""with h as (select vec_id, list_sum([case when embedding[i] > 0 then 1::bigint << (i - 1) else 0 end for i in range(1, 33)])::bigint as h from embeddings where vec_id < 100)
-select a.vec_id as a, b.vec_id as b, bit_count(xor(a.h, b.h))::int as distance from h a join h b on a.vec_id < b.vec_id where bit_count(xor(a.h, b.h)) <= 10""")
-def hamming(spark, d):
-    bit = lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))
-    h = Tables(spark, d).embeddings.where("vec_id < 100").select("vec_id", F.aggregate(F.transform(F.slice("embedding", 1, 32), bit), F.lit(0).cast("bigint"), lambda a, x: a + x).alias("h"))
-    out = h.select(F.col("vec_id").alias("a"), F.col("h").alias("g")).join(h.select(F.col("vec_id").alias("b"), "h"), F.col("a") < F.col("b")).withColumn("distance", bx.hamming(F.col("g"), F.col("h")).cast("int"))
-    return out.where("distance <= 10").select("a", "b", "distance")
-
-
 @query(B + """, broken as (select id, list_filter([case when x0 >= 0.1 then null else 'left' end, case when x1 - x0 <= 0.4 then null else 'wide' end], lambda x: x is not null) as broken from b) select id, broken from broken where len(broken) > 0""")
 def validity_screen(spark, d):
     return rel.violations(Tables(spark, d).boxes(), ["id"], {"left": F.col("x0") >= 0.1, "wide": F.col("x1") - F.col("x0") <= 0.4})
 
 
-@query("select doc_id, row_number() over (order by doc_id) as n, (doc_id // 2)::bigint as half from documents")
-def sequential_ids(spark, d):
-    return Tables(spark, d).documents.select("doc_id", F.row_number().over(Window.orderBy("doc_id")).cast("bigint").alias("n"), F.floor(F.col("doc_id") / 2).alias("half"))
-
-
 @query("select source, case when count(distinct lang) = 1 and count(lang) = count(*) then max(lang) end as value, count(*) as n from documents group by 1")
 def consistent_value(spark, d):
     docs = Tables(spark, d).documents
     return assembly.consistent_or_list(docs, ["source"], "lang", "doc_id").join(docs.groupBy("source").agg(F.count("*").alias("n")), "source").select("source", "value", "n")
-
-
-@query("""with x as (select page_id, list_sort(regexp_extract_all(html, '<h[1-6]>([^<]*)</h[1-6]>', 1)) as k from pages) select page_id, array_to_string(k, ', ') as keywords from x""")
-def keyword_extract(spark, d):
-    return Tables(spark, d).pages.select("page_id", F.array_join(F.array_sort(F.regexp_extract_all("html", F.lit("<h[1-6]>([^<]*)</h[1-6]>"), F.lit(1))), ", ").alias("keywords"))
-
-
-def greedy_match(spark, d):
-    """One-to-one pairs of panels and labels by overlap: tested against a loop, as SQL has no such form."""
-    b = Tables(spark, d).boxes()
-    hits = spatial.spatial_join(b.where("cls = 0"), b.where("cls <> 0")).withColumn("score", F.round(bx.iou(F.col("parent"), F.col("child")), 9))
-    return assembly.greedy_match(hits, "fig", "parent_id", "child_id", "score")
-
-
-def sample_n(spark, d):
-    return rel.sample(Tables(spark, d).documents.select("doc_id", "lang"), 100, "doc_id")
-
-
-def hamming_whole(spark, d):
-    """All pairs within distance 10 by the signs of all components: tested against a loop."""
-    bit = lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))
-    h = F.aggregate(F.transform("embedding", bit), F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x))
-    return spatial.hamming_pairs(Tables(spark, d).embeddings.select("vec_id", h.alias("h")), "vec_id", "h", 10)
-
-
-QUERIES |= {"greedy_match": greedy_match, "sample_n": sample_n, "caption_distance_whole": caption_distance_whole, "hamming_whole": hamming_whole}

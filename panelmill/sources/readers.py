@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import io
 import tarfile
+import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,28 +36,49 @@ def shard_names(spark: SparkSession, sizes: dict[str, int], a_package: int = 50)
     return lots.select("split", "package", number(F.col("package") * a_package).alias("first"), number(F.least((F.col("package") + 1) * a_package - 1, "last")).alias("last"))
 
 
-def archive_members(spark: SparkSession, path: str, kinds: tuple[str, ...] = (".jpg", ".nxml", ".pdf")) -> DataFrame:
-    """path, member, kind, content of tar archives (gzip or not); a file that is no archive has one row with error."""
+def _stream(path: str):
+    """A file of any store that pyarrow knows, read from front to back."""
+    system, at = pa.fs.FileSystem.from_uri(path)
+    return system.open_input_stream(at, compression=None)
+
+
+def archive_members(spark: SparkSession, path: str, kinds: tuple[str, ...] = (".jpg", ".nxml", ".pdf"), opened: Callable[[str], io.IOBase] = _stream) -> DataFrame:
+    """path, member, kind, content of tar archives (gzip or not), one member in memory at a time.
+
+    What is no archive, or ends early, gives its members up to there and a row with error. opened gives the bytes of a path.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["path", "member", "kind", "content", "error"]
         types = [pa.string(), pa.string(), pa.string(), pa.binary(), pa.string()]
         row = lambda *v: pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(v, types, strict=True)], names)
         for batch in batches:
-            for p, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for p in batch.column(0).to_pylist():
                 try:
-                    with tarfile.open(fileobj=io.BytesIO(content)) as archive:
+                    with opened(p) as file, tarfile.open(fileobj=file, mode="r|*") as archive:
                         for m in archive:
                             kind = next((k for k in kinds if m.name.endswith(k)), None)
                             if m.isfile() and kind:
                                 yield row(p, m.name, kind, archive.extractfile(m).read(), None)
-                except tarfile.TarError as e:
-                    yield row(p, None, None, None, str(e))
+                except (tarfile.TarError, OSError, EOFError, zlib.error) as e:
+                    yield row(p, None, None, None, f"{type(e).__name__}: {e}")
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")  # the contents are not read here
     return files.mapInArrow(run, "path string, member string, kind string, content binary, error string")
 
 
+def wanted_members(members: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The members whose name, without folders and ending, is a wanted key."""
+    name = F.regexp_extract("member", r"([^/]+?)(?:\.[^./]*)?$", 1)
+    return members.withColumn(key, name).join(wanted.select(F.col(key).cast("string")).distinct(), key, "left_semi")
+
+
+def located_packages(packages: DataFrame, members: DataFrame, key: str) -> DataFrame:
+    """packages with the archive that holds each key in its path; null where there is none."""
+    paths = members.select("path").distinct().withColumn(key, F.regexp_extract("path", r"([^/]+?)(?:\.tar)?(?:\.gz)?$", 1))
+    return packages.join(paths.groupBy(key).agg(F.min("path").alias("path")), key, "left")
+
+
 def package_errors(members: DataFrame) -> DataFrame:
     """For each archive, what it lacks."""
     has = members.groupBy("path").agg(F.bool_or(F.col("kind") == ".nxml").alias("xml"), F.bool_or(F.col("kind") == ".pdf").alias("pdf"), F.max("error").alias("error"))
@@ -63,8 +86,10 @@ def package_errors(members: DataFrame) -> DataFrame:
 
 
 def tasks(spark: SparkSession, path: str) -> DataFrame:
-    """Annotation tasks; those that cannot be read are left out."""
-    return spark.read.schema(TASKS).option("multiLine", True).option("mode", "PERMISSIVE").json(path).where("_corrupt_record is null").drop("_corrupt_record")
+    """Annotation tasks of files that hold one list each; a task that cannot be read is left out, not its file."""
+    each = spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json("value", "array<string>")).alias("task"))
+    read = each.select(F.from_json("task", TASKS, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("t")).select("t.*")
+    return read.where("_corrupt_record is null and id is not null").drop("_corrupt_record")
 
 
 def task_boxes(tasks: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from panelmill.plans.queries import QUERIES, SQL
+from panelmill.plans import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 

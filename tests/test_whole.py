@@ -3,7 +3,7 @@
 import random
 
 from panelmill.operators import spatial
-from panelmill.plans.queries import QUERIES
+from panelmill.plans import QUERIES
 
 
 def edits(a, b):
