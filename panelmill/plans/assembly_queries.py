@@ -223,7 +223,7 @@ select fig, 'panel_' || coalesce(cap::varchar, 'None') as panel_id, cap as assig
 def places_agree(spark, d):
     li = Tables(spark, d).lineitem
     a = lambda *v: F.array(*map(F.lit, v))
-    n = F.col("l_linenumber") * F.lit(1_000_000_000) + F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    n = F.col("l_linenumber").cast("bigint") * F.lit(1_000_000_000) + F.round(F.col("l_extendedprice") * 100).cast("bigint")
     votes = li.select(F.col("l_orderkey").alias("fig"), (F.col("l_linenumber") % 3).alias("annotator"), n.alias("n"), F.when(F.col("l_partkey") % 4 != 3, F.col("l_partkey") % 2).alias("subcaption"), F.when(F.col("l_quantity") > 40, a(1, 2, 3)).when(F.col("l_quantity") > 20, a(2, 1)).otherwise(a(1, 2)).alias("images"), F.when(F.col("l_suppkey") % 20 != 0, a("place")).alias("kinds"), F.col("l_extendedprice").alias("confidence"))
     return answers.placed_agreement(votes)
 

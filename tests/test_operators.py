@@ -41,8 +41,11 @@ def test_names(spark):
     assert (f("pone.0012-g003"), f("gr2_lrg"), f("fig4b"), f("xyz")) == ((3, None), (2, None), (4, "b"), (None, None))
     assert [one(spark, tx.is_alnum_token(F.lit(s))) for s in ("a1", "ab1", "a1b", "12a", "a12", "a", "1")] == [True, True, True, True, False, False, False]
     kind = lambda *n: tuple(one(spark, tx.name_class(F.array(*map(F.lit, n)))))
-    assert kind("A", "B", "C") == ("alphanum", True)
-    assert kind("(a)", "(c)")[0] == "ambiguous" and kind("Top left", "Bottom")[0] == "positional" and kind("None")[0] == "full_caption"
+    assert kind("A", "B", "C") == (False, True, None, False, True, None)
+    assert kind("(a)", "(b)") == (False, True, None, True, True, None) and kind("Above", "below")[2] == "position_in_image" and kind("first", "second")[2] is None and kind("None")[0]
+    level = lambda text, name, *names: one(spark, tx.match_level(F.lit(text), F.lit(name), F.array(*map(F.lit, names))))
+    assert (level("A ", " A", "A"), level("A", "a", "a"), level("A", "a", "a", "B"), level("(a)", "a", "a"), level("A1", "a", "a")) == (1, 2, None, 3, 6)
+    assert [one(spark, tx.word_distance(F.lit(a), F.lit(b))) for a, b in (("a b c", "a c"), ("", "x y"), ("a b", "b a"))] == [1, 2, 2]
     assert tuple(one(spark, tx.parse_uuid(F.lit("PMC12_a_b")))) == (12, "a_b")
     assert one(spark, tx.is_continued(F.lit("Figure 3. Control group"))) is False and one(spark, tx.is_continued(F.lit("Fig. 2: continued"))) is True
     assert one(spark, tx.date_number(F.lit("None"))) == -1
@@ -65,18 +68,30 @@ def test_tables(spark):
         raise AssertionError("a missing key must raise")
     except Exception as e:
         assert "no k 1" in str(e)
-    panels = spark.createDataFrame([(1, 1, [5]), (1, 2, [6, 7]), (1, 3, [6])], "fig long, panel_id long, label_ids array<long>")
-    assert {r.panel_id: r.assigned_label for r in assembly.panel_flags(panels).collect()} == {1: 5, 2: None, 3: None}
+    many = spark.createDataFrame([(1, 2), (1, 3)], "k long, v long")
+    try:
+        rel.outer_assembly({"a": right, "b": many}, "k").collect()
+        raise AssertionError("a repeated key must raise")
+    except Exception as e:
+        assert "repeated k 1" in str(e)
+    try:
+        rel.all_there(left, right, ["k"])
+        raise AssertionError("a missing key must raise")
+    except ValueError as e:
+        assert "(1,)" in str(e)
+    rows = spark.createDataFrame([(x,) for x in [5.0, 1.0, None, 3.0, 3.0, 2.0] * 20], "x double")
+    out = [(r.n, r.x) for r in rel.numbered(rows, "x").orderBy("n").collect()]
+    assert [n for n, _ in out] == list(range(1, 121)) and [x for _, x in out] == sorted([5.0, 1.0, 3.0, 3.0, 2.0] * 20) + [None] * 20
 
 
-def test_panel_rows(spark):
-    panels = spark.createDataFrame([(1, True, False, "7", "5"), (2, True, False, "", "5"), (3, True, False, "8", None), (4, True, False, "7", "rejected")], "panel_id long, relevance boolean, needs_review boolean, assigned_subcaption string, origin string")
-    predictions = spark.createDataFrame([(1, 11, 100)], "id long, article_images_id long, article_id long")
-    figures = spark.createDataFrame([(11, "gr_1")], "id long, image_cluster_id string")
-    articles = spark.createDataFrame([(100, "gr_1", 2, "t", "c", "CC BY"), (100, "gr_1", 1, "t", "c", None)], "article_id long, image_cluster_id string, row_id long, title string, citation string, licence string")
-    captions = spark.createDataFrame([("7", "", "text")], "id string, sub_caption_name string, sub_caption_text string")
-    rows = assembly.panel_rows(panels, predictions, figures, articles, captions).collect()
-    assert [(r.panel_id, r.figure_uuid, r.panel_name, r.commercial_use) for r in rows] == [(1, "PMC100_gr_1", "None", False)]
+def test_panel_flags(spark):
+    panels = spark.createDataFrame([(1, 1, [5]), (1, 2, [6, 7]), (1, 3, [6]), (1, 4, []), (1, 5, [9])], "fig long, panel_id long, label_ids array<long>")
+    texts = spark.createDataFrame([(1, 5, None), (1, 6, None), (1, 7, None), (1, -1, 4), (1, -2, 4)], "fig long, label_id long, panel_id long")
+    matched = spark.createDataFrame([(1, 5, 50), (1, 6, 60), (1, -1, 70)], "fig long, label_id long, caption_id long")
+    out = {r.panel_id: r for r in assembly.panel_flags(panels, texts, matched).collect()}
+    assert {k: r.assigned_subcaption for k, r in out.items()} == {1: 50, 2: None, 3: None, 4: None, 5: None}
+    assert {k: r.needs_review for k, r in out.items()} == {1: False, 2: True, 3: False, 4: True, 5: True}
+    assert [k for k, r in sorted(out.items()) if r.has_shared_labels] == [2, 3] and [k for k, r in out.items() if r.has_estimated_labels] == [4]
 
 
 def test_sources_and_sinks(spark, tmp_path):
@@ -96,8 +111,18 @@ def test_sources_and_sinks(spark, tmp_path):
     assert (tuple(r.box), r.labels, r.names, r.conflict) == ((20, 20, 80, 60), ["Panel"], ["A"], False)
     assert [tuple(r) for r in readers.shard_names(spark, {"s": 114}).orderBy("package").collect()][-1] == ("s", 2, "000100", "000114")
     b = spark.createDataFrame([("f.jpg", 1, 0)], "file_name string, id long, category_id int").withColumn("box", box(1, 2, 5, 9))
-    writers.coco_json(b, str(tmp_path / "coco"))
-    assert spark.read.json(str(tmp_path / "coco")).first().annotations[0].bbox == [1, 2, 4, 7]
+    images = spark.createDataFrame([(1, "f.jpg", 10, 10)], "id long, file_name string, width int, height int")
+    kinds = spark.createDataFrame([(0, "Panel")], "id int, name string")
+    writers.coco_document(images, b.select("id", F.lit(1).alias("image_id"), "category_id", "box"), kinds, str(tmp_path / "coco"))
+    file = next((tmp_path / "coco").glob("part-*"))
+    whole = json.loads(file.read_text())
+    assert whole["annotations"][0]["bbox"] == [1, 2, 4, 7] and whole["annotations"][0]["segmentation"] == [[1, 2, 5, 2, 5, 9, 1, 9]]
+    assert [tuple(r)[1:3] for r in readers.coco(spark, str(tmp_path / "coco")).collect()] == [("f.jpg", "Panel")]
+    assert [r.a for r in readers.wanted_members(members, spark.createDataFrame([("a",)], "a string"), "a").select("a").distinct().collect()] == ["a"]
+    cut = (tmp_path / "a/PMC1.tar.gz").read_bytes()
+    (tmp_path / "a/PMC3.tar.gz").write_bytes(cut[: len(cut) // 2])
+    found = readers.archive_members(spark, str(tmp_path / "a")).collect()
+    assert {r.path[-11:] for r in found if r.error} == {"PMC2.tar.gz", "PMC3.tar.gz"} and sum(r.kind == ".nxml" for r in found) >= 1
 
 
 def test_new_files_once(spark, tmp_path):

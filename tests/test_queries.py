@@ -27,8 +27,3 @@ def test_query(spark, duck, name):
     assert columns == sorted(names)
     got = sorted(repr(tuple(r[c] for c in columns)) for r in df.collect())
     assert got == sorted(repr(tuple(r[names.index(c)] for c in columns)) for r in found.fetchall())
-
-
-def test_greedy_match(spark):
-    rows = [(r.fig, r.parent_id, r.child_id) for r in QUERIES["greedy_match"](spark, SF).collect()]
-    assert rows and len({(f, p) for f, p, _ in rows}) == len({(f, c) for f, _, c in rows}) == len(rows)

@@ -2,38 +2,13 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from panelmill.operators import spatial
 from panelmill.plans import QUERIES
 
 
-def edits(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
-
-
-def test_caption_distance_whole(spark, tmp_path):
-    same = "the same words in each caption, up to the sixtieth character and beyond "
-    texts = {58: same + "one", 59: same + "two\n", 60: same + "é中 two", 61: "", 62: None, 99: "alone", 5000: "late", 5001: "later on"}
-    spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    want = []
-    for i in sorted(texts):
-        if i + 1 in texts:
-            a, b = (None if t is None else "".join(t.split()) for t in (texts[i], texts[i + 1]))
-            if a is None or b is None:
-                want.append((i, i + 1, None, None, None))
-            else:
-                n = min(len(a), len(b))
-                want.append((i, i + 1, edits(a, b), edits(a[:n], b[:n]), n))
-    found = sorted((r.a, r.b, r.whole, r.cut, r.n) for r in QUERIES["caption_distance_whole"](spark, str(tmp_path)).collect())
-    assert len(want) == 5 and found[:3] + found[4:] == want[:3] + want[4:]
-    assert found[3][:4] == want[3][:4]
-
-
-def test_hamming_whole(spark, tmp_path, monkeypatch):
+def test_hamming_pairs(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(spatial, "BLOCK", 32)
     draw = random.Random(1)
     bases = [[draw.choice((-1.0, 1.0)) for _ in range(64)] for _ in range(40)]
@@ -43,11 +18,13 @@ def test_hamming_whole(spark, tmp_path, monkeypatch):
     far = lambda v, w: sum((x > 0) != (y > 0) for x, y in zip(v, w, strict=True))
     want = sorted((i, j, far(v, w)) for i, v in rows for j, w in rows if v and w and i < j and far(v, w) <= 10)
     assert len(want) > 100 and any(i > 100 for i, _, _ in want)
-    assert sorted(map(tuple, QUERIES["hamming_whole"](spark, str(tmp_path)).collect())) == want
+    bit = lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))
+    hashes = spark.read.parquet(f"{tmp_path}/embeddings.parquet").select("vec_id", F.aggregate(F.transform("embedding", bit), F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x)).alias("h"))
+    assert sorted(map(tuple, spatial.hamming_pairs(hashes, "vec_id", "h", 10).collect())) == want
 
 
 def test_segments_reach_the_end(spark, tmp_path):
     rows = [(1, "x" * 30 + "middle!" + "y" * 30 + "the end", 74), (2, "short", 5), (3, "", 0)]
     spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
-    found = {r.doc_id: r.text for r in QUERIES["segment_reconstruct_whole"](spark, str(tmp_path)).collect()}
+    found = {r.doc_id: r.text for r in QUERIES["segment_reconstruct"](spark, str(tmp_path)).collect()}
     assert found == {i: f"{t[:5]}-{t[n // 2 : n // 2 + 7]}-{t[max(n - 7, 0) :]}" for i, t, n in rows}
