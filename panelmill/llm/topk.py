@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 
 from panelmill.llm.common import column, pack, rows_of, unpack, written
 
-BLOCK, QUERIES, LEAF, FAN, BASE = 8192, 2048, 256, 64, 2.0
+BLOCK, QUERIES, FAN, BASE = 8192, 2048, 64, 2.0
+#: Points of a leaf, of the data and of the queries.
+LEAF, QUERY_LEAF = 256, 16
 CELLS, SAMPLE = 64, 4096
 #: Queries whose products are made at once.
 TILE = 128
@@ -63,23 +65,23 @@ class Node:
 
     __slots__ = ("centre", "children", "length", "members", "radius", "separation")
 
-    def __init__(self, x: np.ndarray, centre: int, members: np.ndarray, far: np.ndarray):
+    def __init__(self, x: np.ndarray, centre: int, members: np.ndarray, far: np.ndarray, leaf: int):
         """far: the members' distances from the centre."""
         self.centre, self.members, self.radius, self.separation = centre, members, float(far.max()), 0.0
         with np.errstate(all="ignore"):
             self.length = float(np.linalg.norm(x[centre]))
         self.children: list[Node] = []
-        if len(members) <= LEAF or not 0 < self.radius < math.inf:
+        if len(members) <= leaf or not 0 < self.radius < math.inf:
             return
         own_x = x[members]
         self.separation = self.radius / BASE
         centres, own, near = net(own_x, int(np.flatnonzero(members == centre)[0]), far, self.separation, FAN)
         if near.max() <= self.separation:
-            self.children = [Node(x, int(members[c]), members[own == i], near[own == i]) for i, c in enumerate(centres)]
+            self.children = [Node(x, int(members[c]), members[own == i], near[own == i], leaf) for i, c in enumerate(centres)]
 
 
-def cover_tree(x: np.ndarray) -> Node:
-    return Node(x, 0, np.arange(len(x)), _far(x, x[0]))
+def cover_tree(x: np.ndarray, leaf: int) -> Node:
+    return Node(x, 0, np.arange(len(x)), _far(x, x[0]), leaf)
 
 
 def whole_numbers(row: np.ndarray) -> list[int]:
@@ -101,7 +103,7 @@ class Search:
         self.numbers: dict[tuple, list[int]] = {}
         self.best: list[list[tuple]] = [[] for _ in q_ids]  # (-score, id), ascending
         self.worst = np.full(len(q_ids), -np.inf) if floors is None else floors.copy()
-        todo = [(cover_tree(self.q), cover_tree(self.x))]
+        todo = [(cover_tree(self.q, QUERY_LEAF), cover_tree(self.x, LEAF))]
         while todo:
             a, b = todo.pop()
             if self._bound(a, b) < self.worst[a.members].min():

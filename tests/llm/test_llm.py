@@ -326,7 +326,7 @@ def test_cover_tree():
     """Children cover their parent's points within its radius over BASE, and their centres lie farther apart."""
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.normal(c, 0.01, (300, 3)) for c in range(12)])
-    nodes, inner = [topk.cover_tree(x)], 0
+    nodes, inner = [topk.cover_tree(x, 256)], 0
     while nodes:
         node = nodes.pop()
         assert np.linalg.norm(x[node.members] - x[node.centre], axis=1).max() <= node.radius + 1e-12
