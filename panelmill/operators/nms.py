@@ -37,7 +37,7 @@ def split_nms(boxes: DataFrame, figure: str = "fig", kind: str = "cls", classwis
     if least_score is not None:
         boxes = boxes.where(F.col("score") >= least_score)
     # one grouping: the boxes of a figure with their class, split up inside the row
-    one = F.struct((-F.col("score")).cast("double").alias("rank"), F.col("id").cast("bigint").alias("id"), *[F.col(n).cast("double").alias(n) for n in ("x0", "y0", "x1", "y1")], F.col(kind).cast("int").alias("cls"))
+    one = F.struct((-F.col("score")).cast("double").alias("rank"), F.col("id").cast("bigint").alias("id"), *[F.col(n).cast("double").alias(n) for n in ("x0", "y0", "x1", "y1")], F.col(kind).alias("cls"))
     every = boxes.groupBy(figure).agg(F.collect_list(one).alias("boxes"))
     of = lambda test: F.transform(F.filter("boxes", lambda b: F.coalesce(test(b["cls"]), F.lit(False))), lambda b: b.dropFields("cls"))
     kept = [of(lambda c: c.isin(*classwise)), *[of(lambda c, k=k: c == k) for k in classwise], of(lambda c: ~c.isin(*classwise))]
