@@ -250,6 +250,50 @@ def test_partial_quotes(spark):
     assert [out[c, len(texts) - 1] for c, (texts, _, _) in enumerate(cases)] == [x[1:] for x in cases]
 
 
+def brute_threads(turns):
+    """turns {turn: text} to {turn: (answers, place, depth)}: quotes of one whole line, the walk by recursion."""
+    order, answers = sorted(turns), {}
+    for n, t in enumerate(order):
+        asked = [x[2:].lower() for x in turns[t].split("\n") if x.startswith("> ")]
+        hits = [max([u for u in order[:n] if q in [x.lower() for x in turns[u].split("\n") if not x.startswith(">")]], default=None) for q in asked]
+        answers[t] = max([h for h in hits if h is not None], default=order[n - 1] if n else None)
+    out = {}
+
+    def walk(t, depth):
+        out[t] = (answers[t], len(out), depth)
+        for u in order:
+            if answers[u] == t:
+                walk(u, depth + 1)
+
+    if order:
+        walk(order[0], 0)
+    return out
+
+
+@pytest.mark.parametrize("span", [4096, 3])
+def test_reply_order(spark, monkeypatch, span):
+    """Random quotes of single lines: links, places and depths against a recursion, in one range of turns and in many."""
+    monkeypatch.setattr(threads, "SPAN", span)
+    rng, rows = random.Random(5), []
+    talks = {c: {} for c in range(12)}
+    for c, talk in talks.items():
+        for n in range(rng.choice((0, 1, 2, 30))):
+            t = n * rng.choice((1, 2)) if c % 2 else n
+            quoted = "".join(f"> line {rng.randrange(max(n, 1))}\n" for _ in range(rng.choice((0, 0, 1, 2)))) if c % 3 else ""
+            talk[t] = talk.get(t) or f"{quoted}line {n}"
+        rows += [(c, t, "user", text) for t, text in talk.items()]
+    out = threads.threads(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    got = {(r.conv_id, r.turn): (r.answers, r.place, r.depth) for r in out.collect()}
+    assert got == {(c, t): x for c, talk in talks.items() for t, x in brute_threads(talk).items()}
+    assert [(r.conv_id, r.place) for r in out.collect()] == sorted((c, p) for (c, _), (_, p, _) in got.items())
+    texts = collections.defaultdict(dict)
+    for r in threads.conversations(out, 7).collect():
+        texts[r.conv_id][r.part] = r.chat
+    chats = {(r.conv_id, r.place): r.chat for r in out.collect()}
+    for c, talk in talks.items():
+        assert "\n".join(x for _, x in sorted(texts[c].items())) == "\n".join(chats[c, p] for p in range(len(talk)))
+
+
 def brute_rules(t):
     t = t or ""
     w = re.findall(WORD, t)
