@@ -5,8 +5,8 @@
 2. The words of all blocks are dealt out by hash; each distinct word of the corpus is encoded once, in the
    one group that holds it, and its ids go back to every block that has the word. A block sends a word once
    however often it occurs, so frequent words do not make large groups.
-3. Each block finds its words' groups again, joins the ids back by position, and decodes them through the id-to-piece table, whose size is
-   the vocabulary's.
+3. Each block finds its words' groups again, joins the ids back by position, and decodes them by a lookup in the id-to-piece
+   table, a broadcast join whose small side has the vocabulary's size.
 
 Rows: one for each input row, repeated rows included; any other columns are left out, whatever their names.
 A null or empty text has 0 tokens and the hashes of empty strings. A null id stays null.
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelmill.llm.common import Rolling, as_text, bucketed, buckets, chunks, column, ends, pack, rows_of, unpack
@@ -30,7 +30,7 @@ WORDS_A_GROUP = 400_000
 
 BYTES = Rolling(256, 21)
 
-_BLOCK = "block bigint, ids array<bigint>, offsets binary, codes binary, words binary, n_words bigint"
+_BLOCK = "block bigint, ids array<bigint>, places array<bigint>, offsets binary, codes binary, words binary, n_words bigint"
 
 
 def _blocks(path: str):
@@ -50,11 +50,12 @@ def _blocks(path: str):
                 yield pa.RecordBatch.from_pydict({
                     "block": [block],
                     "ids": [rows.column(0).to_pylist()],
+                    "places": [rows.column(2).to_pylist()],
                     "offsets": [pack(s.offsets)],
                     "codes": [pack(rank[s.codes])],
                     "words": [pack(sizes, b"".join(words))],
                     "n_words": [len(words)],
-                }, pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("offsets", pa.binary()), ("codes", pa.binary()), ("words", pa.binary()), ("n_words", pa.int64())]))
+                }, pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("places", pa.list_(pa.int64())), ("offsets", pa.binary()), ("codes", pa.binary()), ("words", pa.binary()), ("n_words", pa.int64())]))
                 block += 1
 
     return run
@@ -138,7 +139,7 @@ def pieces(path: str) -> list[bytes]:
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
-def _finish(path: str, groups: int, keep_ids: bool, keep_text: bool):
+def _finish(path: str, groups: int, keep_ids: bool, keep_text: bool, keep_place: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = pieces(path)
         for row in rows_of(batches):
@@ -172,23 +173,28 @@ def _finish(path: str, groups: int, keep_ids: bool, keep_text: bool):
             if keep_text:
                 out.append(pa.array(all_texts, pa.string()))
                 schema = schema.append(pa.field("decoded", pa.string()))
+            if keep_place:
+                out.append(pa.array(row["places"], pa.int64()))
+                schema = schema.append(pa.field("position", pa.int64()))
             yield pa.RecordBatch.from_arrays(out, schema=schema)
 
     return run
 
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, keep_text: bool = False) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, keep_text: bool = False, position: Column | None = None) -> DataFrame:
     """Every text's tokens (token_ids, if kept), and the text that they decode to (decoded, if kept).
 
-    path: a byte-level BPE file of the tokenizers library, there on every machine.
+    path: a byte-level BPE file of the tokenizers library, there on every machine. position: a number that each row keeps,
+    such as its place in the training order.
     """
-    docs = docs.select(column(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text"))
+    place = F.lit(None) if position is None else position
+    docs = docs.select(column(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text"), place.cast("bigint").alias("place"))
     blocks = bucketed(docs.mapInArrow(_blocks(path), _BLOCK), "bpe", "block", buckets(docs))
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
     groups = max(1, -(-total // WORDS_A_GROUP))
     dealt = blocks.select("block", "words").mapInArrow(_deal(groups), "part bigint, block bigint, words binary")
     encoded = dealt.groupBy("part").applyInArrow(_encode(path), "block bigint, part bigint, encoded binary")
     encoded = encoded.groupBy("block").agg(F.collect_list(F.struct("part", "encoded")).alias("encoded"))
-    columns = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids + ", decoded string" * keep_text
-    joined = blocks.select("block", "ids", "offsets", "codes", "words", "n_words").join(encoded, "block", "left")
-    return joined.mapInArrow(_finish(path, groups, keep_ids, keep_text), columns)
+    columns = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids + ", decoded string" * keep_text + ", position bigint" * (position is not None)
+    joined = blocks.select("block", "ids", "places", "offsets", "codes", "words", "n_words").join(encoded, "block", "left")
+    return joined.mapInArrow(_finish(path, groups, keep_ids, keep_text, position is not None), columns)

@@ -5,8 +5,8 @@ space), normalised to length 1. Each language has several centroids (spherical k
 a text takes the language of the centroid with the highest cosine, and is marked rejected where that cosine
 lies below the range which the centroid's own sample texts span.
 
-The model is fitted on a bounded sample: PER_LANGUAGE texts of each of the LANGUAGES most frequent labels,
-picked by a hash of the id. Every text is scored, whole.
+The model is fitted on a bounded sample: about PER_LANGUAGE texts of each label, those of the least hashes of id and
+text, repeated rows once. Every label is learned, however rare; every text is scored, whole.
 
 Rows: one for each input row, repeated rows included; other columns are left out. A null text, or one
 without a letter, is `und` with score 0. A null id is never held out and never learned from. With nothing to
@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import as_text, chunks, pack, unpack
+from panelmill.llm.common import as_text, chunks, column, pack, spread, unpack
 
-#: Bounds of the sample that the model is fitted on.
-PER_LANGUAGE, LANGUAGES = 400, 500
+#: Texts of each label in the sample that the model is fitted on.
+PER_LANGUAGE = 400
 DIMS, CENTROIDS, ROUNDS = 4096, 4, 12
 #: Texts that are vectors at once.
 ROWS = 1024
@@ -98,14 +98,14 @@ def _centroids(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> dict:
     """The model, from the rows where learn holds and the label is not null."""
-    rows = docs.where(learn & F.col(lang_col).isNotNull() & as_text(text_col).rlike(r"\p{L}")).select(F.col(lang_col).cast("string").alias("lang"), as_text(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30)).alias("place"))
-    sizes = docs.where(learn & F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).cast("string").alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    sizes = sizes.select("lang", (F.lit(PER_LANGUAGE * (1 << 30)) / F.col("count")).alias("below"))
-    sample = rows.join(F.broadcast(sizes), "lang").where("place < below").select("lang", "text")  # at most LANGUAGES rows are broadcast
+    known = docs.where(learn & column(id_col).isNotNull() & column(lang_col).isNotNull() & as_text(text_col).rlike(r"\p{L}"))
+    place = F.pmod(F.xxhash64(column(id_col).cast("string"), as_text(text_col)), F.lit(1 << 30))
+    rows = known.select(column(lang_col).cast("string").alias("lang"), as_text(text_col).alias("text"), place.alias("place"))
+    sizes = known.groupBy(column(lang_col).cast("string").alias("lang")).count().select("lang", (F.lit(PER_LANGUAGE * (1 << 30)) / F.col("count")).alias("below"))
+    sample = rows.join(sizes, "lang").where("place < below").groupBy("lang", "place").agg(F.min("text").alias("text")).select("lang", "text")
     by: dict[str, list[bytes]] = {}
     for r in sample.mapInArrow(_sample, "lang string, packed binary").toLocalIterator():
-        if len(own := by.setdefault(r.lang, [])) < 2 * PER_LANGUAGE:
-            own.append(bytes(r.packed))
+        by.setdefault(r.lang, []).append(bytes(r.packed))
 
     def dense(packed: list[bytes]) -> np.ndarray:
         out = np.zeros((len(packed), DIMS), np.float32)
@@ -145,6 +145,6 @@ def _predict(model):
 
 def identify(docs: DataFrame, model: dict, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred, score (the cosine) and rejected of every text."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by LANGUAGES * CENTROIDS * DIMS
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), as_text(text_col).alias("text"))
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # CENTROIDS * DIMS numbers for each label
+    rows = spread(docs).select(column(id_col).cast("bigint").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), as_text(text_col).alias("text"))
     return rows.mapInArrow(_predict(sent), "doc_id bigint, held_out boolean, lang_pred string, score double, rejected boolean")

@@ -9,6 +9,9 @@ the order of a hash; the middle of a document in the running sum of sizes, put i
 integral, is its training position. A second pass over the source follows where the target asks for it.
 Documents are then range-sorted by position.
 
+A source's time runs at the pace of its own schedule; the position of time t is the number of words that the whole mix has
+asked for by then, the sum of the sources' integrals, so positions measure the mix and not one source.
+
 Running sums take two levels: hash ranges of about RANGE documents each are summed first, then documents inside
 one range, so no source is one task. Rows that are equal in id and text are one unit, taken together.
 A document is taken 0, 1 or 2 times, whole; its size is its number of words (null text: 0). Documents of
@@ -56,7 +59,8 @@ def position(share: Column, slope: Column) -> Column:
 
 
 def _key(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.lit("mix"), column(id_col).cast("string"), as_text(text_col))
+    digest = F.md5(F.concat_ws(":", F.lit("mix"), column(id_col).cast("string"), as_text(text_col)))
+    return F.conv(F.left(digest, F.lit(15)), 16, 10).cast("bigint")
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -65,7 +69,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     units = written(rows.groupBy("doc_id", "source", "key", "size").agg(F.count("*").alias("n_rows")), "units")
     sources = units.groupBy("source").agg(F.sum(F.col("size") * F.col("n_rows")).alias("source_size"), F.count("*").alias("n_units"))
     slopes = F.element_at(F.array(*map(F.lit, SLOPES)), (F.col("place") % len(SLOPES) + 1).cast("int"))
-    sources = written(targets(sources).withColumn("slope", slopes).withColumn("ranges", F.ceil(F.col("n_units") / RANGE).cast("bigint")), "sources")
+    sources = written(targets(sources).withColumn("slope", slopes).withColumn("mix", F.sum("target").over(Window.partitionBy())).withColumn("bend", F.sum(F.col("target") * F.col("slope")).over(Window.partitionBy())).withColumn("ranges", F.ceil(F.col("n_units") / RANGE).cast("bigint")), "sources")
     at = F.floor(F.pmod(F.col("key"), F.lit(1 << 31)) / F.lit(1 << 31) * F.col("ranges")).cast("bigint")
     units = units.withColumn("has", F.col("source").isNotNull()).withColumn("source", F.coalesce("source", F.lit("")))
     sources = sources.withColumn("has", F.col("source").isNotNull()).withColumn("source", F.coalesce("source", F.lit("")))
@@ -80,13 +84,15 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     units = units.withColumn("middle", middle)
     share = lambda k: F.least((F.col("middle") + k * F.col("source_size")) / F.greatest("target", F.lit(1.0)), F.lit(1.0))
     copies = (F.col("middle") <= F.col("target")).cast("int") + ((F.col("middle") + F.col("source_size") <= F.col("target")) & (F.col("size") > 0)).cast("int")
-    units = units.withColumn("copies", copies).withColumn("positions", F.slice(F.array(*[position(share(k), F.col("slope")) for k in (0, 1)]), F.lit(1), F.col("copies")))
+    asked = lambda t: F.col("mix") * t + F.col("bend") * (t - t * t)
+    times = F.slice(F.array(*[position(share(k), F.col("slope")) for k in (0, 1)]), F.lit(1), F.col("copies"))
+    units = units.withColumn("copies", copies).withColumn("positions", F.transform(times, asked))
     return units.select("doc_id", F.when(F.col("has"), F.col("source")).alias("source"), "key", "n_rows", "size", "source_size", "target", "copies", "positions")
 
 
 def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, size, source_size, target, taken and position (the first; null if not taken) of every row, in
-    training order."""
+    training order. position: words of the whole mix that come before."""
     out = plan(docs, id_col, text_col, source_col).withColumn("row", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))))
     out = out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("bigint").alias("taken"), F.get("positions", F.lit(0)).alias("position"))
     return out.orderBy(F.col("position").asc_nulls_last(), "doc_id")

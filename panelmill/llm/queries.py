@@ -35,7 +35,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelmill.llm.mixing import taken
 
-    return taken(_table(spark, sf_dir, "documents"))
+    return taken(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op4_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def quality_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op9 counts before its list decides."""
+    from panelmill.llm import rules
+
+    out = rules.judged(_table(spark, sf_dir, "documents"), [])
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelmill.llm.topk import top_k
 
@@ -87,11 +95,11 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
+    return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()} | {"quality_statistics": quality_statistics}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_suffix_dedup": REPEATS, "op6_jaccard_join": LINKS, "op10_exact_topk": TOP_K}
+    return {"op3_source_mix": MIX, "quality_statistics": STATISTICS, "op5_suffix_dedup": REPEATS, "op6_jaccard_join": LINKS, "op10_exact_topk": TOP_K}
 
 
 #: All 50-byte strings with the least document that has them; the runs that later documents lose; what stays.
@@ -146,6 +154,49 @@ select doc_id, cast(len(s.g) as bigint) as n_shingles, cast(coalesce(component_i
 from s left join classes on s.g = classes.g left join components using (c)
 """
 
+#: Targets under their caps by sources in the order of cap / weight; documents by the hash of id and text.
+MIX = """
+with d as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size,
+         ('0x' || substr(md5(concat_ws(':', 'mix', doc_id, text)), 1, 15))::bigint as key from documents
+), s as (
+  select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) - 1 as place from d group by source
+), w as (
+  select *, [5.0::double, 2.0::double, 1.0::double][(place % 3 + 1)::int] as weight, 2.0::double * source_size as cap from s
+), u as (
+  select *, (1.5::double * (select sum(source_size) from w)::double - coalesce(sum(cap) over before, 0)) / ((select sum(weight) from w) - coalesce(sum(weight) over before, 0)) as unit
+  from w window before as (order by cap / weight, place rows between unbounded preceding and 1 preceding)
+), t as (
+  select source, source_size, least(cap, coalesce((select arg_min(unit, struct_pack(r := cap / weight, p := place)) from u where unit * weight <= cap) * weight, cap)) as target from u
+), units as (
+  select doc_id, source, key, size, count(*) as n from d group by all
+), m as (
+  select *, coalesce(sum(size * n) over (partition by source order by key % 2147483648, key, doc_id rows between unbounded preceding and 1 preceding), 0) + size * n / 2 as middle from units
+)
+select doc_id, size, source_size, target, (size * ((middle <= target)::int + (middle + source_size <= target and size > 0)::int))::bigint as taken
+from m join t on m.source is not distinct from t.source, lateral unnest(range(n))
+"""
+
+#: The counts of op9: words of 5-word windows that occur twice, lines equal to an earlier one.
+STATISTICS = """
+with d as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents
+), g as (
+  select doc_id, i, array_to_string(w[i:i + 4], ' ') as g from d, lateral unnest(range(1, len(w) - 3)) as r(i)
+), again as (
+  select doc_id, i from g qualify count(*) over (partition by doc_id, g) > 1
+), covered as (
+  select doc_id, count(distinct i + k) as n from again, range(5) as r(k) group by doc_id
+), lines as (
+  select doc_id, count(*) - count(distinct line) as n from (select doc_id, unnest(string_split(t, chr(10))) as line from d) where regexp_matches(line, '[^\\x20\\x09-\\x0D]') group by doc_id
+), c as (
+  select doc_id, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+         (length(t) - length(translate(t, '#*$%&|<>', '')))::bigint as n_symbols, coalesce(lines.n, 0)::bigint as n_dup_lines, coalesce(covered.n, 0)::bigint as n_repeat_words
+  from d left join lines using (doc_id) left join covered using (doc_id)
+)
+select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from c
+"""
+
 #: Scores of each query against every other row, in integers.
 TOP_K = """
 with e as (

@@ -2,7 +2,7 @@
 
 Statistics of each text are Spark expressions: array functions inside a row, in n log n time, so a text of
 any length needs no shuffle. Sequential covering learns the list on the driver from the statistics of a
-bounded labelled sample (SAMPLE rows picked by a hash of the id): a conjunction of thresholds is grown by
+bounded labelled sample (SAMPLE documents picked by a hash of the id, a repeated one with its least label and text): a conjunction of thresholds is grown by
 information gain on two thirds of it, pruned on the other third, and kept while it is precise there; rows
 it covers leave the sample. The list becomes one ordered conditional expression.
 
@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import as_text
+from panelmill.llm.common import as_text, column, spread
 
 SAMPLE = 4000
 #: A rule is kept if it covers this many junk rows of the pruning part, this precisely.
@@ -69,7 +69,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     lines = F.filter(F.split(F.col("_text"), "\n"), lambda x: x.rlike(WORD))
     without = lambda chars: F.char_length("_text") - F.char_length(F.translate("_text", chars, ""))
-    out = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), *more, text.alias("_text"))
+    out = docs.select(column(id_col).cast("bigint").alias("doc_id"), *more, text.alias("_text"))
     out = out.withColumn("_w", _let(F.regexp_extract_all(F.col("_text"), F.lit(WORD), F.lit(0)), counts)).withColumn("_l", _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))))
     return out.select(
         "doc_id",
@@ -172,15 +172,16 @@ def as_column(rules: list[list[Condition]]) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[list[Condition]]:
-    known = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").cast("bigint").alias(id_col), F.col("quality").cast("int").alias("quality"))
-    known = known.orderBy(F.xxhash64(id_col), "quality").limit(SAMPLE)
-    sample = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col).join(F.broadcast(known), id_col)  # at most SAMPLE rows are broadcast
-    return learn(statistics(sample, id_col, text_col, "quality").limit(2 * SAMPLE).collect())
+    known = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    own = docs.select(column(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text")).join(F.broadcast(known), "doc_id")  # at most SAMPLE rows are broadcast
+    own = own.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # a repeated document counts once
+    return learn(statistics(own, "doc_id", "text", "quality").collect())
 
 
 def judged(docs: DataFrame, rules: list[list[Condition]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The statistics, base_failed, the rule that rejects (0: none) and kept."""
-    out = statistics(docs, id_col, text_col)
+    out = statistics(spread(docs), id_col, text_col)
     out = out.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     out = out.withColumn("rule", as_column(rules))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))

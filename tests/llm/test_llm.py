@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from panelmill.llm.common import written
 from panelmill.llm import bpe, language, mixing, quality, queries, rules, similar, substrings, threads, token_counts, topk
 
 SF = "/root/testdata/sf0.001"
@@ -113,6 +114,27 @@ def test_mix(spark, odd, empty, docs):
     assert mixing.taken(empty).count() == 0
 
 
+def test_mix_positions(spark):
+    """Sources come near their targets; a place is the words of the whole mix before it; weights change over time."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = mixing.plan(df).collect()
+    most = max(r.size for r in rows)
+    for source in {r.source for r in rows}:
+        own = [r for r in rows if r.source == source]
+        assert abs(sum(r.size * r.copies for r in own) - own[0].target) <= 2 * most
+    placed = sorted((p, r.size, r.source) for r in rows for p in r.positions)
+    before = 0
+    for p, size, _ in placed:
+        assert abs(p - before) <= 12 * most
+        before += size
+    assert abs(before - sum({r.source: r.target for r in rows}.values())) <= 12 * most
+    heavy = sorted({r.source for r in rows if r.source is not None})[0]
+    half = [sum(size for p, size, s in placed if s == heavy and (p < before / 2) == early) for early in (True, False)]
+    assert half[0] > 1.1 * half[1]  # the schedule of the heaviest source falls
+    df = df.repartition(7)
+    assert sorted((r.doc_id, r.taken, r.position) for r in mixing.taken(df).collect()) == sorted((r.doc_id, r.size * r.copies, r.positions[0] if r.positions else None) for r in rows for _ in range(r.n_rows))
+
+
 def test_quality(spark, odd, empty):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
@@ -406,7 +428,7 @@ def test_pipeline(spark):
 
     tables = [spark.read.parquet(f"{SF}/documents.parquet")]
     for _, stage in corpus_pipeline.STAGES:
-        tables.append(stage(spark, tables[-1], SF).persist())
+        tables.append(written(stage(spark, tables[-1], SF), "test"))
     for df in tables[:-1]:
         assert df.columns == tables[0].columns
     docs, good, single, cut, mix, tokens = [df.collect() for df in tables]
@@ -433,3 +455,24 @@ def test_pipeline(spark):
         ids = t.encode(r.text or "", add_special_tokens=False).ids
         want.append((r.doc_id, len(ids), sha(",".join(map(str, ids)))))
     assert sorted((r.doc_id, r.n_tokens, r.ids_sha256) for r in tokens) == sorted(want)
+    order = sorted((p, r.key, r.doc_id) for r in mixing.plan(tables[3]).collect() for p in r.positions)
+    assert [r.doc_id for r in sorted(tokens, key=lambda r: r.position)] == [i for _, _, i in order]
+    assert len({r.position for r in tokens}) == len(tokens)
+
+
+def test_pipeline_odd(spark, odd, empty, tmp_path):
+    """Nulls, odd texts, repeated rows, no rows, and columns with the operators' names."""
+    import corpus_pipeline
+
+    labels = spark.createDataFrame([(7, 1, 0), (8, 0, 0), (None, 1, 1), (9, None, 0), (1, 0, 0), (2, 1, 0)], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for df in (odd.withColumn("_id", F.lit(5)).withColumn("position", F.lit(6)), empty, odd.where("text is null"), odd.where("doc_id is null")):
+        docs = written(df, "odd")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            after = written(stage(spark, docs, str(tmp_path)), "odd")
+            assert after.columns == df.columns
+            docs = after
+            if "_id" in df.columns:
+                assert {(r._id, r.position) for r in docs.collect()} <= {(5, 6)}
+        tokens = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+        assert tokens.count() == docs.count()
