@@ -2,6 +2,16 @@
 
 Each stage takes (spark, docs, sf_dir) and returns the documents that its successor works on, with the columns
 of documents; the last returns tokens. Stages call the operators of panelmill.llm.
+
+In every stage: an empty table gives an empty one; columns of any other name go through unchanged; repeated rows are rows of
+their own, except where the stage is there to drop them. Nulls and odd texts:
+
+* quality classifier: a null or empty text is scored as one passage without characters; a null id is never learned from.
+* n-gram Jaccard join: texts without words all stay; of a group the row of the least id stays, a null id last, of equal
+  ids the one that is read first.
+* suffix-array dedup: null ids come after all others, rows of one id take nothing from each other; a null text is empty.
+* mixing: a null source is a source; texts without words are taken once, with 0 words; equal rows are taken together.
+* BPE: a null or empty text has no tokens.
 """
 
 from __future__ import annotations
@@ -9,7 +19,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmill.llm import bpe, mixing, quality, similar, substrings
@@ -34,13 +45,26 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, in training order."""
+    """Each document as often as the mix takes it, in training order: by the files' numbers, then by rows."""
     return mixing.mixed_rows(docs)
 
 
+def _position(docs: DataFrame) -> Column:
+    """A number that grows with the training order: file and row of a table that the mix wrote, else the row's place
+    in the DataFrame itself."""
+    name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    try:
+        docs.select(name, row)
+    except AnalysisException:
+        return F.monotonically_increasing_id()
+    number = lambda pattern: F.coalesce(F.regexp_extract(name, pattern, 1).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.shiftleft(number(r"part-(\d+)"), 44) + F.shiftleft(number(r"-c(\d+)"), 34) + row
+
+
 def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokens of each row, with the hashes of ids and decoded text."""
-    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=True)
+    """The tokens of each row, with the hashes of ids and decoded text, and position: its place in training order. A
+    document that is taken twice has two rows, told apart by their positions."""
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=True, position=_position(docs))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
