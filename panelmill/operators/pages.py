@@ -43,3 +43,18 @@ def stacked(pages: DataFrame, figure: list[str]) -> DataFrame:
     space = F.greatest(F.floor(0.02 * F.greatest(wide, high)), F.lit(10)).cast("bigint")
     start = (F.coalesce(F.sum("height").over(before), F.lit(0)) + F.count("*").over(before) * space).cast("bigint")
     return pages.select(*figure, "page", start.alias("y_start"), (start + F.col("height")).cast("bigint").alias("y_end"), wide.alias("image_width"), (high + space * (n - 1)).cast("bigint").alias("image_height"))
+
+
+def merged_figures(records: DataFrame, figure: list[str], pixels: float, farthest: float = 60.0) -> DataFrame:
+    """figure, page, box, y_start, y_end, image_width, image_height and reason: the records of a figure as one image.
+
+    records as in joined_boxes; pixels are those of a unit of length. A figure with a page that cannot be joined has
+    one row for each page with that page's reason, or the figure's least one, and no image.
+    """
+    each = joined_boxes(records, [*figure, "page"], farthest)
+    reasons = each.groupBy(*figure).agg(F.min("reason").alias("reason"))
+    side = lambda low, high: F.round((F.col("box")[high] - F.col("box")[low]) * pixels).cast("bigint")
+    sound = each.drop("reason").join(reasons, figure).where("reason is null").select(*figure, "page", "box", side("x0", "x1").alias("width"), side("y0", "y1").alias("height"))
+    image = stacked(sound, figure).join(sound.select(*figure, "page", "box"), [*figure, "page"])
+    failed = each.select(*figure, "page").join(reasons.where("reason is not null"), figure)
+    return image.withColumn("reason", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import tarfile
+import time
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -140,13 +141,17 @@ def map_files(spark: SparkSession, path: str, value: str) -> DataFrame:
     return spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json("value", f"map<string,{value}>")).alias("key", "value"))
 
 
-def fetched(wanted: DataFrame, fetch: Callable[[str], bytes], at_once: int, key: str = "path") -> DataFrame:
-    """key, content and error of what fetch returns; at_once tasks run it."""
+def fetched(wanted: DataFrame, fetch: Callable[[str], bytes], at_once: int, key: str = "path", a_second: float | None = None) -> DataFrame:
+    """key, content and error of what fetch returns; at_once tasks run it, together at most a_second calls each second."""
+    pause = at_once / a_second if a_second else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        after = 0.0
         for batch in batches:
             for k in batch.column(0).to_pylist():
                 content = error = None
+                time.sleep(max(0.0, after - time.monotonic()))
+                after = time.monotonic() + pause
                 try:
                     content = fetch(k)
                 except OSError as e:
@@ -154,3 +159,39 @@ def fetched(wanted: DataFrame, fetch: Callable[[str], bytes], at_once: int, key:
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.string()), pa.array([content], pa.binary()), pa.array([error], pa.string())], [key, "content", "error"])
 
     return wanted.select(F.col(key).cast("string")).repartition(at_once).mapInArrow(run, f"{key} string, content binary, error string")
+
+
+def searched(spark: SparkSession, ask: Callable[[int, int], tuple[int, list[str]]], most: int, step: int = 100, at_once: int = 1) -> DataFrame:
+    """n and id of what a paged search finds, `most` at the most: ask(start, step) gives the total and a page's ids.
+
+    The first page tells the total; each further page is one row, which at_once tasks ask for.
+    """
+    total = min(ask(0, step)[0], most)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in batch.column(0).to_pylist():
+                ids = ask(start, step)[1][: total - start]
+                yield pa.RecordBatch.from_arrays([pa.array(range(start, start + len(ids)), pa.int64()), pa.array(ids, pa.string())], ["n", "id"])
+
+    return spark.range(0, total, step, at_once).mapInArrow(run, "n bigint, id string")
+
+
+def any_of(terms: list[str]) -> str:
+    """A search term that asks for any of some."""
+    return " OR ".join(f"({t})" for t in terms)
+
+
+def downloaded(wanted: DataFrame, have: DataFrame, fetch: Callable[[str], bytes], at_once: int, key: str = "path") -> DataFrame:
+    """What is wanted and not there yet, fetched."""
+    return fetched(wanted.select(key).distinct().join(have.select(key).distinct(), key, "left_anti"), fetch, at_once, key)
+
+
+def files_below(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """path, name (without ending) and length of all files below a folder; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    return files.select("path", F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1).alias("name"), "length")
+
+
+def csv_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).option("header", True).csv(path)
