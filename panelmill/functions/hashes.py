@@ -38,7 +38,8 @@ def hashes(image: np.ndarray) -> dict[str, int]:
     wave = large
     while len(wave) > 8:  # the means of a Haar transform, without the overall mean
         wave = (wave[::2, ::2] + wave[1::2, ::2] + wave[::2, 1::2] + wave[1::2, 1::2]) / 4
-    return {"a": _bits(small > small.mean()), "p": _bits(low > np.median(low)), "d": _bits(wide[:, 1:] > wide[:, :-1]), "w": _bits(wave > np.median(wave))}
+    over = lambda x, y: _bits(np.round(x - y, 6) > 0)
+    return {"a": over(small, small.mean()), "p": over(low, np.median(low)), "d": over(wide[:, 1:], wide[:, :-1]), "w": over(wave, np.median(wave))}
 
 
 def hashed_images(images: DataFrame, key: str) -> DataFrame:

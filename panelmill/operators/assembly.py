@@ -142,7 +142,7 @@ def panel_rows(panels: DataFrame, predictions: DataFrame, figures: DataFrame, ar
     (id, name, text), labels (id, origin, confidence, box). A figure with a panel of RENEWED origin is suppressed anew, and
     takes in the boxes that lie in a panel. Positions are shares of the figure. panel_image is left to the caller, who crops `crop`.
     """
-    p = eligible(panels).join(predictions.select(F.col("id").alias("panel_id"), "fig"), "panel_id")
+    p = eligible(panels).drop("fig").join(predictions.select(F.col("id").alias("panel_id"), "fig"), "panel_id")
     p = p.join(figures.select("fig", "article_id", "image_cluster_id", "width", "height", "page_boxes"), "fig").withColumn("renew", F.coalesce(F.col("origin").isin(RENEWED), F.lit(False)))
     renew = p.groupBy("fig").agg(F.bool_or("renew").alias("renew"), F.collect_set("panel_id").alias("used"))
     p = p.drop("renew").join(renew.drop("used"), "fig")

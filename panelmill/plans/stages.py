@@ -153,14 +153,20 @@ def decided(answers: DataFrame, key: list[str]) -> DataFrame:
 
 
 def refined(items: DataFrame, ask: Loader, adjudicate: Loader, key: list[str], path: str, n: int = 3) -> DataFrame:
-    """key, answer, used_adjudication: what the polls agree on; where they do not, the adjudicator chooses.
+    """key, answer, used_adjudication, reason: what the polls agree on; where they do not, the adjudicator chooses.
 
-    The polls are written to path first. The adjudicator gets the item and options; an answer outside them is dropped.
+    The polls are written to path first. The adjudicator gets the item and options. An item without an answer keeps its row, with
+    a null answer and the reason: no poll answered, the adjudicator failed, or it answered outside the options.
     """
-    votes = decided(stored(polled(items, ask, key, n), path), key)
+    votes = decided(stored(polled(items, ask, key, n), f"{path}/polls"), key)
     open_items = items.join(votes.where("not agreed and size(options) > 0").select(*key, "options"), key)
-    chosen = applied(open_items, adjudicate, [*key, "options"], "answer string").where(F.array_contains("options", F.col("answer"))).select(*key, "answer", F.lit(True).alias("used_adjudication"))
-    return votes.where("agreed").select(*key, "answer", F.lit(False).alias("used_adjudication")).unionByName(chosen)
+    chosen = stored(applied(open_items, adjudicate, [*key, "options"], "answer string"), f"{path}/choices")
+    fits = F.coalesce(F.array_contains("options", F.col("answer")), F.lit(False))
+    chosen = chosen.groupBy(*key).agg(F.min_by(F.when(fits, F.col("answer")), F.struct(~fits, "answer")).alias("answer"), F.bool_or(fits).alias("fits"), F.max("error").alias("error"))
+    said = votes.join(chosen.select(*key, F.col("answer").alias("choice"), "fits", "error"), key, "left")
+    agreed, none = F.col("agreed"), F.size("options") == 0
+    reason = F.when(agreed | F.col("fits"), None).when(none, "no poll answered").otherwise(F.coalesce("error", F.lit("answer outside the options")))
+    return said.select(*key, F.when(agreed, F.col("answer")).otherwise(F.col("choice")).alias("answer"), (~agreed & ~none).alias("used_adjudication"), reason.alias("reason"))
 
 
 def until_stable(state: DataFrame, is_open: Column, step: Callable[[DataFrame], DataFrame], key: list[str], path: str, rounds: int = 3) -> DataFrame:

@@ -89,7 +89,15 @@ def test_refinement(spark, tmp_path):
 
     items = spark.createDataFrame([(1, None), (2, None), (3, None)], "i bigint, answer string")
     out = stages.refined(items.select("i"), ask, judge, ["i"], f"{tmp_path}/polls")
-    assert sorted(map(tuple, out.collect())) == [(1, "same", False), (2, "2-1", True)]
+    assert sorted(map(tuple, out.collect())) == [(1, "same", False, None), (2, "2-1", True, None), (3, None, True, "answer outside the options")]
+    def broken():
+        raise_it = lambda row: 1 / 0
+        return raise_it
+
+    none = stages.refined(items.select("i"), broken, judge, ["i"], f"{tmp_path}/none", 1)
+    assert [(r.answer, r.reason) for r in none.collect()] == [(None, "no poll answered")] * 3
+    failed = stages.refined(items.select("i").where("i = 2"), ask, broken, ["i"], f"{tmp_path}/failed")
+    assert [(r.answer, r.reason[:17]) for r in failed.collect()] == [(None, "ZeroDivisionError")]
     rounds = []
 
     def step(df):
