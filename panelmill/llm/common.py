@@ -41,14 +41,37 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: What operators left in the shared folder and the warehouse since this process began: paths and table names.
+_MADE: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: df as a Parquet table in the shared folder."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/panelmill/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def made() -> int:
+    """How many working tables there are; what comes later can be dropped by number."""
+    return len(_MADE)
+
+
+def drop_work(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Drops the working tables made since then, but for the last one (a result that was written) if keep is given. DataFrames
+    that were built on them cannot be read any more."""
+    last = _MADE[-1:] if keep is not None else []
+    for name in set(_MADE[since:]) - set(last):
+        if "/" in name:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        else:
+            spark.sql(f"drop table if exists {name}")
+    _MADE[since:] = last
+
+
 def buckets(source: DataFrame) -> int:
     """Buckets for a table made from source: one for each BUCKET bytes that its files hold, and at least the
     session's number of shuffle partitions."""
@@ -60,6 +83,7 @@ def buckets(source: DataFrame) -> int:
 def bucketed(df: DataFrame, name: str, key: str, n: int) -> DataFrame:
     """df as a table of n buckets by key, so that joins by key move only the other side."""
     table = f"panelmill_{name}_{uuid.uuid4().hex}"
+    _MADE.append(table)
     df.write.option("compression", "zstd").bucketBy(n, key).saveAsTable(table)
     return df.sparkSession.table(table)
 

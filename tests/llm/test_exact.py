@@ -70,3 +70,16 @@ def test_clashing_names(spark):
         assert out.columns == odd.columns and out.count() > 0
     assert similar.linked(df).count() == substrings.remove_repeats(df).count() == mixing.taken(df).count() == len(rows)
     assert mixing.taken(df.where(F.lit(False))).count() == 0
+
+
+def test_work_is_dropped(spark):
+    """The pipeline leaves the last mix and the last stage's tables; what is dropped is gone from the shared folder."""
+    import corpus_pipeline
+
+    since = common.made()
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    n = out.count()
+    assert n > 0 and common.made() - since <= 3
+    tables = [t.name for t in spark.catalog.listTables() if t.name.startswith("panelmill_")]
+    common.drop_work(spark, since)
+    assert common.made() == since and len([t for t in spark.catalog.listTables() if t.name.startswith("panelmill_")]) < len(tables)
