@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmill.llm import bpe, mixing, quality, similar, substrings
-from panelmill.llm.common import written
+from panelmill.llm.common import drop_work, made, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,9 +80,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; what the stages before it left, and their own working tables, are dropped on the way."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    since = made()
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        drop_work(spark, since, keep=docs)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
