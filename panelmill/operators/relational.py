@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,11 +87,10 @@ def swap_split(train: DataFrame, test: DataFrame, to_test: DataFrame, to_train:
 
 
 def split_by_key(df: DataFrame, key: str, share: float, order: Column | None = None) -> DataFrame:
-    """in_train: rows of one key stay together; the first share of the keys, by order, train."""
-    keys = df.select(key).distinct()
-    n = F.count("*").over(Window.partitionBy())
-    rank = F.row_number().over(Window.orderBy(order if order is not None else F.xxhash64(key), key))
-    return df.join(keys.select(key, (rank <= F.floor(n * share)).alias("in_train")), key)
+    """in_train: rows of one key stay together; the first share of the keys, by a number (their hash), train."""
+    keys = df.select(key).distinct().withColumn("_order", order if order is not None else F.xxhash64(key))
+    n = keys.count()
+    return df.join(numbered(keys, "_order", "_n").select(key, (F.col("_n") <= math.floor(n * share)).alias("in_train")), key)
 
 
 def fold(key: Column, k: int = 5) -> Column:

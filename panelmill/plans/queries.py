@@ -162,10 +162,10 @@ def json_lists(spark, d):
     return Tables(spark, d).documents.select("doc_id", tx.id_list(F.when(F.col("doc_id") % 2 == 0, flat).otherwise(deep)).alias("ids"))
 
 
-@query("""with k as (select source, row_number() over (order by source) <= floor(count(*) over () * 0.7) as in_train from (select distinct source from documents)) select doc_id, in_train, doc_id % 5 as fold from documents join k using (source)""")
+@query("""with k as (select source, row_number() over (order by ('0x' || substr(md5(source), 1, 15))::bigint) <= floor(count(*) over () * 0.7) as in_train from (select distinct source from documents)) select doc_id, in_train, doc_id % 5 as fold from documents join k using (source)""")
 def split_by_key(spark, d):
     docs = Tables(spark, d).documents.select("doc_id", "source")
-    return rel.split_by_key(docs, "source", 0.7, F.col("source")).select("doc_id", "in_train", rel.fold(F.col("doc_id")).alias("fold"))
+    return rel.split_by_key(docs, "source", 0.7, F.conv(F.left(F.md5("source"), F.lit(15)), 16, 10).cast("bigint")).select("doc_id", "in_train", rel.fold(F.col("doc_id")).alias("fold"))
 
 
 @query("""with s as (select quality, count(*) as n from labels group by 1), t as (select quality, ceil((select max(n) from s) / n)::int as times from s)
