@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import Rolling, as_text, bucketed, buckets, chunks, column, ends, pack, rows_of, unpack
+from panelmill.llm.common import Rolling, as_text, bucketed, buckets, chunks, column, ends, pack, rows_of, tidy, unpack
 from panelmill.llm.pretokens import splitter
 
 #: Words (of blocks, repeats between blocks included) that one task encodes.
@@ -189,12 +189,12 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """
     place = F.lit(None) if position is None else position
     docs = docs.select(column(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text"), place.cast("bigint").alias("place"))
-    blocks = bucketed(docs.mapInArrow(_blocks(path), _BLOCK), "bpe", "block", buckets(docs))
+    blocks = bucketed(docs.mapInArrow(tidy(_blocks(path)), _BLOCK), "bpe", "block", buckets(docs))
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
     groups = max(1, -(-total // WORDS_A_GROUP))
-    dealt = blocks.select("block", "words").mapInArrow(_deal(groups), "part bigint, block bigint, words binary")
-    encoded = dealt.groupBy("part").applyInArrow(_encode(path), "block bigint, part bigint, encoded binary")
+    dealt = blocks.select("block", "words").mapInArrow(tidy(_deal(groups)), "part bigint, block bigint, words binary")
+    encoded = dealt.groupBy("part").applyInArrow(tidy(_encode(path)), "block bigint, part bigint, encoded binary")
     encoded = encoded.groupBy("block").agg(F.collect_list(F.struct("part", "encoded")).alias("encoded"))
     columns = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids + ", decoded string" * keep_text + ", position bigint" * (position is not None)
     joined = blocks.select("block", "ids", "places", "offsets", "codes", "words", "n_words").join(encoded, "block", "left")
-    return joined.mapInArrow(_finish(path, groups, keep_ids, keep_text, position is not None), columns)
+    return joined.mapInArrow(tidy(_finish(path, groups, keep_ids, keep_text, position is not None)), columns)

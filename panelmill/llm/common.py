@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import hashlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,8 +23,8 @@ CHUNK = 4 << 20
 BUCKET = 256 << 20
 #: A key with more than this part of all rows is hot.
 HOT_SHARE = 1000
-#: Symbols that are compared at once.
-_SLAB = 1 << 18
+#: Symbols, and pairs of slices, that are compared at once.
+_SLAB, _PAIRS = 1 << 18, 1 << 16
 
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
 
@@ -136,6 +137,24 @@ def release() -> None:
         _TRIM(0)
 
 
+def tidy(run: Callable) -> Callable:
+    """A worker's function that gives its memory back when it is done: workers stay, with the next stage beside them."""
+
+    @functools.wraps(run)
+    def wrapped(given):
+        if isinstance(given, pa.Table):
+            out = run(given)
+            release()
+            return out
+        return flow(given)
+
+    def flow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return wrapped
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Large rows, one at a time."""
     for batch in batches:
@@ -217,18 +236,22 @@ def content_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray, seed:
 
 def unequal(symbols: np.ndarray, first: np.ndarray, last: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether slices i and j of [first, last), pair by pair, differ, symbol by symbol."""
-    size = last - first
-    out = size[i] != size[j]
-    n = np.where(out, 0, size[i])
-    reach, low = np.cumsum(n), 0
-    while low < len(i):
-        high = max(low + 1, int(np.searchsorted(reach, (reach[low - 1] if low else 0) + _SLAB, "right")))
-        at = ends(n[low:high])
-        a, b = first[i[low:high]], first[j[low:high]]
-        p = np.repeat(a - at[:-1], n[low:high]) + np.arange(at[-1])
-        bad = np.flatnonzero(symbols[p] != symbols[p + np.repeat(b - a, n[low:high])])
-        out[low + np.searchsorted(at, bad, "right") - 1] = True
-        low = high
+    out = np.zeros(len(i), bool)
+    for few in range(0, len(i), _PAIRS):  # all arrays stay small
+        x, y = i[few : few + _PAIRS], j[few : few + _PAIRS]
+        a, b = first[x], first[y]
+        n = last[x] - a
+        differs = n != last[y] - b
+        n[differs] = 0
+        reach, low = np.cumsum(n), 0
+        while low < len(x):
+            high = max(low + 1, int(np.searchsorted(reach, (reach[low - 1] if low else 0) + _SLAB, "right")))
+            at = ends(n[low:high])
+            p = np.repeat(a[low:high] - at[:-1], n[low:high]) + np.arange(at[-1])
+            bad = np.flatnonzero(symbols[p] != symbols[p + np.repeat((b - a)[low:high], n[low:high])])
+            differs[low + np.searchsorted(at, bad, "right") - 1] = True
+            low = high
+        out[few : few + _PAIRS] = differs
     return out
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import as_text, chunks, column, pack, spread, unpack
+from panelmill.llm.common import as_text, chunks, column, pack, spread, tidy, unpack
 
 #: Texts of each label in the sample that the model is fitted on.
 PER_LANGUAGE = 400
@@ -104,7 +104,7 @@ def fit(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str = "d
     sizes = known.groupBy(column(lang_col).cast("string").alias("lang")).count().select("lang", (F.lit(PER_LANGUAGE * (1 << 30)) / F.col("count")).alias("below"))
     sample = rows.join(sizes, "lang").where("place < below").groupBy("lang", "place").agg(F.min("text").alias("text")).select("lang", "text")
     by: dict[str, list[bytes]] = {}
-    for r in sample.mapInArrow(_sample, "lang string, packed binary").toLocalIterator():
+    for r in sample.mapInArrow(tidy(_sample), "lang string, packed binary").toLocalIterator():
         by.setdefault(r.lang, []).append(bytes(r.packed))
 
     def dense(packed: list[bytes]) -> np.ndarray:
@@ -147,4 +147,4 @@ def identify(docs: DataFrame, model: dict, held_out: Column, id_col: str = "doc_
     """doc_id, held_out, lang_pred, score (the cosine) and rejected of every text."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # CENTROIDS * DIMS numbers for each label
     rows = spread(docs).select(column(id_col).cast("bigint").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), as_text(text_col).alias("text"))
-    return rows.mapInArrow(_predict(sent), "doc_id bigint, held_out boolean, lang_pred string, score double, rejected boolean")
+    return rows.mapInArrow(tidy(_predict(sent)), "doc_id bigint, held_out boolean, lang_pred string, score double, rejected boolean")

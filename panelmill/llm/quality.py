@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import Rolling, as_text, chunks, column, pack, spread, unpack
+from panelmill.llm.common import Rolling, as_text, chunks, column, pack, spread, tidy, unpack
 
 PASSAGE = 400
 #: Bounds of the sample that the model is fitted on.
@@ -159,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     rows = docs.select(column(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text")).join(F.broadcast(known), "doc_id")  # at most SAMPLE rows are broadcast
     rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # repeated rows count once
     found, total = [], 0
-    for r in sorted(rows.mapInArrow(_sample, "doc_id bigint, quality double, packed binary").toLocalIterator(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id)):
+    for r in sorted(rows.mapInArrow(tidy(_sample), "doc_id bigint, quality double, packed binary").toLocalIterator(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id)):
         x = unpack(bytes(r.packed))[0].reshape(-1, FEATURES)
         if total + len(x) <= SAMPLE_PASSAGES:
             found.append((x, r.quality))
@@ -183,7 +183,7 @@ def score(docs: DataFrame, model: dict | None, held_out: Column, threshold: floa
     """doc_id, held_out, score and predicted (1 from the threshold on) of every text."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = spread(docs).select(column(id_col).cast("bigint").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), as_text(text_col).alias("text"))
-    return rows.mapInArrow(_score(sent, threshold), "doc_id bigint, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(tidy(_score(sent, threshold)), "doc_id bigint, held_out boolean, score double, predicted int")
 
 
 def _keep(model, threshold: float):
@@ -204,5 +204,5 @@ def accepted(docs: DataFrame, model: dict | None, threshold: float = 0.3, text_c
     """The rows that the model does not reject, with all their columns; all rows if there is no model."""
     docs = docs.withColumn(text_col, as_text(text_col))
     rows = docs.select(F.struct(*[column(n) for n in docs.columns]).alias("row"), as_text(text_col).alias("text"))
-    kept = rows.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model), threshold), rows.select("row").schema)
+    kept = rows.mapInArrow(tidy(_keep(docs.sparkSession.sparkContext.broadcast(model), threshold)), rows.select("row").schema)
     return kept.select("row.*")

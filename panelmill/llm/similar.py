@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import CHUNK, as_text, bucketed, buckets, column, content_hashes, ends, joined_by_hot, mixed, pack, release, rows_of, unequal, unpack, written
+from panelmill.llm.common import CHUNK, as_text, bucketed, buckets, column, content_hashes, ends, joined_by_hot, mixed, pack, release, rows_of, tidy, unequal, unpack, written
 from panelmill.llm.substrings import _BLOCK, _blocks, _by_group, _sent, other_column
 
 WIDTH, SHARE = 5, 80
@@ -356,7 +356,7 @@ def _large(sets: DataFrame, sizes: DataFrame, parts: int) -> DataFrame:
 
     def joined(rows: DataFrame) -> DataFrame:
         part = F.pmod(F.xxhash64("label", "cell"), F.lit(parts))
-        return rows.withColumn("part", part).groupBy("part", "label", "cell").applyInArrow(_join_groups, "a bigint, b bigint")
+        return rows.withColumn("part", part).groupBy("part", "label", "cell").applyInArrow(tidy(_join_groups), "a bigint, b bigint")
 
     # the pivot is the least set of its group, so whatever reaches it has it as the root
     edges = written(joined(first), "links")
@@ -369,7 +369,7 @@ def _large(sets: DataFrame, sizes: DataFrame, parts: int) -> DataFrame:
     come = rest.withColumn("lot", F.pmod(F.xxhash64("sid", F.lit(7)), F.col("cells"))).select("label", "sid", "body", "lot", F.col("cells").alias("lots"), F.lit(1).alias("side"), each)
     has = come.select("label", "cell", "lot").distinct()
     met = come.select("label", "cell", "lot", "sid", "side", "body").unionByName(lots.join(has, ["label", "cell"]).select("label", "cell", "lot", "sid", "side", "body"))
-    met = met.groupBy("label", "cell", "lot").applyInArrow(_join_groups, "a bigint, b bigint")
+    met = met.groupBy("label", "cell", "lot").applyInArrow(tidy(_join_groups), "a bigint, b bigint")
     return edges.unionAll(met)
 
 
@@ -378,26 +378,26 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
     that stand first (by id, nulls last) in their component; rows without words all stay."""
     others = [F.struct(*[column(n) for n in docs.columns if n != text_col]).alias("others")] if keep_one and len(docs.columns) > 1 else []
     rows = docs.select(column(id_col).cast("bigint").alias("_id"), as_text(text_col).alias("text"), *others)
-    blocks = bucketed(rows.mapInArrow(_blocks(CHUNK), _BLOCK), "similar", "block", buckets(docs))
+    blocks = bucketed(rows.mapInArrow(tidy(_blocks(CHUNK)), _BLOCK), "similar", "block", buckets(docs))
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     groups = max(1, -(-total // TEXT_A_GROUP))
     tasks = max(groups, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     texts = blocks.select("block", "ids", "sizes", "body")
-    keys = written(texts.mapInArrow(_keys, "block bigint, sid bigint, doc_id bigint, n bigint, digest binary"), "keys")
+    keys = written(texts.mapInArrow(tidy(_keys), "block bigint, sid bigint, doc_id bigint, n bigint, digest binary"), "keys")
     classes = keys.where("n > 0").groupBy("digest").agg(F.min("sid").alias("class"))
     block_of = F.shiftright("class", 22)
     listed = classes.groupBy(block_of.alias("block")).agg(F.collect_list((F.col("class") - F.shiftleft(block_of, 22)).cast("bigint")).alias("sets"))
     own = texts.join(listed, "block")
-    answers = own.mapInArrow(_deal_tokens(groups), "part bigint, block bigint, body binary").groupBy("part").applyInArrow(_frequencies, "block bigint, part bigint, body binary")
+    answers = own.mapInArrow(tidy(_deal_tokens(groups)), "part bigint, block bigint, body binary").groupBy("part").applyInArrow(tidy(_frequencies), "block bigint, part bigint, body binary")
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("part", "body")).alias("found"))
-    edges = own.join(answers, "block").mapInArrow(_deal_prefixes(groups), "part bigint, block bigint, body binary").groupBy("part").applyInArrow(_forest, "a bigint, b bigint")
+    edges = own.join(answers, "block").mapInArrow(tidy(_deal_prefixes(groups)), "part bigint, block bigint, body binary").groupBy("part").applyInArrow(tidy(_forest), "a bigint, b bigint")
     meet = written(components(edges), "meet")
     listed = meet.groupBy(F.shiftright("sid", 22).alias("block")).agg(F.collect_list(F.struct("sid", "label")).alias("sets"))
-    sets = written(texts.join(listed, "block").mapInArrow(_deal_sets, "label bigint, sid bigint, body binary"), "sets")
+    sets = written(texts.join(listed, "block").mapInArrow(tidy(_deal_sets), "label bigint, sid bigint, body binary"), "sets")
     sizes = written(meet.groupBy("label").agg(F.count("*").alias("n")), "sizes")
     small = sets.join(sizes.where(F.col("n") > LIMIT).select("label"), "label", "left_anti")
     part = F.pmod(F.xxhash64("label"), F.lit(tasks)).alias("part")
-    links = small.select(part, "label", F.lit(0).cast("bigint").alias("cell"), "sid", F.lit(0).alias("side"), "body").groupBy("part").applyInArrow(_join_groups, "a bigint, b bigint")
+    links = small.select(part, "label", F.lit(0).cast("bigint").alias("cell"), "sid", F.lit(0).alias("side"), "body").groupBy("part").applyInArrow(tidy(_join_groups), "a bigint, b bigint")
     links = written(links, "links")
     big = sizes.where(F.col("n") > LIMIT)
     if not big.isEmpty():
@@ -418,7 +418,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
         return out.unionAll(none.select("doc_id", "n", "doc_id"))
     stay = members.where(F.col("sid") == F.col("first.sid")).select("block", "sid").unionAll(none.select("block", "sid"))
     stay = stay.groupBy("block").agg(F.collect_list((F.col("sid") - F.shiftleft("block", 22)).cast("bigint")).alias("stay"))
-    return blocks.join(stay, "block").mapInArrow(_kept(docs.columns, text_col), docs.withColumn(text_col, as_text(text_col)).schema)
+    return blocks.join(stay, "block").mapInArrow(tidy(_kept(docs.columns, text_col)), docs.withColumn(text_col, as_text(text_col)).schema)
 
 
 def _kept(names: list[str], text_col: str):

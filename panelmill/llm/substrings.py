@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import Rolling, as_text, bucketed, buckets, chunks, column, content_hashes, ends, grouped, mixed, pack, release, rows_of, unpack
+from panelmill.llm.common import Rolling, as_text, bucketed, buckets, chunks, column, content_hashes, ends, grouped, mixed, pack, release, rows_of, tidy, unpack
 
 LENGTH, GRAM = 50, 16
 REACH = LENGTH - GRAM + 1
@@ -319,16 +319,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     others = [F.struct(*[column(n) for n in names if n != text_col]).alias("others")] if keep_rows and len(names) > 1 else []
     rows = docs.select(column(id_col).cast("bigint").alias("_id"), as_text(text_col).alias("text"), *others)
     n = buckets(docs)
-    blocks = bucketed(rows.mapInArrow(_blocks(BLOCK_TEXT), _BLOCK), "substrings", "block", n)
+    blocks = bucketed(rows.mapInArrow(tidy(_blocks(BLOCK_TEXT)), _BLOCK), "substrings", "block", n)
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     groups, rest = max(1, -(-total // PHRASES_A_GROUP)), max(1, -(-total // REST_A_GROUP))
     gather = lambda df, name: df.groupBy("block").agg(F.collect_list(F.struct("part", "body")).alias(name))
     deal, answer = "part bigint, block bigint, body binary", "block bigint, part bigint, body binary"
     texts = blocks.select("block", "ids", "sizes", "body")
-    decided = texts.mapInArrow(_deal_phrases(groups), deal).groupBy("part").applyInArrow(_decide, answer)
+    decided = texts.mapInArrow(tidy(_deal_phrases(groups)), deal).groupBy("part").applyInArrow(tidy(_decide), answer)
     decided = bucketed(gather(decided, "decided"), "decided", "block", n)
-    settled = texts.join(decided, "block", "left").mapInArrow(_deal_rest(rest), deal).groupBy("part").applyInArrow(_settle, answer)
+    settled = texts.join(decided, "block", "left").mapInArrow(tidy(_deal_rest(rest)), deal).groupBy("part").applyInArrow(tidy(_settle), answer)
     every = blocks.join(decided, "block", "left").join(gather(settled, "settled"), "block", "left")
     if keep_rows:
-        return every.mapInArrow(_finish(rest, True, names, text_col), docs.withColumn(text_col, as_text(text_col)).schema)
-    return every.mapInArrow(_finish(rest, False, names, text_col), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+        return every.mapInArrow(tidy(_finish(rest, True, names, text_col)), docs.withColumn(text_col, as_text(text_col)).schema)
+    return every.mapInArrow(tidy(_finish(rest, False, names, text_col)), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from panelmill.llm.bpe import byte_letters
-from panelmill.llm.common import as_text, chunks, column, ends, spread
+from panelmill.llm.common import as_text, chunks, column, ends, spread, tidy
 from panelmill.llm.pretokens import splitter
 
 #: Merged words whose counts a task remembers, by the word itself.
@@ -66,4 +66,4 @@ def _count(path: str, limit: int):
 def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens and over_limit (n_tokens > limit) of every text."""
     docs = spread(docs).select(column(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text"))
-    return docs.mapInArrow(_count(path, limit), "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return docs.mapInArrow(tidy(_count(path, limit)), "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import column, pack, rows_of, unpack, written
+from panelmill.llm.common import column, pack, rows_of, tidy, unpack, written
 
 BLOCK, QUERIES, FAN, BASE = 8192, 2048, 64, 2.0
 #: Points of a leaf, of the data and of the queries.
@@ -244,7 +244,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     wide = max(wide or 0, 1)
     sample = _filled([list(r.v) for r in rows.orderBy(F.xxhash64("id", F.lit(5)), "id", "v").limit(SAMPLE).select("v").collect()], wide) if n > BLOCK else np.zeros((1, wide))
     pivots = sample[net(sample, 0, _far(sample, sample[0]), 0.0, CELLS)[0]]
-    rows = written(rows.mapInArrow(_cells(pivots), "id bigint, v array<double>, asks boolean, cell int, far double"), "cells")
+    rows = written(rows.mapInArrow(tidy(_cells(pivots)), "id bigint, v array<double>, asks boolean, cell int, far double"), "cells")
     cells = {r.cell: r for r in rows.groupBy("cell").agg(F.count("*").alias("n"), F.count_if("asks").alias("m"), F.max("far").alias("r"), F.max(F.when(F.col("asks"), F.col("far"))).alias("s")).collect()}  # at most CELLS rows
 
     def blocks(df: DataFrame, size: int, of: str) -> DataFrame:
@@ -255,13 +255,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
         return df.select(block.alias("block"), "id", "v", "floor")
 
     unknown = F.lit(None).cast("double")
-    fold = lambda df: df.groupBy("block").applyInArrow(_packed, "block bigint, body binary")
+    fold = lambda df: df.groupBy("block").applyInArrow(tidy(_packed), "block bigint, body binary")
     data = written(fold(blocks(rows.withColumn("floor", unknown), BLOCK, "n")), "blocks")
     asks = rows.where("asks")
 
     def search(pairs: DataFrame, asked: DataFrame) -> DataFrame:
         both = pairs.join(data, "block").join(asked.select(F.col("block").alias("lot"), F.col("body").alias("queries")), "lot")
-        return both.select("queries", "body").repartition(max(1, min(4096, n // BLOCK * 4))).mapInArrow(_search(k), _FOUND)
+        return both.select("queries", "body").repartition(max(1, min(4096, n // BLOCK * 4))).mapInArrow(tidy(_search(k)), _FOUND)
 
     # for two cells: the bound on their inner products, and the number of the data cell's blocks
     lengths = [float(np.linalg.norm(p)) for p in pivots]
