@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelmill.functions.boxes import EDGES, to_shares
+from panelmill.functions.text import attribution, commercial_use, panel_name
 from panelmill.operators.spatial import first_parent
 
 IMAGING = ["CFP", "OCT", "Retinal Imaging", "Other"]
@@ -107,3 +108,29 @@ def answers_read(text: Column) -> Column:
 def evidence_kinds(evidence: Column) -> Column:
     """existing, new or place for each piece of evidence; null without any list."""
     return F.transform(evidence, lambda e: F.when(e["label_id"].isNotNull(), "existing").when(e["bbox_2d"].isNotNull(), "new").when(e["positional_type"].isNotNull(), "place"))
+
+
+def annotated_rows(nested: DataFrame, figures: DataFrame, articles: DataFrame) -> DataFrame:
+    """The output's rows of annotated figures: nested as nested_figures gives it, figures (fig, article_id, image_cluster_id, page_boxes),
+    articles as in assembly.panel_rows. The columns are those of panel_rows but crop; final_rows joins the two."""
+    p = nested.select("fig", F.explode("panels").alias("p")).join(figures, "fig").join(articles, ["article_id", "image_cluster_id"], "left")
+    images = F.col("p.images")
+    has = lambda k: F.exists(images, lambda x: F.array_contains(x["labels"], k))
+    at = lambda b: F.array(*[b[e] for e in EDGES])
+    corner = lambda name, pick, n: pick(F.col("p.box")[name], F.array_min(F.transform(images, lambda x: x["box"][name])) if n == 0 else F.array_max(F.transform(images, lambda x: x["box"][name])))
+    content = F.array(corner("x0", F.least, 0), corner("y0", F.least, 0), corner("x1", F.greatest, 1), corner("y1", F.greatest, 1))
+    image = lambda x: F.struct(F.concat(F.lit("gt_"), x["id"].cast("string")).alias("id"), F.struct(x["labels"].alias("label")).alias("imaging_type"), F.struct(x["mark_status"].alias("label")).alias("mark_status"), F.lit(True).alias("is_gt"), F.to_json(F.struct(at(x["box"]).alias("annotated_box"))).alias("position"))
+    label = lambda x: F.struct(F.concat(F.lit("gt_"), x["id"].cast("string")).alias("id"), F.lit(True).alias("is_gt"), F.to_json(F.struct(at(x["box"]).alias("annotated_box"))).alias("position"))
+    name, text = F.col("p.name"), F.col("p.caption_text")
+    return p.select(
+        F.concat(F.lit("gt_"), F.col("p.id").cast("string")).alias("panel_id"), "article_id", "image_cluster_id", panel_name(name, text).alias("panel_name"), text.alias("subcaption_text"),
+        F.to_json(F.struct(at(F.col("p.box")).alias("annotated_box"), content.alias("content_box"), F.col("page_boxes").alias("figure_page_coordinates"))).alias("position"), F.coalesce(F.size("page_boxes") > 1, F.lit(False)).alias("is_multi_page_figure"), F.to_json("context").alias("in_text_mention"),
+        has("CFP").alias("contains_cfp"), has("OCT").alias("contains_oct"), has("Retinal Imaging").alias("contains_retinal"), has("Other").alias("contains_other"), F.exists(images, lambda x: x["mark_status"] == "Marked").alias("contains_marked"),
+        F.to_json(F.transform(images, image)).alias("image_data"), F.to_json(F.transform("p.labels", label)).alias("identifier_data"), F.lit("ground_truth").alias("assembly"), F.lit('["panel"]').alias("annotation"), "license", attribution(F.col("title"), F.col("citation")).alias("attribution"), commercial_use(F.col("license")).alias("commercial_use"),
+    )
+
+
+def merged_settings(base: Column, over: Column) -> Column:
+    """Two maps of texts to texts as one; the second's values win, and where both values are JSON objects their fields merge."""
+    both = F.map_zip_with(base, over, lambda _, a, b: F.when(b.isNull(), a).when(a.startswith("{") & b.startswith("{"), F.to_json(F.map_zip_with(F.from_json(a, "map<string,string>"), F.from_json(b, "map<string,string>"), lambda _, x, y: F.coalesce(y, x)))).otherwise(b))
+    return both

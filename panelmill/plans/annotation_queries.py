@@ -57,6 +57,30 @@ def nested_figures(spark, d):
     return out.select("fig", F.size("panels").alias("n_panels"), total("images").alias("n_images"), total("labels").alias("n_labels"), F.coalesce(F.size("orphans"), F.lit(0)).alias("n_orphans"))
 
 
+_CHILDREN = f""", r as (select *, case when cls in (0, 1) then cls when cls <= 4 or id % 7 <> 0 then 2 end as k from b), p as (select * from r where k = 0),
+s as (select c_id as id, min(p_id) as panel from pair join r c on c.id = c_id and c.k > 0 where p_cls = 0 and {_HIT} group by 1), x as (select r.*, panel from r join s using (id) where k = 2)"""
+
+
+@query(B + _CHILDREN + """, g as (select panel, count(*) as n, bool_or(cls = 2) as cfp, bool_or(cls = 3) as oct, max(x1) as x1 from x group by 1)
+select 'gt_' || p.id as panel_id, fig + 100 as article_id, coalesce(cfp, false) as contains_cfp, coalesce(oct, false) as contains_oct, coalesce(oct, false) as contains_marked, coalesce(n, 0)::int as n_images, round(greatest(p.x1, g.x1), 6) as x1, 'ground_truth' as assembly, case when fig % 2 = 0 then 'CC0' end as license, fig % 2 = 0 as commercial_use from p left join g on g.panel = p.id""")
+def annotated_rows(spark, d):
+    r = _regions(Tables(spark, d))
+    nested = ann.nested_figures(r.select("fig", "id", "labels", F.lit(None).cast("bigint").alias("parent"), F.lit("A").alias("name"), F.lit("t").alias("text"), "box", F.lit(1.0).alias("width"), F.lit(1.0).alias("height")))
+    n = F.col("fig")
+    figures = r.select("fig").distinct().select("fig", (n + 100).alias("article_id"), F.lit("c").alias("image_cluster_id"), F.create_map(F.lit("1"), F.lit(0)).alias("page_boxes"))
+    articles = figures.select("article_id", "image_cluster_id", F.lit("t").alias("title"), F.lit("c").alias("citation"), F.when(n % 2 == 0, "CC0").alias("license"), F.array(F.lit("x")).alias("context"))
+    out = ann.annotated_rows(nested, figures, articles)
+    x1 = F.get(F.from_json("position", "content_box array<double>")["content_box"], F.lit(2))
+    return out.select("panel_id", "article_id", "contains_cfp", "contains_oct", "contains_marked", F.size(F.from_json("image_data", "array<struct<id:string>>")).alias("n_images"), F.round(x1, 6).alias("x1"), "assembly", "license", "commercial_use")
+
+
+@query("""select p_partkey, 'new' as a, '{"x":"1","y":"3"}' as b, p_name as c from part""")
+def merged_settings(spark, d):
+    m = lambda *kv: F.create_map(*[F.lit(x) if isinstance(x, str) else x for x in kv])
+    out = ann.merged_settings(m("a", "old", "b", '{"x": "1", "y": "2"}', "c", F.col("p_name")), m("a", "new", "b", '{"y": "3"}'))
+    return Tables(spark, d).part.select("p_partkey", out.alias("m")).select("p_partkey", *[F.col("m")[k].alias(k) for k in "abc"])
+
+
 @query("select conv_id as id, conv_id + 7 as article_id, 'fig_1' as image_cluster_id from conversations group by conv_id having count(*) filter (role <> 'user') = 1")
 def usable_tasks(spark, d):
     """Tasks with one finished annotation."""

@@ -10,7 +10,7 @@ from panelmill.functions import text as tx
 from panelmill.operators import answers, assembly, pages, relational as rel, spatial
 from panelmill.plans.base import B, QUERIES, Tables, near, query
 from panelmill.plans.queries import _R, _TOUCH, nms_sql
-from panelmill.plans.stages import likeness, matched_images
+from panelmill.plans.stages import extraction, likeness, matched_images
 
 KINDS = ["Panel", "Label", "CFP", "OCT", "Retinal Imaging", "Other"]
 _ORIGINS = ["automatic", "llm_assignment", "manual_assignment_rejection", None, "llm_refinement"]
@@ -265,23 +265,48 @@ def stacked_pages(spark, d):
 _IMAGE = "p_partkey // 5 as article, p_size % 4 as number"
 
 
-@query(f"""with i as (select {_IMAGE}, p_partkey as image_id, p_name as caption, 1.0 + (p_partkey % 40) / 100 as aspect, [(p_partkey * 37) % 8, (p_partkey * 11) % 16, p_partkey % 4, p_size % 32] as h from part where p_partkey % 2 = 0),
+_HITS = f"""with i as (select {_IMAGE}, p_partkey as image_id, p_name as caption, 1.0 + (p_partkey % 40) / 100 as aspect, [(p_partkey * 37) % 8, (p_partkey * 11) % 16, p_partkey % 4, p_size % 32] as h from part where p_partkey % 2 = 0),
 f as (select {_IMAGE}, p_partkey as figure_id, case when p_size % 5 = 0 then 'Continued' else 'Figure 3. ' || p_name || p_size::varchar end as caption, 1.0 + (p_partkey % 36) / 100 as aspect, [(p_partkey * 37) % 8, (p_partkey * 11) % 16, p_partkey % 4, p_size % 32] as h from part where p_partkey % 2 = 1 and p_partkey % 50 < 40),
 x as (select i.article, i.image_id, f.figure_id, case when i.number = 3 then null else i.number end as inum, f.number as fnum, list_transform(range(1, 5), lambda k: bit_count(xor(i.h[k]::bigint, f.h[k]::bigint))) as far, replace(i.caption, ' ', '') as a,
   case when f.caption = 'Continued' then 'Continued' else replace(substr(f.caption, 11), ' ', '') end as c, abs((i.aspect - f.aspect) / i.aspect) < 0.05 as ratio, f.caption = 'Continued' as cont from i join f using (article)),
 t as (select *, coalesce(inum = fnum, false) as same, len(list_filter(far, lambda v: v <= 2)) > 0 or list_sum(far) <= 5 as visual, cont or levenshtein(a, c) < greatest(5, ceil(length(c) * 0.05)) or levenshtein(left(a, least(length(a), length(c))), left(c, least(length(a), length(c)))) < greatest(2, ceil(least(length(a), length(c)) * 0.03)) as text, list_sum(far) as s from x),
-hit as (select *, same::int + visual::int + text::int + ratio::int as passed from t), ok as (select * from hit where passed >= 2 and (inum is null or same or passed > 2)),
+hit as (select *, same::int + visual::int + text::int + ratio::int as passed from t), ok as (select * from hit where passed >= 2 and (inum is null or same or passed > 2))"""
+
+
+@query(_HITS + """,
 best as (select article, image_id, arg_min(figure_id, struct_pack(s := s, f := figure_id)) as figure_id from ok group by 1, 2)
 select i.article, i.image_id, best.figure_id, case when best.figure_id is not null then null when i.article not in (select article from f) then 'nothing extracted' else 'no figure is near' end as reason from i left join best using (article, image_id)""")
 def image_match(spark, d):
     """Four tests: number, look, caption, aspect ratio; two must hold, and the number or a third where there is a number."""
+    images, figures = _pictures(spark, d)
+    return matched_images(images, figures, {}, holds=likeness)
+
+
+def _pictures(spark, d):
     k, size = F.col("p_partkey"), F.col("p_size")
     hashes = F.struct(((k * 37) % 8).alias("a"), ((k * 11) % 16).alias("p"), (k % 4).alias("d"), (size % 32).cast("bigint").alias("w"))
     part, article = Tables(spark, d).part, F.floor(k / 5).alias("article")
     images = part.where("p_partkey % 2 = 0").select(article, k.alias("image_id"), F.when(size % 4 != 3, size % 4).alias("number"), F.col("p_name").alias("caption"), (1.0 + (k % 40) / 100).alias("aspect"), hashes.alias("hashes"))
     caption = F.when(size % 5 == 0, "Continued").otherwise(F.concat(F.lit("Figure 3. "), "p_name", size.cast("string")))
     figures = part.where("p_partkey % 2 = 1 and p_partkey % 50 < 40").select(article, k.alias("figure_id"), (size % 4).alias("number"), caption.alias("caption"), (1.0 + (k % 36) / 100).alias("aspect"), hashes.alias("hashes"))
-    return matched_images(images, figures, {}, holds=likeness)
+    return images, figures
+
+
+@query(_HITS + """,
+pk as (select article, image_id, article % 7 as m, image_id % 3 <> 0 or article % 7 in (4, 5, 6) as here, image_id % 4 = 0 as sub, article in (select article from f) as filled from i),
+sh as (select article from pk where not here group by 1),
+e as (select *, case when m = 0 then 'article not found' when m = 1 then 'broken' when m = 2 and not here then 'image is not in its package' when m <> 2 and not filled then 'no figures found' when m <> 2 and article in (select article from sh) then 'an image of the article is not in its package' end as reason from pk),
+r as (select ok.*, sub, row_number() over (partition by ok.article, ok.image_id order by s, figure_id) as n from ok join e using (article, image_id) where reason is null and m <> 2),
+g as (select * from r where not sub or n = 1)
+select article, image_id, 'figure' as kind, figure_id, null as reason from g union all select article, image_id, 'image', null, null from e where m = 2 and reason is null union all select article, image_id, 'error', null, reason from e where reason is not null
+union all select article, image_id, 'error', null, case when (article, image_id) in (select article, image_id from hit where passed >= 2) then 'no figure with its number' else 'no relevant figure' end from e where reason is null and m <> 2 and (article, image_id) not in (select article, image_id from g)""")
+def extraction_rows(spark, d):
+    """Articles that are missing, broken, without a PDF, without figures or short of an image; figures on several pages."""
+    images, figures = _pictures(spark, d)
+    m = F.col("article") % 7
+    packages = images.select("article").distinct().where(m != 0).select("article", F.when(m == 1, "broken").alias("error"), (m != 2).alias("has_pdf"), F.lit(True).alias("has_xml"))
+    members = images.where((F.col("image_id") % 3 != 0) | m.isin(4, 5, 6)).select("article", "image_id")
+    return extraction(images.withColumn("sub", F.when(F.col("image_id") % 4 == 0, "a")), packages, members, figures, {}, likeness)
 
 
 _NAMES = [["None"], ["a", "b", "c"], ["(a)", "b", "d"], ["above", "below"], ["first", "second"], ["Left column", "Right column"], ["1", "2", "4"], ["a1", "b12", "A1"], ["B", "a"], ["Row 1", "upper row"], ["x"], ["1", "a"], ["(2)", "3"], ["a1b2", "a1"], ["é", "b"], ["1a", "2b"]]

@@ -123,6 +123,16 @@ def matched_images(images: DataFrame, extracted: DataFrame, tests: dict[str, int
     number, either more do or the numbers agree; the one with the smallest sum of distances is taken, then the
     smallest id. tests = {} with holds = likeness are the four tests of the survey's similarity join.
     """
+    near = scored_images(images, extracted, tests, least, holds).where("relevant")
+    best = near.groupBy("article", "image_id").agg(F.min_by("figure_id", F.struct("far", "figure_id")).alias("figure_id"))
+    has = extracted.select("article").distinct().withColumn("_has", F.lit(True))
+    reason = F.when(F.col("figure_id").isNotNull(), None).when(F.col("_has").isNull(), "nothing extracted").otherwise("no figure is near")
+    return images.select("article", "image_id").join(best, ["article", "image_id"], "left").join(has, "article", "left").select("article", "image_id", "figure_id", reason.alias("reason"))
+
+
+def scored_images(images: DataFrame, extracted: DataFrame, tests: dict[str, int], least: int = 2, holds: Callable[[Column, Column], list[Column]] | None = None) -> DataFrame:
+    """article, image_id, figure_id, far (the sum of distances), passed, near (enough tests hold) and relevant (and the number's
+    rule holds) of all images and figures of one article."""
     names = list(tests) or images.select("hashes.*").columns
     far = lambda n: hamming(F.col("_image.hashes")[n], F.col("_figure.hashes")[n])
     figures = extracted.select("article", F.struct(*[c for c in extracted.columns if c != "article"]).alias("_figure"))
@@ -130,13 +140,42 @@ def matched_images(images: DataFrame, extracted: DataFrame, tests: dict[str, int
     pairs = pairs.withColumn("_figure", F.col("_figure").withField("far", F.array(*[F.coalesce(far(n), F.lit(64)).cast("int") for n in names])))
     same = F.coalesce(F.col("_image.number") == F.col("_figure.number"), F.lit(False))
     passed = [same, *[far(n) <= most for n, most in tests.items()], *(holds(F.col("_image"), F.col("_figure")) if holds else [])]
-    pairs = pairs.withColumn("_passed", sum((F.coalesce(p, F.lit(False)).cast("int") for p in passed), F.lit(0)))
-    pairs = pairs.withColumn("_far", F.aggregate("_figure.far", F.lit(0), lambda a, x: a + x)).withColumn("figure_id", F.col("_figure.figure_id"))
-    near = pairs.where((F.col("_passed") >= least) & (F.col("_image.number").isNull() | same | (F.col("_passed") > least)))
-    best = near.groupBy("article", "image_id").agg(F.min_by("figure_id", F.struct("_far", "figure_id")).alias("figure_id"))
-    has = extracted.select("article").distinct().withColumn("_has", F.lit(True))
-    reason = F.when(F.col("figure_id").isNotNull(), None).when(F.col("_has").isNull(), "nothing extracted").otherwise("no figure is near")
-    return images.select("article", "image_id").join(best, ["article", "image_id"], "left").join(has, "article", "left").select("article", "image_id", "figure_id", reason.alias("reason"))
+    pairs = pairs.withColumn("passed", sum((F.coalesce(p, F.lit(False)).cast("int") for p in passed), F.lit(0))).withColumn("near", F.col("passed") >= least)
+    relevant = F.col("near") & (F.col("_image.number").isNull() | same | (F.col("passed") > least))
+    return pairs.select("article", "image_id", F.col("_figure.figure_id").alias("figure_id"), F.aggregate("_figure.far", F.lit(0), lambda a, x: a + x).alias("far"), "passed", "near", relevant.alias("relevant"))
+
+
+def extraction(images: DataFrame, packages: DataFrame, members: DataFrame, extracted: DataFrame, tests: dict[str, int], holds: Callable[[Column, Column], list[Column]] | None = None) -> DataFrame:
+    """article, image_id, kind, figure_id, reason: what stands for each image. One row for each figure that does (kind figure), one
+    for an image that is taken as it is (image) or for which there is none (error).
+
+    images as in matched_images, with sub (its part of a figure, null for a whole one); packages (article, error, has_pdf, has_xml);
+    members (article, image_id): the images that packages hold. An article without PDF or XML gives its images as they are.
+    An image that is part of a figure takes the nearest of several figures, others take all (a figure on several pages).
+    """
+    here = members.select("article", "image_id").distinct().withColumn("here", F.lit(True))
+    some = extracted.select("article").distinct().withColumn("some", F.lit(True))
+    rows = images.select("article", "image_id", "sub").join(packages.withColumn("package", F.lit(True)), "article", "left").join(here, ["article", "image_id"], "left").join(some, "article", "left")
+    short = rows.where("here is null").select("article").distinct().withColumn("short", F.lit(True))
+    rows = rows.join(short, "article", "left")
+    no = lambda c: ~F.coalesce(F.col(c), F.lit(False))
+    direct = no("has_pdf") | no("has_xml")
+    early = (
+        F.when(no("package"), "article not found").when(F.col("error").isNotNull(), F.col("error")).when(direct & no("here"), "image is not in its package")
+        .when(~direct & no("some"), "no figures found").when(~direct & F.col("short"), "an image of the article is not in its package")
+    )
+    rows = rows.withColumn("reason", early).withColumn("direct", F.col("reason").isNull() & direct)
+    open_rows = rows.where("reason is null and not direct").select("article", "image_id", "sub")
+    scored = scored_images(images.drop("sub").join(open_rows.select("article", "image_id"), ["article", "image_id"], "left_semi"), extracted, tests, 2, holds).where("near")
+    order = Window.partitionBy("article", "image_id").orderBy("far", "figure_id")
+    fits = scored.where("relevant").withColumn("n", F.row_number().over(order)).join(open_rows, ["article", "image_id"]).where("sub is null or n = 1")
+    nothing = F.lit(None).cast(dict(extracted.dtypes)["figure_id"])
+    out = fits.select("article", "image_id", F.lit("figure").alias("kind"), "figure_id", F.lit(None).cast("string").alias("reason"))
+    out = out.unionByName(rows.where("direct").select("article", "image_id", F.lit("image").alias("kind"), nothing.alias("figure_id"), F.lit(None).cast("string").alias("reason")))
+    left = open_rows.join(fits.select("article", "image_id").distinct(), ["article", "image_id"], "left_anti").join(scored.select("article", "image_id").distinct().withColumn("close", F.lit(True)), ["article", "image_id"], "left")
+    late = left.select("article", "image_id", F.when(F.col("close"), "no figure with its number").otherwise("no relevant figure").alias("reason"))
+    errors = rows.where("reason is not null").select("article", "image_id", "reason").unionByName(late)
+    return out.unionByName(errors.select("article", "image_id", F.lit("error").alias("kind"), nothing.alias("figure_id"), "reason"))
 
 
 def polled(items: DataFrame, ask: Loader, key: list[str], n: int = 3) -> DataFrame:
