@@ -119,3 +119,19 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["sql", "eligible_panels"]) == 0 and "select" in capsys.readouterr().out.lower()
     assert main(["run", "eligible_panels", "--data", "/root/testdata/sf0.001", "--out", f"{tmp_path}/out"]) == 0
     assert json.loads(spark.read.parquet(f"{tmp_path}/out").limit(1).toJSON().first())
+
+
+def test_build_goes_on(spark, tmp_path, capsys):
+    """A build that stopped after a step does the rest, and does not do again what is there."""
+    figures = spark.createDataFrame([(1, 11, "c", 100, 100, bytearray(b"x"), "one two"), (3, 12, "c", 100, 100, bytearray(b"x"), "three four")], "fig long, article_id long, image_cluster_id string, width int, height int, content binary, caption string")
+    figures.write.parquet(f"{tmp_path}/figures")
+    spark.createDataFrame([(11, "c", "t", "c", "CC0", ["x"])], "article_id long, image_cluster_id string, title string, citation string, license string, context array<string>").write.parquet(f"{tmp_path}/articles")
+    args = ["build", "--figures", f"{tmp_path}/figures", "--articles", f"{tmp_path}/articles", "--path", f"{tmp_path}/run", "--models"]
+    assert main(["steps"]) == 0 and capsys.readouterr().out.split() == ["boxes", "captions", "texts", "assembled", "rows"]
+    assert main([*args, "panelmill.plans.stage_queries:example_models", "--step", "captions"]) == 0
+    assert not (tmp_path / "run/rows").exists()
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "run/captions").iterdir()}
+    assert main([*args, "panelmill.plans.stage_queries:example_models"]) == 0
+    rows = spark.read.parquet(f"{tmp_path}/run/rows").collect()
+    assert sorted((r.panel_id, r.panel_name, r.subcaption_text, r.license) for r in rows) == [("p_1000001", "A", "one", "CC0"), ("p_1000002", "B", "two", "CC0"), ("p_3000001", "None", "three four", None)]
+    assert before == {p: p.stat().st_mtime_ns for p in (tmp_path / "run/captions").iterdir()}
