@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.functions.boxes import EDGES, to_shares
+from panelmill.functions.boxes import EDGES, box, from_percent, to_shares
 from panelmill.functions.text import attribution, commercial_use, panel_name
 from panelmill.operators.spatial import first_parent
 
@@ -134,3 +134,31 @@ def merged_settings(base: Column, over: Column) -> Column:
     """Two maps of texts to texts as one; the second's values win, and where both values are JSON objects their fields merge."""
     both = F.map_zip_with(base, over, lambda _, a, b: F.when(b.isNull(), a).when(a.startswith("{") & b.startswith("{"), F.to_json(F.map_zip_with(F.from_json(a, "map<string,string>"), F.from_json(b, "map<string,string>"), lambda _, x, y: F.coalesce(y, x)))).otherwise(b))
     return both
+
+
+def page_regions(tasks: DataFrame) -> DataFrame:
+    """id, article_id, image_cluster_id, region, role (figure or caption), label, name, box, page, page_index, on_page (the box there),
+    page_width, page_height, dpi and crosses (the box reaches more than a pixel beyond its page).
+
+    tasks as sources.readers.page_tasks gives them; the first annotation that was not cancelled counts. A region's box is its
+    last rectangle, its name the first text given under box_name.
+    """
+    first = F.get(F.filter("annotations", lambda a: ~F.coalesce(a["was_cancelled"], F.lit(False))), F.lit(0))
+    image = F.regexp_replace(F.regexp_replace(F.substring_index(F.col("data.base_image_path"), "/", -1), r"^pdf_", ""), r"\.png$", "")
+    r = tasks.select("id", F.col("data.article_id").alias("article_id"), F.regexp_replace(F.regexp_replace(image, "_updated$", ""), "^[^_]*_", "").alias("image_cluster_id"), F.col("data.pdf_pages").alias("pages"), "dpi", F.posexplode(first["result"]).alias("n", "r"))
+    is_box, is_name = F.col("r.type") == "rectanglelabels", (F.col("r.type") == "textarea") & (F.col("r.from_name") == "box_name")
+    g = r.groupBy("id", "article_id", "image_cluster_id", "pages", "dpi", F.col("r.id").alias("region")).agg(F.max_by("r", F.when(is_box, F.col("n"))).alias("r"), F.max_by("r", F.when(is_name, F.col("n"))).alias("t")).where("r is not null")
+    v, w, h = F.col("r.value"), F.col("r.original_width"), F.col("r.original_height")
+    g = g.withColumns({"box": from_percent(v["x"], v["y"], v["width"], v["height"], w, h), "page_width": w / F.size("pages"), "page_height": h.cast("int")})
+    at = F.least(F.floor(F.col("box.x0") / F.col("page_width")), F.size("pages") - 1).cast("int")
+    left = F.col("page_index") * F.col("page_width")
+    role = F.when(F.col("r.from_name") == "figure_position", "figure").when(F.col("r.from_name") == "caption_position", "caption")
+    g = g.withColumn("page_index", at)
+    on = box(F.col("box.x0") - left, F.col("box.y0"), F.col("box.x1") - left, F.col("box.y1"))
+    return g.select("id", "article_id", "image_cluster_id", "region", role.alias("role"), F.get(v["rectanglelabels"], F.lit(0)).alias("label"), F.get(F.col("t.value.text"), F.lit(0)).alias("name"), "box", F.get("pages", F.col("page_index")).alias("page"), "page_index", on.alias("on_page"), F.col("page_width").cast("int").alias("page_width"), "page_height", "dpi", (F.col("box.x1") > left + F.col("page_width") + 1).alias("crosses"))
+
+
+def places(regions: DataFrame, role: str) -> DataFrame:
+    """id and a map from page to the box of the last region (by name of the region) of a role there."""
+    last = regions.where(F.col("role") == role).groupBy("id", "page").agg(F.max_by("on_page", "region").alias("box"))
+    return last.groupBy("id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("page", "box")))).alias("pages"))

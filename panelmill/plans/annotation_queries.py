@@ -187,4 +187,38 @@ def downloads(spark, d):
     return out.select("path", F.coalesce(F.col("content").cast("string"), F.concat(F.lit("body of "), "path")).alias("body"), "error")
 
 
+@query("""with r as (select conv_id, turn, turn % 10 * 10.0 as x0, least(turn % 10 * 10 + 6 + turn % 7, 100) as x1, case turn % 3 when 0 then 'figure' when 1 then 'caption' end as role from conversations where conv_id % 5 <> 2),
+p as (select *, least(floor(x0 / (100 / 3)), 2)::int as i from r)
+select conv_id as id, 'PMC' || conv_id as article_id, 'gr_' || conv_id as image_cluster_id, turn::varchar as region, role, case when turn % 2 = 0 then 'A' || turn end as name, [4, 7, 9][i + 1] as page, i as page_index, round(x0 - i * 100 / 3, 6) as x0, round(x1 - i * 100 / 3, 6) as x1, 33 as page_width, 72 as dpi, x1 > (i + 1) * 100 / 3 + 1 as crosses from p""")
+def page_regions(spark, d):
+    """Regions on three pages side by side; tasks that cannot be read, and cancelled annotations, are left out."""
+    at = folder(spark, "pages")
+    turn = F.col("turn")
+    part = lambda kind, source, value: F.struct(turn.cast("string").alias("id"), F.lit(kind).alias("type"), source.alias("from_name"), F.lit(100).alias("original_width"), F.lit(50).alias("original_height"), value.alias("value"))
+    x = (turn % 10 * 10).cast("double")
+    nothing = lambda t: F.lit(None).cast(t)
+    value = lambda x, w, labels, text: F.struct(x.alias("x"), F.lit(1.0).alias("y"), w.alias("width"), F.lit(2.0).alias("height"), labels.alias("rectanglelabels"), text.alias("text"))
+    source = F.when(turn % 3 == 0, "figure_position").when(turn % 3 == 1, "caption_position").otherwise("other")
+    shape = part("rectanglelabels", source, value(x, F.least(6 + turn % 7, 100 - turn % 10 * 10).cast("double"), F.array(F.lit("Actual Figure")), nothing("array<string>")))
+    name = part("textarea", F.lit("box_name"), value(nothing("double"), nothing("double"), nothing("array<string>"), F.array(F.concat(F.lit("A"), turn.cast("string")))))
+    regions = F.flatten(F.collect_list(F.when(turn % 2 == 0, F.array(shape, name)).otherwise(F.array(shape))))
+    c = F.col("conv_id")
+    data = F.struct(F.concat(F.lit("/x/pdf_PMC"), c.cast("string"), F.lit("_gr_"), c.cast("string"), F.when(c % 2 == 0, "_updated").otherwise(""), F.lit(".png")).alias("base_image_path"), F.array(F.lit(4), F.lit(7), F.lit(9)).alias("pdf_pages"), F.concat(F.lit("PMC"), c.cast("string")).alias("article_id"))
+    cancelled = F.struct(F.lit(1).alias("id"), F.lit(True).alias("was_cancelled"), F.col("result"))
+    tasks = Tables(spark, d).conversations.groupBy("conv_id").agg(regions.alias("result")).select((c % 4).alias("k"), F.when(c % 5 == 2, '{"id": {}, "data": 3}').otherwise(F.to_json(F.struct(c.alias("id"), data.alias("data"), F.array(cancelled, F.struct(F.lit(2).alias("id"), F.lit(False).alias("was_cancelled"), F.col("result"))).alias("annotations")))).alias("t"))
+    tasks.groupBy("k").agg(F.concat(F.lit("["), F.array_join(F.collect_list("t"), ","), F.lit("]")).alias("value")).write.partitionBy("k").text(at)
+    out = ann.page_regions(readers.page_tasks(spark, at))
+    return out.select("id", "article_id", "image_cluster_id", "region", "role", "name", "page", "page_index", F.round("on_page.x0", 6).alias("x0"), F.round("on_page.x1", 6).alias("x1"), "page_width", "dpi", "crosses")
+
+
+@query("""with r as (select conv_id as id, turn, least(floor(turn % 10 * 10 / (100 / 3)), 2)::int as i from conversations where turn % 3 = 0), l as (select id, i, max(turn::varchar) as region from r group by 1, 2)
+select id, list([4, 7, 9][i + 1] order by i) as pages, round(sum(region::int % 10 * 10), 6)::double as total from l group by 1""")
+def figure_places(spark, d):
+    t, turn = Tables(spark, d).conversations, F.col("turn")
+    at = F.least(F.floor(turn % 10 * 10 / (100 / 3)), F.lit(2)).cast("int")
+    regions = t.select(F.col("conv_id").alias("id"), F.when(turn % 3 == 0, "figure").alias("role"), turn.cast("string").alias("region"), F.get(F.array(F.lit(4), F.lit(7), F.lit(9)), at).alias("page"), bx.box(turn % 10 * 10, F.lit(0), F.lit(1), F.lit(1)).alias("on_page"))
+    out = ann.places(regions, "figure")
+    return out.select("id", F.map_keys("pages").alias("pages"), F.round(F.aggregate(F.map_values("pages"), F.lit(0.0), lambda a, b: a + b["x0"]), 6).alias("total"))
+
+
 __all__ = ["rel"]

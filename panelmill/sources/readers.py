@@ -93,6 +93,17 @@ def tasks(spark: SparkSession, path: str) -> DataFrame:
     return read.where("_corrupt_record is null and id is not null").drop("_corrupt_record")
 
 
+#: A task over the pages of an article, side by side in one image.
+PAGES = f"id bigint, data struct<image_path:string,base_image_path:string,pdf_pages:array<int>,caption:string,citation:string,article_id:string,meta_annotation:string>, annotations array<struct<id:bigint,was_cancelled:boolean,result:array<{RESULT}>>>, _corrupt_record string"
+
+
+def page_tasks(spark: SparkSession, path: str, dpi: int = 72) -> DataFrame:
+    """Tasks over pages, with dpi; one that cannot be read, or has no pages, is left out."""
+    each = spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json("value", "array<string>")).alias("task"))
+    read = each.select(F.from_json("task", PAGES, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("t")).select("t.*")
+    return read.where("_corrupt_record is null and id is not null and data.pdf_pages is not null").drop("_corrupt_record").withColumn("dpi", F.lit(dpi))
+
+
 def task_boxes(tasks: DataFrame) -> DataFrame:
     """One row for each region of each annotation that was not cancelled: box in pixels, labels, name, parent."""
     r = tasks.select("id", F.explode("annotations").alias("a")).where("not coalesce(a.was_cancelled, false)").select("id", F.col("a.id").alias("annotation_id"), F.explode("a.result").alias("r"))
