@@ -1,7 +1,7 @@
 """Quality scores by attention-based multiple-instance learning.
 
 A document is a bag of passages (PASSAGE code points each, the whole text). Each passage becomes a vector of
-character and repetition statistics. Only the document has a label: gated attention (tanh times sigmoid)
+character and repetition statistics and of hashed character pairs and words, which a learned layer encodes. Only the document has a label: gated attention (tanh times sigmoid)
 learns which passages matter, and the score is that of the attention-weighted passage representation.
 
 The model is fitted on the driver from a bounded sample: SAMPLE labelled documents picked by a hash of the
@@ -48,8 +48,9 @@ def _kinds() -> np.ndarray:
 
 
 KINDS, ROLLING = _kinds(), Rolling(0x110000, 4)
-BIGRAMS = 24
-FEATURES = len(_GROUPS) + 5 + BIGRAMS
+#: Slots of hashed pairs of characters and of hashed words.
+BIGRAMS, WORDS = 24, 96
+FEATURES = len(_GROUPS) + 5 + BIGRAMS + WORDS
 
 
 def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +91,16 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     out[:, k + 4] = np.minimum(words / np.maximum(size, 1) * 4, 2)
     pair = (np.minimum(points[:-1], 0x24F) * 31 + np.minimum(points[1:], 0x24F)) % BIGRAMS
     within = own[1:] == own[:-1]  # a score does not depend on the texts beside
-    out[:, k + 5 :] = np.sqrt(np.bincount((where[:-1] * BIGRAMS + pair)[within], minlength=n * BIGRAMS).reshape(n, BIGRAMS) / size[:, None])
+    k += 5
+    out[:, k : k + BIGRAMS] = np.sqrt(np.bincount((where[:-1] * BIGRAMS + pair)[within], minlength=n * BIGRAMS).reshape(n, BIGRAMS) / size[:, None])
+    if len(starts):
+        last = np.ones(len(points), bool)
+        last[:-1] = blank[1:] | ~within
+        stops = np.flatnonzero(last & ~blank) + 1
+        word, at = ROLLING.slices(sums, starts, stops), where[starts]
+        k += BIGRAMS
+        slot = (word >> np.uint64(40)) % np.uint64(WORDS)
+        out[:, k : k + WORDS] = np.sqrt(np.bincount(at * WORDS + slot.astype(np.int64), minlength=n * WORDS).reshape(n, WORDS) / words[:, None])
     return out, bags
 
 
@@ -134,8 +144,8 @@ def train(x: list[np.ndarray], y: np.ndarray) -> dict:
     """The parameters from bags of passages and their labels, by Adam; the same for the same bags."""
     rng = np.random.default_rng(5)
     flat = np.concatenate(x)
-    draw = lambda *s: rng.normal(0, s[0] ** -0.5, s)
-    p = {"mean": flat.mean(0), "scale": flat.std(0) + 0.02, "W": draw(FEATURES, HIDDEN), "b": np.zeros(HIDDEN), "V": draw(HIDDEN, GATE), "U": draw(HIDDEN, GATE), "w": draw(GATE, 1)[:, 0], "c": draw(HIDDEN, 1)[:, 0], "d": np.zeros(1)}
+    draw = lambda *s: rng.normal(0, s[0] ** -0.5, s).astype(np.float32)
+    p = {"mean": flat.mean(0), "scale": flat.std(0) + 0.02, "W": draw(FEATURES, HIDDEN), "b": np.zeros(HIDDEN, np.float32), "V": draw(HIDDEN, GATE), "U": draw(HIDDEN, GATE), "w": draw(GATE, 1)[:, 0], "c": draw(HIDDEN, 1)[:, 0], "d": np.zeros(1, np.float32)}
     m, v, step = {}, {}, 0
     for epoch in range(EPOCHS):
         order = rng.permutation(len(x))
@@ -148,7 +158,7 @@ def train(x: list[np.ndarray], y: np.ndarray) -> dict:
                 g = g + 1e-4 * p[k]
                 m[k] = 0.9 * m.get(k, 0) + 0.1 * g
                 v[k] = 0.999 * v.get(k, 0) + 0.001 * g * g
-                p[k] = p[k] - RATE * (1 - epoch / EPOCHS) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+                p[k] = (p[k] - RATE * (1 - epoch / EPOCHS) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
     return {k: np.asarray(a, np.float32) for k, a in p.items()}
 
 
