@@ -111,7 +111,7 @@ def as_text(name: str) -> Column:
 def spread(df: DataFrame) -> DataFrame:
     """df over all cores: a table of fewer files than the cluster has cores is dealt out by rows."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if 0 < len(df._jdf.inputFiles()) < cores else df  # only their number leaves the JVM
 
 
 def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

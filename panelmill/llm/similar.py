@@ -137,12 +137,14 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _own_tokens(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens, set number of each) of the block's classes, and the block's distinct tokens."""
-    _, _, tokens, at = _of(row)
+    """(tokens, set number of each) of the block's classes, and the block's distinct tokens. Copies of other texts are
+    left out before anything is made of them."""
+    data, sizes = np.frombuffer(unpack(row["body"])[0], np.uint8), unpack(row["sizes"])[0].astype(np.int64)
     which = np.array(sorted(row["sets"] or []), np.int64)
-    size = at[which + 1] - at[which]
-    place = np.repeat(at[which] - ends(size)[:-1], size) + np.arange(size.sum())
-    return tokens[place], np.repeat(which, size), np.unique(tokens[place])
+    listed = np.zeros(len(sizes), bool)
+    listed[which] = True
+    tokens, at = shingles(data[np.repeat(listed, sizes)], ends(sizes[which]))
+    return tokens, np.repeat(which, np.diff(at)), np.unique(tokens)
 
 
 def _deal_tokens(groups: int):

@@ -218,8 +218,8 @@ def _filled(x: list[list[float]], wide: int) -> np.ndarray:
         return np.floor(256 * np.array([v + [0.0] * (wide - len(v)) for v in x], np.float64).reshape(len(x), wide))
 
 
-def _cells(pivots: np.ndarray):
-    """Each vector's cell and its distance from the pivot."""
+def _cells(pivots: np.ndarray, n_asked: int):
+    """Each vector's cell and its distance from the pivot, among all pivots and, for queries, among the first n_asked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,8 +227,9 @@ def _cells(pivots: np.ndarray):
                 rows = batch.slice(low, BLOCK)
                 x = _filled(rows.column("v").to_pylist(), pivots.shape[1])
                 far = np.stack([_far(x, p) for p in pivots], 1)
-                own = far.argmin(1)
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(own.astype(np.int32)), pa.array(far[np.arange(len(own)), own])], [*rows.schema.names, "cell", "far"])
+                own, asked, each = far.argmin(1), far[:, :n_asked].argmin(1), np.arange(len(far))
+                found = [pa.array(own.astype(np.int32)), pa.array(far[each, own]), pa.array(asked.astype(np.int32)), pa.array(far[each, asked])]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *found], [*rows.schema.names, "cell", "far", "lot", "lot_far"])
 
     return run
 
@@ -240,50 +241,51 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     sound = v.isNotNull() & column(id_col).isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.where(sound).select(column(id_col).cast("bigint").alias("id"), v.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")).distinct()
     rows = written(rows, "vectors")
-    n, wide = rows.agg(F.count("*"), F.max(F.size("v"))).first()
-    wide = max(wide or 0, 1)
+    n, m, wide = rows.agg(F.count("*"), F.count_if("asks"), F.max(F.size("v"))).first()
+    wide, many = max(wide or 0, 1), lambda of, size: max(1, min(CELLS, -(-of // size)))
     sample = _filled([list(r.v) for r in rows.orderBy(F.xxhash64("id", F.lit(5)), "id", "v").limit(SAMPLE).select("v").collect()], wide) if n > BLOCK else np.zeros((1, wide))
-    pivots = sample[net(sample, 0, _far(sample, sample[0]), 0.0, CELLS)[0]]
-    rows = written(rows.mapInArrow(tidy(_cells(pivots)), "id bigint, v array<double>, asks boolean, cell int, far double"), "cells")
-    cells = {r.cell: r for r in rows.groupBy("cell").agg(F.count("*").alias("n"), F.count_if("asks").alias("m"), F.max("far").alias("r"), F.max(F.when(F.col("asks"), F.col("far"))).alias("s")).collect()}  # at most CELLS rows
+    pivots = sample[net(sample, 0, _far(sample, sample[0]), 0.0, many(n, BLOCK))[0]]  # the first of them are a net as well
+    rows = written(rows.mapInArrow(tidy(_cells(pivots, many(m, QUERIES))), "id bigint, v array<double>, asks boolean, cell int, far double, lot int, lot_far double"), "cells")
+    cells = {r.cell: r for r in rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("r")).collect()}  # at most CELLS rows
+    lots = {r.cell: r for r in rows.where("asks").groupBy(F.col("lot").alias("cell")).agg(F.count("*").alias("n"), F.max("lot_far").alias("r")).collect()}
 
-    def blocks(df: DataFrame, size: int, of: str) -> DataFrame:
+    def blocks(df: DataFrame, cell: str, sizes: dict, size: int) -> DataFrame:
         count = F.lit(1).cast("bigint")
-        for c, r in cells.items():
-            count = F.when(F.col("cell") == c, F.lit(max(1, -(-r[of] // size))).cast("bigint")).otherwise(count)
-        block = F.col("cell").cast("bigint") * (1 << 32) + F.pmod(F.xxhash64("id", F.lit(3)), count)
-        return df.select(block.alias("block"), "id", "v", "floor")
+        for c, r in sizes.items():
+            count = F.when(F.col(cell) == c, F.lit(max(1, -(-r.n // size))).cast("bigint")).otherwise(count)
+        block = F.col(cell).cast("bigint") * (1 << 32) + F.pmod(F.xxhash64("id", F.lit(3)), count)
+        return df.select(block.alias("block"), "id", "v", "floor").groupBy("block").applyInArrow(tidy(_packed), "block bigint, body binary")
 
     unknown = F.lit(None).cast("double")
-    fold = lambda df: df.groupBy("block").applyInArrow(tidy(_packed), "block bigint, body binary")
-    data = written(fold(blocks(rows.withColumn("floor", unknown), BLOCK, "n")), "blocks")
     asks = rows.where("asks")
+    data = written(blocks(rows.withColumn("floor", unknown), "cell", cells, BLOCK), "blocks")
 
-    def search(pairs: DataFrame, asked: DataFrame) -> DataFrame:
+    def search(pairs: DataFrame, asked: DataFrame, tasks: int) -> DataFrame:
         both = pairs.join(data, "block").join(asked.select(F.col("block").alias("lot"), F.col("body").alias("queries")), "lot")
-        return both.select("queries", "body").repartition(max(1, min(4096, n // BLOCK * 4))).mapInArrow(tidy(_search(k)), _FOUND)
+        return both.select("queries", "body").repartition(max(1, min(4096, tasks))).mapInArrow(tidy(_search(k)), _FOUND)
 
-    # for two cells: the bound on their inner products, and the number of the data cell's blocks
+    # for a cell of queries and one of data: the bound on their inner products, and the number of blocks
     lengths = [float(np.linalg.norm(p)) for p in pivots]
-    meet, first = [], {}
-    for c in (c for c, r in cells.items() if r.m):
-        product = {j: float(pivots[c] @ pivots[j]) for j in cells}
-        first[c] = max(product, key=lambda j: (product[j], j))
-        meet += [(c, j, above(product[j], lengths[c], cells[c].s, lengths[j], cells[j].r), max(1, -(-cells[j].n // BLOCK))) for j in cells]
+    parts = lambda r, size: max(1, -(-r.n // size))
+    product = {(c, j): float(pivots[c] @ pivots[j]) for c in lots for j in cells}
+    home = {c: max(cells, key=lambda j, c=c: (product[c, j], j)) for c in lots}
+    meet = [(c, j, above(product[c, j], lengths[c], lots[c].r, lengths[j], cells[j].r), parts(cells[j], BLOCK)) for c, j in product]
+    n_lots, n_blocks = sum(parts(r, QUERIES) for r in lots.values()), sum(parts(r, BLOCK) for r in cells.values())
     meets = spark.createDataFrame(meet, "cell int, other int, bound double, blocks bigint")
-    asked = fold(blocks(asks.withColumn("floor", unknown), QUERIES, "m"))
-    home = F.lit(None).cast("bigint")
-    for c, j in first.items():
-        home = F.when(F.shiftright("lot", 32) == c, F.lit(j << 32).cast("bigint")).otherwise(home)
-    found = written(search(asked.select(F.col("block").alias("lot")).withColumn("block", home), asked), "first")
-    if n > BLOCK:
+    asked = written(blocks(asks.withColumn("floor", unknown), "lot", lots, QUERIES), "asked")
+    first = F.lit(None).cast("bigint")
+    for c, j in home.items():
+        first = F.when(F.shiftright("lot", 32) == c, F.lit(j << 32).cast("bigint")).otherwise(first)
+    found = written(search(asked.select(F.col("block").alias("lot")).withColumn("block", first), asked, n_lots), "first")
+    if n_blocks > 1:
         best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("rank_key"), "vec_id")
-        known = found.distinct().withColumn("place", F.row_number().over(best)).where(F.col("place") == k).select(F.col("query_id").alias("id"), F.col("floor"))
-        lots = written(blocks(asks.join(known, "id", "left"), QUERIES, "m"), "lots")
-        floors = lots.groupBy(F.col("block").alias("lot")).agg(F.min(F.coalesce("floor", F.lit(float("-inf")))).alias("least")).withColumn("cell", F.shiftright("lot", 32).cast("int"))
-        pairs = floors.join(F.broadcast(meets), "cell").where(F.col("bound") >= F.col("least"))  # CELLS squared rows at most
+        known = found.distinct().withColumn("place", F.row_number().over(best)).where(F.col("place") == k).select(F.col("query_id").alias("id"), "floor")
+        floored = written(blocks(asks.join(known, "id", "left"), "lot", lots, QUERIES), "floored")
+        least = asks.join(known, "id", "left").groupBy("lot").agg(F.min(F.coalesce("floor", F.lit(float("-inf")))).alias("least")).withColumnRenamed("lot", "cell")
+        pairs = floored.select(F.col("block").alias("lot"), F.shiftright("block", 32).cast("int").alias("cell")).join(F.broadcast(least), "cell")  # CELLS rows at most
+        pairs = pairs.join(F.broadcast(meets), "cell").where(F.col("bound") >= F.col("least"))  # CELLS squared rows at most
         pairs = pairs.select("lot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("i"), "other").select("lot", (F.col("other").cast("bigint") * (1 << 32) + F.col("i")).alias("block"))
-        found = found.unionAll(search(pairs.where(F.col("block") != home), fold(lots)))
+        found = found.unionAll(search(pairs.where(F.col("block") != first), floored, n_lots * n_blocks))
     found = found.drop("floor").distinct()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("rank_key"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
