@@ -55,6 +55,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep_folder(path: str) -> None:
+    """Notes a folder that an operator fills, so that drop_work finds it."""
+    _MADE.append(path)
+
+
 def made() -> int:
     """How many working tables there are; what comes later can be dropped by number."""
     return len(_MADE)

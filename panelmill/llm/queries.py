@@ -102,12 +102,28 @@ def op11_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_pane_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelmill.llm.panes import revised
+
+    clicks = _table(spark, sf_dir, "clicks").where("ts is not null and arrived_at is not null")
+    day = F.unix_date(F.col("arrived_at").cast("date"))
+    cents = F.col("value") * 100 + 0.5
+    cents = F.when(F.abs(cents) < float(1 << 53), F.floor(cents)).otherwise(0)  # null, not finite or beyond exact integers: 0
+    once = clicks.groupBy("click_id").agg(F.min(F.struct("arrived_at", "ts", "kind", "value")).alias("first"))
+    rows = once.select("click_id", "first.*").withColumn("q", F.pmod(day, F.lit(10)))
+    rows = rows.select(
+        F.least(F.lit(9), F.col("q") + F.greatest(F.lit(0), F.crc32(F.col("click_id").cast("string")) % 30 - 23)).alias("batch"),
+        F.col("click_id").alias("id"), (F.col("ts").cast("timestamp_ntz") - F.make_dt_interval(day - F.col("q"))).alias("at"), "kind", cents.alias("cents"),
+    )
+    return revised(rows, 10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()} | {"quality_statistics": quality_statistics}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mix": MIX, "quality_statistics": STATISTICS, "op5_suffix_dedup": REPEATS, "op6_jaccard_join": LINKS, "op10_exact_topk": TOP_K}
+    return {"op3_source_mix": MIX, "quality_statistics": STATISTICS, "op5_suffix_dedup": REPEATS, "op6_jaccard_join": LINKS, "op10_exact_topk": TOP_K, "op12_pane_revisions": PANES}
 
 
 #: All 50-byte strings with the least document that has them; the runs that later documents lose; what stays.
@@ -220,3 +236,43 @@ with e as (
 )
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
+
+#: Rows by batch with the bound of each; a pane's totals after each batch; its first batch as due, and what comes after.
+PANES = """
+with once as (
+  select click_id, ts, arrived_at, kind, value from clicks where ts is not null and arrived_at is not null
+  qualify row_number() over (partition by click_id order by arrived_at, ts, kind nulls first, value nulls first) = 1
+), keyed as (
+  select *, date_diff('day', date '1970-01-01', arrived_at::date) as d,
+         xor(list_reduce([4294967295::bigint] || list_transform(string_split(click_id::varchar, ''), lambda c: ascii(c)::bigint),
+           lambda h, x: xor(h >> 8, list_reduce([xor(h, x) & 255, 0::bigint, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1))))), 4294967295) as crc from once
+), placed as (
+  select click_id, coalesce(kind, 'none') as kind, epoch_us(ts) - (d - d % 10) * 86400000000 as us,
+         least(9, d % 10 + greatest(0, crc % 30 - 23)) as batch, case when abs(100 * value + 0.5) < 9007199254740992 then floor(100 * value + 0.5)::bigint else 0 end as cents from keyed
+), hours as (
+  select *, (us - ((us % 3600000000) + 3600000000) % 3600000000) // 3600000000 as hour from placed
+), bounds as (
+  select b.batch, (select max(us) from hours where hours.batch < b.batch) as w from range(10) as b(batch)
+), judged as (
+  select hours.*, coalesce(w >= (hour + 49) * 3600000000, false) as is_late from hours join bounds using (batch)
+), steps as (
+  select kind, hour, batch, count(*) as n, sum(cents)::bigint as c from judged where not is_late group by all
+), running as (
+  select *, sum(n) over upto as n_all, sum(c) over upto as c_all, min(batch) over (partition by kind, hour) as since,
+         (select min(batch) from bounds where w >= (hour + 13) * 3600000000) as due
+  from steps window upto as (partition by kind, hour order by batch)
+), sent as (
+  select *, case when due is not null then greatest(since, due) end as first_sent from running
+), records as (
+  select batch, hour, click_id, 1 as n_rows, cents, 'late' as record, kind from judged where is_late
+  union all
+  select first_sent, hour, -1, max(n_all), max_by(c_all, batch), 'emit', kind from sent where batch <= first_sent group by first_sent, hour, kind
+  union all
+  select batch, hour, -1, n_all - n, c_all - c, 'retract', kind from sent where batch > first_sent
+  union all
+  select batch, hour, -1, n_all, c_all, 'replace', kind from sent where batch > first_sent
+  union all
+  select 9, hour, -1, sum(n), sum(c), 'final', kind from sent where due is null group by hour, kind
+)
+select batch::bigint as batch, hour::bigint as hour, click_id::bigint as click_id, n_rows::bigint as n_rows, cents::bigint as cents, record, kind from records
+"""
