@@ -118,12 +118,18 @@ def op12_pane_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revised(rows, 10)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelmill.llm import lexical
+
+    return lexical.search(lexical.build(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()} | {"quality_statistics": quality_statistics}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mix": MIX, "quality_statistics": STATISTICS, "op5_suffix_dedup": REPEATS, "op6_jaccard_join": LINKS, "op10_exact_topk": TOP_K, "op12_pane_revisions": PANES}
+    return {"op3_source_mix": MIX, "quality_statistics": STATISTICS, "op5_suffix_dedup": REPEATS, "op6_jaccard_join": LINKS, "op10_exact_topk": TOP_K, "op12_pane_revisions": PANES, "op13_lexical_search": LEXICAL}
 
 
 #: All 50-byte strings with the least document that has them; the runs that later documents lose; what stays.
@@ -276,3 +282,28 @@ with once as (
 )
 select batch::bigint as batch, hour::bigint as hour, click_id::bigint as click_id, n_rows::bigint as n_rows, cents::bigint as cents, record, kind from records
 """
+
+#: Every term of every document against the items' terms.
+LEXICAL = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents
+), sizes as (
+  select doc_id, len(w)::bigint as n from d where len(w) > 0
+), total as (
+  select count(*)::bigint as docs, sum(n)::bigint as terms from sizes
+), asked as (
+  select item_id, term, count(*) as often from (
+    select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark
+  ) group by all
+), found as (
+  select doc_id, term, count(*)::bigint as tf from (select doc_id, unnest(w) as term from d) where term in (select term from asked) group by all
+), weights as (
+  select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as weight from found, total group by term, docs
+), scored as (
+  select item_id, doc_id, sum(often * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::bigint as score
+  from asked join weights using (term) join found using (term) join sizes using (doc_id), total group by item_id, doc_id
+), ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank, doc_id, score from scored where score > 0
+)
+select * from ranked where rank <= 20
+"""
