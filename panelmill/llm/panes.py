@@ -36,6 +36,15 @@ from panelmill.llm.common import keep_folder, shared_dir, tidy
 HOUR = 3_600_000_000
 #: A kind's hours are dealt out to so many of its shards; a ring has SLOTS hours of each, so 128 in a row.
 STRIPES, SLOTS = 8, 16
+#: A shard's state is some kilobytes: small buffers, no disk set aside before it is needed, changes written instead of whole stores.
+STREAM = {
+    "stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "stateStore.rocksdb.allowFAllocate": "false",
+    "stateStore.rocksdb.writeBufferSizeMB": "2",
+    "stateStore.rocksdb.blockCacheSizeMB": "2",
+    "noDataMicroBatches.enabled": "false",
+}
 #: Totals that a task holds before it hands them on.
 HELD = 50_000
 _ROUND, _LOW = 1 << 64, 24
@@ -283,9 +292,8 @@ def revised(events: DataFrame, batches: int, due_after: int = 12 * HOUR, closed_
     keep_folder(root)
     most = stage(events, root, batches, shards)
     session = spark.newSession()  # its settings are its own
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-    session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    for name, value in STREAM.items():
+        session.conf.set(f"spark.sql.streaming.{name}", value)
     session.conf.set("spark.sql.shuffle.partitions", str(min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     bound: int | None = None
     for batch in range(batches):
