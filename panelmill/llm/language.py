@@ -6,7 +6,8 @@ a text takes the language of the centroid with the highest cosine, and is marked
 lies below the range which the centroid's own sample texts span.
 
 The model is fitted on a bounded sample: about PER_LANGUAGE texts of each label, those of the least hashes of id and
-text, repeated rows once. Every label is learned, however rare; every text is scored, whole.
+text, repeated rows once. The LABELS most frequent labels are learned, so a column of free text as labels gives no model without
+bounds; with fewer, every label is, however rare. Every text is scored, whole.
 
 Rows: one for each input row, repeated rows included; other columns are left out. A null text, or one
 without a letter, is `und` with score 0. A null id is never held out and never learned from. With nothing to
@@ -27,6 +28,8 @@ from panelmill.llm.common import as_text, chunks, column, pack, spread, tidy, un
 
 #: Texts of each label in the sample that the model is fitted on.
 PER_LANGUAGE = 400
+#: Labels that are learned: those with most texts, of equal ones the first by name. A model holds 64 KB for each.
+LABELS = 1024
 DIMS, CENTROIDS, ROUNDS = 4096, 4, 12
 #: Texts that are vectors at once.
 ROWS = 1024
@@ -101,8 +104,9 @@ def fit(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str = "d
     known = docs.where(learn & column(id_col).isNotNull() & column(lang_col).isNotNull() & as_text(text_col).rlike(r"\p{L}"))
     place = F.pmod(F.xxhash64(column(id_col).cast("string"), as_text(text_col)), F.lit(1 << 30))
     rows = known.select(column(lang_col).cast("string").alias("lang"), as_text(text_col).alias("text"), place.alias("place"))
-    sizes = known.groupBy(column(lang_col).cast("string").alias("lang")).count().select("lang", (F.lit(PER_LANGUAGE * (1 << 30)) / F.col("count")).alias("below"))
-    sample = rows.join(sizes, "lang").where("place < below").groupBy("lang", "place").agg(F.min("text").alias("text")).select("lang", "text")
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LABELS)
+    below = sizes.select("lang", (F.lit(PER_LANGUAGE * (1 << 30)) / F.col("count")).alias("below"))
+    sample = rows.join(F.broadcast(below), "lang").where("place < below")  # at most LABELS rows are broadcast; texts stay where they are.groupBy("lang", "place").agg(F.min("text").alias("text")).select("lang", "text")
     by: dict[str, list[bytes]] = {}
     for r in sample.mapInArrow(tidy(_sample), "lang string, packed binary").toLocalIterator():
         by.setdefault(r.lang, []).append(bytes(r.packed))
