@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import Rolling, as_text, chunks, column, pack, spread, tidy, unpack
+from panelmill.llm.common import Rolling, as_text, chunks, column, pack, spread, tidy, unpack, written
 
 PASSAGE = 400
 #: Bounds of the sample that the model is fitted on.
@@ -168,12 +168,16 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     known = known.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     rows = docs.select(column(id_col).cast("bigint").alias("doc_id"), as_text(text_col).alias("text")).join(F.broadcast(known), "doc_id")  # at most SAMPLE rows are broadcast
     rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # repeated rows count once
-    found, total = [], 0
-    for r in sorted(rows.mapInArrow(tidy(_sample), "doc_id bigint, quality double, packed binary").toLocalIterator(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id)):
-        x = unpack(bytes(r.packed))[0].reshape(-1, FEATURES)
-        if total + len(x) <= SAMPLE_PASSAGES:
-            found.append((x, r.quality))
-            total += len(x)
+    rows = written(rows, "quality-sample")
+    # which documents fit into SAMPLE_PASSAGES is settled from their sizes, before any passage leaves the executors
+    passages_of = F.greatest(F.lit(1), F.ceil(F.char_length(F.coalesce("text", F.lit(""))) / PASSAGE)).alias("n")
+    taken, total = [], 0
+    for r in sorted(rows.select("doc_id", passages_of).collect(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id)):  # SAMPLE rows of two numbers
+        if total + r.n <= SAMPLE_PASSAGES:
+            taken.append(r.doc_id)
+            total += r.n
+    own = {r.doc_id: (unpack(bytes(r.packed))[0].reshape(-1, FEATURES), r.quality) for r in rows.where(F.col("doc_id").isin(taken)).mapInArrow(tidy(_sample), "doc_id bigint, quality double, packed binary").toLocalIterator()}
+    found = [own[i] for i in taken]
     return train([x for x, _ in found], np.array([min(max(q, 0.0), 1.0) for _, q in found])) if found else None
 
 
