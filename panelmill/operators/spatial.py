@@ -27,13 +27,13 @@ def spatial_join(parents: DataFrame, children: DataFrame, figure: str = "fig", c
 
 
 def hierarchy(panels: DataFrame, labels: DataFrame, images: DataFrame, figure: str = "fig") -> DataFrame:
-    """For each panel the ids of its labels and images, and the box that spans it and its images."""
+    """For each panel the ids of its labels and images, and the box that spans it and its images. Ids may repeat between figures."""
     child = lambda df, kind: df.select(figure, F.struct(F.lit(kind).alias("kind"), F.col("id").alias("id")).alias("id"), "box")
-    kids = spatial_join(panels, child(labels, "label").unionByName(child(images, "image")), figure).select("parent_id", F.col("child_id.id").alias("child_id"), F.col("child_id.kind").alias("kind"), "child")
+    kids = spatial_join(panels, child(labels, "label").unionByName(child(images, "image")), figure).select(figure, "parent_id", F.col("child_id.id").alias("child_id"), F.col("child_id.kind").alias("kind"), "child")
     of = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("child_id")))).alias(f"{kind}_ids")
     image = F.when(F.col("kind") == "image", F.col("child"))
-    found = kids.groupBy("parent_id").agg(of("label"), of("image"), F.min(image["x0"]).alias("_x0"), F.min(image["y0"]).alias("_y0"), F.max(image["x1"]).alias("_x1"), F.max(image["y1"]).alias("_y1"))
-    out = panels.join(found, panels["id"] == found["parent_id"], "left")
+    found = kids.groupBy(figure, "parent_id").agg(of("label"), of("image"), F.min(image["x0"]).alias("_x0"), F.min(image["y0"]).alias("_y0"), F.max(image["x1"]).alias("_x1"), F.max(image["y1"]).alias("_y1"))
+    out = panels.join(found.withColumnRenamed("parent_id", "id"), [figure, "id"], "left")
     none = F.array().cast("array<bigint>")
     return out.select(
         figure, F.col("id").alias("panel_id"), F.coalesce("label_ids", none).alias("label_ids"), F.coalesce("image_ids", none).alias("image_ids"),
@@ -42,8 +42,8 @@ def hierarchy(panels: DataFrame, labels: DataFrame, images: DataFrame, figure: s
 
 
 def first_parent(parents: DataFrame, children: DataFrame, figure: str = "fig") -> DataFrame:
-    """Each child with the first panel (by id) that it touches; null if there is none."""
-    w = Window.partitionBy("child_id").orderBy(F.col("parent_id").asc_nulls_last())
+    """Each child with the first panel (by id) that it touches; null if there is none. Ids may repeat between figures."""
+    w = Window.partitionBy(figure, "child_id").orderBy(F.col("parent_id").asc_nulls_last())
     return spatial_join(parents, children, figure, how="left").withColumn("_n", F.row_number().over(w)).where("_n = 1").select(figure, "child_id", "parent_id")
 
 
