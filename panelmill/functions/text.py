@@ -156,16 +156,26 @@ def reconstruct(segments: Column, whole: Column) -> Column:
 
 
 def join_segments(segments: Column) -> Column:
-    """Texts of segments (start, text) by start, with a space between unless punctuation follows."""
-    step = lambda acc, s: F.when(acc == "", s["text"]).when(s["text"].rlike(r"^[.,;:)\]]"), F.concat(acc, s["text"])).otherwise(F.concat(acc, F.lit(" "), s["text"]))
-    return F.aggregate(F.array_sort(segments), F.lit(""), step)
+    """Texts of segments (structs that sort by start and end, with text), null ones left out. A space stands between two unless
+    the second begins with a space or punctuation, or with an opening bracket behind a space."""
+    told = F.filter(segments, lambda s: s["text"].isNotNull())
+
+    def step(acc: Column, text: Column) -> Column:
+        close = text.rlike(r"^[.,;:!?)\]}\t\n ]") | (text == "") | (text.rlike(r"^[(\[{]") & acc.endswith(" "))
+        return F.when(close | (acc == ""), F.concat(acc, text)).otherwise(F.concat(acc, F.lit(" "), text))
+
+    return F.aggregate(F.transform(F.array_sort(told), lambda s: s["text"]), F.lit(""), step)
 
 
 def repair_json(s: Column) -> Column:
-    """Closing braces that are missing are added; one too many at the end goes."""
-    opened = F.char_length(s) - F.char_length(F.replace(s, F.lit("{"), F.lit("")))
-    closed = F.char_length(s) - F.char_length(F.replace(s, F.lit("}"), F.lit("")))
-    return F.when(opened > closed, F.concat(s, F.repeat(F.lit("}"), opened - closed))).when(closed > opened, F.regexp_replace(s, r"\}\s*$", "")).otherwise(s)
+    """s if it is JSON. Else with missing closing braces added or, if there are too many, the last character off if it is one; s
+    as it is where that is no JSON either."""
+    count = lambda c: F.char_length(s) - F.char_length(F.replace(s, F.lit(c), F.lit("")))
+    missing = count("{") - count("}")
+    mended = F.when(missing > 0, F.concat(s, F.repeat(F.lit("}"), missing))).when((missing < 0) & s.endswith("}"), F.substring(s, 1, F.char_length(s) - 1))
+    # a parser stops behind the first value; inside a list nothing may follow it
+    valid = lambda c: F.size(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))).try_cast("array<variant>")) == 1
+    return F.when(valid(s), s).when(valid(mended), mended).otherwise(s)
 
 
 def after_thoughts(s: Column) -> Column:
@@ -206,8 +216,10 @@ def list_path(path: Column) -> Column:
 
 
 def keywords(xml: Column) -> Column:
-    """The keywords of an article's XML, sorted and joined."""
-    return F.array_join(F.array_sort(F.xpath(xml, F.lit("//kwd-group/kwd/text()"))), ", ")
+    """The keywords of an article's XML, sorted and joined: of each kwd element the text before its first child element; those
+    without one are left out."""
+    first = F.xpath(xml, F.lit("//kwd-group/kwd/node()[position() = 1][self::text()]"))
+    return F.array_join(F.array_sort(F.filter(first, lambda x: x.isNotNull() & (x != ""))), ", ")
 
 
 def licence_kind(origin_file: Column) -> Column:

@@ -22,6 +22,7 @@ METHODS = {
     "manual_annotation": "Manual Assignment",
     "manual_assignment": "Manual Assignment",
     "manual_assignment_joining": "Manual Assignment",
+    "manual_due_to_positional_captions": "Manual Assignment",
 }
 #: Origins whose figures get their boxes anew.
 RENEWED = ["llm_assignment", "llm_adjudication", "manual_assignment", "manual_assignment_joining"]
@@ -138,10 +139,11 @@ def panel_rows(panels: DataFrame, predictions: DataFrame, figures: DataFrame, ar
 
     panels (panel_id, label_ids, image_ids, content_box, assigned_subcaption, origin and the flags), predictions (id, fig, kind,
     score, marked, marked_score, box, survives_nms), figures (fig, article_id, image_cluster_id, width, height,
-    page_boxes), articles (article_id, image_cluster_id, title, citation, license, context; rows under one key fan out), captions
+    page_boxes), articles (article_id, image_cluster_id, title, citation, license, context; of rows under one key the first by these columns counts), captions
     (id, name, text), labels (id, origin, confidence, box). A figure with a panel of RENEWED origin is suppressed anew, and
     takes in the boxes that lie in a panel. Positions are shares of the figure. panel_image is left to the caller, who crops `crop`.
     """
+    articles = articles.groupBy("article_id", "image_cluster_id").agg(F.min(F.struct(*[c for c in articles.columns if c not in ("article_id", "image_cluster_id")])).alias("_a")).select("article_id", "image_cluster_id", "_a.*")
     p = eligible(panels).drop("fig").join(predictions.select(F.col("id").alias("panel_id"), "fig"), "panel_id")
     p = p.join(figures.select("fig", "article_id", "image_cluster_id", "width", "height", "page_boxes"), "fig").withColumn("renew", F.coalesce(F.col("origin").isin(RENEWED), F.lit(False)))
     renew = p.groupBy("fig").agg(F.bool_or("renew").alias("renew"), F.collect_set("panel_id").alias("used"))

@@ -125,6 +125,15 @@ def keyword_extract(spark, d):
     return Tables(spark, d).part.select("p_partkey", tx.keywords(xml).alias("keywords"))
 
 
+@query("""select p_partkey, array_to_string(list_sort(list_filter([p_name || ' ', p_brand, case when p_partkey % 2 = 0 then 'plain' end], lambda x: x is not null)), ', ') as keywords from part""")
+def keyword_markup(spark, d):
+    """Markup inside keywords: the text before the first element counts; a keyword that begins with one has none."""
+    n, b = F.col("p_name"), F.col("p_brand")
+    last = F.when(F.col("p_partkey") % 2 == 0, "<kwd>plain</kwd><kwd/>").otherwise("<kwd><bold>all</bold> of it</kwd>")
+    xml = F.concat(F.lit("<article><kwd-group><title>no</title><kwd>"), n, F.lit(" <italic>in vivo</italic> test</kwd></kwd-group><sub><kwd-group><kwd>"), b, F.lit("</kwd>"), last, F.lit("</kwd-group></sub></article>"))
+    return Tables(spark, d).part.select("p_partkey", tx.keywords(xml).alias("keywords"))
+
+
 @query("select doc_id, lang from documents where doc_id not in (select doc_id from labels)")
 def pending_run(spark, d):
     """Only what is not done yet goes through the step and into the sink."""

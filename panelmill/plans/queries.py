@@ -203,6 +203,14 @@ def date_int(spark, d):
     return Tables(spark, d).orders.select("o_orderkey", tx.date_number(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date_int"))
 
 
+@query("""select event_id, case event_id % 6 when 0 then 'x } y' when 1 then 'x { y' when 2 then 'a "q" } b' when 3 then 'plain' when 4 then 'plain' end as text from events""")
+def json_with_braces(spark, d):
+    """Braces in texts: what is JSON stays, one brace too few or too many is mended, the rest has no text."""
+    k = F.col("event_id") % 6
+    raw = F.when(k == 0, '{"a": "x } y"}').when(k == 1, '{"a": "x { y"}').when(k == 2, '{"a": "a \\"q\\" } b"}').when(k == 3, '{"a": "plain"').when(k == 4, '{"a": "plain"}}').otherwise('{"a": "lost } twice"')
+    return Tables(spark, d).events.select("event_id", F.from_json(tx.repair_json(raw), "map<string,string>")["a"].alias("text"))
+
+
 @query("select event_type, event_id, value from events qualify row_number() over (partition by event_type order by event_id desc) = 1")
 def latest_meta(spark, d):
     return rel.latest(Tables(spark, d).events, ["event_type"], [F.desc("event_id")]).select("event_type", "event_id", "value")

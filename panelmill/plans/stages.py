@@ -1,6 +1,7 @@
 """Stages around models: the caller gives a loader of the model, the stage does the rest in Spark.
 
-A loader takes nothing and returns a function from one row (a dict) to a list of result rows (dicts). It runs
+A loader takes nothing and returns a function from one row (a dict) to a list of result rows (dicts); or, marked with batched, one
+from a list of rows to a list of such lists, in which an exception may stand for a row that failed. It runs
 once in each task. Models are slow and their answers differ between calls, so a stage that reads answers twice
 writes them under path first (a folder that all executors share) and reads that table.
 """
@@ -22,13 +23,52 @@ from panelmill.operators.nms import split_nms
 from panelmill.operators.relational import upsert
 
 Loader = Callable[[], Callable[[dict], list[dict]]]
+#: Rows that a model gets in one call.
+AT_ONCE = 64
+
+
+def batched(model: Callable[[list[dict]], list]) -> Callable[[list[dict]], list]:
+    """Marks a model that takes a list of rows."""
+    model.batched = True
+    return model
+
+
+def _calls(model: Callable, rows: list[dict], at_once: int) -> list:
+    """What the model gives for each row: a list of result rows, or the exception that it raised."""
+
+    def alone(row: dict):
+        try:
+            return model(row)
+        except Exception as e:  # a model's own failure is a result of that row
+            return e
+
+    if not getattr(model, "batched", False):
+        return [alone(dict(r)) for r in rows]
+    out: list = []
+    for low in range(0, len(rows), at_once):
+        part = rows[low : low + at_once]
+        try:
+            found = list(model([dict(r) for r in part]))
+            if len(found) != len(part):
+                raise ValueError(f"{len(found)} results for {len(part)} rows")
+        except Exception as e:  # the call failed as a whole
+            found = [e] * len(part)
+        out += found
+    return out
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """df over all cores, if its files are fewer."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df._jdf.inputFiles()) < cores else df
 
 
-def applied(df: DataFrame, load: Loader, key: list[str], result: str, tries: int = 3, wait: float = 0.5) -> DataFrame:
+def applied(df: DataFrame, load: Loader, key: list[str], result: str, tries: int = 3, wait: float = 0.5, again: tuple[type[Exception], ...] = (Exception,), at_once: int = AT_ONCE) -> DataFrame:
     """key, the columns of result and error: what the model returns for each row of df.
 
-    A row whose calls all fail, each after twice the wait of the one before, gives one row of nulls with the
-    last error; a row for which the model returns nothing gives none.
+    Rows that fail with one of the errors named in again are tried again, all those of a batch together: one wait, then one call
+    for each at_once of them, up to tries times in all, each wait twice the one before. A row that fails for good gives one
+    row of nulls with the last error; a row for which the model returns nothing gives none. Results leave batch by batch.
     """
     fields = StructType.fromDDL(result)
     schema = StructType([df.schema[k] for k in key] + fields.fields).add("error", StringType())
@@ -37,21 +77,23 @@ def applied(df: DataFrame, load: Loader, key: list[str], result: str, tries: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load()
         for batch in batches:
-            for i in range(batch.num_rows):
-                row, found, error = batch.slice(i, 1).to_pylist()[0], [], None
-                for n in range(tries):
-                    try:
-                        found, error = model(dict(row)), None
-                        break
-                    except Exception as e:  # a model's own failure is a result of that row
-                        found, error = [{}], f"{type(e).__name__}: {e}"
-                        if n + 1 < tries:
-                            time.sleep(wait * 2**n)
-                out = [{k: row[k] for k in key} | {f.name: r.get(f.name) for f in fields} | {"error": error} for r in found]
-                if out:
-                    yield from pa.Table.from_pylist(out, schema=arrow).to_batches()
-
-    return df.mapInArrow(run, schema)
+            rows = batch.to_pylist()
+            found = _calls(model, rows, at_once)
+            for n in range(1, tries):
+                failed = [i for i, x in enumerate(found) if isinstance(x, again)]
+                if not failed:
+                    break
+                time.sleep(wait * 2 ** (n - 1))
+                for i, x in zip(failed, _calls(model, [rows[i] for i in failed], at_once), strict=True):
+                    found[i] = x
+            out = []
+            for row, x in zip(rows, found, strict=True):
+                error = f"{type(x).__name__}: {x}" if isinstance(x, Exception) else None
+                out += [{k: row[k] for k in key} | {f.name: r.get(f.name) for f in fields} | {"error": error} for r in ([{}] if error else x)]
+            if out:
+                yield from pa.Table.from_pylist(out, schema=arrow).to_batches()
+
+    return spread_out(df).mapInArrow(run, schema)
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
@@ -59,13 +101,14 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def detections(figures: DataFrame, load: Loader, path: str, limit: float = 0.3) -> DataFrame:
+def detections(figures: DataFrame, load: Loader, path: str, limit: float = 0.3, again: tuple[type[Exception], ...] = (OSError,)) -> DataFrame:
     """figures (fig, width, height, content) to boxes: fig, id, x0, y0, x1, y1, cls, score, survives_nms, error.
 
     The model returns x0, y0, x1, y1, cls, score of each box; boxes are clipped to the figure, those that lie
-    outside go, and ids number a figure's boxes by falling score.
+    outside go, and ids number a figure's boxes by falling score. Errors named in again (by default those of reading and of
+    connections) are tried again; a picture that cannot be read stays so.
     """
-    found = stored(applied(figures, load, ["fig", "width", "height"], "x0 double, y0 double, x1 double, y1 double, cls int, score double"), path)
+    found = stored(applied(figures, load, ["fig", "width", "height"], "x0 double, y0 double, x1 double, y1 double, cls int, score double", again=again), path)
     inside = clip(box(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")), F.col("width"), F.col("height"))
     found = found.withColumn("box", inside).where("box is not null or error is not null")
     order = Window.partitionBy("fig").orderBy(F.col("score").desc_nulls_last(), "box", "cls")

@@ -220,6 +220,20 @@ def text_forms(spark, d):
     )
 
 
+@query("""with t as (select p_partkey as k, p_name as n, ['?  yes', '! no', ', b', '; c', ': d', ') e', '] f', '} g', ' h', chr(10) || 'i', '(j)', '[k]', 'l'][(p_partkey % 13 + 1)::int] as second from part)
+select k as p_partkey, case when k % 5 = 0 then '' else n end || case when k % 5 = 0 then second when k % 13 > 9 then ' ' || second else second end || case when k % 3 = 0 then '' else ' end' end as joined,
+n || ' (x)' as bracket from t""")
+def joined_segments(spark, d):
+    """Null texts, each mark of punctuation, brackets, and segments that begin at one place."""
+    k, n = F.col("p_partkey"), F.col("p_name")
+    seg = lambda start, end, text: F.struct(F.lit(start).alias("start"), F.lit(end).alias("end"), text.cast("string").alias("text"))
+    second = F.element_at(F.array(*map(F.lit, ["?  yes", "! no", ", b", "; c", ": d", ") e", "] f", "} g", " h", "\ni", "(j)", "[k]", "l"])), (k % 13 + 1).cast("int"))
+    first, last = F.when(k % 5 != 0, n), F.when(k % 3 != 0, F.lit("end"))
+    joined = tx.join_segments(F.array(seg(4, 9, last), seg(4, 8, F.lit(None)), seg(0, 3, second), seg(0, 2, first)))
+    bracket = tx.join_segments(F.array(seg(0, 1, F.concat(n, F.when(k % 2 != 0, " ").otherwise(""))), seg(1, 2, F.lit("(x)"))))
+    return Tables(spark, d).part.select("p_partkey", joined.alias("joined"), bracket.alias("bracket"))
+
+
 @query("""select p_partkey, len(list_filter([p_name, p_brand], lambda x: len(regexp_replace(x, '[^a-zA-Z]', '', 'g')) <> 1)) = 0 as assignable, p_name in ('CC0') as commercial, length(p_name) as n,
 '''' || p_name || ''', None' as attribution, coalesce(nullif(case when p_partkey % 2 = 0 then '' else p_name end, ''), 'None') as name, levenshtein(p_name, p_name || 'xyz') < greatest(5, ceil(length(replace(p_name, ' ', '')) * 0.05)) as alike, 'a' || p_size as key from part""")
 def name_columns(spark, d):
