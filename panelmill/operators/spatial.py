@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,9 @@ from pyspark.sql import functions as F
 from panelmill.functions.boxes import iou, overlap
 
 BLOCK, ROWS = 4096, 256
+#: Hashes that may share a band's value before it is split; partitions that blocks are dealt to; values
+#: that a hash may ask for in one band.
+HOT, TASKS, PROBES = 1000, 10_000, 600
 
 
 def touches(parent: Column, child: Column, least_iou: float = 0.3, least_overlap: float = 0.7) -> Column:
@@ -60,23 +65,19 @@ def _sign_blocks(rows: DataFrame, key: str, value: str, size: int) -> tuple[Data
     return rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("block")).agg(F.collect_list("id").alias("ids"), F.collect_list("h").alias("hs")), n
 
 
-def _near(most: int, ordered: bool):
-    """Pairs of two blocks of each row within `most` bits; ordered: a < b only, for a block that meets itself."""
+def _near(most: int):
+    """Pairs of two blocks of each row within `most` bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 ids, hs, other_ids, other_hs = (batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in ("ids", "hs", "other_ids", "other_hs"))
-                same = ordered and batch.column("block")[k] == batch.column("other")[k]
                 for i in range(0, len(ids), ROWS):
                     distance = np.bitwise_count((hs[i : i + ROWS, None] ^ other_hs[None, :]).view(np.uint64))
                     x, y = np.nonzero(distance <= most)
                     a, b, d = ids[i + x], other_ids[y], distance[x, y].astype(np.int32)
-                    keep = a < b if same else a != b
-                    a, b, d = a[keep], b[keep], d[keep]
-                    if ordered:
-                        a, b = np.minimum(a, b), np.maximum(a, b)
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(d)], ["a", "b", "distance"])
+                    keep = a != b
+                    yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep]), pa.array(d[keep])], ["a", "b", "distance"])
 
     return run
 
@@ -84,21 +85,133 @@ def _near(most: int, ordered: bool):
 _PAIR = "a bigint, b bigint, distance int"
 
 
-def hamming_pairs(hashes: DataFrame, key: str, value: str, most: int) -> DataFrame:
-    """a, b and distance: all rows a < b by key whose 64-bit hashes differ in at most `most` bits.
+def _probes(width: int, r: int) -> list[int]:
+    """All numbers of width bits (as signed ones of 64) with at most r bits set: what a band's value is flipped by."""
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    return [signed(sum(1 << i for i in bits)) for n in range(r + 1) for bits in combinations(range(width), n)]
+
+
+def band_plan(n: int, most: int) -> int:
+    """The number of bands that makes the fewest candidates among n hashes at random; 0 if comparing all is as good.
 
-    Rows are dealt by a hash of their key into blocks of about BLOCK, and every block meets every other once. Rows
-    without key or hash take no part.
+    Of two hashes within `most` bits, some band of m differs in most // m bits or fewer (pigeonhole).
     """
-    blocks, n = _sign_blocks(hashes, key, value, BLOCK)
-    later = blocks.select(F.explode(F.sequence(F.lit(0), F.col("block"))).alias("block"), F.col("block").alias("other"), F.col("ids").alias("other_ids"), F.col("hs").alias("other_hs"))
-    return blocks.join(later, "block").repartition(n * (n + 1) // 2, "block", "other").mapInArrow(_near(most, True), _PAIR)
 
+    def cost(m: int) -> float:
+        width, r = 64 // m, most // m
+        probes = sum(comb(width, i) for i in range(r + 1))
+        return m * probes * (1 + n / 2.0**width)
+
+    fits = [m for m in range(1, most + 2) if sum(comb(64 // m + 1, i) for i in range(most // m + 1)) <= PROBES]
+    best = min(fits, key=cost)
+    return best if cost(best) < n / 4 else 0
+
+
+def _banded(m: int) -> list[tuple[int, int]]:
+    """(shift, width) of m bands over 64 bits."""
+    edges = [64 * i // m for i in range(m + 1)]
+    return [(low, high - low) for low, high in zip(edges, edges[1:], strict=False)]
+
+
+def _value(h: Column, shift: int, width: int) -> Column:
+    return F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1).cast("bigint"))
+
+
+def _keys(rows: DataFrame, bands: list[tuple[int, int]], r: int, skip: Column | None = None) -> DataFrame:
+    """rows (h, ...) with band and value, once for each value within r bits of a band's own."""
+    none = F.array().cast("array<struct<band:int,value:bigint>>")
 
-def hamming_search(queries: DataFrame, hashes: DataFrame, key: str, value: str, most: int) -> DataFrame:
-    """a (a query), b and distance: all rows with another key within `most` bits of each query. Blocks of queries
-    meet blocks of rows. Rows without key or hash take no part."""
+    def of(i: int, shift: int, width: int) -> Column:
+        flips = F.array(*[F.lit(x).cast("bigint") for x in _probes(width, r)])
+        values = F.transform(flips, lambda x: F.struct(F.lit(i).alias("band"), _value(F.col("h"), shift, width).bitwiseXOR(x).alias("value")))
+        return values if skip is None else F.when(skip != i, values).otherwise(none)
+
+    each = [of(i, *band) for i, band in enumerate(bands)]
+    return rows.withColumn("_k", F.explode(F.concat(*each))).select(*rows.columns, F.col("_k.band").alias("band"), F.col("_k.value").alias("value"))
+
+
+def _first_band(bands: list[tuple[int, int]], r: int, skip: Column | None = None) -> Column:
+    """The first band in which h and g are within r bits: a pair counts there alone."""
+    out = F.lit(None).cast("int")
+    for i, (shift, width) in reversed(list(enumerate(bands))):
+        near = F.bit_count(_value(F.col("h").bitwiseXOR(F.col("g")), shift, width)) <= r
+        out = F.when(near if skip is None else near & (skip != i), i).otherwise(out)
+    return out
+
+
+def band_join(left: DataFrame, right: DataFrame, most: int, m: int, hot: int = HOT) -> DataFrame:
+    """h, g and distance: hashes of left and right (h each, distinct) within `most` bits, by m bands.
+
+    Rows meet where a band's value is equal up to most // m bits. A value that more than `hot` hashes of right share is split by the
+    other bands: of two hashes that agree there, one of the m - 1 others differs in most // (m - 1) bits or fewer.
+    """
+    bands, r = _banded(m), most // m
+    asked, have = _keys(left.select("h"), bands, r), _keys(right.select("h"), bands, 0).withColumnRenamed("h", "g")
+    crowded = have.groupBy("band", "value").count().where(F.col("count") > hot).select("band", "value")
+    distance = F.bit_count(F.col("h").bitwiseXOR(F.col("g"))).cast("int")
+    plain = asked.join(have.join(crowded, ["band", "value"], "left_anti"), ["band", "value"]).withColumn("distance", distance).where(F.col("distance") <= most)
+    out = plain.where(_first_band(bands, r) == F.col("band")).select("h", "g", "distance")
+    if m == 1:
+        full = asked.join(have.join(crowded, ["band", "value"], "left_semi"), ["band", "value"]).withColumn("distance", distance)
+        return out.unionByName(full.where((F.col("distance") <= most) & (_first_band(bands, r) == F.col("band"))).select("h", "g", "distance"))
+    outer = lambda df: df.withColumnsRenamed({"band": "_band", "value": "_value"})
+    few = outer(crowded)
+    again, r2 = F.col("_band"), most // (m - 1)
+    asked2 = _keys(outer(asked).join(few, ["_band", "_value"], "left_semi"), bands, r2, again)
+    have2 = _keys(outer(have).join(few, ["_band", "_value"], "left_semi").withColumnRenamed("g", "h"), bands, 0, again).withColumnRenamed("h", "g")
+    split = asked2.join(have2, ["_band", "_value", "band", "value"]).withColumn("distance", distance).where(F.col("distance") <= most)
+    return out.unionByName(split.where((_first_band(bands, r) == again) & (_first_band(bands, r2, again) == F.col("band"))).select("h", "g", "distance"))
+
+
+def _members(rows: DataFrame, key: str, value: str) -> DataFrame:
+    return rows.select(F.col(key).cast("bigint").alias("id"), F.col(value).cast("bigint").alias("h")).where("id is not null and h is not null")
+
+
+def hash_classes(hashes: DataFrame, key: str, value: str, most: int, bands: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(classes: h and its least id and size; links: h, g, distance with h < g). Rows of one hash are one class, so copies are
+    never paired with each other; the links say which classes are near."""
+    rows = _members(hashes, key, value)
+    classes = rows.groupBy("h").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    m = band_plan(classes.count(), most) if bands is None else bands
+    distinct = classes.select("h")
+    links = band_join(distinct, distinct, most, m) if m else _scanned(distinct, distinct, most)
+    return classes, links.where("h < g")
+
+
+def _scanned(left: DataFrame, right: DataFrame, most: int) -> DataFrame:
+    """As band_join, by blocks: where no band prunes."""
+    own = lambda df: df.select(F.col("h").alias("id"), "h")
+    return _block_search(own(left), own(right), "id", "h", most).select(F.col("a").alias("h"), F.col("b").alias("g"), "distance")
+
+
+def hamming_pairs(hashes: DataFrame, key: str, value: str, most: int, bands: int | None = None) -> DataFrame:
+    """a, b and distance: all rows a < b by key whose 64-bit hashes differ in at most `most` bits.
+
+    Distinct hashes are joined by bands (band_plan chooses how many, 0: block by block), then rows of near hashes, and of one
+    hash, are paired. Rows without key or hash take no part.
+    """
+    rows = _members(hashes, key, value)
+    _, links = hash_classes(hashes, key, value, most, bands)
+    near = links.join(rows.withColumnRenamed("id", "_x"), "h").join(rows.select(F.col("id").alias("_y"), F.col("h").alias("g")), "g").select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"), "distance").where("a <> b")
+    same = rows.withColumnRenamed("id", "a").join(rows.withColumnRenamed("id", "b"), "h").where("a < b").select("a", "b", F.lit(0).alias("distance"))
+    return near.unionByName(same)
+
+
+def hamming_search(queries: DataFrame, hashes: DataFrame, key: str, value: str, most: int, bands: int | None = None) -> DataFrame:
+    """a (a query), b and distance: all rows with another key within `most` bits of each query, by bands as in hamming_pairs. Rows
+    without key or hash take no part."""
+    asked, rows = _members(queries, key, value), _members(hashes, key, value)
+    m = band_plan(rows.count(), most) if bands is None else bands
+    if not m:
+        return _block_search(queries, hashes, key, value, most)
+    links = band_join(asked.select("h").distinct(), rows.select("h").distinct(), most, m)
+    found = links.join(asked.withColumnRenamed("id", "a"), "h").join(rows.select(F.col("id").alias("b"), F.col("h").alias("g")), "g")
+    return found.where("a <> b").select("a", "b", "distance")
+
+
+def _block_search(queries: DataFrame, hashes: DataFrame, key: str, value: str, most: int) -> DataFrame:
+    """As hamming_search; blocks of queries meet blocks of rows."""
     blocks, n = _sign_blocks(hashes, key, value, BLOCK)
     asked, m = _sign_blocks(queries, key, value, BLOCK)
     each = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("block"), F.col("block").alias("other"), F.col("ids").alias("other_ids"), F.col("hs").alias("other_hs"))
-    return asked.join(each, "block").repartition(n * m, "block", "other").mapInArrow(_near(most, False), _PAIR)
+    return asked.join(each, "block").repartition(min(n * m, TASKS), "block", "other").mapInArrow(_near(most), _PAIR)

@@ -290,4 +290,17 @@ def hamming(spark, d):
     return hamming_search(rows.where("vec_id % 50 = 0"), rows, "vec_id", "h", 24)
 
 
+_HASH = "case when event_id % 3 = 0 then 0 else ((event_id {div} 4) * 69069 + 12345) % 2147483648 end * 4294967296 + ((event_id {div} 4) * 1103515245 + 12345) % 2147483648"
+
+
+@query(f"""with h as (select event_id as id, xor(({_HASH.format(div="//")})::bigint, (1::bigint << (event_id % 4 * 7)::int)) as h from events)
+select a.id as a, b.id as b, bit_count(xor(a.h, b.h))::int as distance from h a join h b on a.id < b.id where bit_count(xor(a.h, b.h)) <= 3""")
+def near_hashes(spark, d):
+    """All pairs within 3 bits. A third of all rows has one upper half, so the bands there are hot and split."""
+    from panelmill.operators.spatial import hamming_pairs
+
+    h = F.expr(f"cast({_HASH.format(div='div')} as bigint)").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("event_id") % 4 * 7).cast("int")))
+    return hamming_pairs(Tables(spark, d).events.select("event_id", h.alias("h")), "event_id", "h", 3, bands=4)
+
+
 __all__ = ["near"]
