@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panelmill.operators.detection import average_precision, median_overlap
 from panelmill.operators.screens import allowed, asked_again, by_panel, by_place, reasons
-from panelmill.plans.base import Tables, query
+from panelmill.plans.base import B, Tables, query
 from panelmill.plans.stages import applied, batched, stored
 from panelmill.sources.scratch import folder
 
@@ -75,6 +76,33 @@ def screened_places(spark, d):
     return reasons(by_place(a, options), options).select("fig", F.array_join("reasons", " | ").alias("reasons"))
 
 
+#: Ranked hits by class: a class's steps, its best later precision, and what each step adds.
+_RANKED = """r as (select l_linenumber as cls, (l_extendedprice::double % 1000) / 1000 as score, l_quantity > 25 and l_orderkey % 3 <> 0 as hit from lineitem where l_linenumber < 7),
+n as (select l_linenumber as cls, count(*) as n_truths from lineitem where l_quantity > 20 group by 1),
+s as (select cls, score, count(*) as n, count(*) filter (hit) as h from r group by cls, score),
+c as (select cls, score, h, sum(n) over w as found, sum(h) over w as "right" from s window w as (partition by cls order by score desc)),
+e as (select c.*, n_truths, "right" / found as precision, max("right" / found) over (partition by cls order by score) as envelope from c join n using (cls))"""
+
+
+@query("with " + _RANKED + """ select n.cls, n.n_truths, round(coalesce(sum(h / e.n_truths * envelope), 0), 6) as area, round(coalesce((sum((floor("right" * 100 / e.n_truths + 1e-9) - floor(("right" - h) * 100 / e.n_truths + 1e-9)) * envelope) + max(envelope)) / 101, 0), 6) as points
+from n left join e on e.cls = n.cls group by n.cls, n.n_truths""")
+def class_precision(spark, d):
+    """Average precision of ranked hits by class; the last class is never found."""
+    lines = Tables(spark, d).lineitem
+    cls = F.col("l_linenumber").alias("cls")
+    ranked = lines.where("l_linenumber < 7").select(cls, (F.col("l_extendedprice").cast("double") % 1000 / 1000).alias("score"), F.expr("l_quantity > 25 and l_orderkey % 3 <> 0").alias("hit"))
+    truths = lines.where("l_quantity > 20").groupBy(cls).agg(F.count("*").alias("n_truths"))
+    return average_precision(ranked, truths).select("cls", "n_truths", F.round("area", 6).alias("area"), F.round("points", 6).alias("points"))
+
+
+@query(B + """select fig, round(median(best), 6) as median, count(*) as n from (select p.fig, p.id, coalesce(max(case when i > 0 then i / (pa + ca - i) else 0 end), 0) as best from b p left join pair on pair.p_id = p.id and pair.fig = p.fig and pair.c_id % 3 <> 0 where p.id % 3 = 0 group by p.fig, p.id) group by fig""")
+def overlap_medians(spark, d):
+    """The median overlap of every third box with the other boxes of its figure."""
+    boxes = Tables(spark, d).boxes()
+    out = median_overlap(boxes.where("id % 3 = 0"), boxes.where("id % 3 <> 0"), F.col("fig"))
+    return out.select("fig", F.round("median", 6).alias("median"), "n")
+
+
 def _answers():
     """Orders whose key leaves 1 modulo 3 name a panel that is not there until they are told so; those that leave 2 never learn."""
 
