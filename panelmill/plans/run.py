@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmill.operators import assembly, spatial
+from panelmill.operators.rebuild import build
+from panelmill.sources.scratch import folder
 from panelmill.plans.stages import Loader, applied, caption_splits, detections
 
 #: The classes of the detector.
@@ -42,7 +44,9 @@ class Run:
         at = f"{self.path}/{step}"
         try:
             return self.spark.read.parquet(at)
-        except AnalysisException:  # the table is not there yet
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # else the table is not there yet
+                raise
             make().write.mode("overwrite").parquet(at)
             return self.spark.read.parquet(at)
 
@@ -83,8 +87,8 @@ class Run:
             read = applied(labels, self.models.read, ["fig", "id"], "text string, confidence double").where("error is null and confidence >= 0.8")
             own = read.groupBy("fig", F.col("id").alias("label_id")).agg(F.max_by(F.struct("text", "confidence"), F.struct("confidence", "text")).alias("t")).select("fig", "label_id", F.lit(None).cast("bigint").alias("panel_id"), "t.text", "t.confidence")
             panels = self.hierarchy()
-            heard = panels.select("panel_id", F.explode("label_ids").alias("label_id")).join(own.select("label_id"), "label_id", "left_semi").select("panel_id")
-            lone = panels.join(heard, "panel_id", "left_anti").join(figures, "fig").select("fig", "panel_id", "content", F.struct("x0", "y0", "x1", "y1").alias("box"))
+            heard = panels.select("fig", "panel_id", F.explode("label_ids").alias("label_id")).join(own.select("fig", "label_id"), ["fig", "label_id"], "left_semi").select("fig", "panel_id")
+            lone = panels.join(heard, ["fig", "panel_id"], "left_anti").join(figures, "fig").select("fig", "panel_id", "content", F.struct("x0", "y0", "x1", "y1").alias("box"))
             found = applied(lone, self.models.read, ["fig", "panel_id"], "text string, confidence double").where("error is null and confidence >= 0.8")
             n = F.row_number().over(_by("fig", "panel_id", F.desc("confidence"), "text", keys=1))
             return own.unionByName(found.select("fig", (-n).cast("bigint").alias("label_id"), "panel_id", "text", "confidence"))
@@ -117,6 +121,20 @@ class Run:
         return getattr(self, name)()
 
 
+def renewed(spark: SparkSession, figures: DataFrame, articles: DataFrame, models: Models, path: str, settings: str = "") -> tuple[DataFrame, dict]:
+    """(the rows of all figures with fig, the build's manifest): only figures whose own columns, article or settings changed since
+    the last call are run again; figures that vanished have no rows any more."""
+    of_article = ["article_id", "image_cluster_id"]
+    about = articles.groupBy(*of_article).agg(F.array_sort(F.collect_list(F.to_json(F.struct(*[c for c in articles.columns if c not in of_article])))).alias("about"))
+
+    def make(part: DataFrame) -> DataFrame:
+        own = part.drop("about")
+        rows = Run(spark, own, articles, models, folder(spark, "renewed")).rows()
+        return rows.join(own.select("fig", *of_article), of_article)
+
+    return build(path, figures.join(about, of_article, "left"), ["fig"], make, settings)
+
+
 def _by(*columns, keys: int = 2):
     from pyspark.sql import Window
 

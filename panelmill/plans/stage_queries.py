@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelmill.functions.hashes import hashed_images
+from panelmill.operators.rebuild import build
 from panelmill.plans.base import Tables, query
 from panelmill.plans.run import Models, run
 from panelmill.plans.stages import by_branch, caption_splits, detections, label_texts, refined, until_stable
@@ -154,3 +155,15 @@ def whole_run(spark, d):
     articles = part.select((k + 5).alias("article_id"), F.lit("c").alias("image_cluster_id"), F.lit("t").alias("title"), F.lit("c").alias("citation"), F.lit("CC0").alias("license"), F.array(F.lit("x")).alias("context"))
     out = run(spark, figures, articles, example_models(), folder(spark, "run"))
     return out.select("panel_id", "article_id", "panel_name", "subcaption_text", "contains_cfp", "contains_oct", "license")
+
+
+@query("""select p_partkey, case when p_partkey % 10 = 2 then p_size + 1 else p_size end as size, case when p_partkey % 10 in (0, 2) then 2 else 1 end as build from part where p_partkey % 10 <> 1
+union all select -1, count(*) filter (p_partkey % 10 in (0, 2)), count(*) filter (p_partkey % 10 = 1) from part""")
+def rebuilt_parts(spark, d):
+    """Two builds: what was added or changed is of the second, what vanished is gone, the rest is of the first. The last row counts
+    the keys that the second has redone and dropped."""
+    part, at = Tables(spark, d).part.select("p_partkey", "p_size"), folder(spark, "rebuilt")
+    make = lambda n: lambda rows: rows.select("p_partkey", F.col("p_size").alias("size"), F.lit(n).alias("build"))
+    build(at, part.where("p_partkey % 10 <> 0"), ["p_partkey"], make(1))
+    out, log = build(at, part.where("p_partkey % 10 <> 1").withColumn("p_size", F.when(F.col("p_partkey") % 10 == 2, F.col("p_size") + 1).otherwise(F.col("p_size"))), ["p_partkey"], make(2))
+    return out.unionByName(spark.createDataFrame([(-1, log["redone"], log["gone"])], out.schema))
