@@ -167,9 +167,15 @@ def csv_tables(spark, d):
     return readers.csv_table(spark, at, "p_partkey bigint, p_name string, p_size int").where("p_size > 10")
 
 
-@query("select i as n, 'id' || i as id from range(95) r(i)")
+@query("select p_partkey::varchar as query, i as n, p_partkey || '-' || i as id from part, lateral unnest(range(least(p_partkey % 60, 45))) r(i)")
 def paged_search(spark, d):
-    return readers.searched(spark, lambda start, step: (1000, [f"id{i}" for i in range(start, start + step)]), 95, 20, 3)
+    """Each part's search has up to 59 results, of which the first 45 are asked for, 20 a page."""
+
+    def ask(query, start, step):
+        total = int(query) % 60
+        return total, [f"{query}-{i}" for i in range(start, min(start + step, total))]
+
+    return readers.searched_each(Tables(spark, d).part, "p_partkey", ask, 45, 20)
 
 
 @query("select doc_id::varchar as path, 'body of ' || doc_id as body, case when doc_id % 10 = 0 then 'no such file' end as error from documents where doc_id not in (select doc_id from labels)")

@@ -113,9 +113,12 @@ def task_files(spark, d):
     return out.select("id", "region", F.round("box.x0", 6).alias("x0"), F.round("box.x1", 6).alias("x1"), "labels", "conflict")
 
 
-@query("select * from (values ('base', 0, '000000', '000049'), ('base', 1, '000050', '000099'), ('base', 2, '000100', '000114'), ('other', 0, '000000', '000003')) v(split, package, first, last)")
+@query("""with s as (select coalesce(source, 'none') as split, count(*) - 1 as last from documents group by 1)
+select split, k::int as package, lpad((k * 50)::varchar, 6, '0') as first, lpad(least(k * 50 + 49, last)::varchar, 6, '0') as last from s, lateral unnest(range(last // 50 + 1)) r(k)""")
 def shard_names(spark, d):
-    return readers.shard_names(spark, {"base": 114, "other": 3})
+    """Shards of one document each, in lots of 50, by source."""
+    sizes = Tables(spark, d).documents.groupBy(F.coalesce("source", F.lit("none")).alias("split")).agg((F.count("*") - 1).cast("int").alias("last"))
+    return readers.shard_names(spark, sizes)
 
 
 @query("select p_partkey, case when p_name < 'b. ' || p_brand then p_name || ', ' || 'b. ' || p_brand else 'b. ' || p_brand || ', ' || p_name end as keywords from part")

@@ -29,9 +29,9 @@ def file_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path).select(F.col("File").alias("file"), F.col("Article Citation").alias("citation"), F.col("Accession ID").alias("accession_id"), F.col("License").alias("license"))
 
 
-def shard_names(spark: SparkSession, sizes: dict[str, int], a_package: int = 50) -> DataFrame:
-    """split, package, first and last shard number (six digits): sizes split into lots of at most a_package."""
-    rows = spark.createDataFrame(list(sizes.items()), "split string, last int")
+def shard_names(spark: SparkSession, sizes: dict[str, int] | DataFrame, a_package: int = 50) -> DataFrame:
+    """split, package, first and last shard number (six digits): sizes (split and last shard) split into lots of at most a_package."""
+    rows = sizes if isinstance(sizes, DataFrame) else spark.createDataFrame(list(sizes.items()), "split string, last int")
     lots = rows.withColumn("package", F.explode(F.sequence(F.lit(0), F.ceil((F.col("last") + 1) / a_package).cast("int") - 1)))
     number = lambda c: F.format_string("%06d", c)
     return lots.select("split", "package", number(F.col("package") * a_package).alias("first"), number(F.least((F.col("package") + 1) * a_package - 1, "last")).alias("last"))
@@ -188,6 +188,25 @@ def searched(spark: SparkSession, ask: Callable[[int, int], tuple[int, list[str]
     return spark.range(0, total, step, at_once).mapInArrow(run, "n bigint, id string")
 
 
+def searched_each(queries: DataFrame, query: str, ask: Callable[[str, int, int], tuple[int, list[str]]], most: int, step: int = 100) -> DataFrame:
+    """query, n and id of what a paged search finds for each query, `most` of each at the most: ask(query, start, step) gives the total
+    and a page's ids. Totals come first; then each page is a row of its own, so a query with many pages is no long task."""
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([min(ask(q, 0, 1)[0], most) for q in batch.column(0).to_pylist()], pa.int64())], ["query", "total"])
+
+    def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for q, total, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids = ask(q, start, step)[1][: total - start]
+                yield pa.RecordBatch.from_arrays([pa.array([q] * len(ids), pa.string()), pa.array(range(start, start + len(ids)), pa.int64()), pa.array(ids, pa.string())], ["query", "n", "id"])
+
+    found = queries.select(F.col(query).cast("string").alias("query")).distinct().mapInArrow(totals, "query string, total bigint").where("total > 0")
+    starts = found.withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("total") - 1, F.lit(step).cast("bigint"))))
+    return starts.repartition("query", "start").mapInArrow(pages, "query string, n bigint, id string")
+
+
 def any_of(terms: list[str]) -> str:
     """A search term that asks for any of some."""
     return " OR ".join(f"({t})" for t in terms)
