@@ -162,3 +162,15 @@ def run_rows(spark, d):
     for _ in range(2):
         writers.run_metadata(Tables(spark, d).region, at, model="v1", prompt="p")
     return spark.read.parquet(at).where("created_at is not null").groupBy("model").agg(F.count("*").cast("int").alias("runs"))
+
+
+@query("select doc_id::varchar as key, doc_id % 16 as shard, '.txt' as kind, coalesce(strlen(text), 0) as size, sha256(coalesce(text, '')) as hash from documents where doc_id in (select doc_id from labels where quality = 1)")
+def wanted_texts(spark, d):
+    """Texts written as archives, of which those of some keys are read back: the scan passes over the others."""
+    from panelmill.sources.shards import shards, write_shards
+
+    t, at = Tables(spark, d), folder(spark, "shards")
+    rows = t.documents.select((F.col("doc_id") % 16).alias("shard"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("member"), F.col("text").cast("binary").alias("body"))
+    write_shards(rows, at, "shard", "member", "body").write.format("noop").mode("overwrite").save()
+    found = shards(spark, at, t.labels.where("quality = 1"), "doc_id")
+    return found.select("key", F.regexp_extract("path", r"shard-(\d+)", 1).cast("bigint").alias("shard"), "kind", "size", F.sha2("content", 256).alias("hash"))
