@@ -197,7 +197,7 @@ def downloads(spark, d):
 p as (select *, least(floor(x0 / (100 / 3)), 2)::int as i from r)
 select conv_id as id, 'PMC' || conv_id as article_id, 'gr_' || conv_id as image_cluster_id, turn::varchar as region, role, case when turn % 2 = 0 then 'A' || turn end as name, [4, 7, 9][i + 1] as page, i as page_index, round(x0 - i * 100 / 3, 6) as x0, round(x1 - i * 100 / 3, 6) as x1, 33 as page_width, 72 as dpi, x1 > (i + 1) * 100 / 3 + 1 as crosses from p""")
 def page_regions(spark, d):
-    """Regions on three pages side by side; tasks that cannot be read, and cancelled annotations, are left out."""
+    """Regions on three pages side by side, 50 tasks a file; tasks that cannot be read, and cancelled annotations, are left out."""
     at = folder(spark, "pages")
     turn = F.col("turn")
     part = lambda kind, source, value: F.struct(turn.cast("string").alias("id"), F.lit(kind).alias("type"), source.alias("from_name"), F.lit(100).alias("original_width"), F.lit(50).alias("original_height"), value.alias("value"))
@@ -211,7 +211,7 @@ def page_regions(spark, d):
     c = F.col("conv_id")
     data = F.struct(F.concat(F.lit("/x/pdf_PMC"), c.cast("string"), F.lit("_gr_"), c.cast("string"), F.when(c % 2 == 0, "_updated").otherwise(""), F.lit(".png")).alias("base_image_path"), F.array(F.lit(4), F.lit(7), F.lit(9)).alias("pdf_pages"), F.concat(F.lit("PMC"), c.cast("string")).alias("article_id"))
     cancelled = F.struct(F.lit(1).alias("id"), F.lit(True).alias("was_cancelled"), F.col("result"))
-    tasks = Tables(spark, d).conversations.groupBy("conv_id").agg(regions.alias("result")).select((c % 4).alias("k"), F.when(c % 5 == 2, '{"id": {}, "data": 3}').otherwise(F.to_json(F.struct(c.alias("id"), data.alias("data"), F.array(cancelled, F.struct(F.lit(2).alias("id"), F.lit(False).alias("was_cancelled"), F.col("result"))).alias("annotations")))).alias("t"))
+    tasks = Tables(spark, d).conversations.groupBy("conv_id").agg(regions.alias("result")).select(F.expr("conv_id div 50").alias("k"), F.when(c % 5 == 2, '{"id": {}, "data": 3}').otherwise(F.to_json(F.struct(c.alias("id"), data.alias("data"), F.array(cancelled, F.struct(F.lit(2).alias("id"), F.lit(False).alias("was_cancelled"), F.col("result"))).alias("annotations")))).alias("t"))
     tasks.groupBy("k").agg(F.concat(F.lit("["), F.array_join(F.collect_list("t"), ","), F.lit("]")).alias("value")).write.partitionBy("k").text(at)
     out = ann.page_regions(readers.page_tasks(spark, at))
     return out.select("id", "article_id", "image_cluster_id", "region", "role", "name", "page", "page_index", F.round("on_page.x0", 6).alias("x0"), F.round("on_page.x1", 6).alias("x1"), "page_width", "dpi", "crosses")

@@ -87,6 +87,28 @@ def eligible_panels(spark, d):
     return out.select(*names, F.size(parts("image_data")).alias("n_images"), F.size(parts("identifier_data")).alias("n_identifiers"), added.alias("n_added"), *content, F.round(F.get(at["predicted_box"], F.lit(2)), 6).alias("p2"), F.round(at["prediction_score"], 6).alias("score"))
 
 
+@query(_ROWS[: _ROWS.index("\nselect 'p_' || id as panel_id")] + """
+select 'p_' || panel_id as panel_id, case when kind = 'Label' then 'lip_' else 'i_' end || id as id, case when kind = 'Label' then 'detection' end as origin, case when kind <> 'Label' then kind end as kind, case when kind <> 'Label' then round(score, 6) end as kind_score,
+  case when kind <> 'Label' then case when id % 2 = 1 then 'Marked' else 'Unmarked' end end as mark, case when kind <> 'Label' then round(score / 2, 6) end as mark_score, false as is_gt, added, true as included,
+  round(cx0 / 0.4, 6) as x0, round(cy0 / 0.35, 6) as y0, round(cx1 / 0.4, 6) as x1, round(cy1 / 0.35, 6) as y1, round(score, 6) as score, null as known_as from mine
+union all
+select 'p_' || id, 'la_' || (id + 1000000), 'assignment', null, null, null, null, false, false, id % 3 <> 0, round(x0 / 0.4, 6), round(y0 / 0.35, 6), round((x1 + 0.02) / 0.4, 6), round((y1 + 0.02) / 0.35, 6), 0.5, case when id % 3 = 1 and exists (from b where b.id = 12) then 'lip_12' end from el""")
+def panel_parts(spark, d):
+    """The content of the output's lists: each image and identifier of each panel with all its fields."""
+    out = assembly.panel_rows(*_assembly_tables(spark, d))
+    kind = "struct<label:array<string>,prediction_score:array<double>>"
+    fields = f"id:string,origin:string,imaging_type:{kind},mark_status:struct<label:string,prediction_score:double>,is_gt:boolean,included_in_content_box:boolean,added_content_box_via_nms:boolean,position:string,origin_identifier:string"
+    lists = lambda c: F.from_json(c, f"array<struct<{fields}>>")
+    x = out.select("panel_id", F.explode(F.concat(lists("image_data"), lists("identifier_data"))).alias("x")).select("panel_id", "x.*")
+    at = F.from_json("position", "predicted_box array<double>, prediction_score double")
+    corners = [F.round(F.get(at["predicted_box"], F.lit(i)), 6).alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))]
+    first = lambda c: F.get(c, F.lit(0))
+    return x.select(
+        "panel_id", "id", "origin", first(F.col("imaging_type.label")).alias("kind"), F.round(first(F.col("imaging_type.prediction_score")), 6).alias("kind_score"), F.col("mark_status.label").alias("mark"), F.round("mark_status.prediction_score", 6).alias("mark_score"), "is_gt",
+        F.col("added_content_box_via_nms").alias("added"), F.col("included_in_content_box").alias("included"), *corners, F.round(at["prediction_score"], 6).alias("score"), F.col("origin_identifier").alias("known_as"),
+    )
+
+
 @query("""select l_orderkey, l_linenumber from lineitem where l_linenumber <> 4 and l_tax < 0.07 and l_discount > 0.01 and l_quantity > 10 and l_suppkey % 5 <> 0
 and case l_returnflag when 'A' then 'automatic' when 'R' then 'manual_assignment_rejection' end <> 'manual_assignment_rejection'""")
 def eligible_filter(spark, d):

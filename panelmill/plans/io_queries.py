@@ -98,7 +98,7 @@ def panel_csv(spark, d):
 
 @query("select conv_id as id, turn::varchar as region, round(turn / 100 * 50, 6) as x0, round((turn + 10) / 100 * 50, 6) as x1, [role] as labels, turn % 3 = 0 as conflict from conversations where conv_id % 7 <> 3")
 def task_files(spark, d):
-    """Lists of tasks in a few files; a task that cannot be read does not take its file along."""
+    """Lists of at most 50 tasks in a file; a task that cannot be read does not take its file along."""
     at = folder(spark, "tasks")
     value = lambda **c: F.struct(*[v.alias(k) for k, v in c.items()])
     box = F.struct(F.col("turn").cast("string").alias("id"), F.lit("rectanglelabels").alias("type"), F.lit(50).alias("original_width"), F.lit(50).alias("original_height"), value(x=F.col("turn").cast("double"), y=F.lit(1.0), width=F.lit(10.0), height=F.lit(5.0), rectanglelabels=F.array("role"), text=F.array(F.lit("A"))).alias("value"))
@@ -107,7 +107,7 @@ def task_files(spark, d):
     task = Tables(spark, d).conversations.groupBy("conv_id").agg(regions.alias("result"))
     annotation = F.array(F.struct(F.lit(1).alias("id"), F.lit(False).alias("was_cancelled"), F.col("result")), F.struct(F.lit(2).alias("id"), F.lit(True).alias("was_cancelled"), F.col("result")))
     text = F.when(F.col("conv_id") % 7 == 3, F.lit('{"id": "none", "annotations": 5}')).otherwise(F.to_json(F.struct(F.col("conv_id").alias("id"), annotation.alias("annotations"))))
-    lists = task.select((F.col("conv_id") % 4).alias("k"), text.alias("t")).groupBy("k").agg(F.concat(F.lit("["), F.array_join(F.collect_list("t"), ","), F.lit("]")).alias("value"))
+    lists = task.select(F.expr("conv_id div 50").alias("k"), text.alias("t")).groupBy("k").agg(F.concat(F.lit("["), F.array_join(F.collect_list("t"), ","), F.lit("]")).alias("value"))
     lists.write.partitionBy("k").text(at)
     out = readers.task_boxes(readers.tasks(spark, at))
     return out.select("id", "region", F.round("box.x0", 6).alias("x0"), F.round("box.x1", 6).alias("x1"), "labels", "conflict")
