@@ -76,6 +76,23 @@ def match_level(text: Column, name: Column, names: Column) -> Column:
     return out
 
 
+def stable_forms(names: Column) -> Column:
+    """For each level of match_level whether its form leaves all names as they are; the first always counts."""
+    return F.array(F.lit(True), *[_all_stay(names, form) for form in _FORMS[1:]])
+
+
+def _all_stay(names: Column, form) -> Column:
+    return F.forall(names, lambda n: form(n) == n)
+
+
+def tagged_forms(text: Column, stable: Column | None = None) -> Column:
+    """The forms of a text, each with its level; those that are not stable are left out. Two texts match on some level if
+    their arrays overlap."""
+    a = stripped(text)
+    forms = [F.concat(F.lit(f"{i}:"), form(a)) for i, form in enumerate(_FORMS)]
+    return F.array_compact(F.array(*(forms if stable is None else [F.when(F.get(stable, F.lit(i)), x) for i, x in enumerate(forms)])))
+
+
 def is_alnum_token(s: Column) -> Column:
     """Letters with one digit, or digits with one letter."""
     return s.rlike(r"^([A-Za-z]+[0-9][A-Za-z]*|[0-9]+[A-Za-z][0-9]*)$")

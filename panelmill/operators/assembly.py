@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelmill.functions.boxes import EDGES, overlap, to_shares, union_of
-from panelmill.functions.text import assignable, attribution, commercial_use, figure_uuid, match_level, panel_name, word_distance
+from panelmill.functions.text import assignable, attribution, commercial_use, figure_uuid, panel_name, stable_forms, tagged_forms, word_distance
 from panelmill.operators.nms import split_nms
 
 
@@ -53,8 +53,13 @@ def labels_to_captions(texts: DataFrame, captions: DataFrame) -> DataFrame:
     crop the text was found. captions (fig, caption_id, name, place). Labels' own texts come first, by falling
     confidence; then those of panels, panel by panel; each takes the first caption by place that it matches.
     """
-    names = captions.groupBy("fig").agg(F.collect_list("name").alias("names"))
-    pairs = texts.join(captions.select("fig", "caption_id", "name", "place"), "fig").join(names, "fig").where(match_level(F.col("text"), F.col("name"), F.col("names")).isNotNull())
+    # what depends on a figure's names, or on one name or text alone, is worked out once for each
+    own = captions.where("name is not null").groupBy("fig").agg(F.collect_list(F.struct("caption_id", "place", "name")).alias("caps"))
+    own = own.withColumn("stable", stable_forms(F.transform("caps", lambda c: c["name"])))
+    own = own.select("fig", F.transform("caps", lambda c: F.struct(c["caption_id"].alias("caption_id"), c["place"].alias("place"), tagged_forms(c["name"], F.col("stable")).alias("forms"))).alias("caps"))
+    asked = texts.withColumn("forms", tagged_forms(F.col("text")))
+    fits = F.filter("caps", lambda c: F.coalesce(F.arrays_overlap(c["forms"], F.col("forms")), F.lit(False)))
+    pairs = asked.join(own, "fig").withColumn("c", F.explode(fits)).select(*texts.columns, "c.caption_id", "c.place")
     order = [F.coalesce(F.col("panel_id").cast("bigint"), F.lit(-(2**63)).cast("bigint")), -F.col("confidence").cast("double"), F.col("label_id"), F.col("place")]
     return in_order(pairs, "fig", "label_id", "caption_id", order)
 
