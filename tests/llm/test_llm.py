@@ -413,7 +413,7 @@ def test_cover_tree():
 def test_sql(spark, name):
     sf = "/root/testdata/sf0.01"
     c = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "clicks", "benchmark"):
         c.execute(f"create view {table} as select * from '{sf}/{table}.parquet'")
     want = c.execute(queries.oracle_sql()[name])
     names = [x[0] for x in want.description]
