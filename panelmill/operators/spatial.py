@@ -117,25 +117,29 @@ def _value(h: Column, shift: int, width: int) -> Column:
     return F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1).cast("bigint"))
 
 
-def _keys(rows: DataFrame, bands: list[tuple[int, int]], r: int, skip: Column | None = None) -> DataFrame:
-    """rows (h, ...) with band and value, once for each value within r bits of a band's own."""
+def _keys(rows: DataFrame, bands: list[tuple[int, int]], r: int, level: int) -> DataFrame:
+    """rows with a band that no level before has taken (b0, b1, ...) and its value, once for each value within r bits of its own."""
     none = F.array().cast("array<struct<band:int,value:bigint>>")
 
     def of(i: int, shift: int, width: int) -> Column:
         flips = F.array(*[F.lit(x).cast("bigint") for x in _probes(width, r)])
         values = F.transform(flips, lambda x: F.struct(F.lit(i).alias("band"), _value(F.col("h"), shift, width).bitwiseXOR(x).alias("value")))
-        return values if skip is None else F.when(skip != i, values).otherwise(none)
+        for before in range(level):
+            values = F.when(F.col(f"b{before}") != i, values).otherwise(none)
+        return values
 
     each = [of(i, *band) for i, band in enumerate(bands)]
-    return rows.withColumn("_k", F.explode(F.concat(*each))).select(*rows.columns, F.col("_k.band").alias("band"), F.col("_k.value").alias("value"))
+    return rows.withColumn("_k", F.explode(F.concat(*each))).select(*rows.columns, F.col("_k.band").alias(f"b{level}"), F.col("_k.value").alias(f"v{level}"))
 
 
-def _first_band(bands: list[tuple[int, int]], r: int, skip: Column | None = None) -> Column:
-    """The first band in which h and g are within r bits: a pair counts there alone."""
+def _first_band(bands: list[tuple[int, int]], r: int, level: int) -> Column:
+    """The first band not taken before level in which h and g are within r bits: a pair counts there alone."""
     out = F.lit(None).cast("int")
     for i, (shift, width) in reversed(list(enumerate(bands))):
         near = F.bit_count(_value(F.col("h").bitwiseXOR(F.col("g")), shift, width)) <= r
-        out = F.when(near if skip is None else near & (skip != i), i).otherwise(out)
+        for before in range(level):
+            near = near & (F.col(f"b{before}") != i)
+        out = F.when(near, i).otherwise(out)
     return out
 
 
@@ -143,24 +147,24 @@ def band_join(left: DataFrame, right: DataFrame, most: int, m: int, hot: int = H
     """h, g and distance: hashes of left and right (h each, distinct) within `most` bits, by m bands.
 
     Rows meet where a band's value is equal up to most // m bits. A value that more than `hot` hashes of right share is split by the
-    other bands: of two hashes that agree there, one of the m - 1 others differs in most // (m - 1) bits or fewer.
+    bands that are left: of two hashes that agree so far, one of the other k bands differs in most // k bits or fewer; and so on
+    until a value is not crowded or no band is left.
     """
-    bands, r = _banded(m), most // m
-    asked, have = _keys(left.select("h"), bands, r), _keys(right.select("h"), bands, 0).withColumnRenamed("h", "g")
-    crowded = have.groupBy("band", "value").count().where(F.col("count") > hot).select("band", "value")
+    bands, asked, have, out = _banded(m), left.select("h"), right.select("h"), None
     distance = F.bit_count(F.col("h").bitwiseXOR(F.col("g"))).cast("int")
-    plain = asked.join(have.join(crowded, ["band", "value"], "left_anti"), ["band", "value"]).withColumn("distance", distance).where(F.col("distance") <= most)
-    out = plain.where(_first_band(bands, r) == F.col("band")).select("h", "g", "distance")
-    if m == 1:
-        full = asked.join(have.join(crowded, ["band", "value"], "left_semi"), ["band", "value"]).withColumn("distance", distance)
-        return out.unionByName(full.where((F.col("distance") <= most) & (_first_band(bands, r) == F.col("band"))).select("h", "g", "distance"))
-    outer = lambda df: df.withColumnsRenamed({"band": "_band", "value": "_value"})
-    few = outer(crowded)
-    again, r2 = F.col("_band"), most // (m - 1)
-    asked2 = _keys(outer(asked).join(few, ["_band", "_value"], "left_semi"), bands, r2, again)
-    have2 = _keys(outer(have).join(few, ["_band", "_value"], "left_semi").withColumnRenamed("g", "h"), bands, 0, again).withColumnRenamed("h", "g")
-    split = asked2.join(have2, ["_band", "_value", "band", "value"]).withColumn("distance", distance).where(F.col("distance") <= most)
-    return out.unionByName(split.where((_first_band(bands, r) == again) & (_first_band(bands, r2, again) == F.col("band"))).select("h", "g", "distance"))
+    for level in range(m):
+        on = [f"{c}{i}" for i in range(level + 1) for c in "bv"]
+        asked, have = _keys(asked, bands, most // (m - level), level), _keys(have, bands, 0, level)
+        crowded = have.groupBy(*on).count().where(F.col("count") > hot).select(*on)
+        there = have.withColumnRenamed("h", "g")
+        pairs = asked.join(there if level == m - 1 else there.join(crowded, on, "left_anti"), on).withColumn("distance", distance).where(F.col("distance") <= most)
+        for i in range(level + 1):
+            pairs = pairs.where(_first_band(bands, most // (m - i), i) == F.col(f"b{i}"))
+        found = pairs.select("h", "g", "distance")
+        out = found if out is None else out.unionByName(found)
+        if level == m - 1 or crowded.isEmpty():
+            return out
+        asked, have = asked.join(crowded, on, "left_semi"), have.join(crowded, on, "left_semi")
 
 
 def _members(rows: DataFrame, key: str, value: str) -> DataFrame:
