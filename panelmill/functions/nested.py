@@ -91,18 +91,16 @@ def shapes(found: DataFrame) -> DataFrame:
 
 def _parents() -> Column:
     """A path and all its ancestors."""
-    steps = F.regexp_extract_all("path", F.lit(r'\.[A-Za-z_]\w*|\."(?:[^"\\]|\\.)*"|\[\d+\]'), F.lit(0))
+    steps = F.regexp_extract_all("path", F.lit(r'(?U)\.[A-Za-z_]\w*|\."(?:[^"\\]|\\.)*"|\[\d+\]'), F.lit(0))
     return F.transform(F.sequence(F.lit(0), F.size(steps)), lambda n: F.concat(F.lit("$"), F.array_join(F.slice(steps, 1, n), "")))
 
 
 def merged(base: DataFrame, over: DataFrame, key: list[str]) -> DataFrame:
     """Leaves of both records (leaves with arrays=False, one record a key): objects merge key by key, anything else of over
     replaces what base has at its path, below it, or as a single value above it."""
-    on_the_way = over.select(*key, F.explode(_parents()).alias("path")).distinct()
-    rows = base.withColumn("_id", F.monotonically_increasing_id())
-    below = rows.select("_id", *key, F.explode(_parents()).alias("path")).join(over.select(*key, "path"), [*key, "path"]).select("_id")
-    above = rows.join(on_the_way, [*key, "path"]).select("_id")
-    return rows.join(below.unionByName(above).distinct(), "_id", "left_anti").drop("_id").unionByName(over)
+    paths = over.groupBy(*key).agg(F.collect_list("path").alias("_over"), F.array_distinct(F.flatten(F.collect_list(_parents()))).alias("_way"))
+    replaced = F.arrays_overlap(_parents(), "_over") | F.array_contains("_way", F.col("path"))
+    return base.join(paths, key, "left").where(~F.coalesce(replaced, F.lit(False))).select(*base.columns).unionByName(over)
 
 
 def _record(found) -> str:

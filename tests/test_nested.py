@@ -51,3 +51,19 @@ def test_repeats_and_none(spark):
     assert [tuple(r) for r in nested.leaves(df, ["k"], "t").collect()] == [(1, "$.a", "number", "1")]
     assert nested.leaves(df.limit(0), ["k"], "t").count() == 0
     assert [r.pattern for r in nested.shapes(nested.leaves(spark.createDataFrame([(1, '[{"a": 1}, {"a": "x"}]')], "k bigint, t string"), ["k"], "t")).collect()] == ["$[*].a"]
+
+
+def test_merge_of_rows_in_any_order(spark):
+    """Rows come in another order each time that they are read."""
+
+    def mixed(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([c.take(pa.array(np.random.default_rng().permutation(len(b)))) for c in b.columns], b.schema.names)
+
+    df = spark.createDataFrame([(i, '{"a": "x", "b": {"c": 1, "d": 2}, "e": [1]' + ', "f": 0' * (i % 3 > 0) + "}", '{"a": {"y": 1}, "b": {"c": "z"}, "aé": 1}') for i in range(400)], "k bigint, a string, b string").coalesce(1)
+    df = df.mapInArrow(mixed, df.schema)
+    out = nested.rebuilt(nested.merged(nested.leaves(df, ["k"], "a", False), nested.leaves(df, ["k"], "b", False), ["k"]), ["k"])
+    assert {r.k: json.loads(r.json) for r in out.collect()} == {i: {"a": {"y": 1}, "aé": 1, "b": {"c": "z", "d": 2}, "e": [1]} | ({"f": 0} if i % 3 else {}) for i in range(400)}
