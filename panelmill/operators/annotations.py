@@ -29,12 +29,17 @@ def as_predictions(regions: DataFrame) -> DataFrame:
     )
 
 
-def known_predictions(panels: DataFrame, images: DataFrame, model: DataFrame) -> DataFrame:
+def known_predictions(panels: DataFrame, images: DataFrame, model: DataFrame, done: DataFrame | None = None) -> DataFrame:
     """Predictions of annotated figures: all regions where the images are annotated too, else the annotated panels with
-    the model's other boxes. panels and images as as_predictions gives them; model has the same columns but region."""
-    whole = images.select("fig").distinct()
+    the model's other boxes. panels and images as as_predictions gives them; model has the same columns but region.
+    done (fig, images: whether the images were annotated, too): the annotated figures, also those in which nothing
+    was found; without it those that have a region."""
+    if done is None:
+        done = panels.select("fig", F.lit(False).alias("images")).unionByName(images.select("fig", F.lit(True).alias("images")))
+    figures = done.groupBy("fig").agg(F.bool_or("images").alias("_whole"))
+    whole = figures.where("_whole").select("fig")
     rest = panels.where("kind = 'Panel'").join(whole, "fig", "left_anti")
-    found = model.where("kind <> 'Panel'").join(panels.select("fig").distinct(), "fig", "left_semi").join(whole, "fig", "left_anti")
+    found = model.where("kind <> 'Panel'").join(figures.where("not _whole").select("fig"), "fig", "left_semi")
     return images.unionByName(rest).unionByName(found.withColumn("source", F.lit("model")), allowMissingColumns=True)
 
 

@@ -27,7 +27,8 @@ def known_predictions(spark, d):
     every = ann.as_predictions(r).withColumnRenamed("region", "id")
     kind = F.coalesce(F.get(F.array(*map(F.lit, ["Panel", "Label", "CFP", "OCT", "Retinal Imaging"])), F.col("cls").cast("int")), F.lit("Other"))
     model = r.select("fig", "id", kind.alias("kind"), F.round("score", 6).alias("score"), F.lit("Plain").alias("marked"), F.lit(0.5).alias("marked_score"), "box", F.lit(True).alias("survives_nms"))
-    out = ann.known_predictions(every.where("fig % 3 <> 2 and kind = 'Panel'"), every.where("fig % 3 = 0"), model)
+    done = r.where("fig % 3 <> 2").select("fig", (F.col("fig") % 3 == 0).alias("images"))
+    out = ann.known_predictions(every.where("fig % 3 <> 2 and kind = 'Panel'"), every.where("fig % 3 = 0"), model, done)
     return out.select("fig", "id", "kind", "score", "marked", "marked_score", "source")
 
 
