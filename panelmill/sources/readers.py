@@ -106,11 +106,13 @@ def page_tasks(spark: SparkSession, path: str, dpi: int = 72) -> DataFrame:
 
 def task_boxes(tasks: DataFrame) -> DataFrame:
     """One row for each region of each annotation that was not cancelled: box in pixels, labels, name, parent."""
-    r = tasks.select("id", F.explode("annotations").alias("a")).where("not coalesce(a.was_cancelled, false)").select("id", F.col("a.id").alias("annotation_id"), F.explode("a.result").alias("r"))
+    r = tasks.select("id", F.explode("annotations").alias("a")).where("not coalesce(a.was_cancelled, false)").select("id", F.col("a.id").alias("annotation_id"), F.posexplode("a.result").alias("n", "r"))
     v = F.col("r.value")
+    at = F.struct((v["x"] * F.col("r.original_width") / 100).alias("x0"), (v["y"] * F.col("r.original_height") / 100).alias("y0"), ((v["x"] + v["width"]) * F.col("r.original_width") / 100).alias("x1"), ((v["y"] + v["height"]) * F.col("r.original_height") / 100).alias("y1"))
+    in_order = lambda c: F.flatten(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("n", v[c].alias("x")))), lambda p: p["x"]), lambda x: x.isNotNull()))
     out = r.where("r.type <> 'relation'").groupBy("id", "annotation_id", F.col("r.id").alias("region")).agg(
-        F.first(F.struct((v["x"] * F.col("r.original_width") / 100).alias("x0"), (v["y"] * F.col("r.original_height") / 100).alias("y0"), ((v["x"] + v["width"]) * F.col("r.original_width") / 100).alias("x1"), ((v["y"] + v["height"]) * F.col("r.original_height") / 100).alias("y1")), True).alias("box"),
-        F.flatten(F.collect_list(v["rectanglelabels"])).alias("labels"), F.flatten(F.collect_list(v["text"])).alias("names"), F.max("r.parentID").alias("parent"),
+        F.min_by(F.when(v["x"].isNotNull(), at), F.when(v["x"].isNotNull(), F.col("n"))).alias("box"),
+        in_order("rectanglelabels").alias("labels"), in_order("text").alias("names"), F.max("r.parentID").alias("parent"),
     )
     return out.withColumn("conflict", F.size(F.array_distinct("names")) > 1)
 
