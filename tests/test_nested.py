@@ -61,7 +61,7 @@ def test_merge_of_rows_in_any_order(spark):
         import pyarrow as pa
 
         for b in batches:
-            yield pa.RecordBatch.from_arrays([c.take(pa.array(np.random.default_rng().permutation(len(b)))) for c in b.columns], b.schema.names)
+            yield b.take(pa.array(np.random.default_rng().permutation(b.num_rows)))
 
     df = spark.createDataFrame([(i, '{"a": "x", "b": {"c": 1, "d": 2}, "e": [1]' + ', "f": 0' * (i % 3 > 0) + "}", '{"a": {"y": 1}, "b": {"c": "z"}, "aé": 1}') for i in range(400)], "k bigint, a string, b string").coalesce(1)
     df = df.mapInArrow(mixed, df.schema)
