@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.operators.relational import upsert
+from panelmill.operators.relational import lots, upsert
 
 
 def predictions_flat(results: DataFrame, key: list[str], lists: list[str]) -> DataFrame:
@@ -48,10 +48,11 @@ def merged(old: DataFrame, updates: DataFrame, key: list[str]) -> DataFrame:
 def resumed(state: DataFrame, panels: DataFrame, figure: str, done: Column, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """state after step ran again on every figure that has a panel without a finished row; a figure's old rows go as
     a whole, so none is left half done. panels (figure, panel_id), state (figure, panel_id and more)."""
-    finished = state.where(done).select(figure, "panel_id").distinct()
-    todo = panels.join(finished, [figure, "panel_id"], "left_anti").select(figure).distinct()
-    kept = state.join(todo, figure, "left_anti")
-    return kept.unionByName(step(todo), allowMissingColumns=True)
+    n = lots(state, panels)  # a task's share does not grow with the tables
+    finished = state.where(done).select(figure, "panel_id").repartition(n, figure, "panel_id")
+    todo = panels.select(figure, "panel_id").repartition(n, figure, "panel_id").join(finished, [figure, "panel_id"], "left_anti").select(figure).distinct().repartition(n, figure)
+    kept = state.repartition(n, figure).join(todo, figure, "left_anti")
+    return kept.unionByName(step(todo), allowMissingColumns=True).repartition(n, figure)
 
 
 def metrics_log(df: DataFrame, path: str) -> None:

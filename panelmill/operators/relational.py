@@ -249,3 +249,16 @@ def flat_record(record: Column, fields: dict[str, str], lists: dict[str, str]) -
     """Columns of a JSON text: fields by path, and for each name in lists the JSON list there, [] if it is absent."""
     at = lambda path: F.get_json_object(record, path)
     return [at(p).alias(n) for n, p in fields.items()] + [F.coalesce(at(p), F.lit("[]")).alias(n) for n, p in lists.items()]
+
+
+def worked_out(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """df with columns (in place of those of the same names), each worked out once for each row: filters and steps that follow
+    read the values. withColumns leaves it to the optimizer, which may copy an expression into each place that names it."""
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def lots(*tables: DataFrame, rows: int = 250_000) -> int:
+    """The number of partitions that leaves about `rows` rows of the largest of tables to each, but no fewer than Spark's own."""
+    own = int(tables[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(own, *[-(-t.count() // rows) for t in tables])
