@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelmill.functions.boxes import EDGES, box, overlap, union_of
+from panelmill.operators.relational import worked_out
 from panelmill.operators.spatial import touches
 
 #: Conflicts after which a figure has no panels; the others are settled on the way.
@@ -41,7 +42,7 @@ def _first(rows: Column, holds: Callable[[Column], Column]) -> Column:
 
 def _figures(figures: DataFrame, boxes: DataFrame, regions: DataFrame, parts: DataFrame, splits: DataFrame) -> DataFrame:
     """One row for each figure, with its boxes (by id), regions, parts and splits as arrays: all that follows stays in the row."""
-    rows = lambda df, name, *columns: df.groupBy("fig").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name))
+    rows = lambda df, name, *columns: df.groupBy("fig").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(name))
     out = figures.select("fig", F.coalesce("images_annotated", F.lit(False)).alias("images_annotated"))
     tables = {"b": rows(boxes, "b", "id", "kind", "region", "source", "box"), "r": rows(regions, "r", "region", "parent"), "p": rows(parts, "p", "region", "name", "text"), "s": rows(splits, "s", "name", "text")}
     for name, table in tables.items():
@@ -49,31 +50,31 @@ def _figures(figures: DataFrame, boxes: DataFrame, regions: DataFrame, parts: Da
     r, p = F.col("r"), F.col("p")
     names = F.array_distinct(F.transform(r, lambda x: x["region"]))
     parent = lambda n: F.array_min(F.transform(F.filter(r, lambda x: x["region"] == n), lambda x: x["parent"]))
-    out = out.withColumns({"r": F.transform(names, lambda n: F.struct(n.alias("region"), parent(n).alias("parent"))), "p": F.filter(p, lambda x, i: (i == 0) | (F.get(p, i - 1)["region"] != x["region"])), "panels": F.filter("b", lambda x: x["kind"] == "Panel")})
+    out = worked_out(out, {"r": F.transform(names, lambda n: F.struct(n.alias("region"), parent(n).alias("parent"))), "p": F.filter(p, lambda x, i: (i == 0) | (F.get(p, i - 1)["region"] != x["region"])), "panels": F.filter("b", lambda x: x["kind"] == "Panel")})
     is_part = lambda region: F.exists("p", lambda x: x["region"] == region)
     settled = F.forall("r", lambda x: is_part(x["region"]) | x["parent"].isNotNull())
     branch = F.when(F.size("s") == 1, "whole").when(F.col("images_annotated") & settled, "annotated").otherwise("spatial")
-    out = out.withColumns({"branch": branch, "forced": F.exists("r", lambda x: ~is_part(x["region"]) & x["parent"].isNotNull())})
+    out = worked_out(out, {"branch": branch, "forced": F.exists("r", lambda x: ~is_part(x["region"]) & x["parent"].isNotNull())})
     box_of = lambda region: F.array_min(F.transform(F.filter("b", lambda x: x["region"] == region), lambda x: F.struct(x["id"].alias("id"), x["kind"].alias("kind"), x["box"].alias("box"))))
     # annotated: pairs of regions with their boxes, and parts with theirs
     pairs = F.transform(F.filter("r", lambda x: (F.col("branch") == "annotated") & x["parent"].isNotNull() & ~is_part(x["region"])), lambda x: F.struct(x["region"].alias("child"), x["parent"].alias("parent"), box_of(x["region"]).alias("c"), box_of(x["parent"]).alias("q")))
     titled = F.transform(F.filter("p", lambda x: F.col("branch") == "annotated"), lambda x: F.struct(x["region"].alias("region"), x["name"].alias("name"), x["text"].alias("text"), box_of(x["region"]).alias("q")))
     # spatial: children with the panels that they touch, and what was annotated of them
     kids = F.transform(F.filter("b", lambda x: (F.col("branch") == "spatial") & (x["kind"] != "Panel")), lambda k: F.struct(k["id"].alias("id"), k["kind"].alias("kind"), k["box"].alias("box"), k["source"].alias("source"), k["region"].alias("region"), _first(F.col("r"), lambda x: x["region"] == k["region"]).alias("own")))
-    out = out.withColumns({"pairs": pairs, "titled": titled, "kids": kids})
+    out = worked_out(out, {"pairs": pairs, "titled": titled, "kids": kids})
     told = F.filter("pairs", lambda x: x["c"].isNotNull() & x["q"].isNotNull())
     held = lambda k: F.col("forced") & k["region"].isNotNull()
     kids = F.transform("kids", lambda k: F.struct(
         k["id"].alias("id"), k["kind"].alias("kind"), k["box"].alias("box"), k["source"].alias("source"), (held(k) & k["own"].isNull()).alias("unknown"), k["own"]["parent"].alias("parent"), box_of(k["own"]["parent"]).alias("q"),
         F.filter("panels", lambda x: touches(x["box"], k["box"])).alias("touch"), held(k).alias("held"),
     ))
-    out = out.withColumns({"told": told, "kids": kids})
+    out = worked_out(out, {"told": told, "kids": kids})
     wrong = lambda k: F.filter(k["touch"], lambda x: k["held"] & k["parent"].isNotNull() & ~x["region"].eqNullSafe(k["parent"]))
     ids = lambda rows: F.transform(rows, lambda x: x["id"])
-    out = out.withColumn("kids", F.transform("kids", lambda k: F.struct(k.alias("k"), ids(wrong(k)).alias("wrong"), (k["q"]["kind"] == "Panel").alias("may"))))
+    out = worked_out(out, {"kids": F.transform("kids", lambda k: F.struct(k.alias("k"), ids(wrong(k)).alias("wrong"), (k["q"]["kind"] == "Panel").alias("may")))})
     moves = lambda x: F.coalesce(x["may"], F.lit(False)) & (F.size(x["wrong"]) > 0)
     at = lambda x: F.when(moves(x), F.array_sort(F.array_union(F.array_except(ids(x["k"]["touch"]), x["wrong"]), F.array(x["k"]["q"]["id"])))).otherwise(ids(x["k"]["touch"]))
-    return out.withColumn("kids", F.transform("kids", lambda x: F.struct(x["k"].alias("k"), x["wrong"].alias("wrong"), moves(x).alias("moves"), at(x).alias("at"))))
+    return worked_out(out, {"kids": F.transform("kids", lambda x: F.struct(x["k"].alias("k"), x["wrong"].alias("wrong"), moves(x).alias("moves"), at(x).alias("at")))})
 
 
 def _conflict(rule: str, child: Column | None = None, before: Column | None = None, after: Column | None = None) -> Column:
@@ -143,10 +144,10 @@ def reconciled(figures: DataFrame, boxes: DataFrame, regions: DataFrame, parts:
     """
     rows = _figures(figures, boxes, regions, parts, splits)
     attached, conflicts = _conflicts()
-    rows = rows.withColumn("attached", attached).withColumn("conflicts", conflicts)
+    rows = worked_out(worked_out(rows, {"attached": attached}), {"conflicts": conflicts})
     table = rows.select("fig", F.explode("conflicts").alias("c")).select("fig", "c.*").withColumn("fatal", F.col("rule").isin(FATAL))
     sound = rows.where(~F.exists("conflicts", lambda c: c["rule"].isin(FATAL)))
-    panels = sound.withColumn("panel", F.explode(_panels())).select("fig", "branch", "panel.*")
+    panels = worked_out(sound, {"panel": _panels()}).select("fig", "branch", F.inline("panel"))
     return panels, table
 
 
