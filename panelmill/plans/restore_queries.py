@@ -24,7 +24,7 @@ def _render():
 def _restored(spark, d):
     docs, at = Tables(spark, d).documents, folder(spark, "captions")
     k = F.col("doc_id")
-    shown = docs.where("doc_id % 9 <> 8").select((k % 8).alias("shard"), F.concat(F.lit("PMC"), k, F.lit("_c.txt")).alias("member"), F.col("text").cast("binary").alias("body"))
+    shown = docs.where("doc_id % 9 <> 8").select(F.expr("doc_id div 2000").alias("shard"), F.concat(F.lit("PMC"), k, F.lit("_c.txt")).alias("member"), F.col("text").cast("binary").alias("body"))
     write_shards(shown, at, "shard", "member", "body").write.format("noop").mode("overwrite").save()
     segments = F.when(k % 4 == 0, '[["Part: "], [0, 12], ["..."], [3, 5]]').when(k % 4 == 1, '[[2, 7]]').when(k % 4 == 2, "[[1, ")
     rows = docs.select(

@@ -122,22 +122,36 @@ def shards(spark: SparkSession, path: str, wanted: DataFrame | None = None, key:
 
 def write_shards(rows: DataFrame, path: str, shard: str, member: str, content: str) -> DataFrame:
     """One plain archive for each value of shard, with a member for each row, in order of the names; the paths and numbers of
-    members. A shard is one group: choose shards that fit into a task."""
+    members. A shard is written by one task, batch by batch: its size is no matter of memory, but of that task's time."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
 
-        number = table.column(shard)[0].as_py()
-        at = f"{path}/shard-{number:06d}.tar"
-        system, place = pa.fs.FileSystem.from_uri(at)
-        system.create_dir(place.rsplit("/", 1)[0], recursive=True)
-        order = sorted(range(table.num_rows), key=lambda i: table.column(member)[i].as_py())
-        with system.open_output_stream(place) as file, tarfile.open(fileobj=file, mode="w|") as archive:
-            for i in order:
-                body = table.column(content)[i].as_py() or b""
-                info = tarfile.TarInfo(table.column(member)[i].as_py())
+        now, at, count, file, archive = None, None, 0, None, None
+
+        def close() -> pa.RecordBatch:
+            archive.close()
+            file.close()
+            return pa.RecordBatch.from_pydict({"path": [at], "members": [count]}, pa.schema([("path", pa.string()), ("members", pa.int64())]))
+
+        for batch in batches:
+            for number, name, body in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+                number, body = number.as_py(), body.as_py() or b""
+                if archive is None or number != now:
+                    if archive is not None:
+                        yield close()
+                    now, at, count = number, f"{path}/shard-{number:06d}.tar", 0
+                    system, place = pa.fs.FileSystem.from_uri(at)
+                    system.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                    file = system.open_output_stream(place)
+                    archive = tarfile.open(fileobj=file, mode="w|")
+                info = tarfile.TarInfo(name.as_py())
                 info.size = len(body)
                 archive.addfile(info, io.BytesIO(body))
-        return pa.table({"path": [at], "members": [table.num_rows]})
+                archive.members = []  # the list of what was written, which no one reads
+                count += 1
+        if archive is not None:
+            yield close()
 
-    return rows.select(F.col(shard).cast("bigint").alias(shard), F.col(member).cast("string").alias(member), F.col(content).cast("binary").alias(content)).groupBy(shard).applyInArrow(run, "path string, members bigint")
+    named = rows.select(F.col(shard).cast("bigint").alias("shard"), F.col(member).cast("string").alias("member"), F.col(content).cast("binary").alias("content"))
+    return named.repartition("shard").sortWithinPartitions("shard", "member").mapInArrow(run, "path string, members bigint")

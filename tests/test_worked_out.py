@@ -21,3 +21,13 @@ def test_partitions_grow_with_rows(spark):
     state = panels.select("fig", "panel_id", F.when(F.col("panel_id") != 41, "done").alias("state"))
     out = resumed(state, panels, "fig", F.col("state") == "done", lambda todo: panels.join(todo, "fig").withColumn("state", F.lit("again")))
     assert sorted((r.fig, r.panel_id) for r in out.where("state = 'again'").collect()) == [(1, 1), (1, 21), (1, 41)] and out.count() == 60
+
+
+def test_archives_are_written_batch_by_batch(spark, tmp_path):
+    from panelmill.sources.shards import shards, write_shards
+
+    rows = spark.range(50).select((F.col("id") % 20).alias("s"), F.concat(F.lit("m"), F.col("id"), F.lit(".txt")).alias("m"), F.col("id").cast("string").cast("binary").alias("b"))
+    out = write_shards(rows, f"file://{tmp_path}", "s", "m", "b")
+    assert "FlatMapGroups" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(r.members for r in out.collect()) == 50
+    assert sorted(int(bytes(r.content)) for r in shards(spark, f"file://{tmp_path}").collect()) == list(range(50))
