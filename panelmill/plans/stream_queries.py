@@ -42,4 +42,4 @@ def errors_before_purchases(spark, d):
         side = lambda kind, name: once(rows.where(F.col("kind") == kind).select("client_id", F.col("click_id").alias(f"{name}_id"), F.col("ts").alias(f"{name}_at")), f"{name}_at", [f"{name}_id"], _DELAY)
         return within(side("error", "error"), side("purchase", "purchase"), ["client_id"], "error_at", "purchase_at", "10 minutes").select("client_id", "error_id", "purchase_id")
 
-    return replayed(table, step, _STEPS, made, folder(spark, "pairs"))
+    return replayed(table.where("kind in ('error', 'purchase')"), step, _STEPS, made, folder(spark, "pairs"))

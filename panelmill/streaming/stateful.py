@@ -28,14 +28,17 @@ def sessions(rows: DataFrame, time: str, by: list[str], gap: str, *sums: Column)
 
 def within(left: DataFrame, right: DataFrame, key: list[str], left_time: str, right_time: str, most: str) -> DataFrame:
     """Pairs of equal key whose right time lies in (left time, left time + most]. Columns but the key must differ in name. Both sides
-    have watermarks, so state of either side goes when no partner can come any more."""
-    r = right.withColumnsRenamed({k: f"_{k}" for k in key})
-    same = [F.col(k) == F.col(f"_{k}") for k in key]
+    have watermarks, so state of either side goes when no partner can come any more. Time is cut into lots as long as most: a left row
+    meets the rows of its own lot and the next, so that a key with many rows is neither one task nor compared with all its rows."""
+    lot = lambda c: F.floor(F.unix_micros(c) / (F.lit(1000) * F.expr(f"timestampdiff(millisecond, timestamp_seconds(0), timestamp_seconds(0) + interval {most})"))).cast("bigint")
+    a = left.withColumn("_lot", F.explode(F.array(lot(F.col(left_time)), lot(F.col(left_time)) + 1)))
+    r = right.withColumnsRenamed({k: f"_{k}" for k in key}).withColumn("_right_lot", lot(F.col(right_time)))
+    same = [F.col(k) == F.col(f"_{k}") for k in key] + [F.col("_lot") == F.col("_right_lot")]
     near = (F.col(right_time) > F.col(left_time)) & (F.col(right_time) <= F.col(left_time) + F.expr(f"interval {most}"))
     on = near
     for s in same:
         on = s & on
-    return left.join(r, on).drop(*[f"_{k}" for k in key])
+    return a.join(r, on).drop(*[f"_{k}" for k in key], "_lot", "_right_lot")
 
 
 def _move(spark: SparkSession, old: str, new: str) -> None:

@@ -31,3 +31,12 @@ def test_archives_are_written_batch_by_batch(spark, tmp_path):
     assert "FlatMapGroups" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert sum(r.members for r in out.collect()) == 50
     assert sorted(int(bytes(r.content)) for r in shards(spark, f"file://{tmp_path}").collect()) == list(range(50))
+
+
+def test_key_with_many_rows_meets_by_time(spark):
+    from panelmill.streaming.stateful import within
+
+    side = lambda n, at: spark.range(2000).select(F.lit(1).alias("k"), F.col("id").alias(n), F.timestamp_seconds(F.col("id") * 400 + at).alias(f"{n}_at"))
+    out = within(side("a", -100_000), side("b", -99_700), ["k"], "a_at", "b_at", "10 minutes")
+    assert sorted((r.a, r.b) for r in out.select("a", "b").collect()) == [(i, i) for i in range(2000)]
+    assert "_lot" in out._jdf.queryExecution().optimizedPlan().toString()
