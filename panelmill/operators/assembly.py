@@ -34,7 +34,7 @@ def in_order(candidates: DataFrame, group: str, left: str, right: str, order: li
     t = dict(candidates.dtypes)
     kind = f"array<struct<l:{t[left]},r:{t[right]}>>"
     rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col(left).alias("l"), F.col(right).alias("r"))
-    pairs = candidates.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(rank)), lambda x: F.struct(x["l"].alias("l"), x["r"].alias("r"))).alias("p"))
+    pairs = candidates.groupBy(group).agg(F.transform(F.sort_array(F.collect_list(rank)), lambda x: F.struct(x["l"].alias("l"), x["r"].alias("r"))).alias("p"))
     step = lambda acc, p: F.when(F.exists(acc, lambda k: (k["l"] == p["l"]) | (k["r"] == p["r"])), acc).otherwise(F.concat(acc, F.array(p)))
     taken = pairs.select(group, F.explode(F.aggregate("p", F.array().cast(kind), step)).alias("p"))
     return taken.select(group, F.col("p.l").alias(left), F.col("p.r").alias(right))
