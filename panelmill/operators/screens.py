@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelmill.functions.boxes import area, from_thousandths, overlap
+from panelmill.operators.relational import worked_out
 
 #: Rules by panel and by place, in the order in which their reasons are given.
 PANEL_RULES = ["unknown panel", "unknown label", "new label outside its panel", "new label too large", "unknown caption", "final panel", "no caption without rejection"]
@@ -104,16 +105,18 @@ def asked_again(items: DataFrame, ask: Callable[[DataFrame, str], DataFrame], op
     from panelmill.operators.annotations import answers_read
 
     empty = F.array().cast("array<string>")
+    options = keep(options, f"{path}/options")  # read several times in each round
     todo = items.select("*", F.lit(None).cast("string").alias("answer_before"), empty.alias("reasons"))
     passed = None
     for n in range(1, rounds + 1):
         answers = keep(ask(todo, f"{path}/ask-{n}").select("fig", "answer"), f"{path}/answers-{n}")
-        read = answers.withColumn("form", answers_read(F.col("answer")))
+        read = worked_out(answers, {"form": answers_read(F.col("answer"))})
         panel = by_panel(read.select("fig", F.explode("form.by_panel").alias("x")).select("fig", "x.*"), options)
         place = by_place(read.where("form.by_panel is null").select("fig", F.explode("form.by_place").alias("x")).select("fig", "x.*"), options)
         lost = read.where("form.by_panel is null and form.by_place is null").select("fig", F.array(F.lit("no assignments")).alias("reasons"))
-        bad = keep(reasons(panel.select("fig", "broken"), options).unionByName(reasons(place.select("fig", "broken"), options)).unionByName(lost), f"{path}/failed-{n}")
-        good = panel.where("not is_final").drop("is_final", "broken").unionByName(place.drop("is_final", "broken"), allowMissingColumns=True)
+        screened = keep(panel.unionByName(place, allowMissingColumns=True), f"{path}/screened-{n}")
+        bad = keep(reasons(screened.select("fig", "broken"), options).unionByName(lost), f"{path}/failed-{n}")
+        good = screened.where("not is_final").drop("is_final", "broken")
         good = keep(good.join(bad.select("fig"), "fig", "left_anti").withColumn("round", F.lit(n)), f"{path}/passed-{n}")
         passed = good if passed is None else passed.unionByName(good)
         todo = keep(items.join(bad, "fig").join(answers.select("fig", F.col("answer").alias("answer_before")), "fig").select(*items.columns, "answer_before", "reasons"), f"{path}/todo-{n}")
