@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import combinations
+from itertools import combinations, product
 from math import comb
 
 import numpy as np
@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelmill.functions.boxes import iou, overlap
+from panelmill.sources.scratch import folder
 
 BLOCK, ROWS = 4096, 256
 #: Hashes that may share a band's value before it is split; partitions that blocks are dealt to; values
-#: that a hash may ask for in one band.
-HOT, TASKS, PROBES = 1000, 10_000, 600
+#: that a hash may ask for in one band; bands and flips of one level; pairs that leave a task at once.
+HOT, TASKS, PROBES, DEALS, PAIRS = 2048, 10_000, 600, 4096, 1 << 20
 
 
 def touches(parent: Column, child: Column, least_iou: float = 0.3, least_overlap: float = 0.7) -> Column:
@@ -85,12 +86,6 @@ def _near(most: int):
 _PAIR = "a bigint, b bigint, distance int"
 
 
-def _probes(width: int, r: int) -> list[int]:
-    """All numbers of width bits (as signed ones of 64) with at most r bits set: what a band's value is flipped by."""
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    return [signed(sum(1 << i for i in bits)) for n in range(r + 1) for bits in combinations(range(width), n)]
-
-
 def band_plan(n: int, most: int) -> int:
     """The number of bands that makes the fewest candidates among n hashes at random; 0 if comparing all is as good.
 
@@ -107,64 +102,155 @@ def band_plan(n: int, most: int) -> int:
     return best if cost(best) < n / 4 else 0
 
 
-def _banded(m: int) -> list[tuple[int, int]]:
-    """(shift, width) of m bands over 64 bits."""
-    edges = [64 * i // m for i in range(m + 1)]
-    return [(low, high - low) for low, high in zip(edges, edges[1:], strict=False)]
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _dealt(path: tuple[int, ...], m: int) -> tuple[int, list[int]]:
+    """(the bits that the bands of path have taken, the m bands that the others are dealt to). Bits are dealt in turn, so that a run of
+    bits which all hashes share is spread over all bands."""
+    left = list(range(64))
+    for n, i in enumerate((*path, None)):
+        bands = [sum(1 << b for b in left[k::m]) for k in range(m)]
+        if i is not None:
+            left = [b for b in left if not bands[i] >> b & 1]
+    return sum(1 << b for b in range(64) if b not in left), bands
+
+
+def _paths(m: int, level: int) -> list[tuple[int, ...]]:
+    """The bands taken before a level, in the order of their numbers: the digits to base m."""
+    return list(product(range(m), repeat=level))
+
+
+def _flips(mask: int, r: int) -> list[int]:
+    """All numbers with at most r bits set, each within mask: what a band's value is flipped by."""
+    bits = [b for b in range(64) if mask >> b & 1]
+    return [sum(1 << b for b in some) for n in range(r + 1) for some in combinations(bits, n)]
+
+
+def _deals(m: int, r: int, level: int) -> list[tuple[int, int, int, int]]:
+    """(path, next, mask, flip): how the rows of each path go on to its m bands."""
+    return [(p, p * m + i, _signed(mask), _signed(flip)) for p, path in enumerate(_paths(m, level)) for i, mask in enumerate(_dealt(path, m)[1]) for flip in _flips(mask, r)]
+
 
+def _levels(m: int, r: int) -> int:
+    """How often a crowded value is split: until a level's bands and flips are too many, or no bits are left to deal."""
+    n, probes = 1, sum(comb(64 // m + 1, i) for i in range(r + 1))
+    while m ** (n + 1) * probes <= DEALS and bin(_dealt((0,) * n, m)[0]).count("1") < 64:
+        n += 1
+    return n
 
-def _value(h: Column, shift: int, width: int) -> Column:
-    return F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1).cast("bigint"))
+
+def _keyed(rows: DataFrame, deals: DataFrame) -> DataFrame:
+    """h, path and value (the bits taken so far, with those flipped that may differ) of rows at the next level."""
+    value = F.col("value").bitwiseOR(F.col("h").bitwiseAND(F.col("mask")).bitwiseXOR(F.col("flip")))
+    return rows.join(F.broadcast(deals), "path").select("h", F.col("next").alias("path"), value.alias("value"))
+
+
+def _close(most: int, m: int, r: int, level: int, same: bool):
+    """h, g and distance of the pairs within `most` bits of each row's lists hs and gs (same: of hs alone, h < g). A pair counts
+    where each of the bands taken is the first of its level that is within r bits."""
+
+    def counts_here(path: int, far: np.ndarray) -> np.ndarray:
+        digits = tuple(path // m ** (level - i) % m for i in range(level + 1))
+        out = np.ones(len(far), bool)
+        for i, digit in enumerate(digits):
+            for band in _dealt(digits[:i], m)[1][:digit]:
+                out &= np.bitwise_count(far & np.uint64(band)) > r
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, n = [], 0
+
+        def given() -> pa.RecordBatch:
+            h, g, far, path = (np.concatenate(x) for x in zip(*found, strict=True))
+            keep = np.zeros(len(h), bool)
+            for p in np.unique(path):
+                keep[path == p] = counts_here(int(p), far[path == p])
+            h, g, far = h[keep], g[keep], far[keep]
+            if same:
+                h, g = np.minimum(h, g), np.maximum(h, g)
+            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(g), pa.array(np.bitwise_count(far).astype(np.int32))], ["h", "g", "distance"])
+
+        for batch in batches:
+            paths = batch.column("path").to_numpy()
+            lists = [(c.values.to_numpy(), c.offsets.to_numpy()) for c in (batch.column("hs"), batch.column("hs" if same else "gs"))]
+            for k in range(batch.num_rows):
+                hs, gs = (values[at[k] : at[k + 1]] for values, at in lists)
+                for i in range(0, len(hs), ROWS):
+                    ours, theirs = hs[i : i + ROWS], gs[i:] if same else gs
+                    far = (ours[:, None] ^ theirs[None, :]).view(np.uint64)
+                    x, y = np.nonzero(np.bitwise_count(far) <= most)
+                    if same:
+                        x, y = x[y > x], y[y > x]
+                    if len(x):
+                        found.append((ours[x], theirs[y], far[x, y], np.full(len(x), paths[k])))
+                        n += len(x)
+                if n >= PAIRS:
+                    yield given()
+                    found, n = [], 0
+        if found:
+            yield given()
+
+    return run
 
 
-def _keys(rows: DataFrame, bands: list[tuple[int, int]], r: int, level: int) -> DataFrame:
-    """rows with a band that no level before has taken (b0, b1, ...) and its value, once for each value within r bits of its own."""
-    none = F.array().cast("array<struct<band:int,value:bigint>>")
+_LINK, _ON = "h bigint, g bigint, distance int", ["path", "value"]
 
-    def of(i: int, shift: int, width: int) -> Column:
-        flips = F.array(*[F.lit(x).cast("bigint") for x in _probes(width, r)])
-        values = F.transform(flips, lambda x: F.struct(F.lit(i).alias("band"), _value(F.col("h"), shift, width).bitwiseXOR(x).alias("value")))
-        for before in range(level):
-            values = F.when(F.col(f"b{before}") != i, values).otherwise(none)
-        return values
 
-    each = [of(i, *band) for i, band in enumerate(bands)]
-    return rows.withColumn("_k", F.explode(F.concat(*each))).select(*rows.columns, F.col("_k.band").alias(f"b{level}"), F.col("_k.value").alias(f"v{level}"))
+def _written(df: DataFrame, at: str) -> DataFrame:
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def _first_band(bands: list[tuple[int, int]], r: int, level: int) -> Column:
-    """The first band not taken before level in which h and g are within r bits: a pair counts there alone."""
-    out = F.lit(None).cast("int")
-    for i, (shift, width) in reversed(list(enumerate(bands))):
-        near = F.bit_count(_value(F.col("h").bitwiseXOR(F.col("g")), shift, width)) <= r
-        for before in range(level):
-            near = near & (F.col(f"b{before}") != i)
-        out = F.when(near, i).otherwise(out)
-    return out
+def _blocks(asked: DataFrame, have: DataFrame, sizes: DataFrame | None, hot: int) -> DataFrame:
+    """path, hs and gs: what is asked and there under one value. By sizes (asked and have of each value) both are dealt to blocks
+    of about `hot` hashes, and each block of the one meets each of the other."""
+    if sizes is None:
+        return asked.groupBy(*_ON).agg(F.collect_list("h").alias("hs")).join(have.groupBy(*_ON).agg(F.collect_list("h").alias("gs")), _ON)
+    number = lambda c: F.ceil(F.col(c) / hot).cast("int")
+    sizes = sizes.select(*_ON, number("asked").alias("_x"), number("have").alias("_y"))
+    listed = lambda df, n, block, name: df.join(sizes, _ON).groupBy(*_ON, "_x", "_y", F.pmod(F.xxhash64("h"), n).cast("int").alias(block)).agg(F.collect_list("h").alias(name))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    ours = listed(asked, F.col("_x"), "_a", "hs").select(*_ON, "_a", every("_y").alias("_b"), "hs")
+    return ours.join(listed(have, F.col("_y"), "_b", "gs").select(*_ON, every("_x").alias("_a"), "_b", "gs"), [*_ON, "_a", "_b"])
 
 
-def band_join(left: DataFrame, right: DataFrame, most: int, m: int, hot: int = HOT) -> DataFrame:
+def band_join(left: DataFrame, right: DataFrame, most: int, m: int, hot: int = HOT, once: bool = False) -> DataFrame:
     """h, g and distance: hashes of left and right (h each, distinct) within `most` bits, by m bands.
 
-    Rows meet where a band's value is equal up to most // m bits. A value that more than `hot` hashes of right share is split by the
-    bands that are left: of two hashes that agree so far, one of the other k bands differs in most // k bits or fewer; and so on
-    until a value is not crowded or no band is left.
+    Rows meet where a band's value is equal up to most // m bits, and are compared block by block. A value that more than `hot` hashes
+    share is split by m bands of the bits that are left, of which one again differs in most // m bits or fewer; and so on until a value is
+    not crowded or bands run out: then blocks of about `hot` hashes meet blocks. once: left is right, and each pair is given once, h < g.
+    Values that are crowded are written to the shared folder when this is called.
     """
-    bands, asked, have, out = _banded(m), left.select("h"), right.select("h"), None
-    distance = F.bit_count(F.col("h").bitwiseXOR(F.col("g"))).cast("int")
-    for level in range(m):
-        on = [f"{c}{i}" for i in range(level + 1) for c in "bv"]
-        asked, have = _keys(asked, bands, most // (m - level), level), _keys(have, bands, 0, level)
-        crowded = have.groupBy(*on).count().where(F.col("count") > hot).select(*on)
-        there = have.withColumnRenamed("h", "g")
-        pairs = asked.join(there if level == m - 1 else there.join(crowded, on, "left_anti"), on).withColumn("distance", distance).where(F.col("distance") <= most)
-        for i in range(level + 1):
-            pairs = pairs.where(_first_band(bands, most // (m - i), i) == F.col(f"b{i}"))
-        found = pairs.select("h", "g", "distance")
-        out = found if out is None else out.unionByName(found)
-        if level == m - 1 or crowded.isEmpty():
-            return out
-        asked, have = asked.join(crowded, on, "left_semi"), have.join(crowded, on, "left_semi")
+    spark, r = left.sparkSession, most // m
+    same, at, levels = once and r == 0, folder(spark, "bands"), _levels(m, r)
+    start = lambda df: df.select("h", F.lit(0).alias("path"), F.lit(0).cast("bigint").alias("value"))
+    asked, have, out = start(left), start(right), None
+    for level in range(levels):
+        deals = spark.createDataFrame(_deals(m, r, level), "path int, next int, mask bigint, flip bigint")
+        have = _keyed(have, deals.where("flip = 0"))
+        asked = have if same else _keyed(asked, deals)
+        if same:
+            sizes = have.groupBy(*_ON).agg(F.count("*").alias("have")).withColumn("asked", F.col("have"))
+        else:
+            both = have.select(*_ON, F.lit(0).alias("a"), F.lit(1).alias("b")).unionByName(asked.select(*_ON, F.lit(1).alias("a"), F.lit(0).alias("b")))
+            sizes = both.groupBy(*_ON).agg(F.sum("a").alias("asked"), F.sum("b").alias("have")).where("asked > 0 and have > 0")
+        crowded = _written(sizes.where(F.greatest("asked", "have") > hot), f"{at}/crowded-{level}")
+        rest = lambda df: df.join(crowded, _ON, "left_anti")  # noqa: B023, E731
+        groups = [rest(have).groupBy(*_ON).agg(F.collect_list("h").alias("hs")).where("size(hs) > 1") if same else _blocks(rest(asked), rest(have), None, hot)]
+        done = crowded.isEmpty()
+        have = have.join(crowded.select(*_ON), _ON, "left_semi")
+        asked = have if same else asked.join(crowded.select(*_ON), _ON, "left_semi")
+        parts = [groups[0].mapInArrow(_close(most, m, r, level, same), _LINK)]
+        if level == levels - 1 and not done:
+            parts.append(_blocks(asked, have, crowded, hot).mapInArrow(_close(most, m, r, level, False), _LINK))
+        for part in parts:
+            out = part if out is None else out.unionByName(part)
+        if done:
+            break
+    return out.where("h < g") if once else out
 
 
 def _members(rows: DataFrame, key: str, value: str) -> DataFrame:
@@ -175,10 +261,10 @@ def hash_classes(hashes: DataFrame, key: str, value: str, most: int, bands: int
     """(classes: h and its least id and size; links: h, g, distance with h < g). Rows of one hash are one class, so copies are
     never paired with each other; the links say which classes are near."""
     rows = _members(hashes, key, value)
-    classes = rows.groupBy("h").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    classes = _written(rows.groupBy("h").agg(F.min("id").alias("id"), F.count("*").alias("n")), folder(rows.sparkSession, "classes"))
     m = band_plan(classes.count(), most) if bands is None else bands
     distinct = classes.select("h")
-    links = band_join(distinct, distinct, most, m) if m else _scanned(distinct, distinct, most)
+    links = band_join(distinct, distinct, most, m, once=True) if m else _scanned(distinct, distinct, most)
     return classes, links.where("h < g")
 
 

@@ -53,5 +53,30 @@ def test_hot_bands_are_split(spark, hot):
     assert sorted(map(tuple, spatial.band_join(df, df, 6, 4, hot).collect())) == want
 
 
+def near_values(df, most):
+    values = sorted(r.h for r in df.collect())
+    return sorted((x, y, d) for x in values for y in values if (d := bin((x ^ y) & (2**64 - 1)).count("1")) <= most)
+
+
+@pytest.mark.parametrize("most,deals", [(3, 4096), (3, 4), (6, 4096), (6, 4)])
+def test_crowded_values_meet_in_blocks_when_bands_run_out(spark, monkeypatch, most, deals):
+    monkeypatch.setattr(spatial, "DEALS", deals)
+    df = spark.createDataFrame(rows_near(200, 5), "id bigint, h bigint").where("id is not null and h is not null").select("h").distinct()
+    want = near_values(df, most)
+    assert sorted(map(tuple, spatial.band_join(df, df, most, 4, 10).collect())) == want
+    assert sorted(map(tuple, spatial.band_join(df, df, most, 4, 10, once=True).collect())) == [x for x in want if x[0] < x[1]]
+
+
+def test_a_half_that_all_share_leaves_no_band_crowded(spark):
+    rng = random.Random(3)
+    values = list({rng.getrandbits(32) for _ in range(4000)})
+    for level in (0, 1):
+        for path in spatial._paths(4, level):
+            for band in spatial._dealt(path, 4)[1]:  # bands side by side had all 4,000 under one value
+                assert bin(band & (2**32 - 1)).count("1") >= 6
+    df = spark.createDataFrame([(h,) for h in values], "h bigint")
+    assert sorted(map(tuple, spatial.band_join(df, df, 3, 4, 100, once=True).collect())) == sorted((x, y, d) for i, x in enumerate(sorted(values)) for y in sorted(values)[i + 1 :] if (d := (x ^ y).bit_count()) <= 3)
+
+
 def test_plan():
     assert spatial.band_plan(10**9, 3) and spatial.band_plan(10**9, 10) and spatial.band_plan(1000, 24) == 0
