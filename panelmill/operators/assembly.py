@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,12 @@ METHODS = {
 #: Origins whose figures get their boxes anew.
 RENEWED = ["llm_assignment", "llm_adjudication", "manual_assignment", "manual_assignment_joining"]
 RELEVANT = ["CFP", "OCT", "Retinal Imaging"]
+#: Writes a table under a name and reads it.
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def _as_it_is(df: DataFrame, name: str) -> DataFrame:
+    return df
 
 
 def in_order(candidates: DataFrame, group: str, left: str, right: str, order: list[Column]) -> DataFrame:
@@ -89,14 +97,15 @@ def panel_flags(panels: DataFrame, texts: DataFrame, matched: DataFrame) -> Data
     return out.withColumn("assigned_subcaption", F.when(clean, F.col("cap"))).drop("est", "sh", "cap")
 
 
-def assembled(figures: DataFrame, boxes: DataFrame, panels: DataFrame, captions: DataFrame, texts: DataFrame) -> DataFrame:
+def assembled(figures: DataFrame, boxes: DataFrame, panels: DataFrame, captions: DataFrame, texts: DataFrame, keep: Keep = _as_it_is) -> DataFrame:
     """Captions of panels without a model: fig, panel_id, relevance, assigned_subcaption and the flags.
 
     figures (fig, full_caption_id, full_caption), boxes (fig, id, kind, score), panels (fig, panel_id, label_ids), captions (fig,
     caption_id, name, text, place), texts as in labels_to_captions. A figure without an image of RELEVANT has no relevant
     panel. One with a single part that is named None, or whose text is less than 4 words away from the full caption, gives
     the full caption to its best panel (panel_id null if there is none) and no other panel is relevant; with any other
-    single part none is. Else labels are matched; texts count only where all names have a stem of one letter.
+    single part none is. Else labels are matched; texts count only where all names have a stem of one letter. keep is asked
+    to write what is read several times.
     """
     kinds = boxes.groupBy("fig").agg(F.bool_or(F.col("kind").isin(RELEVANT)).alias("relevant"), F.max_by(F.when(F.col("kind") == "Panel", F.col("id")), F.when(F.col("kind") == "Panel", F.struct("score", -F.col("id")))).alias("best"))
     own = captions.groupBy("fig").agg(F.count("*").alias("n"), F.collect_list("name").alias("names"), F.count("name").alias("named"), F.max("text").alias("text"))
@@ -104,6 +113,7 @@ def assembled(figures: DataFrame, boxes: DataFrame, panels: DataFrame, captions:
     single = (F.col("n") == 1) & ((F.col("named") == 0) | (F.get("names", F.lit(0)) == "None") | (word_distance(F.col("full_caption"), F.col("text")) < 4))
     status = status.withColumn("branch", F.when(~F.col("relevant"), "irrelevant").when(single, "whole").when(F.col("n") == 1, "irrelevant").otherwise("matched"))
     status = status.withColumn("reads", (F.col("branch") == "matched") & assignable(F.coalesce("names", F.array().cast("array<string>"))))
+    status = keep(status.select("fig", "full_caption_id", "best", "branch", "reads"), "status")
     of = lambda name: status.where(F.col("branch") == name)
     nothing = lambda t: F.lit(None).cast(t)
     id_type = dict(captions.dtypes)["caption_id"]
@@ -113,7 +123,7 @@ def assembled(figures: DataFrame, boxes: DataFrame, panels: DataFrame, captions:
     whole = of("whole").select("fig", F.col("best").alias("panel_id"), F.lit(True).alias("relevance"), F.col("full_caption_id").cast(id_type).alias("assigned_subcaption"), *plain(False))
     others = panels.join(of("whole"), "fig").where(~F.col("panel_id").eqNullSafe(F.col("best"))).select("fig", "panel_id", F.lit(False).alias("relevance"), nothing(id_type).alias("assigned_subcaption"), *plain(None))
     read = texts.join(status.where("reads").select("fig"), "fig", "left_semi")
-    matched = labels_to_captions(read, captions)
+    matched = keep(labels_to_captions(read, captions), "matched")
     general = panel_flags(panels.join(of("matched").select("fig"), "fig", "left_semi"), read, matched)
     return none.unionByName(whole).unionByName(others).unionByName(general.select("fig", "panel_id", F.lit(True).alias("relevance"), "assigned_subcaption", *flags))
 
@@ -139,18 +149,20 @@ def _position(name: str, b: Column, score: Column) -> Column:
     return F.to_json(F.struct(F.array(*[b[e] for e in EDGES]).alias("predicted_box"), score.alias("prediction_score"))).alias(name)
 
 
-def panel_rows(panels: DataFrame, predictions: DataFrame, figures: DataFrame, articles: DataFrame, captions: DataFrame, labels: DataFrame, least_overlap: float = 0.9) -> DataFrame:
+def panel_rows(panels: DataFrame, predictions: DataFrame, figures: DataFrame, articles: DataFrame, captions: DataFrame, labels: DataFrame, least_overlap: float = 0.9, keep: Keep = _as_it_is) -> DataFrame:
     """The output's rows from the tables of the assembly, one for each eligible panel.
 
     panels (panel_id, label_ids, image_ids, content_box, assigned_subcaption, origin and the flags), predictions (id, fig, kind,
     score, marked, marked_score, box, survives_nms), figures (fig, article_id, image_cluster_id, width, height,
     page_boxes), articles (article_id, image_cluster_id, title, citation, license, context; of rows under one key the first by these columns counts), captions
     (id, name, text), labels (id, origin, confidence, box). A figure with a panel of RENEWED origin is suppressed anew, and
-    takes in the boxes that lie in a panel. Positions are shares of the figure. panel_image is left to the caller, who crops `crop`.
+    takes in the boxes that lie in a panel. Positions are shares of the figure. panel_image is left to the caller, who crops `crop`. keep is
+    asked to write what is read several times.
     """
     articles = articles.groupBy("article_id", "image_cluster_id").agg(F.min(F.struct(*[c for c in articles.columns if c not in ("article_id", "image_cluster_id")])).alias("_a")).select("article_id", "image_cluster_id", "_a.*")
     p = eligible(panels).drop("fig").join(predictions.select(F.col("id").alias("panel_id"), "fig"), "panel_id")
     p = p.join(figures.select("fig", "article_id", "image_cluster_id", "width", "height", "page_boxes"), "fig").withColumn("renew", F.coalesce(F.col("origin").isin(RENEWED), F.lit(False)))
+    p = keep(p, "eligible")
     renew = p.groupBy("fig").agg(F.bool_or("renew").alias("renew"), F.collect_set("panel_id").alias("used"))
     p = p.drop("renew").join(renew.drop("used"), "fig")
     boxes = predictions.join(renew, "fig").join(figures.select("fig", "width", "height"), "fig")
@@ -159,10 +171,11 @@ def panel_rows(panels: DataFrame, predictions: DataFrame, figures: DataFrame, ar
     boxes = boxes.join(kept, ["fig", "id"], "left").where("(survives_nms and (not renew or kept)) or array_contains(used, id)")
     inside = lambda e: F.least(F.greatest(F.col("box")[e], F.lit(0.0)), F.col("width" if e[0] == "x" else "height").cast("double"))
     boxes = boxes.select("fig", "id", "kind", "score", "marked", "marked_score", F.struct(*[inside(e).alias(e) for e in EDGES]).alias("box"))
+    boxes = keep(boxes, "boxes")
 
     # what belongs to each panel: boxes that it names, and in renewed figures those that lie in it
     whole = boxes.select(F.col("id").alias("panel_id"), F.col("box").alias("panel_box"), F.col("score").alias("panel_score"))
-    p = p.join(whole, "panel_id")
+    p = keep(p.join(whole, "panel_id"), "panels")
     other = boxes.where("kind <> 'Panel'").select("fig", F.col("id").alias("part"), "kind", "score", "marked", "marked_score", "box")
     near = p.select("fig", "panel_id", "panel_box", "renew", "width", "height", "image_ids", "label_ids").join(other, "fig")
     named = F.when(F.col("kind") == "Label", F.array_contains("label_ids", F.col("part"))).otherwise(F.array_contains("image_ids", F.col("part")))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from panelmill.operators import assembly, spatial
 from panelmill.operators.rebuild import build
 from panelmill.sources.scratch import folder
-from panelmill.plans.stages import Loader, applied, caption_splits, detections
+from panelmill.plans.stages import Loader, applied, caption_splits, detections, stored
 
 #: The classes of the detector.
 KINDS = ["Panel", "Label", "CFP", "OCT", "Retinal Imaging", "Other"]
@@ -50,6 +50,10 @@ class Run:
             make().write.mode("overwrite").parquet(at)
             return self.spark.read.parquet(at)
 
+    def _kept(self, step: str) -> Callable[[DataFrame, str], DataFrame]:
+        """Writes what a step reads more than once, under path/<step>-<name>; the step does it anew if it was cut off."""
+        return lambda df, name: stored(df, f"{self.path}/{step}-{name}")
+
     def boxes(self) -> DataFrame:
         """fig, id, kind, score, box, survives_nms; ids are the figure's times a million plus the box's."""
 
@@ -64,7 +68,7 @@ class Run:
         """fig, caption_id, name, text, place, is_full."""
 
         def make() -> DataFrame:
-            every = caption_splits(self.figures.select(F.col("fig").alias("caption_id"), "caption"), self.models.name, self.models.split, f"{self.path}/split")
+            every = self._kept("captions")(caption_splits(self.figures.select(F.col("fig").alias("caption_id"), "caption"), self.models.name, self.models.split, f"{self.path}/split"), "split")
             parts = every.where("error is null")
             whole = every.where("is_full_caption and error is null").join(every.where("not is_full_caption").select("caption_id"), "caption_id", "left_anti")
             parts = parts.unionByName(whole.withColumns({"sub_caption_name": F.lit("None"), "is_full_caption": F.lit(False)}))  # a caption without parts is its only part
@@ -74,8 +78,13 @@ class Run:
         return self._once("captions", make)
 
     def hierarchy(self) -> DataFrame:
-        b = self.boxes().where("survives_nms")
-        return spatial.hierarchy(b.where("kind = 'Panel'"), b.where("kind = 'Label'"), b.where("kind not in ('Panel', 'Label')"))
+        """fig, panel_id, label_ids, image_ids and the box that spans a panel."""
+
+        def make() -> DataFrame:
+            b = self.boxes().where("survives_nms")
+            return spatial.hierarchy(b.where("kind = 'Panel'"), b.where("kind = 'Label'"), b.where("kind not in ('Panel', 'Label')"))
+
+        return self._once("hierarchy", make)
 
     def texts(self) -> DataFrame:
         """fig, label_id, panel_id, text, confidence: the surest text of each label; where none of a panel's labels has
@@ -85,7 +94,7 @@ class Run:
             b, figures = self.boxes().where("survives_nms"), self.figures.select("fig", "content")
             labels = b.where("kind = 'Label'").join(figures, "fig").select("fig", "id", "content", "box")
             read = applied(labels, self.models.read, ["fig", "id"], "text string, confidence double").where("error is null and confidence >= 0.8")
-            own = read.groupBy("fig", F.col("id").alias("label_id")).agg(F.max_by(F.struct("text", "confidence"), F.struct("confidence", "text")).alias("t")).select("fig", "label_id", F.lit(None).cast("bigint").alias("panel_id"), "t.text", "t.confidence")
+            own = self._kept("texts")(read.groupBy("fig", F.col("id").alias("label_id")).agg(F.max_by(F.struct("text", "confidence"), F.struct("confidence", "text")).alias("t")).select("fig", "label_id", F.lit(None).cast("bigint").alias("panel_id"), "t.text", "t.confidence"), "own")
             panels = self.hierarchy()
             heard = panels.select("fig", "panel_id", F.explode("label_ids").alias("label_id")).join(own.select("fig", "label_id"), ["fig", "label_id"], "left_semi").select("fig", "panel_id")
             lone = panels.join(heard, ["fig", "panel_id"], "left_anti").join(figures, "fig").select("fig", "panel_id", "content", F.struct("x0", "y0", "x1", "y1").alias("box"))
@@ -100,7 +109,7 @@ class Run:
             c = self.captions()
             figures = c.where("is_full").select("fig", F.col("caption_id").alias("full_caption_id"), F.col("text").alias("full_caption"))
             panels = self.hierarchy().select("fig", "panel_id", "label_ids")
-            return assembly.assembled(figures, self.boxes().where("survives_nms"), panels, c.where("not is_full"), self.texts())
+            return assembly.assembled(figures, self.boxes().where("survives_nms"), panels, c.where("not is_full"), self.texts(), self._kept("assembled"))
 
         return self._once("assembled", make)
 
@@ -112,7 +121,7 @@ class Run:
             figures = self.figures.select("fig", "article_id", "image_cluster_id", F.col("width").cast("double").alias("width"), F.col("height").cast("double").alias("height"), F.create_map(F.lit("1"), F.lit(0)).alias("page_boxes"))
             captions = self.captions().select(F.col("caption_id").alias("id"), "name", "text")
             labels = self.spark.createDataFrame([], "id bigint, origin string, confidence double, box struct<x0:double,y0:double,x1:double,y1:double>")
-            return assembly.panel_rows(panels, b, figures, self.articles, captions, labels)
+            return assembly.panel_rows(panels, b, figures, self.articles, captions, labels, keep=self._kept("rows"))
 
         return self._once("rows", make)
 

@@ -20,7 +20,7 @@ from pyspark.sql.types import StringType, StructType
 from panelmill.functions.boxes import box, clip, hamming
 from panelmill.functions.text import after_thoughts, caption_distance, captions_alike, is_continued, repair_json, without_number, without_space
 from panelmill.operators.nms import split_nms
-from panelmill.operators.relational import upsert
+from panelmill.operators.relational import upsert, worked_out
 
 Loader = Callable[[], Callable[[dict], list[dict]]]
 #: Rows that a model gets in one call.
@@ -123,11 +123,13 @@ def caption_splits(captions: DataFrame, name: Loader, split: Loader, path: str,
     The first model answers with the names of the parts (text None or empty: there are none), the second, which
     also gets names, with a JSON object from name to text. Each caption has a full row; one with parts, a row for each.
     """
-    names = stored(applied(captions.select(key, "caption"), name, [key, "caption"], "answer string"), f"{path}/names").select(key, "caption", after_thoughts(F.col("answer"))["answer"].alias("names"), F.col("error").alias("name_error"))
+    names = stored(applied(captions.select(key, "caption"), name, [key, "caption"], "answer string"), f"{path}/names")
+    names = worked_out(names, {"names": after_thoughts(F.col("answer"))["answer"]}).select(key, "caption", "names", F.col("error").alias("name_error"))
     several = names.where("name_error is null and names is not null and names not in ('', 'None')")
     answers = stored(applied(several.select(key, "caption", "names"), split, [key], "answer string"), f"{path}/parts")
-    parts = F.from_json(repair_json(after_thoughts(F.col("answer"))["answer"]), "map<string,string>")
-    answers = answers.withColumn("parts", parts).withColumn("error", F.coalesce("error", F.when(F.col("parts").isNull() | (F.size("parts") == 0), F.lit("no JSON object of parts"))))
+    answers = worked_out(answers, {"answer": after_thoughts(F.col("answer"))["answer"]})  # each step reads its text often
+    answers = worked_out(answers, {"answer": repair_json(F.col("answer"))})
+    answers = worked_out(answers, {"parts": F.from_json("answer", "map<string,string>")}).withColumn("error", F.coalesce("error", F.when(F.col("parts").isNull() | (F.size("parts") == 0), F.lit("no JSON object of parts"))))
     sub = answers.select(key, F.explode_outer("parts").alias("sub_caption_name", "sub_caption_text"), F.lit(False).alias("is_full_caption"), "error").where("sub_caption_name is not null or error is not null")
     whole = names.select(key, F.lit(None).cast("string").alias("sub_caption_name"), F.col("caption").alias("sub_caption_text"), F.lit(True).alias("is_full_caption"), F.col("name_error").alias("error"))
     return whole.unionByName(sub)

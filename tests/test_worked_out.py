@@ -40,3 +40,26 @@ def test_key_with_many_rows_meets_by_time(spark):
     out = within(side("a", -100_000), side("b", -99_700), ["k"], "a_at", "b_at", "10 minutes")
     assert sorted((r.a, r.b) for r in out.select("a", "b").collect()) == [(i, i) for i in range(2000)]
     assert "_lot" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_each_box_is_read_once(spark, tmp_path):
+    from panelmill.plans.run import Run
+    from panelmill.plans.stage_queries import example_models
+
+    models, asked = example_models(), f"{tmp_path}/asked"
+    own = models.read()
+
+    def read():
+        def model(row):
+            with open(asked, "a") as f:
+                f.write(f"{row['fig']} {row['box']['x0']} {row['box']['x1']}\n")
+            return own(row)
+
+        return model
+
+    models.read = read
+    figures = spark.createDataFrame([(i, i, "c", 100, 100, b"x", "one two") for i in range(1, 4)], "fig bigint, article_id bigint, image_cluster_id string, width int, height int, content binary, caption string")
+    articles = spark.createDataFrame([(i, "c", "t", "c", "CC0", ["x"]) for i in range(1, 4)], "article_id bigint, image_cluster_id string, title string, citation string, license string, context array<string>")
+    assert Run(spark, figures, articles, models, f"file://{tmp_path}/run").rows().count() == 5
+    lines = open(asked).read().splitlines()
+    assert len(lines) == len(set(lines)) == 6
