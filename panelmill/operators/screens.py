@@ -84,11 +84,12 @@ def by_place(assignments: DataFrame, options: DataFrame) -> DataFrame:
 
 def reasons(screened: DataFrame, options: DataFrame) -> DataFrame:
     """fig and reasons: of figures that fail, one text for each broken rule, with the values that broke it and those allowed."""
-    each = screened.select("fig", F.explode("broken").alias("b")).groupBy("fig", F.col("b.rule").alias("rule")).agg(F.array_sort(F.collect_set("b.value")).alias("values"))
-    order = F.create_map(*[x for i, r in enumerate(dict.fromkeys(PANEL_RULES + PLACE_RULES)) for x in (F.lit(r), F.lit(i))])
-    rows = each.groupBy("fig").agg(F.array_sort(F.collect_list(F.struct(order[F.col("rule")].alias("n"), "rule", "values"))).alias("rules"))
-    strict = F.exists("rules", lambda r: r["rule"].isin(_STRICT))
-    rows = rows.withColumn("rules", F.filter("rules", lambda r: (r["rule"] != "final panel") | strict)).where("size(rules) > 0").join(options, "fig")
+    rows = screened.select("fig", F.explode("broken").alias("b")).groupBy("fig").agg(F.collect_set("b").alias("every"))
+    strict = F.exists("every", lambda b: b["rule"].isin(_STRICT))
+    order = F.array(*map(F.lit, dict.fromkeys(PANEL_RULES + PLACE_RULES)))
+    broken = F.filter(order, lambda r: F.exists("every", lambda b: b["rule"] == r) & ((r != "final panel") | strict))
+    values = lambda r: F.array_sort(F.array_compact(F.transform(F.filter("every", lambda b: b["rule"] == r), lambda b: b["value"])))
+    rows = worked_out(rows, {"rules": F.transform(broken, lambda r: F.struct(r.alias("rule"), values(r).alias("values")))}).where("size(rules) > 0").join(options, "fig")
     listed = lambda x: F.concat(F.lit("["), F.array_join(x, ", "), F.lit("]"))
     valid = lambda rule: F.when(rule == "unknown panel", listed(F.array_distinct(F.transform("panels", lambda p: p["id"])))).when(rule == "unknown label", listed(F.col("label_ids"))).when(rule == "unknown image", listed(F.col("image_ids"))).when(rule == "unknown caption", listed(F.col("names")))
     told = F.transform("rules", lambda r: F.concat(r["rule"], F.lit(": "), listed(r["values"]), F.coalesce(F.concat(F.lit("; valid: "), valid(r["rule"])), F.lit(""))))

@@ -63,3 +63,14 @@ def test_each_box_is_read_once(spark, tmp_path):
     assert Run(spark, figures, articles, models, f"file://{tmp_path}/run").rows().count() == 5
     lines = open(asked).read().splitlines()
     assert len(lines) == len(set(lines)) == 6
+
+
+def test_reasons_are_grouped_once(spark):
+    from panelmill.operators.screens import reasons
+
+    kind = "fig bigint, broken array<struct<rule:string,value:string>>"
+    options = spark.createDataFrame([(i, [], ["7"], [], []) for i in (1, 2, 3)], "fig bigint, panels array<struct<id:string>>, label_ids array<string>, image_ids array<string>, names array<string>")
+    rows = [(1, [("unknown label", "9"), ("final panel", "3")]), (1, [("unknown label", "8"), ("unknown label", "9")]), (2, [("final panel", "3")]), (3, [("no caption", None)])]
+    out = reasons(spark.createDataFrame(rows, kind), options)
+    assert {r.fig: r.reasons for r in out.collect()} == {1: ["unknown label: [8, 9]; valid: [7]", "final panel: [3]"], 3: ["no caption: []"]}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
