@@ -103,11 +103,11 @@ def answers_read(text: Column) -> Column:
     """A model's answer as (by_panel, by_place): lists of assignments; the form by panel is tried first."""
     evidence = "evidence:array<struct<label_id:string,bbox_2d:array<int>,text:string,positional_type:string,short_description:string>>"
     common = f"assigned_subcaption:string,confidence:double,{evidence}"
-    a = F.from_json(text, f"assignments array<struct<panel_id:string,reject_panel:boolean,{common}>>")["assignments"]
-    b = F.from_json(text, f"assignments array<struct<assigned_images:array<string>,{common}>>")["assignments"]
-    by_panel = (F.size(a) >= 0) & F.forall(a, lambda x: x["panel_id"].isNotNull() & x["confidence"].isNotNull())
-    by_place = F.forall(b, lambda x: x["assigned_images"].isNotNull() & x["confidence"].isNotNull())
-    return F.struct(F.when(by_panel, a).alias("by_panel"), F.when(~F.coalesce(by_panel, F.lit(False)) & by_place, b).alias("by_place"))
+    read = lambda own, then: F.get(F.transform(F.array(F.from_json(text, f"assignments array<struct<{own},{common}>>")["assignments"]), then), F.lit(0))  # noqa: E731 (each form is parsed once)
+    by_panel = lambda a: (F.size(a) >= 0) & F.forall(a, lambda x: x["panel_id"].isNotNull() & x["confidence"].isNotNull())
+    by_place = lambda b: F.when(F.forall(b, lambda x: x["assigned_images"].isNotNull() & x["confidence"].isNotNull()), b)
+    place = read("assigned_images:array<string>", by_place)
+    return read("panel_id:string,reject_panel:boolean", lambda a: F.struct(F.when(by_panel(a), a).alias("by_panel"), F.when(~F.coalesce(by_panel(a), F.lit(False)), place).alias("by_place")))
 
 
 def evidence_kinds(evidence: Column) -> Column:

@@ -24,6 +24,12 @@ INSIDE, LARGE = 0.05, 0.2
 _STRICT = ["unknown panel", "unknown label", "unknown caption"]
 
 
+def _beside(rows: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
+    """rows and other joined by figure, never by a broadcast: files of a table with a row for each figure can be a twentieth of its rows
+    in memory, and Spark takes their size for that of the rows, so it would send millions of figures through the driver."""
+    return rows.join(other.hint("merge"), "fig", how)
+
+
 def allowed(figures: DataFrame, panels: DataFrame, labels: DataFrame, images: DataFrame, captions: DataFrame) -> DataFrame:
     """One row for each figure with what its assignments may name.
 
@@ -33,9 +39,9 @@ def allowed(figures: DataFrame, panels: DataFrame, labels: DataFrame, images: Da
     ids = lambda df, c, name: df.groupBy("fig").agg(F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(name))
     text = F.col("panel_id").cast("string")
     own = panels.groupBy("fig").agg(F.array_sort(F.collect_list(F.struct(text.alias("id"), F.coalesce("is_final", F.lit(False)).alias("is_final"), "content"))).alias("panels"))
-    out = figures.select("fig", "width", "height").join(own, "fig", "left")
+    out = _beside(figures.select("fig", "width", "height"), own, "left")
     for df, c, name in ((labels, "label_id", "label_ids"), (images, "image_id", "image_ids"), (captions, "name", "names")):
-        out = out.join(ids(df, c, name), "fig", "left").withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
+        out = _beside(out, ids(df, c, name), "left").withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
     return out.withColumn("panels", F.coalesce("panels", F.array().cast(own.schema["panels"].dataType)))
 
 
@@ -46,10 +52,15 @@ def _broken(rule: str, holds: Column, value: Column) -> Column:
 
 def by_panel(assignments: DataFrame, options: DataFrame) -> DataFrame:
     """The assignments with is_final and broken: (rule, value) of each rule that one breaks."""
-    a = assignments.withColumn("panel_id", F.col("panel_id").cast("string")).join(options, "fig")
+    return _panel_rules(_beside(assignments, options), assignments.columns)
+
+
+def _panel_rules(a: DataFrame, columns: list[str]) -> DataFrame:
+    """columns, is_final and broken of assignments beside what their figure allows."""
+    a = a.withColumn("panel_id", F.col("panel_id").cast("string"))
     a = a.withColumn("_panel", F.get(F.filter("panels", lambda p: p["id"] == F.col("panel_id")), F.lit(0)))
     final, content = F.coalesce(F.col("_panel.is_final"), F.lit(False)), F.col("_panel.content")
-    evidence = F.coalesce("evidence", F.array().cast(assignments.schema["evidence"].dataType))
+    evidence = F.coalesce("evidence", F.array().cast(a.schema["evidence"].dataType))
     corners = lambda e: F.struct(*[F.get(e["bbox_2d"], F.lit(i)).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))])
     new = F.transform(F.filter(evidence, lambda e: e["label_id"].isNull() & e["bbox_2d"].isNotNull()), lambda e: from_thousandths(corners(e), F.col("width"), F.col("height")))
     old = F.filter(F.transform(evidence, lambda e: e["label_id"].cast("string")), lambda x: x.isNotNull())
@@ -66,12 +77,15 @@ def by_panel(assignments: DataFrame, options: DataFrame) -> DataFrame:
         _broken("final panel", final, F.col("panel_id")),
         _broken("no caption without rejection", ~final & caption.isNull() & ~F.coalesce("reject_panel", F.lit(False)), F.col("panel_id")),
     )
-    return a.select(*assignments.columns, final.alias("is_final"), rules.alias("broken"))
+    return a.select(*columns, final.alias("is_final"), rules.alias("broken"))
 
 
 def by_place(assignments: DataFrame, options: DataFrame) -> DataFrame:
     """As by_panel, for assignments that name images."""
-    a = assignments.join(options, "fig")
+    return _place_rules(_beside(assignments, options), assignments.columns)
+
+
+def _place_rules(a: DataFrame, columns: list[str]) -> DataFrame:
     caption = F.col("assigned_subcaption")
     images = F.filter(F.transform("assigned_images", lambda x: x.cast("string")), lambda x: ~F.array_contains("image_ids", x))
     rules = F.concat(
@@ -79,7 +93,7 @@ def by_place(assignments: DataFrame, options: DataFrame) -> DataFrame:
         _broken("unknown caption", caption.isNotNull() & ~F.array_contains("names", caption), caption),
         _broken("no caption", caption.isNull(), F.lit("None")),
     )
-    return a.select(*assignments.columns, F.lit(False).alias("is_final"), rules.alias("broken"))
+    return a.select(*columns, F.lit(False).alias("is_final"), rules.alias("broken"))
 
 
 def reasons(screened: DataFrame, options: DataFrame) -> DataFrame:
@@ -89,7 +103,7 @@ def reasons(screened: DataFrame, options: DataFrame) -> DataFrame:
     order = F.array(*map(F.lit, dict.fromkeys(PANEL_RULES + PLACE_RULES)))
     broken = F.filter(order, lambda r: F.exists("every", lambda b: b["rule"] == r) & ((r != "final panel") | strict))
     values = lambda r: F.array_sort(F.array_compact(F.transform(F.filter("every", lambda b: b["rule"] == r), lambda b: b["value"])))
-    rows = worked_out(rows, {"rules": F.transform(broken, lambda r: F.struct(r.alias("rule"), values(r).alias("values")))}).where("size(rules) > 0").join(options, "fig")
+    rows = _beside(worked_out(rows, {"rules": F.transform(broken, lambda r: F.struct(r.alias("rule"), values(r).alias("values")))}).where("size(rules) > 0"), options)
     listed = lambda x: F.concat(F.lit("["), F.array_join(x, ", "), F.lit("]"))
     valid = lambda rule: F.when(rule == "unknown panel", listed(F.array_distinct(F.transform("panels", lambda p: p["id"])))).when(rule == "unknown label", listed(F.col("label_ids"))).when(rule == "unknown image", listed(F.col("image_ids"))).when(rule == "unknown caption", listed(F.col("names")))
     told = F.transform("rules", lambda r: F.concat(r["rule"], F.lit(": "), listed(r["values"]), F.coalesce(F.concat(F.lit("; valid: "), valid(r["rule"])), F.lit(""))))
@@ -101,26 +115,27 @@ def asked_again(items: DataFrame, ask: Callable[[DataFrame, str], DataFrame], op
 
     ask(items, path) gives fig and the raw answer (a JSON text by panel or by place); from the second round on items have the
     answer before and its reasons. Only figures that failed are asked again. keep(df, path) writes a table and reads it, so each
-    answer is read as it came. An answer that is neither form is a reason, too.
+    answer is read as it came, and once. An answer that is neither form is a reason, too.
     """
     from panelmill.operators.annotations import answers_read
 
     empty = F.array().cast("array<string>")
-    options = keep(options, f"{path}/options")  # read several times in each round
+    options, items = keep(options, f"{path}/options"), keep(items, f"{path}/items")  # read several times in each round
     todo = items.select("*", F.lit(None).cast("string").alias("answer_before"), empty.alias("reasons"))
     passed = None
     for n in range(1, rounds + 1):
-        answers = keep(ask(todo, f"{path}/ask-{n}").select("fig", "answer"), f"{path}/answers-{n}")
-        read = worked_out(answers, {"form": answers_read(F.col("answer"))})
-        panel = by_panel(read.select("fig", F.explode("form.by_panel").alias("x")).select("fig", "x.*"), options)
-        place = by_place(read.where("form.by_panel is null").select("fig", F.explode("form.by_place").alias("x")).select("fig", "x.*"), options)
-        lost = read.where("form.by_panel is null and form.by_place is null").select("fig", F.array(F.lit("no assignments")).alias("reasons"))
-        screened = keep(panel.unionByName(place, allowMissingColumns=True), f"{path}/screened-{n}")
+        answers = keep(ask(todo, f"{path}/ask-{n}").select("fig", "answer", answers_read(F.col("answer")).alias("form")), f"{path}/answers-{n}")
+        said = lambda form, where: _beside(answers.where(where).select("fig", F.col(f"form.{form}").alias("_said")), options).select("*", F.explode("_said").alias("_x")).select(*options.columns, "_x.*")
+        own = lambda rows: ["fig", *[c for c in rows.columns if c not in options.columns]]
+        panel = said("by_panel", "form.by_panel is not null")
+        place = said("by_place", "form.by_panel is null and form.by_place is not null")
+        lost = answers.where("form.by_panel is null and form.by_place is null").select("fig", F.array(F.lit("no assignments")).alias("reasons"))
+        screened = keep(_panel_rules(panel, own(panel)).unionByName(_place_rules(place, own(place)), allowMissingColumns=True), f"{path}/screened-{n}")
         bad = keep(reasons(screened.select("fig", "broken"), options).unionByName(lost), f"{path}/failed-{n}")
         good = screened.where("not is_final").drop("is_final", "broken")
-        good = keep(good.join(bad.select("fig"), "fig", "left_anti").withColumn("round", F.lit(n)), f"{path}/passed-{n}")
+        good = keep(_beside(good, bad.select("fig"), "left_anti").withColumn("round", F.lit(n)), f"{path}/passed-{n}")
         passed = good if passed is None else passed.unionByName(good)
-        todo = keep(items.join(bad, "fig").join(answers.select("fig", F.col("answer").alias("answer_before")), "fig").select(*items.columns, "answer_before", "reasons"), f"{path}/todo-{n}")
+        todo = keep(_beside(_beside(items, bad), answers.select("fig", F.col("answer").alias("answer_before"))).select(*items.columns, "answer_before", "reasons"), f"{path}/todo-{n}")
         if n == rounds or todo.isEmpty():
             break
     return passed, todo.select("fig", "reasons")
