@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from panelmill.operators import assembly, spatial
 from panelmill.operators.rebuild import build
-from panelmill.sources.scratch import folder
+from panelmill.sources.scratch import by_counted_rows, folder
 from panelmill.plans.stages import Loader, applied, caption_splits, detections, stored
 
 #: The classes of the detector.
@@ -47,7 +47,8 @@ class Run:
         except AnalysisException as e:
             if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # else the table is not there yet
                 raise
-            make().write.mode("overwrite").parquet(at)
+            with by_counted_rows(self.spark):
+                make().write.mode("overwrite").parquet(at)
             return self.spark.read.parquet(at)
 
     def _kept(self, step: str) -> Callable[[DataFrame, str], DataFrame]:

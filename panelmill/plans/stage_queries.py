@@ -143,7 +143,8 @@ def example_models() -> Models:
     return Models(_two_panels, _names_two, _split, _read)
 
 
-@query("""with f as (select p_partkey as fig, p_name from part where p_partkey % 5 <> 4 and p_partkey % 7 <> 6)
+@query("""with every as (select p_partkey as fig, p_name, p_partkey % 5 <> 4 as relevant, p_partkey % 3 <> 0 as several, p_partkey % 7 = 6 as unread from part),
+f as (select fig, p_name from every where relevant and not (several and unread))
 select 'p_' || (fig * 1000000 + 1) as panel_id, fig + 5 as article_id, case when fig % 3 = 0 then 'None' else 'A' end as panel_name, case when fig % 3 = 0 then p_name else split_part(p_name, ' ', 1) end as subcaption_text, true as contains_cfp, false as contains_oct, 'CC0' as license from f
 union all select 'p_' || (fig * 1000000 + 2), fig + 5, 'B', split_part(p_name, ' ', 2), false, true, 'CC0' from f where fig % 3 <> 0""")
 def whole_run(spark, d):
@@ -151,7 +152,7 @@ def whole_run(spark, d):
     caption could not be split, give no rows."""
     part = Tables(spark, d).part
     k = F.col("p_partkey")
-    figures = part.where("p_partkey % 7 <> 6").select(k.alias("fig"), (k + 5).alias("article_id"), F.lit("c").alias("image_cluster_id"), F.lit(100).alias("width"), F.lit(100).alias("height"), F.lit(b"x").alias("content"), F.col("p_name").alias("caption"))
+    figures = part.select(k.alias("fig"), (k + 5).alias("article_id"), F.lit("c").alias("image_cluster_id"), F.lit(100).alias("width"), F.lit(100).alias("height"), F.lit(b"x").alias("content"), F.col("p_name").alias("caption"))
     articles = part.select((k + 5).alias("article_id"), F.lit("c").alias("image_cluster_id"), F.lit("t").alias("title"), F.lit("c").alias("citation"), F.lit("CC0").alias("license"), F.array(F.lit("x")).alias("context"))
     out = run(spark, figures, articles, example_models(), folder(spark, "run"))
     return out.select("panel_id", "article_id", "panel_name", "subcaption_text", "contains_cfp", "contains_oct", "license")

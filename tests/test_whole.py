@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from panelmill.operators import spatial
 from panelmill.plans import QUERIES
+from panelmill.plans import run as runs
+from panelmill.plans.stages import stored
 
 
 def test_hamming_pairs(spark, tmp_path, monkeypatch):
@@ -28,3 +30,20 @@ def test_segments_reach_the_end(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
     found = {r.doc_id: r.text for r in QUERIES["segment_reconstruct"](spark, str(tmp_path)).collect()}
     assert found == {i: f"{t[:5]}-{t[n // 2 : n // 2 + 7]}-{t[max(n - 7, 0) :]}" for i, t, n in rows}
+
+
+def test_all_parts_are_run(spark, tmp_path):
+    """Keys that leave 6 modulo 7 take part: a caption without parts gives its row, one whose split failed none."""
+    spark.createDataFrame([(i, f"one{i} two{i}") for i in (6, 13, 15, 20, 27)], "p_partkey bigint, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    found = sorted((r.panel_id, r.article_id, r.panel_name, r.subcaption_text) for r in QUERIES["whole_run"](spark, str(tmp_path)).collect())
+    assert found == [(f"p_{i}000001", i + 5, "None", f"one{i} two{i}") for i in (15, 27, 6)]
+
+
+def test_no_table_of_the_run_is_broadcast(spark, tmp_path, monkeypatch):
+    """The size of a table's files says little of its rows; the session's own thresholds are back after the run."""
+    plans, before = [], spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.range(40).selectExpr("id as p_partkey", "concat('one', id, ' two', id) as p_name").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(runs, "stored", lambda df, path: plans.append(df._jdf.queryExecution().executedPlan().toString()) or stored(df, path))
+    assert QUERIES["whole_run"](spark, str(tmp_path)).count() == sum(i % 5 != 4 and (i % 3 == 0 or i % 7 != 6) and 1 + (i % 3 != 0) for i in range(40))
+    assert sum("SortMergeJoin" in p for p in plans) > 3 and not [p for p in plans if "Broadcast" in p]
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before and spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
